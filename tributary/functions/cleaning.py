@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 # JSON texts of the non-string values that count as "empty" (fixed values).
 EMPTY_TOKENS = ("0", "-0", "0.0", "-0.0", "false", "[]", "{}")
@@ -30,38 +32,80 @@ def as_utc(value: Column, zone: str | None = None) -> Column:
     return F.to_utc_timestamp(value, zone) if zone else value.cast("timestamp")
 
 
-def _token_kind(line: str, field: str) -> Column:
-    return F.expr(
-        f"schema_of_variant(try_variant_get(try_parse_json({line}), '$.{field}', 'variant'))"
-    )
-
+class JsonRecord:
+    """Fields of JSON lines that were parsed once into a VARIANT column.
 
-def text_or_blank(record: str, field: str, line: str) -> Column:
-    """Text of a JSON scalar; null, empty text and empty non-text values give ''.
-
-    The text alone cannot tell the number 0 from the text "0", so only rows holding one of
-    EMPTY_TOKENS are looked at a second time.
+    ``parse`` adds the parsed record and the text of each field as columns; the other methods
+    give expressions over those columns. The record comes out of a generator: filters are not
+    pushed below one, while below a projection they would parse the line again for every use.
     """
-    text = F.col(f"{record}.{field}")
-    return (
-        F.when(text.isNull(), F.lit(""))
-        .when(text.isin(*EMPTY_TOKENS) & (_token_kind(line, field) != "STRING"), F.lit(""))
-        .otherwise(text)
-    )
-
-
-def variant_truth(value: str) -> Column:
-    """Truth of a JSON value: null, false, 0, '' and empty containers are false."""
-    return F.expr(f"""
-        CASE
-          WHEN {value} IS NULL OR is_variant_null({value}) THEN false
-          WHEN schema_of_variant({value}) = 'BOOLEAN' THEN variant_get({value}, '$', 'boolean')
-          WHEN schema_of_variant({value}) = 'STRING' THEN variant_get({value}, '$', 'string') <> ''
-          WHEN try_variant_get({value}, '$', 'double') IS NOT NULL
-            THEN try_variant_get({value}, '$', 'double') <> 0
-          ELSE to_json({value}) NOT IN ('[]', '{{}}')
-        END""")
-
-
-def variant_text(value: str) -> Column:
-    return F.expr(f"try_variant_get({value}, '$', 'string')")
+
+    RECORD = "_record"
+
+    @classmethod
+    def parse(cls, lines: DataFrame, fields: Iterable[str]) -> DataFrame:
+        record = F.struct(F.try_parse_json("value").alias(cls.RECORD))
+        parsed = lines.select("value", F.inline(F.array(record)))
+        return parsed.select("*", *[
+            F.try_variant_get(F.col(cls.RECORD), f"$.{f}", "string").alias(f"_raw_{f}")
+            for f in fields
+        ])
+
+    @classmethod
+    def unreadable(cls) -> Column:
+        return F.col(cls.RECORD).isNull()
+
+    @classmethod
+    def _value(cls, field: str) -> Column:
+        return F.try_variant_get(F.col(cls.RECORD), f"$.{field}", "variant")
+
+    @classmethod
+    def _is_text(cls, field: str) -> Column:
+        return F.schema_of_variant(cls._value(field)) == "STRING"
+
+    @staticmethod
+    def raw(field: str) -> Column:
+        """Text of the value; NULL when it is absent or null."""
+        return F.col(f"_raw_{field}")
+
+    @classmethod
+    def absent(cls, field: str) -> Column:
+        """The field is not in the record at all; a null member is present."""
+        return cls.raw(field).isNull() & cls._value(field).isNull()
+
+    @classmethod
+    def truth(cls, field: str) -> Column:
+        """Absent, null, false, 0, '' and empty containers are false."""
+        text = cls.raw(field)
+        return (
+            F.when(text.isNull() | (text == ""), False)
+            .when(text.isin(*EMPTY_TOKENS), cls._is_text(field))
+            .otherwise(True)
+        )
+
+    @classmethod
+    def text(cls, field: str) -> Column:
+        """Text of the value, '' when it counts as empty.
+
+        The text alone cannot tell the number 0 from the text "0", so the kind of the value is
+        looked at, but only when the text is one of EMPTY_TOKENS.
+        """
+        text = cls.raw(field)
+        return (
+            F.when(text.isNull(), "")
+            .when(text.isin(*EMPTY_TOKENS), F.when(cls._is_text(field), text).otherwise(""))
+            .otherwise(text)
+        )
+
+    @classmethod
+    def number(cls, field: str) -> Column:
+        """Number, or text that reads as one, else NULL. A d or f suffix is not a number."""
+        return F.when(~cls.raw(field).rlike("[0-9.][dDfF]$"),
+                      F.try_variant_get(F.col(cls.RECORD), f"$.{field}", "double"))
+
+    @classmethod
+    def whole_number(cls, field: str) -> Column:
+        """Whole number, 0 when the value counts as empty, NULL when it is not a number."""
+        text = cls.text(field)
+        return F.when(text == "", F.lit(0).cast("bigint")).otherwise(
+            F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint")))

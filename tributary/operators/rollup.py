@@ -65,15 +65,16 @@ def load_summary(df: DataFrame, *, entity_id: str, region: str, event_date: str,
 def date_concentration(df: DataFrame, event_date: str, amount: str,
                        warn_share: float = 0.5) -> DataFrame:
     """Most frequent date with its count, share and amount; ties go to the newest date."""
-    per_date = df.groupBy(event_date).agg(
-        F.count("*").alias("peak_count"), F.sum(amount).alias("peak_amount")
-    )
-    everything = df.agg(F.count("*").alias("n")).scalar()
-    peak = per_date.orderBy(F.desc("peak_count"), F.col(event_date).desc()).limit(1)
-    share = F.col("peak_count") / everything
+    per_date = df.groupBy(event_date).agg(F.count("*").alias("n"), F.sum(amount).alias("amount"))
+    peak = per_date.agg(
+        F.max(F.struct("n", F.col(event_date).alias("date"), "amount")).alias("peak"),
+        F.sum("n").alias("everything"),
+    ).filter(F.col("everything") > 0)
+    share = F.col("peak.n") / F.col("everything")
     return peak.select(
-        F.col(event_date).alias("peak_date"), "peak_count",
-        share.alias("peak_share"), "peak_amount", (share >= warn_share).alias("is_concentrated"),
+        F.col("peak.date").alias("peak_date"), F.col("peak.n").alias("peak_count"),
+        share.alias("peak_share"), F.col("peak.amount").alias("peak_amount"),
+        (share >= warn_share).alias("is_concentrated"),
     )
 
 

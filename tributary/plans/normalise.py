@@ -8,8 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tributary.functions.cleaning import (EMPTY_TOKENS, iso_date, text_or_blank, variant_text,
-                                          variant_truth)
+from tributary.functions.cleaning import JsonRecord, iso_date, null_if_blank
 from tributary.schemas import RAW_COMMITTEES, RAW_FACTS
 
 MEMO_LENGTH = 1024
@@ -28,59 +27,42 @@ COMMITTEE_TEXTS = [
 SKIPPED = "missing required field"
 
 
-def _parse(lines: DataFrame, fields: dict[str, str]) -> DataFrame:
-    wire = ", ".join(f"{name} {kind}" for name, kind in fields.items()) + ", _bad string"
-    record = F.from_json("value", wire, {"columnNameOfCorruptRecord": "_bad"})
-    return lines.select("value", record.alias("r"))
-
-
-def _malformed() -> Column:
-    return F.col("r").isNull() | F.col("r._bad").isNotNull()
-
-
-def _blank(text: Column) -> Column:
-    return text.isNull() | (text == "")
+def _records(lines: DataFrame, columns: dict[str, Column], reason: Column) -> DataFrame:
+    """One row per line: the given columns, ``reject_reason`` and the line itself."""
+    parsed = JsonRecord.parse(lines, [c for c in columns if c != "_loaded_at"])
+    return parsed.select(*[c.alias(name) for name, c in columns.items()],
+                         reason.alias("reject_reason"), F.col("value").alias("line"))
 
 
 def classify_facts(lines: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     """Every line as a raw fact row plus ``reject_reason`` (NULL for rows to load)."""
-    fields = {"sub_id": "variant", "is_individual": "variant",
-              "contribution_receipt_amount": "string", "contribution_receipt_date": "string",
-              "two_year_transaction_period": "string", **{c: "string" for c in FACT_TEXTS}}
-    amount_text = F.col("r.contribution_receipt_amount")
-    # A trailing d or f would pass as a number suffix.
-    amount = F.when(~amount_text.rlike("[dDfF]$"), amount_text.try_cast("double"))
-    date_text = F.col("r.contribution_receipt_date")
+    of = JsonRecord
+    amount = of.number("contribution_receipt_amount")
+    date_text = of.text("contribution_receipt_date")
     date = iso_date(date_text, strict=False)
-    period_text = F.col("r.two_year_transaction_period")
-    period = F.when(_blank(period_text) | period_text.isin(*EMPTY_TOKENS), F.lit(0)).otherwise(
-        F.coalesce(period_text.try_cast("bigint"),
-                   period_text.try_cast("double").try_cast("bigint")))
-    missing = _blank(date_text) | amount_text.isNull() | ~variant_truth("r.sub_id")
+    period = of.whole_number("two_year_transaction_period")
+    missing = (
+        (date_text == "") | of.raw("contribution_receipt_amount").isNull() | ~of.truth("sub_id")
+    )
     reason = (
-        F.when(_malformed(), "malformed json")
+        F.when(of.unreadable(), "malformed json")
         .when(missing, SKIPPED)
         .when(amount.isNull(), "bad amount")
         .when(date.isNull(), "bad date")
         .when(period.isNull(), "bad period")
     )
-    texts = {c: text_or_blank("r", c, "value") for c in FACT_TEXTS}
-    texts["memo_text"] = F.substring(texts["memo_text"], 1, MEMO_LENGTH)
-    columns = {
-        **texts,
-        "sub_id": variant_text("r.sub_id"),
+    columns = {c: of.text(c) for c in FACT_TEXTS}
+    columns |= {
+        "memo_text": F.substring(columns["memo_text"], 1, MEMO_LENGTH),
+        "sub_id": of.raw("sub_id"),
         "contribution_receipt_amount": amount,
         "contribution_receipt_date": date,
         # A record without the flag counts as an individual; a null flag does not.
-        "is_individual": F.col("r.is_individual").isNull() | variant_truth("r.is_individual"),
+        "is_individual": of.absent("is_individual") | of.truth("is_individual"),
         "two_year_transaction_period": period,
         "_loaded_at": F.current_timestamp() if loaded_at is None else loaded_at,
     }
-    return _parse(lines, fields).select(
-        *[columns[name].cast(kind).alias(name) if name != "_loaded_at"
-          else columns[name].alias(name) for name, kind in RAW_FACTS.items()],
-        reason.alias("reject_reason"), F.col("value").alias("line"),
-    )
+    return _records(lines, {c: columns[c] for c in RAW_FACTS}, reason)
 
 
 def normalise_facts(lines: DataFrame, loaded_at: Column | None = None) -> DataFrame:
@@ -89,27 +71,22 @@ def normalise_facts(lines: DataFrame, loaded_at: Column | None = None) -> DataFr
 
 def classify_committees(lines: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     """Every line as a raw dimension row plus ``reject_reason``."""
-    fields = {"committee_id": "string", "first_file_date": "string",
-              **{c: "string" for c in COMMITTEE_TEXTS}}
-    first_text = F.col("r.first_file_date")
-    first_given = ~_blank(first_text) & ~first_text.isin("0", "false")
-    first = F.when(first_given, iso_date(first_text, strict=False))
-    key = text_or_blank("r", "committee_id", "value")
+    of = JsonRecord
+    key = of.text("committee_id")
+    first_text = of.text("first_file_date")
+    first = iso_date(null_if_blank(first_text), strict=False)
     reason = (
-        F.when(_malformed(), "malformed json")
+        F.when(of.unreadable(), "malformed json")
         .when(key == "", SKIPPED)
-        .when(first_given & first.isNull(), "bad date")
+        .when((first_text != "") & first.isNull(), "bad date")
     )
-    columns = {
-        **{c: text_or_blank("r", c, "value") for c in COMMITTEE_TEXTS},
+    columns = {c: of.text(c) for c in COMMITTEE_TEXTS}
+    columns |= {
         "committee_id": key,
         "first_file_date": first,
         "_loaded_at": F.current_timestamp() if loaded_at is None else loaded_at,
     }
-    return _parse(lines, fields).select(
-        *[columns[name].alias(name) for name in RAW_COMMITTEES],
-        reason.alias("reject_reason"), F.col("value").alias("line"),
-    )
+    return _records(lines, {c: columns[c] for c in RAW_COMMITTEES}, reason)
 
 
 def normalise_committees(lines: DataFrame, loaded_at: Column | None = None) -> DataFrame:

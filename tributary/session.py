@@ -65,18 +65,22 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-@contextmanager
-def stored(df: DataFrame, label: str) -> Iterator[DataFrame]:
-    """``df`` as a parquet table in the shared folder while the block runs.
+def store(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written once as a parquet table, for results that several queries read.
 
-    For large intermediate results that several queries read: unlike a checkpoint, each reader
-    scans only the columns it needs. The table is dropped at the end.
+    Unlike a checkpoint, each reader scans only the columns it needs.
     """
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def stored(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``store`` in the shared folder for the length of a block; dropped at its end."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
     try:
-        yield spark.read.schema(df.schema).parquet(path)
+        yield store(df, path)
     finally:
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
