@@ -1,0 +1,167 @@
+import datetime as dt
+import json
+from pathlib import Path
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from helpers import DAY, T0, dicts, fact, facts, plan
+from tributary.options import Options
+from tributary.plans import run, staging
+from tributary.schemas import EXPORT_META, RAW_FACTS, ddl
+from tributary.session import scratch_path, settle, shared_dir, store, stored
+from tributary.sources import export, landing, layers as tables
+from tributary.sources.layers import Layers
+
+RUN = dt.datetime(2024, 3, 2, 10, 11, 12, tzinfo=dt.UTC)
+
+
+def test_ndjson_scan(spark, tmp_path):
+    path = tmp_path / "in.ndjson"
+    good = {"sub_id": 7, "committee_id": "C1", "contribution_receipt_amount": "12.5",
+            "contribution_receipt_date": "2024-03-01", "is_individual": False,
+            "two_year_transaction_period": 2024, "_loaded_at": "2024-03-02T01:02:03.000004+00:00"}
+    path.write_text(json.dumps(good) + "\n\n   \n" + json.dumps(good | {"sub_id": "8"}) + "\n")
+    rows = dicts(landing.scan_ndjson(spark, str(path), RAW_FACTS))
+    assert [r["sub_id"] for r in rows] == ["7", "8"]
+    assert rows[0]["contribution_receipt_amount"] == 12.5
+    assert rows[0]["contribution_receipt_date"] == DAY
+    assert rows[0]["_loaded_at"] == dt.datetime(2024, 3, 2, 1, 2, 3, 4)
+    assert rows[0]["is_individual"] is False and rows[0]["memo_text"] is None
+
+
+@pytest.mark.parametrize("text", ["{broken", '{"contribution_receipt_date": "2024-99-99"}',
+                                  '{"contribution_receipt_amount": "much"}'])
+def test_ndjson_scan_fails_on_bad_input(spark, tmp_path, text):
+    path = tmp_path / "in.ndjson"
+    path.write_text('{"sub_id": "1"}\n' + text + "\n")
+    with pytest.raises(Exception, match="(?i)malformed|cannot be cast|CAST_INVALID"):
+        landing.scan_ndjson(spark, str(path), RAW_FACTS).collect()
+
+
+def test_landing_round_trip_and_no_overwrite(spark, tmp_path):
+    rows = facts(spark, [fact("a"), fact("b", committee=None)])
+    path = landing.land(rows, str(tmp_path), RUN)
+    assert path.endswith("/20240302T101112")
+    assert sorted(landing.scan_ndjson(spark, path, RAW_FACTS).collect()) == sorted(rows.collect())
+    with pytest.raises(PySparkException):
+        landing.land(rows, str(tmp_path), RUN)
+    landing.write_sample(rows, str(tmp_path / "sample"))
+    landing.write_sample(rows, str(tmp_path / "sample"))
+    assert landing.read_lines(spark, str(tmp_path / "sample")).count() == 2
+
+
+def test_missing_table_is_not_an_error(spark, tmp_path):
+    at = Layers(str(tmp_path))
+    assert run.raw_facts(spark, at) is None and not tables.exists(spark, at.facts)
+    window = run.next_window(spark, at, Options(), cycle=2024, today=dt.date(2024, 6, 1))
+    assert window.mode == "bootstrap" and window.allow_empty
+    with pytest.raises(RuntimeError):
+        run.refresh_daily(spark, at)
+
+
+def test_date_filter_prunes_partitions(spark, root):
+    at = Layers(root)
+    days = [DAY + dt.timedelta(days=i) for i in range(5)]
+    tables.append_by_date(facts(spark, [fact(f"s{i}", day=d) for i, d in enumerate(days)]),
+                          at.facts, staging.DATE, cluster_by=["committee_id"])
+    assert sorted(p.name for p in Path(at.facts).iterdir() if p.is_dir()) == [
+        f"contribution_receipt_date={d}" for d in days]
+    part = run.raw_facts(spark, at).filter(F.col(staging.DATE).between(days[1], days[2]))
+    text = plan(part.agg(F.sum("contribution_receipt_amount")))
+    assert "PartitionFilters: [isnotnull(contribution_receipt_date" in text
+    assert "ReadSchema: struct<contribution_receipt_amount:double>" in text
+    assert len(part.inputFiles()) == 5 and part.count() == 2
+
+
+def test_hot_date_is_spread_over_files(spark, root):
+    """A third of all rows share a date; it is written by several tasks."""
+    rows = spark.range(300_000).select(
+        F.col("id").cast("string").alias("k"), F.expr("uuid()").alias("pad"),
+        F.when(F.col("id") % 3 == 0, F.lit(DAY))
+        .otherwise(F.date_add(F.lit(DAY), (F.col("id") % 20).cast("int") + 1)).alias("d"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        tables.append_by_date(rows, root, "d", cluster_by=["k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in Path(root).glob("d=*")}
+    assert files[f"d={DAY}"] > 1
+    assert spark.read.parquet(root).count() == 300_000
+
+
+def test_replace_partitions_leaves_the_others(spark, root):
+    one = facts(spark, [fact("a"), fact("b", day=DAY + dt.timedelta(days=1))])
+    tables.overwrite_by_date(one, root, staging.DATE)
+    table = tables.read_by_date(spark, root, RAW_FACTS, staging.DATE)
+    changed = table.filter(F.col("sub_id") == "a").withColumn("sub_id", F.lit("c"))
+    tables.replace_partitions(changed, root, staging.DATE)
+    table = tables.read_by_date(spark, root, RAW_FACTS, staging.DATE)
+    assert {r["sub_id"] for r in dicts(table)} == {"b", "c"}
+
+
+def test_month_grain(spark, root):
+    rows = [fact("a"), fact("b", day=DAY + dt.timedelta(days=40))]
+    tables.append_by_date(facts(spark, rows), root, staging.DATE, "month")
+    assert sorted(p.name for p in Path(root).iterdir() if p.is_dir()) == [
+        "contribution_receipt_date_month=2024-03-01", "contribution_receipt_date_month=2024-04-01"]
+    table = tables.read_by_date(spark, root, RAW_FACTS, staging.DATE, "month")
+    assert table.select("sub_id", staging.DATE).count() == 2
+
+
+def test_dimension_append_and_truncate(spark, root):
+    df = spark.range(2)
+    tables.write_dimension(df, root, append=True)
+    tables.write_dimension(df, root, append=True)
+    assert spark.read.parquet(root).count() == 4
+    tables.write_dimension(df, root, append=False)
+    assert spark.read.parquet(root).count() == 2
+    tables.publish_view(df, "two_rows")
+    assert spark.table("two_rows").count() == 2
+
+
+def test_publish_needs_every_snapshot(spark, root):
+    meta = spark.createDataFrame([("t", "p", "d", 1, 1, None, None, 2.5, 3)], ddl(EXPORT_META))
+    meta.write.json(f"{root}/meta")
+    with pytest.raises(FileNotFoundError, match="daily_contributions"):
+        export.publish(spark, root, f"{root}-out")
+    assert not Path(f"{root}-out").exists()
+
+
+def test_scratch_helpers(spark):
+    df = spark.range(10)
+    assert settle(df).count() == 10
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+    assert scratch_path(spark, "x").startswith(shared_dir(spark).rstrip("/"))
+    with stored(df, "numbers") as table:
+        folder = Path(table.inputFiles()[0].removeprefix("file://")).parent
+        assert table.count() == 10 and folder.exists()
+    assert not folder.exists()
+    assert store(df, scratch_path(spark, "kept")).count() == 10
+
+
+def test_export_rows(spark):
+    daily = spark.createDataFrame(
+        [(DAY, "C2", "old name", "X", "XX", 2, T0), (DAY, "C1", "n", None, None, 1, T0)],
+        "contribution_receipt_date date, committee_id string, committee_name string, "
+        "party string, party_full string, contribution_count bigint, last_loaded_at timestamp")
+    daily = daily.withColumn("total_amount", F.lit(3).cast("decimal(28,2)")) \
+        .withColumn("avg_amount", F.lit(1.5)).withColumn("unique_states", F.lit(1).cast("bigint"))
+    summary = spark.createDataFrame(
+        [("C2", "new name", "D", "DD", 2, 6.5)],
+        "committee_id string, committee_name string, party string, party_full string, "
+        "total_contributions bigint, total_raised double")
+    rows = dicts(export.export_daily(daily, summary))
+    assert [(r["committee_id"], r["committee_name"], r["party"]) for r in rows] == [
+        ("C1", "Unknown Committee", None), ("C2", "new name", "D")]
+    assert rows[0]["contribution_receipt_date"] == "2024-03-01" and rows[0]["total_amount"] == 3.0
+    meta = dicts(export.export_meta(daily, summary, project="p", dataset="d", exported_at=T0))[0]
+    assert meta == {"exported_at": "2024-03-02T00:00:00.000000+00:00", "project": "p",
+                    "dataset": "d", "daily_contributions_rows": 2, "committee_summary_rows": 1,
+                    "date_min": "2024-03-01", "date_max": "2024-03-01", "total_raised": 6.5,
+                    "total_contributions": 2}
+    empty = dicts(export.export_meta(daily.filter("false"), summary.filter("false"), project="p",
+                                     dataset="d", exported_at=T0))[0]
+    assert empty["date_min"] is None and empty["total_raised"] == 0.0
+    assert empty["total_contributions"] == 0 and empty["daily_contributions_rows"] == 0

@@ -38,7 +38,7 @@ def percent(share: Column) -> Column:
 def calendar_day(text: Column) -> Column:
     """``Mon D, YYYY``; a dash for missing text, the text itself when it is not a date."""
     day = F.when(F.length(text) == 10, F.try_to_date(text, "yyyy-MM-dd")) \
-        .otherwise(F.to_date(F.try_to_timestamp(text)))
+        .when(text.rlike("^[0-9]{4}-"), F.to_date(F.try_to_timestamp(text)))
     return (
         F.when(text.isNull() | (text == ""), DASH)
         .otherwise(F.coalesce(F.date_format(day, "MMM d, yyyy"), text))

@@ -36,8 +36,7 @@ SELECT CASE WHEN o_orderkey % 907 = 0 THEN NULL ELSE CAST(o_orderkey AS STRING)
        CASE WHEN o_orderkey % 911 = 0 THEN NULL
             WHEN o_orderkey % 41 = 0 THEN -o_totalprice
             ELSE o_totalprice END AS contribution_receipt_amount,
-       CASE WHEN o_orderkey % 919 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END
-         AS contribution_receipt_date,
+       CAST(o_orderdate AS DATE) AS contribution_receipt_date,
        '15' AS receipt_type,
        o_orderpriority AS memo_text,
        o_orderkey % 13 <> 0 AS is_individual,
@@ -55,7 +54,8 @@ SELECT CAST(o_orderkey AS STRING),
        o_orderstatus,
        concat('Clerk ', o_orderstatus),
        o_totalprice + 10,
-       CASE WHEN o_orderkey % 35 = 0 THEN CAST(o_orderdate + INTERVAL 1 DAY AS DATE)
+       CASE WHEN o_orderkey % 119 = 0 THEN NULL
+            WHEN o_orderkey % 35 = 0 THEN CAST(o_orderdate + INTERVAL 1 DAY AS DATE)
             ELSE CAST(o_orderdate AS DATE) END,
        '15',
        'amended',
