@@ -7,11 +7,13 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import DAY, committee, committees, dicts, fact, facts, lines
+from helpers import committee, committees, dicts, lines
 from tributary.operators.incremental import EmptyLoadError
 from tributary.operators.quality import QualityError
+from tributary import __main__ as cli
 from tributary.options import Options, Thresholds
-from tributary.plans import marts, run, staging
+from tributary.plans import ingest, marts, run, staging
+from tributary.plans.ingest import FactRequest
 from tributary.sources import layers as tables
 from tributary.sources.layers import Layers
 from tributary.streaming.landing_stream import start_refresh
@@ -31,10 +33,10 @@ CATALOGUE = [{"committee_id": f"C{i}", "name": f"Committee {i}", "party": "DFL"}
              for i in range(5)]
 
 
-def go(spark, at, records, run_at=RUN, **more):
-    return run.run_batch(spark, at, lines(spark, records), lines(spark, CATALOGUE), cycle=2024,
-                         run_at=run_at, options=OPTIONS, thresholds=more.pop("thresholds", SMALL),
-                         **more)
+def go(spark, at, records, run_at=RUN, thresholds=SMALL, **request):
+    wanted = FactRequest(cycle=2024, since_watermark=True, **request)
+    return run.run_batch(spark, at, lines(spark, records), lines(spark, CATALOGUE), wanted,
+                         run_at=run_at, options=OPTIONS, thresholds=thresholds)
 
 
 def read_json(path):
@@ -47,13 +49,13 @@ def test_two_runs(spark, root):
     first = go(spark, at, [record(1), record(2, "C2"), record(3, day=None), record(None),
                            record(4, is_individual=False),
                            record(5, two_year_transaction_period=2020)])
-    assert first.loaded and first.window.mode == "bootstrap"
+    assert first.facts.loaded and first.facts.window.mode == "bootstrap"
     assert first.dimension == "full: nothing loaded" and first.daily.mode == "full"
     assert run.raw_facts(spark, at).count() == 2
 
     second = go(spark, at, [record(2, "C2", amount=99), record(6, "C3", "2024-06-02"),
                             record(7, "C1", "2024-01-01")], RUN + dt.timedelta(hours=1))
-    assert second.window.min_date == dt.date(2024, 5, 25)
+    assert second.facts.window.min_date == dt.date(2024, 5, 25)
     assert second.dimension == "delta" and second.daily.mode == "incremental"
     assert second.daily.touched_keys == 2
     summary = {r["committee_id"]: r for r in dicts(run.summary_mart(spark, at, OPTIONS))}
@@ -72,7 +74,7 @@ def test_two_runs(spark, root):
     assert ordered[0]["committee_id"] == "C2" and set(ordered[0]) >= {"party", "donor_states"}
 
     third = go(spark, at, [record(9, day="2023-01-01")], RUN + dt.timedelta(hours=2))
-    assert not third.loaded and third.dimension == "up to date"
+    assert not third.facts.loaded and third.dimension == "up to date"
 
 
 def test_cap_takes_the_newest(spark, root):
@@ -81,15 +83,99 @@ def test_cap_takes_the_newest(spark, root):
     assert {r["sub_id"] for r in dicts(run.raw_facts(spark, at))} == {"7", "8", "9"}
 
 
-def test_validation_writes_nothing(spark, root):
-    report = go(spark, Layers(root), [record(1)], validate=True)
-    assert not report.loaded and not Path(root).exists()
-    seen = run.validate_only(facts(spark, [fact("a"), fact("b"), fact("c", committee="")]))
-    assert seen["totals"]["n_records"] == 3 and seen["totals"]["n_entities"] == 1
-    assert seen["peak_date"]["peak_date"] == DAY and seen["peak_date"]["is_concentrated"]
-    totals, parties = run.dimension_summary(committees(spark, [committee("C1", party="")]))
-    assert dicts(totals) == [{"committees": 1}]
-    assert dicts(parties) == [{"party": "Unknown", "n_rows": 1}]
+def ingest_lines(spark, at, records, request, **more):
+    return ingest.ingest_facts(spark, at, request, run_at=RUN, lines=lines(spark, records),
+                               options=OPTIONS, **more)
+
+
+def test_dry_run_writes_nothing(spark, root):
+    at = Layers(root)
+    load = ingest_lines(spark, at, [record(1), record(2, "")], FactRequest(2024), dry_run=True)
+    assert not load.loaded and not Path(root).exists()
+    assert load.summary["totals"]["n_records"] == 2 and load.summary["totals"]["n_entities"] == 1
+    assert load.summary["peak"]["is_concentrated"]
+
+
+def test_request_filters(spark, root, tmp_path):
+    at = Layers(root)
+    request = FactRequest(2024, min_date=dt.date(2024, 5, 1), max_date=dt.date(2024, 6, 1),
+                          state="OR", min_amount=5, max_records=2)
+    ingest_lines(spark, at, [
+        record(1), record(2, amount=4), record(3, contributor_state="WA"),
+        record(4, day="2024-04-30"), record(5, day="2024-06-02"), record(6, day="2024-05-02"),
+        record(7, day="2024-05-01")], request, sample_path=str(tmp_path / "sample"))
+    assert {r["sub_id"] for r in dicts(run.raw_facts(spark, at))} == {"1", "6"}
+    assert spark.read.json(str(tmp_path / "sample")).count() == 2
+
+
+def test_empty_window(spark, root):
+    at = Layers(root)
+    load = ingest_lines(spark, at, [], FactRequest(2024, since_watermark=True))
+    assert not load.loaded and load.summary is None
+    with pytest.raises(EmptyLoadError):
+        ingest_lines(spark, at, [], FactRequest(2024))
+    with pytest.raises(ValueError):
+        ingest_lines(spark, at, [record(1)],
+                     FactRequest(2024, since_watermark=True, min_date=dt.date(2024, 1, 1)))
+
+
+def test_input_file_is_loaded_as_it_is(spark, root, tmp_path):
+    at = Layers(root)
+    path = tmp_path / "cached.ndjson"
+    path.write_text(json.dumps(record(1, None, "1999-01-01", is_individual=False)) + "\n")
+    ingest.ingest_facts(spark, at, FactRequest(2024), run_at=RUN, input_file=str(path))
+    row = dicts(run.raw_facts(spark, at))[0]
+    assert row["committee_id"] is None and row["contributor_city"] is None
+
+
+def test_committees_of_a_cycle_replace_the_dimension(spark, root, tmp_path):
+    at = Layers(root)
+    records = [{"committee_id": f"C{i}", "cycles": [2022, 2024] if i % 2 else [2022],
+                "name": f"N{i}"} for i in range(6)] + [{"committee_id": "C9", "cycle": 2024}, {}]
+    for cap, want in ((500, {"C1", "C3", "C5", "C9"}), (2, {"C1", "C3"})):
+        ingest.ingest_committees_of_cycle(at, lines(spark, records), 2024, max_records=cap)
+        assert {r["committee_id"] for r in dicts(run.raw_committees(spark, at))} == want
+    path = tmp_path / "committees.ndjson"
+    path.write_text(json.dumps({"committee_id": "C7"}) + "\n")
+    ingest.ingest_committee_file(spark, at, str(path), dry_run=True)
+    assert run.raw_committees(spark, at).count() == 2
+    ingest.ingest_committee_file(spark, at, str(path))
+    assert [r["committee_id"] for r in dicts(run.raw_committees(spark, at))] == ["C7"]
+    with pytest.raises(EmptyLoadError):
+        ingest.ingest_committees_of_cycle(at, lines(spark, records), 1990)
+
+
+def test_dimension_summary(spark):
+    rows = committees(spark, [committee("C1", party=""), committee("C2"), committee("C3")])
+    assert ingest.dimension_summary(rows) == {"committees": 3,
+                                              "parties": {"DEM": 2, "Unknown": 1}}
+
+
+def test_command_line(spark, root, tmp_path, capsys):
+    facts_file, dims_file = tmp_path / "f.ndjson", tmp_path / "c.ndjson"
+    facts_file.write_text("\n".join(json.dumps(record(i)) for i in range(1, 6)) + "\n")
+    dims_file.write_text("\n".join(json.dumps(c) for c in CATALOGUE))
+    load_time = dt.datetime(2024, 6, 30, 8, tzinfo=dt.UTC)
+
+    def call(*words, now=load_time):
+        args = cli.arguments().parse_args(["--root", root, "--grain", "month", *words])
+        return cli.perform(spark, args, OPTIONS, SMALL, now)
+
+    assert call("freshness") == 1
+    assert call("contributions", "--records", str(facts_file), "--cycle", "2024",
+                "--min-date", "2024-01-01") == 0
+    assert call("committees", "--records", str(dims_file), "--from-contributions") == 0
+    assert call("marts") == 0 and call("marts", "--full-refresh") == 0
+    assert call("export", "--publish-to", str(tmp_path / "site")) == 0
+    assert read_json(tmp_path / "site" / "meta")[0]["total_contributions"] == 5
+    assert call("freshness", now=load_time + dt.timedelta(hours=24, minutes=59)) == 0
+    assert call("freshness", "--hours", "1", now=load_time + dt.timedelta(hours=2)) == 1
+    facts_file.write_text(json.dumps(record(9, day="2024-06-03")))
+    assert call("batch", "--records", str(facts_file), "--committee-records", str(dims_file),
+                "--cycle", "2024", "--since-watermark",
+                now=load_time + dt.timedelta(days=1)) == 0
+    assert "incremental" in capsys.readouterr().out
+    assert read_json(Path(root) / "export/published/meta")[0]["date_max"] == "2024-06-03"
 
 
 def test_failed_assertion_stops_the_run(spark, root):
@@ -105,9 +191,8 @@ def test_orphans_stop_the_run(spark, root):
 
 
 def test_dimension_needs_facts(spark, root):
-    with pytest.raises(RuntimeError):
-        run.refresh_committees(spark, Layers(root), committees(spark, []))
-    assert issubclass(EmptyLoadError, RuntimeError)
+    with pytest.raises(EmptyLoadError):
+        ingest.ingest_committees(spark, Layers(root), committees(spark, []))
 
 
 def test_stream_feeds_the_mart(spark, root, tmp_path):

@@ -7,8 +7,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from helpers import DAY, T0, dicts, fact, facts, plan
-from tributary.options import Options
 from tributary.plans import run, staging
+from tributary.plans.ingest import FactRequest, request_window
 from tributary.schemas import EXPORT_META, RAW_FACTS, ddl
 from tributary.session import scratch_path, settle, shared_dir, store, stored
 from tributary.sources import export, landing, layers as tables
@@ -55,7 +55,8 @@ def test_landing_round_trip_and_no_overwrite(spark, tmp_path):
 def test_missing_table_is_not_an_error(spark, tmp_path):
     at = Layers(str(tmp_path))
     assert run.raw_facts(spark, at) is None and not tables.exists(spark, at.facts)
-    window = run.next_window(spark, at, Options(), cycle=2024, today=dt.date(2024, 6, 1))
+    window = request_window(spark, at, FactRequest(2024, since_watermark=True),
+                            today=dt.date(2024, 6, 1))
     assert window.mode == "bootstrap" and window.allow_empty
     with pytest.raises(RuntimeError):
         run.refresh_daily(spark, at)

@@ -1,4 +1,4 @@
-"""The batch run: land facts, refresh the dimension, build marts, assert, export."""
+"""Marts over stored tables, and the whole batch run."""
 
 from __future__ import annotations
 
@@ -8,22 +8,19 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tributary.operators.incremental import (EPOCH, Window, affected_keys,
-                                             dimension_refresh_plan, high_water_mark,
-                                             resolve_window, should_load, upsert)
+from tributary.operators.incremental import EPOCH, affected_keys, upsert
 from tributary.operators.quality import require_clean
-from tributary.operators.rollup import category_counts, date_concentration, load_summary
-from tributary.operators.selection import distinct_nonempty, rows_for_keys, windowed_fetch
 from tributary.options import Options, Thresholds
-from tributary.plans import marts, normalise, staging
+from tributary.plans import marts, staging
 from tributary.plans.checks import dq_suite
-from tributary.schemas import RAW_COMMITTEES, RAW_FACTS, mart_daily, mart_summary
+from tributary.plans.ingest import FactLoad, FactRequest, ingest_committees, ingest_facts
+from tributary.plans.normalise import normalise_committees
+from tributary.plans.stored import DATE, daily_mart, raw_committees, raw_facts, summary_mart
+from tributary.schemas import RAW_COMMITTEES, ddl
 from tributary.session import settle, stored
-from tributary.sources import export, landing, layers as tables
+from tributary.sources import export, layers as tables
 from tributary.sources.layers import Layers
 
-DATE = "contribution_receipt_date"
-
 # Staged columns that the summary and the assertions read.
 STAGED_FOR_MARTS = ["sub_id", "committee_id", "contributor_name", "contributor_state", "amount",
                     DATE]
@@ -32,77 +29,6 @@ STAGED_FOR_MARTS = ["sub_id", "committee_id", "contributor_name", "contributor_s
 MAX_LISTED_DATES = 4000
 
 
-# ---- raw layer -------------------------------------------------------------------------------
-
-def raw_facts(spark: SparkSession, layers: Layers) -> DataFrame | None:
-    return tables.read_by_date(spark, layers.facts, RAW_FACTS, DATE, layers.grain)
-
-
-def raw_committees(spark: SparkSession, layers: Layers) -> DataFrame | None:
-    return tables.read_or_none(spark, layers.committees, RAW_COMMITTEES)
-
-
-def daily_mart(spark: SparkSession, layers: Layers, options: Options) -> DataFrame | None:
-    columns = mart_daily(options.amount_type, options.average_type, options.loaded_at_type)
-    return tables.read_by_date(spark, layers.daily, columns, DATE, layers.grain)
-
-
-def summary_mart(spark: SparkSession, layers: Layers, options: Options) -> DataFrame | None:
-    return tables.read_or_none(spark, layers.summary,
-                               mart_summary(options.amount_type, options.average_type))
-
-
-def next_window(spark: SparkSession, layers: Layers, options: Options, *, cycle: int,
-                lookback_days: int = 7, today: dt.date | None = None,
-                max_date: dt.date | None = None) -> Window:
-    """Fetch window of an incremental load, from the newest date already in the raw table."""
-    raw = raw_facts(spark, layers)
-    mark = None
-    if raw is not None:
-        mark = high_water_mark(raw, DATE, options.today()).first()["max_date"]
-    return resolve_window(since_watermark=True, mark=mark, lookback_days=lookback_days,
-                          cycle=cycle, today=today, max_date=max_date)
-
-
-def load_facts(spark: SparkSession, layers: Layers, rows: DataFrame, run_at: dt.datetime) -> str:
-    """Land one batch as NDJSON, then append the landed files to the raw table."""
-    path = landing.land(rows.select(*RAW_FACTS), layers.landed_facts, run_at)
-    append_landed(spark, layers, path)
-    return path
-
-
-def append_landed(spark: SparkSession, layers: Layers, path: str) -> None:
-    rows = landing.scan_ndjson(spark, path, RAW_FACTS)
-    tables.append_by_date(rows, layers.facts, DATE, layers.grain, ["committee_id"])
-
-
-# ---- dimension -------------------------------------------------------------------------------
-
-def refresh_committees(spark: SparkSession, layers: Layers, catalogue: DataFrame,
-                       now: dt.datetime | None = None, max_age_days: int = 7) -> str:
-    """Append the dimension rows the facts need; returns what was done.
-
-    ``catalogue`` holds normalised dimension rows of the source system.
-    """
-    facts = raw_facts(spark, layers)
-    if facts is None:
-        raise RuntimeError("load facts before the dimension")
-    existing = raw_committees(spark, layers)
-    if existing is None:
-        plan = distinct_nonempty(facts, "committee_id").withColumn(
-            "mode", F.lit("full: nothing loaded"))
-    else:
-        plan = dimension_refresh_plan(facts, existing, "committee_id", "_loaded_at", now,
-                                      max_age_days)
-    plan = settle(plan)
-    first = plan.first()
-    if first is None:
-        return "up to date"
-    found = settle(rows_for_keys(catalogue.select(*RAW_COMMITTEES), plan, "committee_id"))
-    tables.write_dimension(found, layers.committees, append=True)
-    return first["mode"]
-
-
 # ---- marts -----------------------------------------------------------------------------------
 
 @dataclass(frozen=True)
@@ -112,25 +38,25 @@ class MartRun:
     touched_dates: int | None = None
 
 
-def _scope(touched: DataFrame) -> tuple[Callable[[Column], Column], int]:
-    """Predicate on the date column that covers the touched dates, and their number.
+def _scope(touched: DataFrame) -> tuple[Callable[[Column], Column], int, int]:
+    """Predicate on the date column that covers the touched dates; numbers of dates and keys.
 
     The dates come to the driver as literals so that the scans below prune their partitions.
     The list is bounded by MAX_LISTED_DATES; beyond it the covering range is used.
     """
-    dates = touched.select(DATE).distinct().limit(MAX_LISTED_DATES + 1).collect()
-    days = sorted(r[0] for r in dates)
-    if len(days) <= MAX_LISTED_DATES:
-        return (lambda column: column.isin(days)), len(days)
-    ends = touched.agg(F.min(DATE).alias("first"), F.max(DATE).alias("last")).first()
-    return (lambda column: column.between(F.lit(ends["first"]), F.lit(ends["last"]))), len(days)
-
-
-def _grain_scope(df: DataFrame, scope: Callable[[Column], Column], touched: DataFrame,
-                 grain: str) -> Callable[[Column], Column] | None:
-    """The same scope on a derived partition column (months or years of the touched dates)."""
-    if grain == "day":
-        return None
+    per_date = touched.groupBy(DATE).agg(F.count("*").alias("n"))
+    rows = per_date.limit(MAX_LISTED_DATES + 1).collect()
+    if len(rows) <= MAX_LISTED_DATES:
+        days = sorted(r[DATE] for r in rows)
+        return (lambda column: column.isin(days)), len(days), sum(r["n"] for r in rows)
+    whole = touched.agg(F.min(DATE).alias("first"), F.max(DATE).alias("last"),
+                        F.count_distinct(DATE).alias("n_dates"), F.count("*").alias("n")).first()
+    first, last = F.lit(whole["first"]), F.lit(whole["last"])
+    return (lambda column: column.between(first, last)), whole["n_dates"], whole["n"]
+
+
+def _grain_scope(touched: DataFrame, grain: str) -> Callable[[Column], Column]:
+    """Predicate on a derived partition column: the months or years of the touched dates."""
     starts = [r[0] for r in touched.select(tables.grain_start(F.col(DATE), grain)).distinct()
               .collect()]
     return lambda column: column.isin(starts)
@@ -150,7 +76,7 @@ def refresh_daily(spark: SparkSession, layers: Layers, options: Options = Option
         raise RuntimeError("no raw facts to build from")
     dimension = raw_committees(spark, layers)
     if dimension is None:
-        dimension = spark.createDataFrame([], tables.ddl(RAW_COMMITTEES))
+        dimension = spark.createDataFrame([], ddl(RAW_COMMITTEES))
     committees = staging.stg_committees(dimension, options)
     mart = daily_mart(spark, layers, options)
 
@@ -170,12 +96,13 @@ def refresh_daily(spark: SparkSession, layers: Layers, options: Options = Option
     if repair_moved_keys:
         touched = touched.unionByName(_earlier_keys(raw, fresh, options)).distinct()
     touched = settle(touched)
-    n_keys = touched.count()
+    scope, n_dates, n_keys = _scope(touched)
     if n_keys == 0:
         return MartRun("incremental", 0, 0)
 
-    scope, n_dates = _scope(touched)
-    staged = staging.stg_contributions_within(raw, scope, options)
+    part = tables.grain_column(DATE, layers.grain)
+    in_parts = scope if part == DATE else _grain_scope(touched, layers.grain)
+    staged = staging.stg_contributions_within(raw, scope, options, in_parts(F.col(part)))
     stats = marts.daily_stats(staged, options).join(touched, marts.DAILY_KEYS, "left_semi")
     rows = marts.with_committee(stats, committees)
 
@@ -186,9 +113,7 @@ def refresh_daily(spark: SparkSession, layers: Layers, options: Options = Option
         tables.overwrite_by_date(merged, layers.daily, DATE, layers.grain, ["committee_id"])
         return MartRun("incremental", n_keys, n_dates)
 
-    part = tables.grain_column(DATE, layers.grain)
-    by_grain = _grain_scope(mart, scope, touched, layers.grain)
-    current = mart.filter(by_grain(F.col(part)) if by_grain else scope(F.col(DATE)))
+    current = mart.filter(in_parts(F.col(part)))
     merged = upsert(current.select(*rows.columns), rows, marts.DAILY_KEYS, replaced=touched)
     tables.replace_partitions(merged, layers.daily, DATE, layers.grain, ["committee_id"])
     return MartRun("incremental", n_keys, n_dates)
@@ -210,7 +135,7 @@ def refresh_summary(spark: SparkSession, layers: Layers, options: Options = Opti
     """Full rebuild of the committee mart, from staged rows that are stored already if given."""
     dimension = raw_committees(spark, layers)
     if dimension is None:
-        dimension = spark.createDataFrame([], tables.ddl(RAW_COMMITTEES))
+        dimension = spark.createDataFrame([], ddl(RAW_COMMITTEES))
     if staged is None:
         staged = staging.stg_contributions(raw_facts(spark, layers), options)
     rows = marts.committee_summary(staged, staging.stg_committees(dimension, options), options)
@@ -221,80 +146,67 @@ def refresh_summary(spark: SparkSession, layers: Layers, options: Options = Opti
 
 @dataclass
 class RunReport:
-    window: Window | None = None
-    loaded: bool = False
+    facts: FactLoad | None = None
     dimension: str = "skipped"
     daily: MartRun | None = None
     exported: list[str] = field(default_factory=list)
 
 
-def batch_summary(rows: DataFrame, thresholds: Thresholds = Thresholds()) -> tuple[DataFrame, DataFrame]:
-    """What a load is about to bring: totals, and how far one date dominates."""
-    amount = "contribution_receipt_amount"
-    return (
-        load_summary(rows, entity_id="committee_id", region="contributor_state", event_date=DATE,
-                     amount=amount),
-        date_concentration(rows, DATE, amount, thresholds.peak_date_share),
-    )
+def check_marts(spark: SparkSession, layers: Layers, staged: DataFrame,
+                options: Options = Options(), thresholds: Thresholds = Thresholds()) -> DataFrame:
+    """(assertion, failing_rows) over the stored tables."""
+    dimension = staging.stg_committees(raw_committees(spark, layers), options)
+    return dq_suite(staged, dimension, daily_mart(spark, layers, options),
+                    summary_mart(spark, layers, options), options, thresholds)
 
 
-def dimension_summary(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return rows.agg(F.count("*").alias("committees")), category_counts(rows, "party")
+def staged_for_marts(spark: SparkSession, layers: Layers,
+                     options: Options = Options()) -> DataFrame:
+    """The staged columns that the summary and the assertions read."""
+    return staging.stg_contributions(raw_facts(spark, layers), options).select(*STAGED_FOR_MARTS)
 
 
-def validate_only(rows: DataFrame, thresholds: Thresholds = Thresholds()) -> dict:
-    """Summaries of a batch without any write (two one-row results are collected)."""
-    totals, peak = batch_summary(rows, thresholds)
-    first_peak = peak.first()
-    return {"totals": totals.first().asDict(),
-            "peak_date": first_peak.asDict() if first_peak else None}
+def build_and_check(spark: SparkSession, layers: Layers, options: Options = Options(),
+                    thresholds: Thresholds = Thresholds(), full_refresh: bool = False) -> MartRun:
+    """Both marts, then every assertion; fails on the first set of failing rows."""
+    daily = refresh_daily(spark, layers, options, full_refresh=full_refresh)
+    # The summary and four assertions read the staged rows: deduplicate once and store them.
+    with stored(staged_for_marts(spark, layers, options), "staged") as staged:
+        refresh_summary(spark, layers, options, staged)
+        require_clean(check_marts(spark, layers, staged, options, thresholds))
+    return daily
+
+
+def export_marts(spark: SparkSession, layers: Layers, options: Options = Options(), *,
+                 project: str = "", exported_at: dt.datetime | None = None,
+                 publish_to: str | None = None) -> list[str]:
+    """Write the three snapshots; optionally copy them to a serving location."""
+    daily = daily_mart(spark, layers, options)
+    summary = summary_mart(spark, layers, options)
+    root = layers.export_path("current")
+    export.write_snapshots(root, export.export_daily(daily, summary),
+                           export.export_summary(summary),
+                           export.export_meta(daily, summary, project=project,
+                                              dataset=layers.mart, exported_at=exported_at))
+    return export.publish(spark, root, publish_to) if publish_to else []
 
 
 def run_batch(spark: SparkSession, layers: Layers, fact_lines: DataFrame,
-              committee_lines: DataFrame, *, cycle: int, run_at: dt.datetime,
+              committee_lines: DataFrame, request: FactRequest, *, run_at: dt.datetime,
               options: Options = Options(), thresholds: Thresholds = Thresholds(),
-              max_records: int = 10_000, full_refresh: bool = False,
-              project: str = "", validate: bool = False) -> RunReport:
-    """One run, stopping at the first failure.
+              full_refresh: bool = False, project: str = "") -> RunReport:
+    """One run, stopping at the first failure: load, dimension, marts, assertions, export.
 
     ``fact_lines`` and ``committee_lines`` are the source system's records, one JSON text per
-    row. The facts loaded are the newest valid ones inside the window, up to ``max_records``.
+    row.
     """
     report = RunReport()
-    today = options.as_of or run_at.date()
-    report.window = next_window(spark, layers, options, cycle=cycle, today=today,
-                                lookback_days=thresholds.lookback_days)
-    stamp = F.lit(run_at)
-    normal = normalise.normalise_facts(fact_lines, stamp)
-    batch = settle(windowed_fetch(
-        normal, record_id="sub_id", event_date=DATE, amount="contribution_receipt_amount",
-        individuals_only="is_individual", period=("two_year_transaction_period", cycle),
-        min_date=report.window.min_date, max_date=report.window.max_date,
-        max_records=max_records))
-    if validate:
-        validate_only(batch, thresholds)
-        return report
-    report.loaded = should_load(batch, report.window)
-    if report.loaded:
-        load_facts(spark, layers, batch, run_at)
-    report.dimension = refresh_committees(
-        spark, layers, normalise.normalise_committees(committee_lines, stamp), run_at,
-        thresholds.dimension_max_age_days)
-    report.daily = refresh_daily(spark, layers, options, full_refresh=full_refresh)
-
-    # The summary and four assertions read the staged rows: deduplicate once, store what they use.
-    staged = staging.stg_contributions(raw_facts(spark, layers), options)
-    with stored(staged.select(*STAGED_FOR_MARTS), "staged") as rows:
-        refresh_summary(spark, layers, options, rows)
-        dimension = staging.stg_committees(raw_committees(spark, layers), options)
-        daily = daily_mart(spark, layers, options)
-        summary = summary_mart(spark, layers, options)
-        require_clean(dq_suite(rows, dimension, daily, summary, options, thresholds))
-
-    root = layers.export_path("current")
-    export.write_snapshots(root, export.export_daily(daily, summary),
-                           export.export_summary(summary),
-                           export.export_meta(daily, summary, project=project,
-                                              dataset=layers.mart, exported_at=run_at))
-    report.exported = export.publish(spark, root, layers.export_path("published"))
+    report.facts = ingest_facts(spark, layers, request, lines=fact_lines, run_at=run_at,
+                                options=options, thresholds=thresholds)
+    report.dimension = ingest_committees(
+        spark, layers, normalise_committees(committee_lines, F.lit(run_at)), now=run_at,
+        max_age_days=thresholds.dimension_max_age_days)
+    report.daily = build_and_check(spark, layers, options, thresholds, full_refresh)
+    report.exported = export_marts(spark, layers, options, project=project, exported_at=run_at,
+                                   publish_to=layers.export_path("published"))
     return report

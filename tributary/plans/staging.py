@@ -40,16 +40,19 @@ def stg_contributions(raw: DataFrame, options: Options = Options()) -> DataFrame
 
 
 def stg_contributions_within(raw: DataFrame, scope: Callable[[Column], Column],
-                             options: Options = Options()) -> DataFrame:
+                             options: Options = Options(),
+                             partitions: Column | None = None) -> DataFrame:
     """The staged rows whose date is in scope, without reading whole rows elsewhere.
 
     A version outside the scope can only push an older version inside it aside, and for that its
     identifier, load time and date are enough: those partitions are read for these columns only.
     Equal load times are decided by the date, which differs between the two sides.
+    ``partitions`` is the scope on a derived partition column, implied by the dates.
     """
-    typed = _typed_facts(raw, options)
-    inside = typed.filter(scope(F.col(DATE))).withColumn("_inside", F.lit(True))
-    outside = typed.filter(~scope(F.col(DATE))).select(
+    covered = raw if partitions is None else raw.filter(partitions)
+    inside = _typed_facts(covered, options).filter(scope(F.col(DATE))) \
+        .withColumn("_inside", F.lit(True))
+    outside = _typed_facts(raw, options).filter(~scope(F.col(DATE))).select(
         "sub_id", "loaded_at", DATE, F.lit(False).alias("_inside")
     )
     versions = inside.unionByName(outside, allowMissingColumns=True)
