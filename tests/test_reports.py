@@ -225,6 +225,19 @@ def test_windowed_fetch_skips_before_the_cap(spark):
     assert (row["n_valid"], row["n_skipped"]) == (10, 3)
 
 
+@pytest.mark.parametrize("cap", [1, 7, 333, 999, 1000, 5000])
+def test_large_caps_match_small_ones(spark, monkeypatch, cap):
+    """A third of the rows tie on the whole order."""
+    df = spark.range(1000).select(
+        F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") * 7919 % 1000).alias("k"))
+    order = [F.col("k").desc()]
+    want = sorted(r["k"] for r in selection.first_rows(df, order, cap).collect())
+    monkeypatch.setattr(selection, "MAX_TOP_ROWS", 0)
+    got = selection.first_rows(df, order, cap)
+    assert got.columns == ["k"] and sorted(r["k"] for r in got.collect()) == want
+    assert len(want) == min(cap, 1000)
+
+
 def test_cycle_fetch_on_numbers_and_arrays(spark):
     df = spark.createDataFrame([("a", 2024, [2022, 2024]), ("b", 2022, [2022])],
                                "k string, c int, cs array<int>")

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
+from tributary.session import scratch_path, store
+
 
 def is_valid_record(record_id: Column, event_date: Column, amount: Column) -> Column:
     """Identifier and date present, amount not null; never null itself.
@@ -26,6 +28,35 @@ def valid_and_skipped(df: DataFrame, record_id: str, event_date: str, amount: st
     return df.agg(F.count_if(ok).alias("n_valid"), F.count_if(~ok).alias("n_skipped"))
 
 
+# A larger cap than this is not gathered in one task.
+MAX_TOP_ROWS = 100_000
+
+
+def first_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
+    """The first ``n`` rows in an order.
+
+    Small caps plan as a per-partition top-n and one merge of those. For larger ones the rows
+    are range-partitioned and stored, whole ranges are kept, and only the range the cap falls
+    into is sorted; a random last key spreads rows that tie over several ranges.
+    """
+    if n <= MAX_TOP_ROWS:
+        return df.orderBy(*order).limit(n)
+    spread = df.withColumn("_spread", F.rand(0))
+    ranged = spread.repartitionByRange(*order, "_spread") \
+        .withColumn("_range", F.spark_partition_id())
+    ranges = store(ranged, scratch_path(df.sparkSession, "ranges"))
+    sizes = ranges.groupBy("_range").agg(F.count("*").alias("n")).orderBy("_range").collect()
+    seen = 0
+    for size in sizes:
+        if seen + size["n"] > n:
+            edge = ranges.filter(F.col("_range") == size["_range"])
+            cut = edge.orderBy(*order, "_spread").limit(n - seen)
+            whole = ranges.filter(F.col("_range") < size["_range"])
+            return whole.unionByName(cut).drop("_spread", "_range")
+        seen += size["n"]
+    return ranges.drop("_spread", "_range")
+
+
 def windowed_fetch(df: DataFrame, *, record_id: str, event_date: str, amount: str,
                    max_records: int = 10_000, period: tuple[str, int] | None = None,
                    individuals_only: str | None = None, region: tuple[str, str] | None = None,
@@ -34,7 +65,7 @@ def windowed_fetch(df: DataFrame, *, record_id: str, event_date: str, amount: st
     """Newest valid records inside the window, at most ``max_records``.
 
     Records that fail the basic checks are dropped before the cap counts them. The cap is
-    part of the operator; it plans as a per-partition top-n and one merge of those.
+    part of the operator.
     """
     if period:
         df = df.filter(F.col(period[0]) == period[1])
@@ -50,7 +81,7 @@ def windowed_fetch(df: DataFrame, *, record_id: str, event_date: str, amount: st
         df = df.filter(F.col(event_date) <= F.lit(max_date))
     valid = df.filter(is_valid_record(F.col(record_id), F.col(event_date), F.col(amount)))
     newest = [F.col(event_date).desc(), F.col(record_id), F.col(amount)]
-    return valid.orderBy(*newest).limit(max_records)
+    return first_rows(valid, newest, max_records)
 
 
 def rows_for_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
@@ -65,7 +96,7 @@ def rows_for_cycle(df: DataFrame, cycles: str, cycle: int, order_by: Sequence[st
         match = F.array_contains(cycles, F.lit(cycle))
     else:
         match = F.col(cycles) == cycle
-    return df.filter(match).orderBy(*order_by).limit(max_records)
+    return first_rows(df.filter(match), [F.col(c) for c in order_by], max_records)
 
 
 def distinct_nonempty(df: DataFrame, key: str) -> DataFrame:

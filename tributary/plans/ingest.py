@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tributary.operators.incremental import (EmptyLoadError, Window, dimension_refresh_plan,
                                              high_water_mark, resolve_window, should_load)
 from tributary.operators.rollup import category_counts, date_concentration, load_summary
-from tributary.operators.selection import distinct_nonempty, rows_for_keys, windowed_fetch
+from tributary.operators.selection import (distinct_nonempty, first_rows, rows_for_keys,
+                                           windowed_fetch)
 from tributary.options import Options, Thresholds
 from tributary.plans.normalise import classify_committees, normalise_facts
 from tributary.plans.stored import DATE, raw_committees, raw_facts
@@ -162,7 +163,7 @@ def ingest_committees_of_cycle(layers: Layers, lines: DataFrame, cycle: int, *,
     single = F.try_variant_get(record, "$.cycle", "int") == cycle
     rows = classify_committees(lines, loaded_at).filter(F.col("reject_reason").isNull())
     in_cycle = rows.filter(F.coalesce(listed, single, F.lit(False)))
-    wanted = in_cycle.select(*RAW_COMMITTEES).orderBy("committee_id").limit(max_records)
+    wanted = first_rows(in_cycle.select(*RAW_COMMITTEES), [F.col("committee_id")], max_records)
     _load_committees(wanted, layers, append=False, dry_run=dry_run)
 
 
