@@ -90,7 +90,9 @@ def ingest_lines(spark, at, records, request, **more):
 
 def test_dry_run_writes_nothing(spark, root):
     at = Layers(root)
-    load = ingest_lines(spark, at, [record(1), record(2, "")], FactRequest(2024), dry_run=True)
+    load = ingest_lines(spark, at, [record(1), record(2, ""), record(None), "{bad"],
+                        FactRequest(2024), dry_run=True)
+    assert load.records == {"n_records": 4, "n_skipped": 1, "n_unreadable": 1}
     assert not load.loaded and not Path(root).exists()
     assert load.summary["totals"]["n_records"] == 2 and load.summary["totals"]["n_entities"] == 1
     assert load.summary["peak"]["is_concentrated"]
@@ -103,7 +105,10 @@ def test_request_filters(spark, root, tmp_path):
     ingest_lines(spark, at, [
         record(1), record(2, amount=4), record(3, contributor_state="WA"),
         record(4, day="2024-04-30"), record(5, day="2024-06-02"), record(6, day="2024-05-02"),
-        record(7, day="2024-05-01")], request, sample_path=str(tmp_path / "sample"))
+        record(7, day="2024-05-01"), record(8, amount="much")], request,
+        sample_path=str(tmp_path / "sample"), quarantine_path=str(tmp_path / "bad"))
+    assert [r["reject_reason"] for r in dicts(spark.read.json(str(tmp_path / "bad")))] == [
+        "bad amount"]
     assert {r["sub_id"] for r in dicts(run.raw_facts(spark, at))} == {"1", "6"}
     assert spark.read.json(str(tmp_path / "sample")).count() == 2
 

@@ -41,6 +41,7 @@ def arguments() -> argparse.ArgumentParser:
     source.add_argument("--records", help="source records, JSON lines")
     source.add_argument("--input-file", help="normalised records, loaded as they are")
     step.add_argument("--save-sample")
+    step.add_argument("--quarantine", help="folder for records that cannot be read")
     step.add_argument("--dry-run", action="store_true")
 
     step = steps.add_parser("committees", help="load the dimension")
@@ -84,7 +85,7 @@ def perform(spark: SparkSession, args: argparse.Namespace, options: Options = Op
         load = ingest.ingest_facts(
             spark, layers, request_of(args), run_at=now, lines=lines, input_file=args.input_file,
             options=options, thresholds=thresholds, sample_path=args.save_sample,
-            dry_run=args.dry_run)
+            quarantine_path=args.quarantine, dry_run=args.dry_run)
         print(load)
     elif args.step == "committees":
         if args.input_file:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import chain
+from operator import or_
 
 from pyspark.sql import Column, functions as F
 
@@ -20,6 +22,15 @@ PARTY_NAMES = {
     "WOR": "Working Families",
 }
 NO_PARTY = "Unknown / other"
+
+# Words that put a label into a class, in order of precedence (fixed values).
+CLASS_WORDS = {
+    "d": ["democrat"],
+    "r": ["republican"],
+    "i": ["independent", "green", "libertarian"],
+}
+OTHER_CLASS = "o"
+
 NO_NAME = "Unknown Committee"
 
 # White space removed around labels (fixed values).
@@ -40,16 +51,13 @@ def party_label(full: Column, code: Column) -> Column:
 
 
 def party_class(label: Column) -> Column:
-    """One letter: d, r, i (independent, green, libertarian) or o (all others)."""
+    """One letter, by the first class that has a word in the label."""
     low = F.lower(label)
-    third = F.contains(low, F.lit("independent")) | F.contains(low, F.lit("green")) \
-        | F.contains(low, F.lit("libertarian"))
-    return (
-        F.when(F.contains(low, F.lit("democrat")), "d")
-        .when(F.contains(low, F.lit("republican")), "r")
-        .when(third, "i")
-        .otherwise("o")
-    )
+    chosen = None
+    for letter, words in CLASS_WORDS.items():
+        found = reduce(or_, [F.contains(low, F.lit(word)) for word in words])
+        chosen = F.when(found, letter) if chosen is None else chosen.when(found, letter)
+    return chosen.otherwise(OTHER_CLASS)
 
 
 def name_or_id(name: Column, entity_id: Column) -> Column:

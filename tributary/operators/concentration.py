@@ -7,7 +7,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tributary.functions.cleaning import zero_if_null
 from tributary.functions.labels import name_or_id
 
+# Sizes of the leading groups, and the texts of the report (fixed values).
 STEPS = (1, 5, 12)
+BAND_TOP1 = ("top1", "#1")
+BAND_TOP5 = ("top5", "#2–5", "Next four by raised")
+BAND_TOP12 = ("top12", "#6–12", "Rest of top 12")
+BAND_REST = ("rest", "Rest (%d)", "All other committees")
+NO_LEADER = "Largest committee"
+LADDER = ("#1 committee", "Top 5", "Top 12", "All %d")
 
 
 def _overview(df: DataFrame, amount: str, entity_id: str, name: str) -> DataFrame:
@@ -56,21 +63,22 @@ def concentration_bands(df: DataFrame, amount: str, entity_id: str, name: str,
     one = _overview(df, amount, entity_id, name)
     kind = one.schema["total"].dataType
 
-    def band(position: int, key: str, label: Column, detail: Column, value: Column) -> Column:
+    def band(position: int, key: str, label, detail, value: Column) -> Column:
         return F.struct(
-            F.lit(position).alias("position"), F.lit(key).alias("band"), label.alias("label"),
-            detail.alias("detail"), value.cast(kind).alias("amount"),
-            _share(value).alias("share"),
+            F.lit(position).alias("position"), F.lit(key).alias("band"),
+            F.lit(label).alias("label"), F.lit(detail).alias("detail"),
+            value.cast(kind).alias("amount"), _share(value).alias("share"),
         )
 
+    leader = F.coalesce("leader", F.lit(NO_LEADER))
     others = F.greatest(F.lit(0).cast("bigint"), F.col("n") - STEPS[-1])
+    rest_key, rest_label, rest_detail = BAND_REST
     bands = F.array(
-        band(1, "top1", F.lit("#1"), F.coalesce("leader", F.lit("Largest committee")),
-             F.col("top1")),
-        band(2, "top5", F.lit("#2–5"), F.lit("Next four by raised"), F.col("top5") - F.col("top1")),
-        band(3, "top12", F.lit("#6–12"), F.lit("Rest of top 12"), F.col("top12") - F.col("top5")),
-        band(4, "rest", F.concat(F.lit("Rest ("), others.cast("string"), F.lit(")")),
-             F.lit("All other committees"), F.col("total") - F.col("top12")),
+        band(1, *BAND_TOP1, leader, F.col("top1")),
+        band(2, *BAND_TOP5, F.col("top5") - F.col("top1")),
+        band(3, *BAND_TOP12, F.col("top12") - F.col("top5")),
+        band(4, rest_key, F.format_string(rest_label, others), rest_detail,
+             F.col("total") - F.col("top12")),
     )
     if hide_empty:
         one = one.filter("n > 0 AND total > 0")
@@ -83,15 +91,15 @@ def concentration_ladder(df: DataFrame, amount: str, entity_id: str, name: str,
     one = _overview(df, amount, entity_id, name)
     kind = one.schema["total"].dataType
 
-    def step(position: int, label: Column, value: Column, share: Column) -> Column:
-        return F.struct(F.lit(position).alias("position"), label.alias("label"),
+    def step(position: int, label, value: Column, share: Column) -> Column:
+        return F.struct(F.lit(position).alias("position"), F.lit(label).alias("label"),
                         value.cast(kind).alias("amount"), share.alias("share"))
 
+    everything = F.format_string(LADDER[-1], F.col("n"))
     steps = F.array(
-        step(1, F.lit("#1 committee"), F.col("top1"), _share(F.col("top1"))),
-        step(2, F.lit("Top 5"), F.col("top5"), _share(F.col("top5"))),
-        step(3, F.lit("Top 12"), F.col("top12"), _share(F.col("top12"))),
-        step(4, F.concat(F.lit("All "), F.col("n").cast("string")), F.col("total"), F.lit(1.0)),
+        *[step(i + 1, LADDER[i], F.col(f"top{k}"), _share(F.col(f"top{k}")))
+          for i, k in enumerate(STEPS)],
+        step(4, everything, F.col("total"), F.lit(1.0)),
     )
     if hide_empty:
         one = one.filter("n > 0 AND total > 0")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tributary.operators.incremental import (EmptyLoadError, Window, dimension_refresh_plan,
                                              high_water_mark, resolve_window, should_load)
@@ -13,10 +13,11 @@ from tributary.operators.rollup import category_counts, date_concentration, load
 from tributary.operators.selection import (distinct_nonempty, first_rows, rows_for_keys,
                                            windowed_fetch)
 from tributary.options import Options, Thresholds
-from tributary.plans.normalise import classify_committees, normalise_facts
+from tributary.plans.normalise import (accepted, classify_committees, classify_facts, counted,
+                                       quarantined)
 from tributary.plans.stored import DATE, raw_committees, raw_facts
 from tributary.schemas import RAW_COMMITTEES, RAW_FACTS
-from tributary.session import settle
+from tributary.session import scratch_path, settle, store
 from tributary.sources import landing, layers as tables
 from tributary.sources.layers import Layers
 
@@ -44,6 +45,7 @@ class FactLoad:
     window: Window
     loaded: bool
     summary: dict | None = None
+    records: dict | None = None
 
 
 def request_window(spark: SparkSession, layers: Layers, request: FactRequest, *,
@@ -76,29 +78,37 @@ def ingest_facts(spark: SparkSession, layers: Layers, request: FactRequest, *,
                  run_at: dt.datetime, lines: DataFrame | None = None,
                  input_file: str | None = None, options: Options = Options(),
                  thresholds: Thresholds = Thresholds(), sample_path: str | None = None,
-                 dry_run: bool = False) -> FactLoad:
+                 quarantine_path: str | None = None, dry_run: bool = False) -> FactLoad:
     """Load one batch, from source records or from a file of already normalised records.
 
     A file is loaded as it is: no window, no filters, no cap, no normalising. A dry run stops
-    after the summary. An empty window is a success only for a watermark load.
+    after the summary. An empty window is a success only for a watermark load. The result
+    tells how many source records there were, and how many were skipped or unreadable; the
+    unreadable ones are written to ``quarantine_path`` if it is given.
     """
     window = request_window(spark, layers, request, options=options,
                             today=options.as_of or run_at.date(),
                             from_file=input_file is not None,
                             bootstrap_days=thresholds.bootstrap_days)
+    records = None
     if input_file is not None:
         batch = landing.scan_ndjson(spark, input_file, RAW_FACTS)
     else:
-        rows = normalise_facts(lines, F.lit(run_at))
-        batch = settle(requested_facts(rows, request, window))
+        seen = Observation("source records")
+        rows = classify_facts(lines, F.lit(run_at))
+        wanted = requested_facts(accepted(counted(rows, seen)), request, window)
+        batch = store(wanted, scratch_path(spark, "batch"))
+        records = seen.get
+        if quarantine_path and not dry_run:
+            quarantined(rows).write.mode("append").json(quarantine_path)
     if not should_load(batch, window):
-        return FactLoad(window, loaded=False)
+        return FactLoad(window, loaded=False, records=records)
     if sample_path:
         landing.write_sample(batch, sample_path)
     summary = batch_summary(batch, thresholds)
     if not dry_run:
         load_facts(spark, layers, batch, run_at)
-    return FactLoad(window, loaded=not dry_run, summary=summary)
+    return FactLoad(window, loaded=not dry_run, summary=summary, records=records)
 
 
 def load_facts(spark: SparkSession, layers: Layers, rows: DataFrame, run_at: dt.datetime) -> str:

@@ -6,7 +6,7 @@ cannot be read is rejected with a reason instead of failing the whole load.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tributary.functions.cleaning import JsonRecord, iso_date, null_if_blank
 from tributary.schemas import RAW_COMMITTEES, RAW_FACTS
@@ -66,7 +66,7 @@ def classify_facts(lines: DataFrame, loaded_at: Column | None = None) -> DataFra
 
 
 def normalise_facts(lines: DataFrame, loaded_at: Column | None = None) -> DataFrame:
-    return _accepted(classify_facts(lines, loaded_at))
+    return accepted(classify_facts(lines, loaded_at))
 
 
 def classify_committees(lines: DataFrame, loaded_at: Column | None = None) -> DataFrame:
@@ -90,17 +90,28 @@ def classify_committees(lines: DataFrame, loaded_at: Column | None = None) -> Da
 
 
 def normalise_committees(lines: DataFrame, loaded_at: Column | None = None) -> DataFrame:
-    return _accepted(classify_committees(lines, loaded_at))
+    return accepted(classify_committees(lines, loaded_at))
 
 
-def _accepted(rows: DataFrame) -> DataFrame:
+def accepted(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("reject_reason").isNull()).drop("reject_reason", "line")
 
 
+def _unreadable() -> Column:
+    return F.coalesce(F.col("reject_reason") != SKIPPED, F.lit(False))
+
+
 def quarantined(rows: DataFrame) -> DataFrame:
     """Lines that could not be read, with the reason; skipped records are not among them."""
-    return rows.filter(F.col("reject_reason").isNotNull() & (F.col("reject_reason") != SKIPPED)) \
-        .select("line", "reject_reason")
+    return rows.filter(_unreadable()).select("line", "reject_reason")
+
+
+def counted(rows: DataFrame, counts: Observation) -> DataFrame:
+    """The same rows; whatever action reads them also counts what becomes of the records."""
+    return rows.observe(
+        counts, F.count("*").alias("n_records"),
+        F.count_if(F.col("reject_reason") == SKIPPED).alias("n_skipped"),
+        F.count_if(_unreadable()).alias("n_unreadable"))
 
 
 def reject_counts(rows: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ OPTIONS = Options(amount_type="decimal(18,2)", average_type="double",
 AS_OF = dt.date(2001, 6, 30)
 NOW = dt.datetime(2001, 8, 5, 12, 45)
 
-# Raw facts from orders: every order, plus a later version of some orders.
+# Raw facts from orders: every order, plus a later version of the pending ones.
 CONTRIBUTIONS = """
 SELECT CASE WHEN o_orderkey % 907 = 0 THEN NULL ELSE CAST(o_orderkey AS STRING) END AS sub_id,
        CASE WHEN o_orderkey % 23 = 0 THEN concat('X', CAST(o_custkey AS STRING))
@@ -54,8 +54,8 @@ SELECT CAST(o_orderkey AS STRING),
        o_orderstatus,
        concat('Clerk ', o_orderstatus),
        o_totalprice + 10,
-       CASE WHEN o_orderkey % 119 = 0 THEN NULL
-            WHEN o_orderkey % 35 = 0 THEN CAST(o_orderdate + INTERVAL 1 DAY AS DATE)
+       CASE WHEN o_orderkey % 17 = 0 THEN NULL
+            WHEN o_orderkey % 5 = 0 THEN CAST(o_orderdate + INTERVAL 1 DAY AS DATE)
             ELSE CAST(o_orderdate AS DATE) END,
        '15',
        'amended',
@@ -63,10 +63,10 @@ SELECT CAST(o_orderkey AS STRING),
        CAST(year(o_orderdate) + year(o_orderdate) % 2 AS BIGINT),
        'IND',
        o_orderdate + INTERVAL 3 DAY
-FROM {orders} WHERE o_orderkey % 7 = 0
+FROM {orders} WHERE o_orderstatus = 'P'
 """
 
-# Raw dimension from customer and nation: every customer, plus later versions of some.
+# Raw dimension from customer and nation: every customer, plus a later version of those in debt.
 COMMITTEES = """
 SELECT CAST(c_custkey AS STRING) AS committee_id,
        c_name AS name,
@@ -93,18 +93,18 @@ SELECT CAST(c_custkey AS STRING) AS committee_id,
 FROM {customer} LEFT JOIN {nation} ON c_nationkey = n_nationkey
 UNION ALL
 SELECT CAST(c_custkey AS STRING),
-       CASE WHEN c_custkey % 18 = 0 THEN '' ELSE concat(c_name, ' amended') END,
+       CASE WHEN c_custkey % 2 = 0 THEN '' ELSE concat(c_name, ' amended') END,
        substring(c_mktsegment, 1, 3), c_mktsegment, n_name, 'U', 'Unauthorized', 'Q',
        'PAC - Qualified', NULL, DATE '1991-02-03',
        TIMESTAMP '2001-08-02 00:00:00' + INTERVAL 2 HOUR
 FROM {customer} LEFT JOIN {nation} ON c_nationkey = n_nationkey
-WHERE c_custkey % 9 = 0
+WHERE c_acctbal < 0
 """
 
 # Load time that separates the first load from the second in the event feed.
 FIRST_LOAD_END = dt.datetime(2024, 1, 20)
 
-# Raw facts from events: every event, plus late versions of early ones; some change their date.
+# Raw facts from events: every event, plus late versions of early errors; some change their date.
 FEED = """
 SELECT CAST(event_id AS STRING) AS sub_id,
        CAST(user_id AS STRING) AS committee_id,
@@ -116,10 +116,10 @@ SELECT CAST(event_id AS STRING) AS sub_id,
 FROM {events}
 UNION ALL
 SELECT CAST(event_id AS STRING), CAST(user_id AS STRING), props, event_type, value + 1,
-       CASE WHEN event_id % 55 = 0 THEN CAST(ts + INTERVAL 1 DAY AS DATE)
+       CASE WHEN event_id % 5 = 0 THEN CAST(ts + INTERVAL 1 DAY AS DATE)
             ELSE CAST(ts AS DATE) END,
        ts + INTERVAL 20 DAY
-FROM {events} WHERE event_id % 11 = 0 AND ts < TIMESTAMP '2024-01-20 00:00:00'
+FROM {events} WHERE event_type = 'error' AND ts < TIMESTAMP '2024-01-20 00:00:00'
 """
 
 # Shipped lines as facts of a supplier dimension.

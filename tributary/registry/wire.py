@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tributary.registry.adapters import table
 
 FACT_LINES = """
-SELECT CASE WHEN doc_id % 97 = 5 THEN substring(line, 1, length(line) - 1) ELSE line END AS value
+SELECT CASE WHEN doc_id % 97 = 5 THEN concat('{{', line) ELSE line END AS value
 FROM (
   SELECT doc_id, concat(
     '{{"sub_id":', CASE doc_id % 50 WHEN 10 THEN 'null' WHEN 11 THEN '0' WHEN 12 THEN '""'
