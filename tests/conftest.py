@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 @pytest.fixture(scope="session")
 def spark():
     from tributary.session import build_session
-    session = build_session("tests", "local[8]", shuffle_partitions=8,
+    session = build_session("tests", "local[8]", shuffle_partitions=4,
                             **{"spark.driver.memory": "8g"})
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -49,7 +49,7 @@ def batches(seed, n_batches=3, moves=False):
                 cid, day = made[sid]
             else:
                 cid = f"C{rng.randrange(5)}"
-                day = DAY + dt.timedelta(days=rng.randrange(40))
+                day = DAY + dt.timedelta(days=4 * rng.randrange(10))
             made[sid] = (cid, day)
             rows.append(fact(sid, committee=cid, day=day, amount=float(rng.randrange(1, 900)),
                              state=rng.choice(["OR", "WA", ""]),
