@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import queries
 from helpers import DAY, fact, facts, plan
 from tributary.operators.quality import coverage
+from tributary.operators.selection import windowed_fetch
 from tributary.plans import marts, run, staging
 from tributary.registry import adapters
 from tributary.sources import layers as tables
@@ -76,3 +77,17 @@ def test_new_rows_push_the_mark_to_the_scan(spark, root):
     fresh = run.raw_facts(spark, at).filter(F.col("_loaded_at") > F.lit("2024-03-01").cast(
         "timestamp"))
     assert "GreaterThan(_loaded_at," in plan(staging.stg_contributions(fresh))
+
+
+def test_date_first_fetch_prunes_partitions(spark, root):
+    days = [DAY.replace(day=d) for d in range(1, 7)]
+    at = Layers(root)
+    tables.append_by_date(facts(spark, [fact(f"s{d}", day=d) for d in days]), at.facts,
+                          staging.DATE)
+    rows = windowed_fetch(run.raw_facts(spark, at), record_id="sub_id", event_date=staging.DATE,
+                          amount="contribution_receipt_amount", max_records=2,
+                          by_date_first=True)
+    text = plan(rows)
+    assert "TakeOrderedAndProject" in text
+    assert re.search(r"PartitionFilters: \[.*>= Subquery", text)
+    assert {r["sub_id"] for r in rows.collect()} == {f"s{d}" for d in days[-2:]}

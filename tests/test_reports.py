@@ -217,14 +217,22 @@ def test_windowed_fetch_skips_before_the_cap(spark):
     rows += [("", day + dt.timedelta(days=99), 1.0), ("x", None, 1.0),
              ("y", day + dt.timedelta(days=98), None)]
     df = spark.createDataFrame(rows, "k string, d date, a double")
-    got = dicts(selection.windowed_fetch(df, record_id="k", event_date="d", amount="a",
-                                         max_records=3, min_amount=2,
-                                         max_date=dt.date(2024, 1, 9)))
-    assert [r["k"] for r in got] == ["s8", "s7", "s6"]
+    for by_date_first in (False, True):
+        got = dicts(selection.windowed_fetch(
+            df, record_id="k", event_date="d", amount="a", max_records=3, min_amount=2,
+            max_date=dt.date(2024, 1, 9), by_date_first=by_date_first))
+        assert [r["k"] for r in got] == ["s8", "s7", "s6"]
     row = dicts(selection.valid_and_skipped(df, "k", "d", "a"))[0]
     assert (row["n_valid"], row["n_skipped"]) == (10, 3)
 
 
+@pytest.mark.parametrize("cap, dates", [(1, 1), (10, 1), (11, 2), (20, 2), (25, 3), (99, 3)])
+def test_newest_dates_hold_the_cap(spark, cap, dates):
+    df = spark.range(30).select("id", F.date_add(F.lit(dt.date(2024, 1, 1)),
+                                                 (F.col("id") % 3).cast("int")).alias("d"))
+    assert selection.newest_dates(df, "d", cap).select("d").distinct().count() == dates
+
+
 @pytest.mark.parametrize("cap", [1, 7, 333, 999, 1000, 5000])
 def test_large_caps_match_small_ones(spark, monkeypatch, cap):
     """A third of the rows tie on the whole order."""

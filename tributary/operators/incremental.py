@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tributary.functions.calendar import bootstrap_date
+from tributary.functions.calendar import bootstrap_date, days_before
 from tributary.operators.selection import distinct_nonempty
 
 EPOCH = dt.datetime(1970, 1, 1)
@@ -25,7 +25,7 @@ def watermark_window(df: DataFrame, event_date: str, today: Column,
     mark = high_water_mark(df, event_date, today)
     return mark.select(
         "max_date",
-        F.date_sub("max_date", lookback_days).alias("min_date"),
+        days_before(F.col("max_date"), lookback_days).alias("min_date"),
         F.when(F.col("max_date").isNull(), "bootstrap").otherwise("watermark").alias("mode"),
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from tributary.session import scratch_path, store
@@ -30,17 +30,20 @@ def valid_and_skipped(df: DataFrame, record_id: str, event_date: str, amount: st
 
 # A larger cap than this is not gathered in one task.
 MAX_TOP_ROWS = 100_000
+# Rows that the input partitions together may offer to the task that merges a capped fetch.
+MERGED_ROWS = 50_000_000
 
 
 def first_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     """The first ``n`` rows in an order.
 
-    Small caps plan as a per-partition top-n and one merge of those. For larger ones the rows
+    Small caps plan as a per-partition top-n and one merge of those; each partition offers up to
+    ``n`` rows, so a larger cap is read in fewer partitions. For the largest ones the rows
     are range-partitioned and stored, whole ranges are kept, and only the range the cap falls
     into is sorted; a random last key spreads rows that tie over several ranges.
     """
     if n <= MAX_TOP_ROWS:
-        return df.orderBy(*order).limit(n)
+        return df.coalesce(MERGED_ROWS // max(n, 1)).orderBy(*order).limit(n)
     spread = df.withColumn("_spread", F.rand(0))
     ranged = spread.repartitionByRange(*order, "_spread") \
         .withColumn("_range", F.spark_partition_id())
@@ -57,15 +60,30 @@ def first_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return ranges.drop("_spread", "_range")
 
 
+def newest_dates(df: DataFrame, event_date: str, n: int) -> DataFrame:
+    """Rows of the newest dates that together hold at least ``n`` rows; all rows if none do.
+
+    Counting rows per date reads one column; the filter then prunes a table that is partitioned
+    by the date. The running total is over one row per date.
+    """
+    per_date = df.groupBy(event_date).agg(F.count("*").alias("n"))
+    seen = F.sum("n").over(Window.orderBy(F.col(event_date).desc()))
+    enough = per_date.withColumn("seen", seen).filter(F.col("seen") >= n)
+    first = enough.agg(F.coalesce(F.max(event_date), F.lit("0001-01-01").cast("date"))
+                       .alias("first"))
+    return df.filter(F.col(event_date) >= first.scalar())
+
+
 def windowed_fetch(df: DataFrame, *, record_id: str, event_date: str, amount: str,
                    max_records: int = 10_000, period: tuple[str, int] | None = None,
                    individuals_only: str | None = None, region: tuple[str, str] | None = None,
                    min_amount: float | None = None, min_date: dt.date | None = None,
-                   max_date: dt.date | None = None) -> DataFrame:
+                   max_date: dt.date | None = None, by_date_first: bool = False) -> DataFrame:
     """Newest valid records inside the window, at most ``max_records``.
 
     Records that fail the basic checks are dropped before the cap counts them. The cap is
-    part of the operator.
+    part of the operator. ``by_date_first`` finds the dates the cap reaches before it reads
+    whole records: worth a second pass over columnar tables, not over JSON text.
     """
     if period:
         df = df.filter(F.col(period[0]) == period[1])
@@ -80,6 +98,8 @@ def windowed_fetch(df: DataFrame, *, record_id: str, event_date: str, amount: st
     if max_date is not None:
         df = df.filter(F.col(event_date) <= F.lit(max_date))
     valid = df.filter(is_valid_record(F.col(record_id), F.col(event_date), F.col(amount)))
+    if by_date_first:
+        valid = newest_dates(valid, event_date, max_records)
     newest = [F.col(event_date).desc(), F.col(record_id), F.col(amount)]
     return first_rows(valid, newest, max_records)
 

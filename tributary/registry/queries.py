@@ -131,7 +131,7 @@ def q_windowed_fetch(spark: SparkSession, sf: str) -> DataFrame:
         record_id="sub_id", event_date=DATE, amount=AMOUNT, max_records=250,
         period=("two_year_transaction_period", 1998), individuals_only="is_individual",
         region=("contributor_state", "1-URGENT"), min_amount=1000,
-        min_date=dt.date(1997, 2, 1), max_date=dt.date(1998, 11, 30))
+        min_date=dt.date(1997, 2, 1), max_date=dt.date(1998, 11, 30), by_date_first=True)
     return rows.select("sub_id", "committee_id", AMOUNT, DATE)
 
 
