@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_dirs: dict[str, str] = {}
-
 
 def build_session(app: str = "tributary", master: str | None = None,
                   shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -30,6 +27,7 @@ def build_session(app: str = "tributary", master: str | None = None,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
     }
     if shuffle_partitions:
@@ -41,22 +39,31 @@ def build_session(app: str = "tributary", master: str | None = None,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the session names it in ``spark.checkpoint.dir``."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
+    """Folder every executor can reach, as the session names it in ``spark.checkpoint.dir``.
+
+    Only a local session may leave it unset; it then gets a folder beside the warehouse. Either
+    way the context's checkpoint folder is set.
+    """
     context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.applicationId not in _local_dirs:
-        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="tributary-")
-        context.setCheckpointDir(_local_dirs[context.applicationId])
-    return _local_dirs[context.applicationId]
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """Fresh, never reused path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/tributary/{uuid.uuid4().hex}/{label}"
+    """Fresh, never reused path under the shared folder; it goes when the application ends."""
+    top = f"{shared_dir(spark)}/tributary/{spark.sparkContext.applicationId}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(top)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+    return f"{top}/{uuid.uuid4().hex}/{label}"
 
 
 def settle(df: DataFrame) -> DataFrame:
