@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from .hash_tree import op10_hash_tree
+from .line_dedup import op2_line_dedup
 from .line_frequency import op6_line_frequency
 from .minmax_dedup import op8_minmax_dedup
 from .mixing import op4_mixing
 
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
     "op4_mixing": op4_mixing,
     "op6_line_frequency": op6_line_frequency,
     "op8_minmax_dedup": op8_minmax_dedup,
