@@ -7,8 +7,10 @@ from .line_dedup import op2_line_dedup
 from .line_frequency import op6_line_frequency
 from .minmax_dedup import op8_minmax_dedup
 from .mixing import op4_mixing
+from .token_blocks import op1_token_blocks
 
 QUERIES = {
+    "op1_token_blocks": op1_token_blocks,
     "op2_line_dedup": op2_line_dedup,
     "op4_mixing": op4_mixing,
     "op6_line_frequency": op6_line_frequency,
