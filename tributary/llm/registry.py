@@ -7,9 +7,11 @@ from .line_dedup import op2_line_dedup
 from .line_frequency import op6_line_frequency
 from .minmax_dedup import op8_minmax_dedup
 from .mixing import op4_mixing
+from .mtree import op7_mtree
 from .token_blocks import op1_token_blocks
 
 QUERIES = {
+    "op7_mtree": op7_mtree,
     "op1_token_blocks": op1_token_blocks,
     "op2_line_dedup": op2_line_dedup,
     "op4_mixing": op4_mixing,
