@@ -31,58 +31,19 @@ from pyspark.sql import functions as F
 
 from .common import stored
 from .components import components
+from .hashing import U64, mixed, word_hashes
 
 BANDS, ROWS = 48, 6
 PERMUTATIONS = BANDS * ROWS // 2
-_U64 = np.uint64
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """64-bit finaliser."""
-    x = (x ^ (x >> _U64(33))) * _U64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> _U64(33))) * _U64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> _U64(33))
-
-
-class _Powers:
-    """Powers of an odd multiplier and of its inverse modulo 2^64, as far as they were needed."""
-
-    def __init__(self, base: int) -> None:
-        self.base, self.inverse = base, pow(base, -1, 2 ** 64)
-        self.up, self.down = np.ones(1, _U64), np.ones(1, _U64)
-
-    def reach(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            n = 1 << max(16, n.bit_length())
-            for name, step in (("up", self.base), ("down", self.inverse)):
-                factors = np.full(n, step, _U64)
-                factors[0] = 1
-                setattr(self, name, np.multiply.accumulate(factors))
-        return self.up, self.down
-
-
-_POWERS = _Powers(0x9E3779B97F4A7C15)
-
-
 def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles; bytes are hashed by prefix sums."""
-    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
-    space = _SPACE[data]
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).astype(np.int8)))
-    starts, ends = edge[::2], edge[1::2]
-    if not len(starts):
-        return np.empty(0, _U64)
-    up, down = _POWERS.reach(len(data) + 1)
-    sums = np.concatenate((np.zeros(1, _U64), np.cumsum((_LOWER[data].astype(_U64) + _U64(1)) * up[:len(data)])))
-    words = _mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U64) * _U64(0xD6E8FEB86659FD93))
+    words = word_hashes(text)[2]
+    if not len(words):
+        return words
     n = min(shingle, len(words))
-    grams = np.full(len(words) - n + 1, n, _U64)
+    grams = np.full(len(words) - n + 1, n, U64)
     for k in range(n):
-        grams = _mixed(grams * _U64(0x9E3779B97F4A7C15) + words[k:len(words) - n + 1 + k])
+        grams = mixed(grams * U64(0x9E3779B97F4A7C15) + words[k:len(words) - n + 1 + k])
     return np.unique(grams)
 
 
@@ -95,7 +56,7 @@ def _multipliers() -> tuple[np.ndarray, np.ndarray]:
 def min_max_signature(hashes: np.ndarray) -> np.ndarray:
     """Minimum and maximum of the set under each permutation of 32-bit integers."""
     a, b = _multipliers()
-    short = (hashes >> _U64(32)).astype(np.uint32)
+    short = (hashes >> U64(32)).astype(np.uint32)
     low, high = np.full(PERMUTATIONS, 2 ** 32 - 1, np.uint32), np.zeros(PERMUTATIONS, np.uint32)
     for at in range(0, len(short), 1024):
         values = a[:, None] * short[None, at:at + 1024] + b[:, None]
@@ -105,9 +66,9 @@ def min_max_signature(hashes: np.ndarray) -> np.ndarray:
 
 
 def band_keys(signature: np.ndarray) -> np.ndarray:
-    keys = np.arange(1, BANDS + 1, dtype=_U64)
+    keys = np.arange(1, BANDS + 1, dtype=U64)
     for column in signature.reshape(BANDS, ROWS).T:
-        keys = _mixed(keys * _U64(0x9E3779B97F4A7C15) + column.astype(_U64))
+        keys = mixed(keys * U64(0x9E3779B97F4A7C15) + column.astype(U64))
     return keys.view(np.int64)
 
 

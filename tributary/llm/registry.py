@@ -8,14 +8,18 @@ from .line_frequency import op6_line_frequency
 from .minmax_dedup import op8_minmax_dedup
 from .mixing import op4_mixing
 from .mtree import op7_mtree
+from .passage_quality import op5_passage_quality
 from .token_blocks import op1_token_blocks
+from .toxicity import op3_toxicity
 
 QUERIES = {
-    "op7_mtree": op7_mtree,
     "op1_token_blocks": op1_token_blocks,
     "op2_line_dedup": op2_line_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
+    "op5_passage_quality": op5_passage_quality,
     "op6_line_frequency": op6_line_frequency,
+    "op7_mtree": op7_mtree,
     "op8_minmax_dedup": op8_minmax_dedup,
     "op10_hash_tree": op10_hash_tree,
 }
