@@ -9,6 +9,7 @@ from .minmax_dedup import op8_minmax_dedup
 from .mixing import op4_mixing
 from .mtree import op7_mtree
 from .passage_quality import op5_passage_quality
+from .sampled_pieces import op9_sampled_pieces
 from .token_blocks import op1_token_blocks
 from .toxicity import op3_toxicity
 
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_line_frequency": op6_line_frequency,
     "op7_mtree": op7_mtree,
     "op8_minmax_dedup": op8_minmax_dedup,
+    "op9_sampled_pieces": op9_sampled_pieces,
     "op10_hash_tree": op10_hash_tree,
 }
 
