@@ -128,6 +128,7 @@ def _plan(source_size: int, target: float, block_words: int) -> tuple[int, int,
 def dealt_slots(targets: DataFrame, *, block_words: int, slots_per_shard: int, seed: int = 0) -> DataFrame:
     """(__s, shard, epoch, block, words, draw): every slot; ``draw`` orders a shard's slots."""
     ranges = "__s int, shard int, source_size long, target double, first long, n long"
+    targets = targets.select("__s", "source_size", "target").distinct()
     total = targets.agg(F.sum(F.least(F.col("target"), F.lit(float(2 ** 62))))).first()[0] or 0.0
     shards = int(total // (block_words * slots_per_shard)) + 1
 
@@ -143,10 +144,11 @@ def dealt_slots(targets: DataFrame, *, block_words: int, slots_per_shard: int, s
 
     def fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for s, shard, size, target, first, n in frame.itertuples(index=False):
-                take, whole, blocks, slots, last = _plan(int(size), target, block_words)
-                for start in range(first, first + n, 1 << 16):
-                    t = np.arange(start, min(first + n, start + (1 << 16)))
+            for (s, size, target), own in frame.groupby(["__s", "source_size", "target"]):
+                _, whole, blocks, slots, last = _plan(int(size), target, block_words)
+                for part in (own.iloc[at:at + 16] for at in range(0, len(own), 16)):
+                    n = part["n"].to_numpy()
+                    t = np.repeat(part["first"].to_numpy() - (np.cumsum(n) - n), n) + np.arange(n.sum())
                     epoch, block = t // blocks, t % blocks
                     words = np.where(block < whole, block_words, size % block_words)
                     words[t == slots - 1] = last
@@ -154,11 +156,11 @@ def dealt_slots(targets: DataFrame, *, block_words: int, slots_per_shard: int, s
                         at = (epoch == e) & (block < whole)
                         key = (seed * 1_000_003 + int(s)) * 1_000_003 + int(e)
                         block[at] = permuted(block[at], whole, key)
-                    draw = _scramble(t, seed * 7 + int(s) * 1_000_003).astype(np.int64)
-                    yield pd.DataFrame({"__s": int(s), "shard": shard, "epoch": epoch, "block": block,
-                                        "words": words, "draw": draw})
+                    draw = _scramble(t, seed * 7 + int(s) * 1_000_003).view(np.int64)
+                    yield pd.DataFrame({"__s": int(s), "shard": np.repeat(part["shard"].to_numpy(), n), "epoch": epoch,
+                                        "block": block, "words": words, "draw": draw})
 
-    dealt = targets.select("__s", "source_size", "target").distinct().mapInPandas(deal, ranges)
+    dealt = targets.mapInPandas(deal, ranges)
     return dealt.repartition(F.col("__s"), F.col("shard")).mapInPandas(
         fill, "__s int, shard int, epoch long, block long, words long, draw long")
 
