@@ -12,7 +12,6 @@ from tributary.functions.calendar import current_cycle
 from tributary.operators.quality import QualityError, freshness
 from tributary.options import Options, Thresholds
 from tributary.plans import ingest, run
-from tributary.plans.normalise import normalise_committees
 from tributary.plans.stored import raw_facts
 from tributary.session import build_session
 from tributary.sources.landing import read_lines
@@ -26,7 +25,8 @@ def arguments() -> argparse.ArgumentParser:
     steps = parser.add_subparsers(dest="step", required=True)
 
     def facts_options(step: argparse.ArgumentParser) -> None:
-        step.add_argument("--max-records", type=int, default=10_000)
+        step.add_argument("--max-records", type=int, help="load only so many of the newest")
+        step.add_argument("--memo-length", type=int, help="keep only so much of memo texts")
         step.add_argument("--state")
         step.add_argument("--cycle", type=int)
         step.add_argument("--min-amount", type=float)
@@ -50,11 +50,14 @@ def arguments() -> argparse.ArgumentParser:
     source.add_argument("--input-file", help="normalised records, loaded as they are")
     step.add_argument("--from-contributions", action="store_true")
     step.add_argument("--cycle", type=int)
-    step.add_argument("--max-records", type=int, default=500)
+    step.add_argument("--max-records", type=int, help="with a cycle: only so many, by identifier")
+    step.add_argument("--save-sample")
+    step.add_argument("--quarantine", help="folder for records that cannot be read")
     step.add_argument("--dry-run", action="store_true")
 
     step = steps.add_parser("marts", help="build both marts and check them")
     step.add_argument("--full-refresh", action="store_true")
+    step.add_argument("--repair-moved-keys", action="store_true")
     step = steps.add_parser("export", help="write the dashboard snapshots")
     step.add_argument("--publish-to")
     step = steps.add_parser("freshness", help="fail when the raw facts are old")
@@ -73,7 +76,8 @@ def request_of(args: argparse.Namespace) -> ingest.FactRequest:
     return ingest.FactRequest(
         cycle=cycle, since_watermark=args.since_watermark, min_date=args.min_date,
         max_date=args.max_date, lookback_days=args.lookback_days, state=args.state,
-        min_amount=args.min_amount, max_records=args.max_records)
+        min_amount=args.min_amount, max_records=args.max_records,
+        memo_length=args.memo_length)
 
 
 def perform(spark: SparkSession, args: argparse.Namespace, options: Options = Options(),
@@ -89,19 +93,22 @@ def perform(spark: SparkSession, args: argparse.Namespace, options: Options = Op
         print(load)
     elif args.step == "committees":
         if args.input_file:
-            ingest.ingest_committee_file(spark, layers, args.input_file, args.dry_run)
+            print(ingest.ingest_committee_file(spark, layers, args.input_file, args.dry_run,
+                                               args.save_sample))
         elif args.from_contributions:
-            catalogue = normalise_committees(read_lines(spark, args.records), F.lit(now))
-            print(ingest.ingest_committees(spark, layers, catalogue, now=now,
-                                           max_age_days=thresholds.dimension_max_age_days,
-                                           dry_run=args.dry_run))
+            print(ingest.ingest_committees(
+                spark, layers, read_lines(spark, args.records), now=now,
+                max_age_days=thresholds.dimension_max_age_days, dry_run=args.dry_run,
+                sample_path=args.save_sample, quarantine_path=args.quarantine))
         else:
             cycle = args.cycle if args.cycle is not None else current_cycle()
-            ingest.ingest_committees_of_cycle(
+            print(ingest.ingest_committees_of_cycle(
                 layers, read_lines(spark, args.records), cycle, loaded_at=F.lit(now),
-                max_records=args.max_records, dry_run=args.dry_run)
+                max_records=args.max_records, dry_run=args.dry_run,
+                sample_path=args.save_sample, quarantine_path=args.quarantine))
     elif args.step == "marts":
-        print(run.build_and_check(spark, layers, options, thresholds, args.full_refresh))
+        print(run.build_and_check(spark, layers, options, thresholds, args.full_refresh,
+                                  args.repair_moved_keys))
     elif args.step == "export":
         print(run.export_marts(spark, layers, options, exported_at=now,
                                publish_to=args.publish_to))

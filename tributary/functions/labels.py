@@ -34,7 +34,8 @@ OTHER_CLASS = "o"
 NO_NAME = "Unknown Committee"
 
 # White space removed around labels (fixed values).
-WHITE_SPACE = " \t\n\r\f\v\u00a0\u2028\u2029\ufeff"
+WHITE_SPACE = (" \t\n\r\f\v\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+               "\u2028\u2029\u202f\u205f\u3000\ufeff")
 
 
 def trimmed(text: Column) -> Column:

@@ -38,16 +38,19 @@ def layer_counts(layers: Mapping[str, DataFrame]) -> DataFrame:
     return result
 
 
-def load_summary(df: DataFrame, *, entity_id: str, region: str, event_date: str,
-                 amount: str) -> DataFrame:
-    """One row about a batch; empty texts do not count as values.
+def summary_cells(df: DataFrame, entity_id: str, region: str, event_date: str,
+                  amount: str) -> DataFrame:
+    """Rows and amounts per (entity, region, date): what both summaries of a batch need.
 
-    Three distinct counts over raw rows would copy every row four times, so the batch is
-    first reduced to one row per combination of the three low-cardinality columns.
+    Three distinct counts over raw rows would copy every row four times; over these cells the
+    copies are few.
     """
-    cells = df.groupBy(entity_id, region, event_date).agg(
-        F.count("*").alias("_n"), F.sum(amount).alias("_total"), F.count(amount).alias("_n_amount")
-    )
+    return df.groupBy(entity_id, region, event_date).agg(
+        F.count("*").alias("_n"), F.sum(amount).alias("_total"), F.count(amount).alias("_n_amount"))
+
+
+def summary_of_cells(cells: DataFrame, entity_id: str, region: str, event_date: str) -> DataFrame:
+    """One row about a batch; empty texts do not count as values."""
     totals = cells.agg(
         zero_if_null(F.sum("_n")).alias("n_records"),
         F.count_distinct(null_if_blank(F.col(entity_id))).alias("n_entities"),
@@ -62,10 +65,9 @@ def load_summary(df: DataFrame, *, entity_id: str, region: str, event_date: str,
     return totals.withColumn("avg_amount", mean).drop("_n_amount")
 
 
-def date_concentration(df: DataFrame, event_date: str, amount: str,
-                       warn_share: float = 0.5) -> DataFrame:
+def peak_of_cells(cells: DataFrame, event_date: str, warn_share: float = 0.5) -> DataFrame:
     """Most frequent date with its count, share and amount; ties go to the newest date."""
-    per_date = df.groupBy(event_date).agg(F.count("*").alias("n"), F.sum(amount).alias("amount"))
+    per_date = cells.groupBy(event_date).agg(F.sum("_n").alias("n"), F.sum("_total").alias("amount"))
     peak = per_date.agg(
         F.max(F.struct("n", F.col(event_date).alias("date"), "amount")).alias("peak"),
         F.sum("n").alias("everything"),
@@ -78,6 +80,18 @@ def date_concentration(df: DataFrame, event_date: str, amount: str,
     )
 
 
+def load_summary(df: DataFrame, *, entity_id: str, region: str, event_date: str,
+                 amount: str) -> DataFrame:
+    return summary_of_cells(summary_cells(df, entity_id, region, event_date, amount), entity_id,
+                            region, event_date)
+
+
+def date_concentration(df: DataFrame, event_date: str, amount: str,
+                       warn_share: float = 0.5) -> DataFrame:
+    cells = df.groupBy(event_date).agg(F.count("*").alias("_n"), F.sum(amount).alias("_total"))
+    return peak_of_cells(cells, event_date, warn_share)
+
+
 def category_counts(df: DataFrame, category: str, n: int = 5, missing: str = "Unknown") -> DataFrame:
     """Most frequent categories; null and '' count under ``missing``."""
     label = F.coalesce(null_if_blank(F.col(category)), F.lit(missing))

@@ -8,8 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
-from tributary.session import scratch_path, store
-
 
 def is_valid_record(record_id: Column, event_date: Column, amount: Column) -> Column:
     """Identifier and date present, amount not null; never null itself.
@@ -28,62 +26,55 @@ def valid_and_skipped(df: DataFrame, record_id: str, event_date: str, amount: st
     return df.agg(F.count_if(ok).alias("n_valid"), F.count_if(~ok).alias("n_skipped"))
 
 
-# A larger cap than this is not gathered in one task.
-MAX_TOP_ROWS = 100_000
-# Rows that the input partitions together may offer to the task that merges a capped fetch.
-MERGED_ROWS = 50_000_000
 
 
-def first_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
-    """The first ``n`` rows in an order.
+def newest_rows(df: DataFrame, event_date: str, record_id: str, n: int | None,
+                ties: Sequence[str] = ()) -> DataFrame:
+    """The ``n`` newest rows by calendar day, or all rows for ``n`` None.
 
-    Small caps plan as a per-partition top-n and one merge of those; each partition offers up to
-    ``n`` rows, so a larger cap is read in fewer partitions. For the largest ones the rows
-    are range-partitioned and stored, whole ranges are kept, and only the range the cap falls
-    into is sorted; a random last key spreads rows that tie over several ranges.
-    """
-    if n <= MAX_TOP_ROWS:
-        return df.coalesce(MERGED_ROWS // max(n, 1)).orderBy(*order).limit(n)
-    spread = df.withColumn("_spread", F.rand(0))
-    ranged = spread.repartitionByRange(*order, "_spread") \
-        .withColumn("_range", F.spark_partition_id())
-    ranges = store(ranged, scratch_path(df.sparkSession, "ranges"))
-    sizes = ranges.groupBy("_range").agg(F.count("*").alias("n")).orderBy("_range").collect()
-    seen = 0
-    for size in sizes:
-        if seen + size["n"] > n:
-            edge = ranges.filter(F.col("_range") == size["_range"])
-            cut = edge.orderBy(*order, "_spread").limit(n - seen)
-            whole = ranges.filter(F.col("_range") < size["_range"])
-            return whole.unionByName(cut).drop("_spread", "_range")
-        seen += size["n"]
-    return ranges.drop("_spread", "_range")
-
-
-def newest_dates(df: DataFrame, event_date: str, n: int) -> DataFrame:
-    """Rows of the newest dates that together hold at least ``n`` rows; all rows if none do.
-
-    Counting rows per date reads one column; the filter then prunes a table that is partitioned
-    by the date. The running total is over one row per date.
+    Within the day that the cap falls into, rows go by the digest of their identifier, then by
+    the tie columns. Rows are counted per day, and that day's per digest range, which gives the
+    edge: newer days and smaller ranges go whole, only the rows of one range are ranked. The
+    counts are scalar subqueries over one column each, so the plan is the same for every cap
+    and no task ever gets more than one range.
     """
-    per_date = df.groupBy(event_date).agg(F.count("*").alias("n"))
-    seen = F.sum("n").over(Window.orderBy(F.col(event_date).desc()))
-    enough = per_date.withColumn("seen", seen).filter(F.col("seen") >= n)
-    first = enough.agg(F.coalesce(F.max(event_date), F.lit("0001-01-01").cast("date"))
-                       .alias("first"))
-    return df.filter(F.col(event_date) >= first.scalar())
+    if n is None:
+        return df
+    day, place = F.col(event_date).cast("date"), F.md5(F.col(record_id).cast("string"))
+    part = F.conv(F.substring(place, 1, 3), 16, 10).cast("int")
+    days = df.groupBy(day.alias("at")).agg(F.count("*").alias("n"))
+    edge = _edge(days, F.col("at").desc_nulls_last(), n).scalar()
+    edge_day, kept = edge.getField("at"), edge.getField("before")
+    ranges = df.filter(day == edge_day).groupBy(part.alias("at")).agg(F.count("*").alias("n"))
+    inner = _edge(ranges, F.col("at"), n - F.coalesce(kept, F.lit(0))).scalar()
+    edge_part, also_kept = inner.getField("at"), inner.getField("before")
+    whole = df.filter(edge_day.isNull() | (day > edge_day)
+                      | ((day == edge_day) & (part < edge_part)))
+    order = Window.partitionBy(day, part).orderBy(place, *ties)
+    ranked = df.filter((day == edge_day) & (part == edge_part)).withColumn(
+        "_place", F.row_number().over(order))
+    return whole.unionByName(
+        ranked.filter(F.col("_place") <= n - kept - also_kept).drop("_place"))
+
+
+def _edge(counts: DataFrame, order: Column, n: Column | int) -> DataFrame:
+    """(at, before) of the first group at which the running count reaches ``n``; else no row."""
+    running = counts.withColumn("upto", F.sum("n").over(
+        Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
+    reached = running.filter(F.col("upto") >= n)
+    return reached.agg(F.min_by(F.struct("at", (F.col("upto") - F.col("n")).alias("before")),
+                                F.col("upto")).alias("edge"))
 
 
 def windowed_fetch(df: DataFrame, *, record_id: str, event_date: str, amount: str,
-                   max_records: int = 10_000, period: tuple[str, int] | None = None,
+                   max_records: int | None = None, period: tuple[str, int] | None = None,
                    individuals_only: str | None = None, region: tuple[str, str] | None = None,
                    min_amount: float | None = None, min_date: dt.date | None = None,
-                   max_date: dt.date | None = None, by_date_first: bool = False) -> DataFrame:
-    """Newest valid records inside the window, at most ``max_records``.
+                   max_date: dt.date | None = None) -> DataFrame:
+    """Valid records inside the window; with ``max_records`` only that many of the newest.
 
-    Records that fail the basic checks are dropped before the cap counts them. The cap is
-    part of the operator. ``by_date_first`` finds the dates the cap reaches before it reads
-    whole records: worth a second pass over columnar tables, not over JSON text.
+    Records that fail the basic checks are dropped before a cap counts them. A capped fetch
+    counts before it reads whole records, so records should be stored in columns by then.
     """
     if period:
         df = df.filter(F.col(period[0]) == period[1])
@@ -98,10 +89,7 @@ def windowed_fetch(df: DataFrame, *, record_id: str, event_date: str, amount: st
     if max_date is not None:
         df = df.filter(F.col(event_date) <= F.lit(max_date))
     valid = df.filter(is_valid_record(F.col(record_id), F.col(event_date), F.col(amount)))
-    if by_date_first:
-        valid = newest_dates(valid, event_date, max_records)
-    newest = [F.col(event_date).desc(), F.col(record_id), F.col(amount)]
-    return first_rows(valid, newest, max_records)
+    return newest_rows(valid, event_date, record_id, max_records, [amount])
 
 
 def rows_for_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
@@ -109,14 +97,11 @@ def rows_for_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return df.join(keys.select(key), key, "left_semi")
 
 
-def rows_for_cycle(df: DataFrame, cycles: str, cycle: int, order_by: Sequence[str],
-                   max_records: int = 500) -> DataFrame:
-    """Rows of one cycle, capped; the cycle column may be a number or an array of numbers."""
+def rows_for_cycle(df: DataFrame, cycles: str, cycle: int) -> DataFrame:
+    """Rows of one cycle; the cycle column may be a number or an array of numbers."""
     if isinstance(df.schema[cycles].dataType, T.ArrayType):
-        match = F.array_contains(cycles, F.lit(cycle))
-    else:
-        match = F.col(cycles) == cycle
-    return first_rows(df.filter(match), [F.col(c) for c in order_by], max_records)
+        return df.filter(F.array_contains(cycles, F.lit(cycle)))
+    return df.filter(F.col(cycles) == cycle)
 
 
 def distinct_nonempty(df: DataFrame, key: str) -> DataFrame:

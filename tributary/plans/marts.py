@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import datetime as dt
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tributary.functions.labels import NO_NAME
-from tributary.operators.incremental import (affected_keys, recompute_affected, rows_after_mark,
-                                             upsert)
+from tributary.operators.incremental import EPOCH, affected_keys, upsert
 from tributary.operators.rollup import average, grouped_stats
 from tributary.options import Options
+from tributary.plans import staging
+from tributary.session import settle
 
 DAILY_KEYS = ["contribution_receipt_date", "committee_id"]
 
@@ -70,17 +74,62 @@ def daily_contributions(staged: DataFrame, committees: DataFrame,
     return with_committee(daily_stats(staged, options), committees)
 
 
-def daily_recomputed(staged: DataFrame, committees: DataFrame, mart: DataFrame,
+@dataclass(frozen=True)
+class Touched:
+    """Keys that got rows, and their dates, which are bounded by the calendar."""
+
+    keys: DataFrame
+    dates: list[dt.date]
+    n_keys: int
+
+    def covers(self, column: Column) -> Column:
+        """The dates as literals, so that scans prune their partitions."""
+        return column.isin(self.dates) if self.dates else F.lit(False)
+
+
+def touched_since(raw: DataFrame, mark: Column, options: Options = Options(),
+                  moved_from: bool = False) -> Touched:
+    """Keys of the rows loaded after a mark.
+
+    The latest version of a record is newer than the mark exactly when any version is, so the
+    rows behind the mark can be staged on their own. ``moved_from`` adds every key that an
+    earlier version of those records had.
+    """
+    kind = options.loaded_at_type
+    fresh = staging.stg_contributions(
+        raw.filter(F.col("_loaded_at").cast(kind) > mark.cast(kind)), options)
+    keys = affected_keys(fresh, DAILY_KEYS)
+    if moved_from:
+        history = raw.filter(F.col(DAILY_KEYS[0]) <= options.today())
+        earlier = history.select("sub_id", *DAILY_KEYS).join(
+            fresh.select("sub_id"), "sub_id", "left_semi")
+        keys = keys.unionByName(earlier.select(*DAILY_KEYS)).distinct()
+    keys = settle(keys)
+    per_date = keys.groupBy(DAILY_KEYS[0]).agg(F.count("*").alias("n")).collect()
+    return Touched(keys, sorted(r[0] for r in per_date), sum(r["n"] for r in per_date))
+
+
+def daily_of_touched(raw: DataFrame, committees: DataFrame, touched: Touched,
+                     options: Options = Options(), partitions: Column | None = None) -> DataFrame:
+    """Fresh mart rows of the touched keys.
+
+    Rows of the touched dates are aggregated before they are matched with the key set: the join
+    sees one row per key, so a key that holds a large part of the table never passes a row-level
+    shuffle. NULL keys never match, as in an inner join.
+    """
+    staged = staging.stg_contributions_within(raw, touched.covers, options, partitions)
+    stats = daily_stats(staged, options).join(touched.keys, DAILY_KEYS, "left_semi")
+    return with_committee(stats, committees)
+
+
+def daily_recomputed(raw: DataFrame, committees: DataFrame, mart: DataFrame,
                      options: Options = Options()) -> DataFrame:
-    """Fresh mart rows for the keys that got rows since the mart was last built."""
-    touched = affected_keys(rows_after_mark(staged, "loaded_at", mart, "last_loaded_at"),
-                            DAILY_KEYS)
-    fresh = recompute_affected(staged, touched, DAILY_KEYS, DAILY_KEYS[0],
-                               lambda rows: daily_stats(rows, options))
-    return with_committee(fresh, committees)
+    """Fresh mart rows for the keys that got raw rows since the mart was last built."""
+    newest = mart.agg(F.max("last_loaded_at")).first()[0] or EPOCH
+    return daily_of_touched(raw, committees, touched_since(raw, F.lit(newest), options), options)
 
 
-def daily_merged(staged: DataFrame, committees: DataFrame, mart: DataFrame,
+def daily_merged(raw: DataFrame, committees: DataFrame, mart: DataFrame,
                  options: Options = Options()) -> DataFrame:
     """The whole daily mart after an incremental run."""
-    return upsert(mart, daily_recomputed(staged, committees, mart, options), DAILY_KEYS)
+    return upsert(mart, daily_recomputed(raw, committees, mart, options), DAILY_KEYS)

@@ -6,13 +6,11 @@ cannot be read is rejected with a reason instead of failing the whole load.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tributary.functions.cleaning import JsonRecord, iso_date, null_if_blank
 from tributary.schemas import RAW_COMMITTEES, RAW_FACTS
 
-MEMO_LENGTH = 1024
-
 # Raw fields that are plain text and become '' when empty.
 FACT_TEXTS = [
     "committee_id", "contributor_name", "contributor_city", "contributor_state",
@@ -34,8 +32,12 @@ def _records(lines: DataFrame, columns: dict[str, Column], reason: Column) -> Da
                          reason.alias("reject_reason"), F.col("value").alias("line"))
 
 
-def classify_facts(lines: DataFrame, loaded_at: Column | None = None) -> DataFrame:
-    """Every line as a raw fact row plus ``reject_reason`` (NULL for rows to load)."""
+def classify_facts(lines: DataFrame, loaded_at: Column | None = None,
+                   memo_length: int | None = None) -> DataFrame:
+    """Every line as a raw fact row plus ``reject_reason`` (NULL for rows to load).
+
+    Memo texts are kept whole unless ``memo_length`` asks for their first characters only.
+    """
     of = JsonRecord
     amount = of.number("contribution_receipt_amount")
     date_text = of.text("contribution_receipt_date")
@@ -53,7 +55,6 @@ def classify_facts(lines: DataFrame, loaded_at: Column | None = None) -> DataFra
     )
     columns = {c: of.text(c) for c in FACT_TEXTS}
     columns |= {
-        "memo_text": F.substring(columns["memo_text"], 1, MEMO_LENGTH),
         "sub_id": of.raw("sub_id"),
         "contribution_receipt_amount": amount,
         "contribution_receipt_date": date,
@@ -62,6 +63,8 @@ def classify_facts(lines: DataFrame, loaded_at: Column | None = None) -> DataFra
         "two_year_transaction_period": period,
         "_loaded_at": F.current_timestamp() if loaded_at is None else loaded_at,
     }
+    if memo_length is not None:
+        columns["memo_text"] = F.substring(columns["memo_text"], 1, memo_length)
     return _records(lines, {c: columns[c] for c in RAW_FACTS}, reason)
 
 
@@ -106,12 +109,12 @@ def quarantined(rows: DataFrame) -> DataFrame:
     return rows.filter(_unreadable()).select("line", "reject_reason")
 
 
-def counted(rows: DataFrame, counts: Observation) -> DataFrame:
-    """The same rows; whatever action reads them also counts what becomes of the records."""
-    return rows.observe(
-        counts, F.count("*").alias("n_records"),
+def record_counts(rows: DataFrame) -> dict[str, int]:
+    """What became of the source records; meant for stored rows, one pass over one column."""
+    return rows.agg(
+        F.count("*").alias("n_records"),
         F.count_if(F.col("reject_reason") == SKIPPED).alias("n_skipped"),
-        F.count_if(_unreadable()).alias("n_unreadable"))
+        F.count_if(_unreadable()).alias("n_unreadable")).first().asDict()
 
 
 def reject_counts(rows: DataFrame) -> DataFrame:

@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tributary.operators.incremental import EPOCH, affected_keys, upsert
+from tributary.operators.incremental import upsert
 from tributary.operators.quality import require_clean
 from tributary.options import Options, Thresholds
 from tributary.plans import marts, staging
 from tributary.plans.checks import dq_suite
-from tributary.plans.ingest import FactLoad, FactRequest, ingest_committees, ingest_facts
-from tributary.plans.normalise import normalise_committees
-from tributary.plans.stored import DATE, daily_mart, raw_committees, raw_facts, summary_mart
+from tributary.plans.ingest import (DimensionLoad, FactLoad, FactRequest, ingest_committees,
+                                    ingest_facts)
+from tributary.plans.stored import (DATE, daily_mark, daily_mart, dates_loaded_after,
+                                    note_daily_mark, raw_committees, raw_facts, summary_mart)
 from tributary.schemas import RAW_COMMITTEES, ddl
 from tributary.session import settle, stored
 from tributary.sources import export, layers as tables
@@ -25,10 +25,6 @@ from tributary.sources.layers import Layers
 STAGED_FOR_MARTS = ["sub_id", "committee_id", "contributor_name", "contributor_state", "amount",
                     DATE]
 
-# More affected dates than this are pruned as one date range instead of a list.
-MAX_LISTED_DATES = 4000
-
-
 # ---- marts -----------------------------------------------------------------------------------
 
 @dataclass(frozen=True)
@@ -38,38 +34,24 @@ class MartRun:
     touched_dates: int | None = None
 
 
-def _scope(touched: DataFrame) -> tuple[Callable[[Column], Column], int, int]:
-    """Predicate on the date column that covers the touched dates; numbers of dates and keys.
-
-    The dates come to the driver as literals so that the scans below prune their partitions.
-    The list is bounded by MAX_LISTED_DATES; beyond it the covering range is used.
-    """
-    per_date = touched.groupBy(DATE).agg(F.count("*").alias("n"))
-    rows = per_date.limit(MAX_LISTED_DATES + 1).collect()
-    if len(rows) <= MAX_LISTED_DATES:
-        days = sorted(r[DATE] for r in rows)
-        return (lambda column: column.isin(days)), len(days), sum(r["n"] for r in rows)
-    whole = touched.agg(F.min(DATE).alias("first"), F.max(DATE).alias("last"),
-                        F.count_distinct(DATE).alias("n_dates"), F.count("*").alias("n")).first()
-    first, last = F.lit(whole["first"]), F.lit(whole["last"])
-    return (lambda column: column.between(first, last)), whole["n_dates"], whole["n"]
-
-
-def _grain_scope(touched: DataFrame, grain: str) -> Callable[[Column], Column]:
-    """Predicate on a derived partition column: the months or years of the touched dates."""
-    starts = [r[0] for r in touched.select(tables.grain_start(F.col(DATE), grain)).distinct()
-              .collect()]
-    return lambda column: column.isin(starts)
+def _in_partitions(dates: list[dt.date], grain: str) -> Column:
+    """Predicate on the partition column that covers some dates."""
+    starts = {"day": lambda d: d, "month": lambda d: d.replace(day=1),
+              "year": lambda d: d.replace(month=1, day=1)}
+    values = sorted({starts[grain](d) for d in dates})
+    return F.col(tables.grain_column(DATE, grain)).isin(values)
 
 
 def refresh_daily(spark: SparkSession, layers: Layers, options: Options = Options(),
                   full_refresh: bool = False, repair_moved_keys: bool = False) -> MartRun:
     """Build or update the daily mart.
 
-    An incremental run reads new raw rows behind the load-time mark, recomputes the keys they
-    touch from the touched dates only, and replaces only those partitions. A record that moved
-    to another key leaves its old mart row behind; ``repair_moved_keys`` also recomputes the
-    keys its earlier versions had, and a full refresh repairs everything.
+    An incremental run looks for new raw rows in the dates of the batches behind the load-time
+    mark, recomputes the keys they touch from the touched dates only, and replaces only those
+    partitions. The mark is noted after the commit: a run that breaks off in between leaves the
+    old mark, and the next one does its work again. A record that moved to another key leaves
+    its old mart row behind; ``repair_moved_keys`` also recomputes the keys its earlier versions
+    had, and a full refresh repairs everything.
     """
     raw = raw_facts(spark, layers)
     if raw is None:
@@ -78,56 +60,39 @@ def refresh_daily(spark: SparkSession, layers: Layers, options: Options = Option
     if dimension is None:
         dimension = spark.createDataFrame([], ddl(RAW_COMMITTEES))
     committees = staging.stg_committees(dimension, options)
-    mart = daily_mart(spark, layers, options)
+    mart, mark = daily_mart(spark, layers, options), daily_mark(spark, layers, options)
 
-    if full_refresh or mart is None:
+    if full_refresh or mart is None or mark is None:
         rows = marts.daily_contributions(staging.stg_contributions(raw, options), committees,
                                          options)
         tables.overwrite_by_date(rows, layers.daily, DATE, layers.grain, ["committee_id"])
+        note_daily_mark(spark, layers, options)
         return MartRun("full")
 
-    mark = mart.agg(F.max("last_loaded_at")).first()[0] or EPOCH
-    # The latest version of a record is newer than the mark exactly when any version is, so the
-    # rows behind the mark can be staged on their own.
-    after_mark = F.col("_loaded_at").cast(options.loaded_at_type) > F.lit(mark).cast(
-        options.loaded_at_type)
-    fresh = staging.stg_contributions(raw.filter(after_mark), options)
-    touched = affected_keys(fresh, marts.DAILY_KEYS)
-    if repair_moved_keys:
-        touched = touched.unionByName(_earlier_keys(raw, fresh, options)).distinct()
-    touched = settle(touched)
-    scope, n_dates, n_keys = _scope(touched)
-    if n_keys == 0:
+    dates = dates_loaded_after(spark, layers, mark, options)
+    if dates is not None and not dates:
+        return MartRun("incremental", 0, 0)
+    new = raw if dates is None else raw.filter(
+        _in_partitions(dates, layers.grain) & F.col(DATE).isin(dates))
+    fresh_marks = marts.touched_since(new, F.lit(mark), options)
+    touched = fresh_marks
+    if repair_moved_keys and fresh_marks.n_keys:
+        touched = marts.touched_since(raw, F.lit(mark), options, moved_from=True)
+    if touched.n_keys == 0:
         return MartRun("incremental", 0, 0)
 
+    parts = _in_partitions(touched.dates, layers.grain)
+    rows = marts.daily_of_touched(raw, committees, touched, options, parts)
+    current = mart.filter(parts)
+    merged = settle(upsert(current.select(*rows.columns), rows, marts.DAILY_KEYS,
+                           replaced=touched.keys))
     part = tables.grain_column(DATE, layers.grain)
-    in_parts = scope if part == DATE else _grain_scope(touched, layers.grain)
-    staged = staging.stg_contributions_within(raw, scope, options, in_parts(F.col(part)))
-    stats = marts.daily_stats(staged, options).join(touched, marts.DAILY_KEYS, "left_semi")
-    rows = marts.with_committee(stats, committees)
-
-    if repair_moved_keys:
-        # Old keys may vanish, and with them whole partitions: rebuild the (small) mart.
-        columns = [c for c in mart.columns if c in rows.columns]
-        merged = settle(upsert(mart.select(*columns), rows, marts.DAILY_KEYS, replaced=touched))
-        tables.overwrite_by_date(merged, layers.daily, DATE, layers.grain, ["committee_id"])
-        return MartRun("incremental", n_keys, n_dates)
-
-    current = mart.filter(in_parts(F.col(part)))
-    merged = upsert(current.select(*rows.columns), rows, marts.DAILY_KEYS, replaced=touched)
+    left = merged.select(tables.grain_start(F.col(DATE), layers.grain).alias(part)).distinct()
+    emptied = [r[0] for r in current.select(part).distinct().join(left, part, "left_anti").collect()]
     tables.replace_partitions(merged, layers.daily, DATE, layers.grain, ["committee_id"])
-    return MartRun("incremental", n_keys, n_dates)
-
-
-def _earlier_keys(raw: DataFrame, fresh: DataFrame, options: Options) -> DataFrame:
-    """Every key any version of a fresh record ever had.
-
-    Versions are made distinct first, so a record delivered very often is one row in the join.
-    """
-    history = raw.filter(F.col(DATE).isNotNull() & (F.col(DATE) <= options.today())) \
-        .select("sub_id", *marts.DAILY_KEYS).distinct()
-    return history.join(fresh.select("sub_id"), "sub_id", "left_semi").select(*marts.DAILY_KEYS) \
-        .distinct()
+    tables.drop_partitions(spark, layers.daily, part, emptied)
+    note_daily_mark(spark, layers, options)
+    return MartRun("incremental", touched.n_keys, len(touched.dates))
 
 
 def refresh_summary(spark: SparkSession, layers: Layers, options: Options = Options(),
@@ -147,7 +112,7 @@ def refresh_summary(spark: SparkSession, layers: Layers, options: Options = Opti
 @dataclass
 class RunReport:
     facts: FactLoad | None = None
-    dimension: str = "skipped"
+    dimension: DimensionLoad | None = None
     daily: MartRun | None = None
     exported: list[str] = field(default_factory=list)
 
@@ -167,9 +132,10 @@ def staged_for_marts(spark: SparkSession, layers: Layers,
 
 
 def build_and_check(spark: SparkSession, layers: Layers, options: Options = Options(),
-                    thresholds: Thresholds = Thresholds(), full_refresh: bool = False) -> MartRun:
+                    thresholds: Thresholds = Thresholds(), full_refresh: bool = False,
+                    repair_moved_keys: bool = False) -> MartRun:
     """Both marts, then every assertion; fails on the first set of failing rows."""
-    daily = refresh_daily(spark, layers, options, full_refresh=full_refresh)
+    daily = refresh_daily(spark, layers, options, full_refresh, repair_moved_keys)
     # The summary and four assertions read the staged rows: deduplicate once and store them.
     with stored(staged_for_marts(spark, layers, options), "staged") as staged:
         refresh_summary(spark, layers, options, staged)
@@ -194,7 +160,8 @@ def export_marts(spark: SparkSession, layers: Layers, options: Options = Options
 def run_batch(spark: SparkSession, layers: Layers, fact_lines: DataFrame,
               committee_lines: DataFrame, request: FactRequest, *, run_at: dt.datetime,
               options: Options = Options(), thresholds: Thresholds = Thresholds(),
-              full_refresh: bool = False, project: str = "") -> RunReport:
+              full_refresh: bool = False, repair_moved_keys: bool = False,
+              project: str = "") -> RunReport:
     """One run, stopping at the first failure: load, dimension, marts, assertions, export.
 
     ``fact_lines`` and ``committee_lines`` are the source system's records, one JSON text per
@@ -203,10 +170,10 @@ def run_batch(spark: SparkSession, layers: Layers, fact_lines: DataFrame,
     report = RunReport()
     report.facts = ingest_facts(spark, layers, request, lines=fact_lines, run_at=run_at,
                                 options=options, thresholds=thresholds)
-    report.dimension = ingest_committees(
-        spark, layers, normalise_committees(committee_lines, F.lit(run_at)), now=run_at,
-        max_age_days=thresholds.dimension_max_age_days)
-    report.daily = build_and_check(spark, layers, options, thresholds, full_refresh)
+    report.dimension = ingest_committees(spark, layers, committee_lines, now=run_at,
+                                         max_age_days=thresholds.dimension_max_age_days)
+    report.daily = build_and_check(spark, layers, options, thresholds, full_refresh,
+                                   repair_moved_keys)
     report.exported = export_marts(spark, layers, options, project=project, exported_at=run_at,
                                    publish_to=layers.export_path("published"))
     return report

@@ -45,17 +45,20 @@ def stg_contributions_within(raw: DataFrame, scope: Callable[[Column], Column],
     """The staged rows whose date is in scope, without reading whole rows elsewhere.
 
     A version outside the scope can only push an older version inside it aside, and for that its
-    identifier, load time and date are enough: those partitions are read for these columns only.
-    Equal load times are decided by the date, which differs between the two sides.
-    ``partitions`` is the scope on a derived partition column, implied by the dates.
+    identifier, load time and date are enough. Only versions of records that have one inside
+    count, so the others are cut by a semi-join with the inside identifiers, which a runtime
+    bloom filter brings to the scan (see ``session.build_session``): the shuffle gets the
+    touched records, not the history. Equal load times are decided by the date, which differs
+    between the two sides. ``partitions`` is the scope on a derived partition column, implied by
+    the dates.
     """
     covered = raw if partitions is None else raw.filter(partitions)
-    inside = _typed_facts(covered, options).filter(scope(F.col(DATE))) \
-        .withColumn("_inside", F.lit(True))
+    inside = _typed_facts(covered, options).filter(scope(F.col(DATE)))
     outside = _typed_facts(raw, options).filter(~scope(F.col(DATE))).select(
         "sub_id", "loaded_at", DATE, F.lit(False).alias("_inside")
-    )
-    versions = inside.unionByName(outside, allowMissingColumns=True)
+    ).join(inside.select("sub_id"), "sub_id", "left_semi")
+    versions = inside.withColumn("_inside", F.lit(True)).unionByName(
+        outside, allowMissingColumns=True)
     return latest_wins(versions, ["sub_id"], NEWEST_FACT).filter("_inside").drop("_inside")
 
 

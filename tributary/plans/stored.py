@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tributary.options import Options
 from tributary.schemas import RAW_COMMITTEES, RAW_FACTS, mart_daily, mart_summary
@@ -28,3 +30,43 @@ def daily_mart(spark: SparkSession, layers: Layers, options: Options) -> DataFra
 def summary_mart(spark: SparkSession, layers: Layers, options: Options) -> DataFrame | None:
     return tables.read_or_none(spark, layers.summary,
                                mart_summary(options.amount_type, options.average_type))
+
+
+def append_facts(rows: DataFrame, layers: Layers) -> None:
+    """Append a batch to the raw facts and note which dates it brings.
+
+    The note is written first: a run that fails in between leaves a note without rows, which
+    costs a later refresh one look at those dates, while rows without a note would be missed.
+    """
+    dates = rows.filter(F.col(DATE).isNotNull()).groupBy(DATE).agg(
+        F.max("_loaded_at").alias("_loaded_at"))
+    tables.write_dimension(dates.coalesce(1), layers.fact_batches, append=True)
+    tables.append_by_date(rows, layers.facts, DATE, layers.grain, ["committee_id"])
+
+
+def dates_loaded_after(spark: SparkSession, layers: Layers, mark: dt.datetime,
+                       options: Options) -> list[dt.date] | None:
+    """Dates of the batches behind a load time; None where no batch was ever noted."""
+    notes = tables.read_or_none(spark, layers.fact_batches,
+                                {DATE: "date", "_loaded_at": "timestamp"})
+    if notes is None:
+        return None
+    kind = options.loaded_at_type
+    late = notes.filter(F.col("_loaded_at").cast(kind) > F.lit(mark).cast(kind))
+    return sorted(r[DATE] for r in late.select(DATE).distinct().collect())
+
+
+def daily_mark(spark: SparkSession, layers: Layers, options: Options) -> dt.datetime | None:
+    """Load time up to which the daily mart is complete; None before its first finished build."""
+    marks = tables.read_or_none(spark, layers.daily_marks, {"mark": options.loaded_at_type})
+    return None if marks is None else marks.agg(F.max("mark")).first()[0]
+
+
+def note_daily_mark(spark: SparkSession, layers: Layers, options: Options) -> None:
+    """Record the newest load time in the mart; only ever called after its commit."""
+    from tributary.operators.incremental import EPOCH
+
+    kind = options.loaded_at_type
+    newest = daily_mart(spark, layers, options).agg(
+        F.coalesce(F.max("last_loaded_at"), F.lit(EPOCH).cast(kind)).alias("mark"))
+    tables.write_dimension(newest, layers.daily_marks, append=True)

@@ -176,6 +176,13 @@ def _step(position: int, label: str, high: int) -> str:
            {share} AS share FROM places WHERE place <= {high}"""
 
 
+_WINDOWED = """SELECT sub_id, committee_id, contribution_receipt_amount, contribution_receipt_date
+        FROM raw
+        WHERE two_year_transaction_period = 1998 AND is_individual
+          AND contributor_state = '1-URGENT' AND contribution_receipt_amount >= 1000
+          AND contribution_receipt_date BETWEEN DATE '1997-02-01' AND DATE '1998-11-30'
+          AND sub_id IS NOT NULL"""
+
 _WINDOW_KEYS = "contribution_receipt_date, committee_id"
 
 ORACLES: dict[str, str] = {
@@ -189,7 +196,7 @@ ORACLES: dict[str, str] = {
                  AS contribution_receipt_amount,
                CAST(DATE '2024-01-01' + CAST(doc_id % 300 AS INTEGER) AS DATE)
                  AS contribution_receipt_date,
-               '' AS receipt_type, substring(text, 1, 1024) AS memo_text,
+               '' AS receipt_type, coalesce(text, '') AS memo_text,
                doc_id % 7 IN (0, 3, 6) AS is_individual,
                CASE WHEN doc_id % 11 IN (0, 1) THEN 0 ELSE 2024 END::BIGINT
                  AS two_year_transaction_period,
@@ -221,15 +228,10 @@ ORACLES: dict[str, str] = {
         SELECT count(*) FILTER (WHERE ok) AS n_valid, count(*) FILTER (WHERE NOT ok) AS n_skipped
         FROM (SELECT coalesce(sub_id, '') <> '' AND contribution_receipt_date IS NOT NULL
                      AND contribution_receipt_amount IS NOT NULL AS ok FROM raw) r""", "raw"),
-    "windowed_fetch": _sql("""
-        SELECT sub_id, committee_id, contribution_receipt_amount, contribution_receipt_date
-        FROM raw
-        WHERE two_year_transaction_period = 1998 AND is_individual
-          AND contributor_state = '1-URGENT' AND contribution_receipt_amount >= 1000
-          AND contribution_receipt_date BETWEEN DATE '1997-02-01' AND DATE '1998-11-30'
-          AND sub_id IS NOT NULL
-        ORDER BY contribution_receipt_date DESC, sub_id, contribution_receipt_amount
-        LIMIT 250""", "raw"),
+    "windowed_fetch": _sql(f"""
+        {_WINDOWED} ORDER BY contribution_receipt_date DESC, md5(sub_id),
+          contribution_receipt_amount LIMIT 250""", "raw"),
+    "windowed_fetch_all": _sql(_WINDOWED, "raw"),
     "dim_fetch_by_ids": _sql("""
         SELECT committee_id, name, party, _loaded_at FROM com_raw
         WHERE committee_id IN (SELECT committee_id FROM raw)""", "raw", "com_raw"),
@@ -237,7 +239,7 @@ ORACLES: dict[str, str] = {
         SELECT o_custkey AS c_custkey,
                count(DISTINCT year(o_orderdate) + year(o_orderdate) % 2) AS n_cycles
         FROM orders GROUP BY o_custkey
-        HAVING bool_or(year(o_orderdate) IN (1999, 2000)) ORDER BY o_custkey LIMIT 500""",
+        HAVING bool_or(year(o_orderdate) IN (1999, 2000))""",
     "needed_dim_keys": _sql("""
         SELECT DISTINCT committee_id FROM raw WHERE committee_id <> ''""", "raw"),
     "existing_dim_state": _sql("""

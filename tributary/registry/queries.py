@@ -16,10 +16,11 @@ from tributary.operators.incremental import (affected_keys, dimension_refresh_pl
 from tributary.options import Thresholds
 from tributary.plans import marts, normalise, reports, run, staging
 from tributary.plans.checks import dq_suite
+from tributary.plans.stored import append_facts
 from tributary.registry import adapters, wire
 from tributary.registry.adapters import AS_OF, FIRST_LOAD_END, NOW, OPTIONS
 from tributary.schemas import RAW_FACTS
-from tributary.session import scratch_path
+from tributary.session import scratch_path, store
 from tributary.sources import export, landing, layers as tables
 from tributary.sources.layers import Layers
 
@@ -59,12 +60,17 @@ def _feed_staged(spark: SparkSession, sf: str) -> DataFrame:
     return staging.stg_contributions(adapters.feed(spark, sf), OPTIONS)
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """``df`` stored once, as the several readers of a mart would find it."""
+    return store(df, scratch_path(df.sparkSession, "kept"))
+
+
 def _feed_mart(spark: SparkSession, sf: str) -> DataFrame:
-    """The daily mart as it stood after the first load."""
+    """The daily mart as it stood after the first load, stored as an update finds it."""
     first = adapters.feed(spark, sf).filter(F.col("_loaded_at") < F.lit(FIRST_LOAD_END).cast(
         "timestamp_ntz"))
-    return marts.daily_contributions(staging.stg_contributions(first, OPTIONS),
-                                     _committees(spark, sf), OPTIONS)
+    return _kept(marts.daily_contributions(staging.stg_contributions(first, OPTIONS),
+                                           _committees(spark, sf), OPTIONS))
 
 
 # ---- normalisation and staging ---------------------------------------------------------------
@@ -124,17 +130,26 @@ def q_valid_and_skipped(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- fetches and key sets --------------------------------------------------------------------
 
-@query("windowed_fetch")
-def q_windowed_fetch(spark: SparkSession, sf: str) -> DataFrame:
+def _window(spark: SparkSession, sf: str, max_records: int | None) -> DataFrame:
     rows = selection.windowed_fetch(
         adapters.contributions(spark, sf),
-        record_id="sub_id", event_date=DATE, amount=AMOUNT, max_records=250,
+        record_id="sub_id", event_date=DATE, amount=AMOUNT, max_records=max_records,
         period=("two_year_transaction_period", 1998), individuals_only="is_individual",
         region=("contributor_state", "1-URGENT"), min_amount=1000,
-        min_date=dt.date(1997, 2, 1), max_date=dt.date(1998, 11, 30), by_date_first=True)
+        min_date=dt.date(1997, 2, 1), max_date=dt.date(1998, 11, 30))
     return rows.select("sub_id", "committee_id", AMOUNT, DATE)
 
 
+@query("windowed_fetch")
+def q_windowed_fetch(spark: SparkSession, sf: str) -> DataFrame:
+    return _window(spark, sf, 250)
+
+
+@query("windowed_fetch_all")
+def q_windowed_fetch_all(spark: SparkSession, sf: str) -> DataFrame:
+    return _window(spark, sf, None)
+
+
 @query("dim_fetch_by_ids")
 def q_dim_fetch_by_ids(spark: SparkSession, sf: str) -> DataFrame:
     needed = selection.distinct_nonempty(adapters.contributions(spark, sf), "committee_id")
@@ -144,11 +159,11 @@ def q_dim_fetch_by_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("dim_fetch_by_cycle")
 def q_dim_fetch_by_cycle(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers that ordered in the 2000 cycle, the first 500 by key."""
+    """Customers that ordered in the 2000 cycle."""
     orders = adapters.table(spark, sf, "orders")
     cycle = calendar.election_cycle(F.col("o_orderdate"))
     cycles = orders.groupBy("o_custkey").agg(F.collect_set(cycle).alias("cycles"))
-    rows = selection.rows_for_cycle(cycles, "cycles", 2000, ["o_custkey"], 500)
+    rows = selection.rows_for_cycle(cycles, "cycles", 2000)
     return rows.select(F.col("o_custkey").alias("c_custkey"),
                        F.size("cycles").cast("bigint").alias("n_cycles"))
 
@@ -255,13 +270,13 @@ def q_affected_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("affected_key_recompute")
 def q_affected_key_recompute(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.daily_recomputed(_feed_staged(spark, sf), _committees(spark, sf),
+    return marts.daily_recomputed(adapters.feed(spark, sf), _committees(spark, sf),
                                   _feed_mart(spark, sf), OPTIONS)
 
 
 @query("merge_upsert")
 def q_merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.daily_merged(_feed_staged(spark, sf), _committees(spark, sf),
+    return marts.daily_merged(adapters.feed(spark, sf), _committees(spark, sf),
                               _feed_mart(spark, sf), OPTIONS)
 
 
@@ -273,9 +288,9 @@ def _feed_tables(spark: SparkSession, sf: str, grain: str) -> Layers:
     first_end = F.lit(FIRST_LOAD_END).cast("timestamp_ntz").cast("timestamp")
     tables.write_dimension(adapters.committees(spark, sf).withColumn(
         "_loaded_at", F.col("_loaded_at").cast("timestamp")), at.committees, append=False)
-    tables.append_by_date(raw.filter(F.col("_loaded_at") < first_end), at.facts, DATE, grain)
+    append_facts(raw.filter(F.col("_loaded_at") < first_end), at)
     run.refresh_daily(spark, at, OPTIONS)
-    tables.append_by_date(raw.filter(F.col("_loaded_at") >= first_end), at.facts, DATE, grain)
+    append_facts(raw.filter(F.col("_loaded_at") >= first_end), at)
     run.refresh_daily(spark, at, OPTIONS)
     return at
 
@@ -342,10 +357,13 @@ def q_freshness(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("dq_suite")
 def q_dq_suite(spark: SparkSession, sf: str) -> DataFrame:
-    staged, committees = _staged(spark, sf), _committees(spark, sf)
+    """Every assertion, over stored staged rows and marts as a run checks them."""
+    staged = _kept(_staged(spark, sf).select(*run.STAGED_FOR_MARTS, "loaded_at"))
+    committees = _committees(spark, sf)
     return dq_suite(staged, committees,
-                    marts.daily_contributions(staged, committees, OPTIONS),
-                    marts.committee_summary(staged, committees, OPTIONS), OPTIONS, Thresholds())
+                    _kept(marts.daily_contributions(staged, committees, OPTIONS)),
+                    _kept(marts.committee_summary(staged, committees, OPTIONS)), OPTIONS,
+                    Thresholds())
 
 
 @query("duplicate_key_count")

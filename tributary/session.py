@@ -27,6 +27,10 @@ def build_session(app: str = "tributary", master: str | None = None,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
+        # Semi-joins with a few touched records cut the history at its scan, whatever its size.
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "512MB",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
     }

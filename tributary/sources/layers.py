@@ -41,6 +41,11 @@ class Layers:
     def facts(self) -> str:
         return self._path(self.raw, "contributions")
 
+    @property
+    def fact_batches(self) -> str:
+        """Which dates each append to the raw facts brought."""
+        return self._path(self.raw, "contributions_batches")
+
     @property
     def committees(self) -> str:
         return self._path(self.raw, "committees")
@@ -49,6 +54,11 @@ class Layers:
     def daily(self) -> str:
         return self._path(self.mart, "daily_contributions")
 
+    @property
+    def daily_marks(self) -> str:
+        """Load time up to which the daily mart is complete, one row per finished run."""
+        return self._path(self.mart, "daily_contributions_marks")
+
     @property
     def summary(self) -> str:
         return self._path(self.mart, "committee_summary")
@@ -119,6 +129,13 @@ def replace_partitions(df: DataFrame, path: str, date_col: str, grain: str = "da
         .mode("overwrite").parquet(path)
 
 
+def drop_partitions(spark: SparkSession, path: str, part: str, values: Sequence[object]) -> None:
+    """Remove the folders of partitions that lost all their rows."""
+    for value in values:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{part}={value}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_dimension(df: DataFrame, path: str, append: bool) -> None:
     df.write.mode("append" if append else "overwrite").parquet(path)
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tributary.options import Options
-from tributary.plans.normalise import normalise_facts
-from tributary.plans.run import refresh_daily
+from tributary.options import Options, Thresholds
+from tributary.plans.normalise import accepted, classify_facts, quarantined, record_counts
+from tributary.plans.run import build_and_check, refresh_daily
+from tributary.plans.stored import append_facts
 from tributary.schemas import RAW_FACTS
-from tributary.sources import layers as tables
+from tributary.session import stored
 from tributary.sources.layers import Layers
 
 
@@ -21,18 +24,29 @@ def landed_lines(spark: SparkSession, path: str, max_files: int = 1000) -> DataF
 
 
 def start_refresh(spark: SparkSession, layers: Layers, landing: str, checkpoint: str,
-                  options: Options = Options(), max_files: int = 1000) -> StreamingQuery:
+                  options: Options = Options(), max_files: int = 1000,
+                  quarantine_path: str | None = None, thresholds: Thresholds | None = None,
+                  on_batch: Callable[[dict[str, int]], None] | None = None) -> StreamingQuery:
     """Load everything landed so far, then stop.
 
-    A micro-batch that runs twice after a failure appends rows with their old identifiers
-    again. Staging keeps one version per identifier, so the marts do not change.
+    Each micro-batch is parsed once into a stored table, counted (``on_batch`` gets the counts),
+    its unreadable records go to ``quarantine_path``, the others to the raw table and the daily
+    mart. With ``thresholds`` the summary is rebuilt and every assertion checked as well. A
+    micro-batch that runs twice after a failure appends rows with their old identifiers again.
+    Staging keeps one version per identifier, so the marts do not change.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = normalise_facts(batch, F.current_timestamp()).select(*RAW_FACTS)
-        tables.append_by_date(rows, layers.facts, "contribution_receipt_date", layers.grain,
-                              ["committee_id"])
-        refresh_daily(spark, layers, options)
+        with stored(classify_facts(batch, F.current_timestamp()), "records") as rows:
+            if on_batch:
+                on_batch(record_counts(rows))
+            if quarantine_path:
+                quarantined(rows).write.mode("append").json(quarantine_path)
+            append_facts(accepted(rows).select(*RAW_FACTS), layers)
+        if thresholds is None:
+            refresh_daily(spark, layers, options)
+        else:
+            build_and_check(spark, layers, options, thresholds)
 
     return (landed_lines(spark, landing, max_files).writeStream
             .foreachBatch(apply).option("checkpointLocation", checkpoint)
