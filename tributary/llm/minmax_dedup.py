@@ -8,10 +8,12 @@ chance below 5e-7. Within a bucket (classes that agree on a band):
 
 1. every member is compared with one pivot, the member that shares most buckets overall;
 2. connected components are formed from the links found;
-3. buckets whose members are not all connected are finished: members outside the bucket's largest
-   component meet every member of another component, unless set sizes, the triangle inequality
-   over the distances to the pivot, or the signatures (estimate below 0.6, more than 8 standard
-   errors under the threshold) rule a link out.
+3. buckets whose members are not all connected are finished. Only shingles that occur in another
+   component of such a bucket can support a link between components; a set in which too few do
+   has no such link and leaves. Of the others, members outside the bucket's largest component meet
+   every member of another component, unless set sizes, the numbers of such shingles, the triangle
+   inequality over the distances to the pivot, or the signatures (estimate below 0.6, more than 8
+   standard errors under the threshold) rule a link out.
 
 Pairs inside a component need no comparison, so a large group of copies costs one comparison per
 class, and no link between components is left out. Every link is confirmed on whole sets of 64-bit
@@ -26,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -136,6 +138,21 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         "linked", 100 * F.col("common") >= percent * F.col("whole"))
 
 
+def _may_link(n: str, m: str, most: Column, percent: int) -> Column:
+    """Whether sets of sizes ``n`` and ``m`` reach the threshold with ``most`` common shingles."""
+    return 100 * most >= percent * (F.col(n) + F.col(m) - most)
+
+
+def _supported(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, common): how many of a set's shingles occur in another component, where enough do."""
+    nodes = rest.select("node", "part", "n").distinct()
+    shingles = nodes.join(sets, "node").select("node", "part", "n", F.explode("__hashes").alias("h"))
+    shared = shingles.groupBy("h").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter(
+        "low <> high")
+    common = shingles.join(shared, "h", "left_semi").groupBy("node", "n").agg(F.count("*").alias("common"))
+    return common.filter(100 * F.col("common") >= percent * F.col("n")).select("node", "common")
+
+
 def _alike(left: pd.Series, right: pd.Series) -> pd.Series:
     """Share of equal signature values."""
     if not len(left):
@@ -192,12 +209,14 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 2, percent: int = 80, id_
             .join(distance, ["node", "pivot"], "left")
             .withColumn("far", F.when(F.col("node") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("far"))))
     rest = stored(rest.select("key", "node", "n", "part", "main", "far"), "rest")
+    rest = stored(rest.join(_supported(rest, sets, percent), "node"), "rest")
     a, b = (rest.select(*[F.col(c).alias(f"{side}_{c}") for c in rest.columns]) for side in "ab")
     reach = 1 - percent / 100 + 1e-9
     second = a.filter("a_part <> a_main").join(b, (
         (F.col("a_key") == F.col("b_key")) & (F.col("a_part") != F.col("b_part"))
         & ((F.col("b_part") == F.col("b_main")) | (F.col("a_node") < F.col("b_node")))
         & (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
+        & _may_link("a_n", "b_n", F.least("a_common", "b_common"), percent)
         & (F.coalesce(F.abs(F.col("a_far") - F.col("b_far")), F.lit(0.0)) <= reach)))
     second = second.select(F.least("a_node", "b_node").alias("u"), F.greatest("a_node", "b_node").alias("v")).distinct()
     known = tested.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
