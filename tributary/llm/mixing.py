@@ -177,7 +177,8 @@ def taken_pieces(rows: DataFrame, *, block_words: int = 64, slots_per_shard: int
         F.floor(F.col("__start") / block_words),
         F.floor((F.col("__start") + F.col("size") - 1) / block_words))).alias("block"))
     at = F.col("block") * block_words
-    return (pieces.join(slots, ["__s", "block"])
+    # slots come out of Python, so Spark can't know their size and must not broadcast them
+    return (pieces.join(slots.hint("merge"), ["__s", "block"])
             .withColumns({"from": F.greatest(at, "__start") - F.col("__start"),
                           "to": F.least(at + F.col("words"), F.col("__start") + F.col("size")) - F.col("__start")})
             .filter(F.col("to") > F.col("from")).drop("words"))
