@@ -10,6 +10,7 @@ from helpers import DAY, T0, committee, committees, dicts, fact, facts
 from tributary.operators import incremental as inc
 from tributary.options import Options
 from tributary.plans import marts, run, staging
+from tributary.plans.stored import append_facts, daily_mark
 from tributary.sources import layers as tables
 from tributary.sources.layers import Layers
 
@@ -21,7 +22,7 @@ CHECKED = [*KEY, "committee_name", "contribution_count", "total_amount", "avg_am
 
 
 def append(spark, at, rows):
-    tables.append_by_date(facts(spark, rows), at.facts, staging.DATE, at.grain, ["committee_id"])
+    append_facts(facts(spark, rows), at)
 
 
 def mart_rows(spark, at):
@@ -149,13 +150,70 @@ def test_untouched_keys_of_a_touched_date_stay(spark, root):
     assert counts == {"C1": 2, "C2": 1}
 
 
-def test_range_scope_beyond_the_date_list(spark, root, monkeypatch):
-    monkeypatch.setattr(run, "MAX_LISTED_DATES", 2)
+def test_a_broken_commit_is_done_again(spark, root, monkeypatch):
+    """Partitions replaced without their mark: the next run redoes the same keys."""
     at = deployed(spark, root)
-    for rows in batches(3):
-        append(spark, at, rows)
-        run.refresh_daily(spark, at, OPTIONS)
+    first, second, _ = batches(3, moves=True)
+    append(spark, at, first)
+    run.refresh_daily(spark, at, OPTIONS)
+    mark = daily_mark(spark, at, OPTIONS)
+    append(spark, at, second)
+
+    def broken(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch, pytest.raises(OSError):
+        patch.setattr(run, "note_daily_mark", broken)
+        run.refresh_daily(spark, at, OPTIONS, repair_moved_keys=True)
+    assert daily_mark(spark, at, OPTIONS) == mark
+    assert run.refresh_daily(spark, at, OPTIONS, repair_moved_keys=True).touched_keys > 0
+    assert mart_rows(spark, at) == full_rows(spark, at)
+    assert run.refresh_daily(spark, at, OPTIONS).touched_keys == 0
+
+
+def test_repair_drops_a_partition_that_lost_its_rows(spark, root):
+    later = DAY + dt.timedelta(days=3)
+    at = deployed(spark, root)
+    append(spark, at, [fact("a"), fact("b", day=later)])
+    run.refresh_daily(spark, at, OPTIONS)
+    append(spark, at, [fact("a", day=later, loaded=T0 + HOUR)])
+    run.refresh_daily(spark, at, OPTIONS, repair_moved_keys=True)
     assert mart_rows(spark, at) == full_rows(spark, at)
+    assert {r[staging.DATE] for r in dicts(run.daily_mart(spark, at, OPTIONS))} == {later}
+
+
+def test_only_touched_records_are_shuffled(spark, root):
+    """A scope of one date: the history is cut at its scan by a bloom filter."""
+    at = deployed(spark, root, "month")
+    days = [DAY + dt.timedelta(days=d % 20) for d in range(6000)]
+    append(spark, at, [fact(f"r{i}", day=d) for i, d in enumerate(days)]
+           + [fact("one", day=DAY + dt.timedelta(days=25))])
+    raw = run.raw_facts(spark, at)
+    touched = DAY + dt.timedelta(days=25)
+    rows = staging.stg_contributions_within(raw, lambda c: c.isin([touched]), OPTIONS)
+    assert [r["sub_id"] for r in rows.collect()] == ["one"]
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert "might_contain" in text
+    moved = [int(x) for x in shuffled_rows(rows)]
+    assert moved and max(moved) < 600
+
+
+def shuffled_rows(df):
+    """Rows written by each shuffle of the executed plan."""
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name in ("ShuffleQueryStage", "BroadcastQueryStage"):
+            return walk(node.plan())
+        if name == "Exchange":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
 
 
 def test_lazy_merge_equals_stored_merge(spark, root):
@@ -165,8 +223,8 @@ def test_lazy_merge_equals_stored_merge(spark, root):
     run.refresh_daily(spark, at, OPTIONS)
     mart = run.daily_mart(spark, at, OPTIONS)
     dims = staging.stg_committees(run.raw_committees(spark, at), OPTIONS)
-    staged = staging.stg_contributions(facts(spark, first + second), OPTIONS)
-    lazy = marts.daily_merged(staged, dims, mart, OPTIONS).select(*CHECKED).collect()
+    raw = facts(spark, first + second)
+    lazy = marts.daily_merged(raw, dims, mart, OPTIONS).select(*CHECKED).collect()
     append(spark, at, second)
     run.refresh_daily(spark, at, OPTIONS)
     assert sorted(map(tuple, lazy), key=str) == mart_rows(spark, at)

@@ -103,9 +103,18 @@ def test_period(spark, value, expected):
         "two_year_transaction_period"] == expected
 
 
-def test_long_memo_is_cut_by_characters(spark):
+def test_memo_is_whole_unless_a_length_is_asked_for(spark):
     memo = "é…\n\"" * 500
-    assert one(spark, GOOD | {"memo_text": memo})["memo_text"] == memo[:1024]
+    assert one(spark, GOOD | {"memo_text": memo})["memo_text"] == memo
+    rows = dicts(n.classify_facts(lines(spark, [GOOD | {"memo_text": memo}]), stamp(), 1024))
+    assert rows[0]["memo_text"] == memo[:1024]
+
+
+def test_the_last_of_repeated_members_counts(spark):
+    text = '{"sub_id":"a","sub_id":"b","contribution_receipt_date":"2024-03-01",' \
+           '"contribution_receipt_amount":1,"two_year_transaction_period":2024}'
+    rows = dicts(n.classify_facts(lines(spark, [text]), stamp()))
+    assert rows[0]["reject_reason"] is None and rows[0]["sub_id"] == "b"
 
 
 def test_outcome_counts(spark):

@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 from decimal import Decimal
 
 import pytest
@@ -217,41 +218,42 @@ def test_windowed_fetch_skips_before_the_cap(spark):
     rows += [("", day + dt.timedelta(days=99), 1.0), ("x", None, 1.0),
              ("y", day + dt.timedelta(days=98), None)]
     df = spark.createDataFrame(rows, "k string, d date, a double")
-    for by_date_first in (False, True):
+    for cap, want in ((3, ["s6", "s7", "s8"]), (None, [f"s{i}" for i in range(2, 9)])):
         got = dicts(selection.windowed_fetch(
-            df, record_id="k", event_date="d", amount="a", max_records=3, min_amount=2,
-            max_date=dt.date(2024, 1, 9), by_date_first=by_date_first))
-        assert [r["k"] for r in got] == ["s8", "s7", "s6"]
+            df, record_id="k", event_date="d", amount="a", max_records=cap, min_amount=2,
+            max_date=dt.date(2024, 1, 9)))
+        assert sorted(r["k"] for r in got) == want
     row = dicts(selection.valid_and_skipped(df, "k", "d", "a"))[0]
     assert (row["n_valid"], row["n_skipped"]) == (10, 3)
 
 
-@pytest.mark.parametrize("cap, dates", [(1, 1), (10, 1), (11, 2), (20, 2), (25, 3), (99, 3)])
-def test_newest_dates_hold_the_cap(spark, cap, dates):
-    df = spark.range(30).select("id", F.date_add(F.lit(dt.date(2024, 1, 1)),
-                                                 (F.col("id") % 3).cast("int")).alias("d"))
-    assert selection.newest_dates(df, "d", cap).select("d").distinct().count() == dates
+@pytest.mark.parametrize("cap", [1, 7, 333, 500, 999, 1000, 5000])
+def test_caps_match_a_sorted_list(spark, cap):
+    """Half of the rows share a date, and a third one identifier."""
+    days = [dt.date(2024, 1, 1 + (i % 10 if i % 2 else 5)) for i in range(1000)]
+    rows = [("hot" if i % 3 == 0 else f"k{i}", d, float(i)) for i, d in enumerate(days)]
+    df = spark.createDataFrame(rows, "k string, d date, a double")
+    got = selection.newest_rows(df, "d", "k", cap, ["a"])
+    want = sorted(rows, key=lambda r: (-r[1].toordinal(), hashlib.md5(r[0].encode()).hexdigest(),
+                                       r[2]))[:cap]
+    assert got.columns == df.columns and sorted(map(tuple, got.collect())) == sorted(want)
 
 
-@pytest.mark.parametrize("cap", [1, 7, 333, 999, 1000, 5000])
-def test_large_caps_match_small_ones(spark, monkeypatch, cap):
-    """A third of the rows tie on the whole order."""
-    df = spark.range(1000).select(
-        F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") * 7919 % 1000).alias("k"))
-    order = [F.col("k").desc()]
-    want = sorted(r["k"] for r in selection.first_rows(df, order, cap).collect())
-    monkeypatch.setattr(selection, "MAX_TOP_ROWS", 0)
-    got = selection.first_rows(df, order, cap)
-    assert got.columns == ["k"] and sorted(r["k"] for r in got.collect()) == want
-    assert len(want) == min(cap, 1000)
+def test_cap_sizes_around_one_hundred_thousand_give_one_order(spark):
+    df = spark.range(120_000).select(
+        F.col("id").cast("string").alias("k"),
+        F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 7).cast("int")).alias("d"))
+    taken = [{r["k"] for r in selection.newest_rows(df, "d", "k", n).select("k").collect()}
+             for n in (99_999, 100_000, 100_001)]
+    assert [len(x) for x in taken] == [99_999, 100_000, 100_001]
+    assert taken[0] < taken[1] < taken[2]
 
 
 def test_cycle_fetch_on_numbers_and_arrays(spark):
     df = spark.createDataFrame([("a", 2024, [2022, 2024]), ("b", 2022, [2022])],
                                "k string, c int, cs array<int>")
-    assert [r["k"] for r in dicts(selection.rows_for_cycle(df, "c", 2024, ["k"]))] == ["a"]
-    assert selection.rows_for_cycle(df, "cs", 2022, ["k"]).count() == 2
-    assert selection.rows_for_cycle(df, "cs", 2022, ["k"], 1).count() == 1
+    assert [r["k"] for r in dicts(selection.rows_for_cycle(df, "c", 2024))] == ["a"]
+    assert selection.rows_for_cycle(df, "cs", 2022).count() == 2
 
 
 def test_key_sets(spark):

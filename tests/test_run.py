@@ -50,13 +50,13 @@ def test_two_runs(spark, root):
                            record(4, is_individual=False),
                            record(5, two_year_transaction_period=2020)])
     assert first.facts.loaded and first.facts.window.mode == "bootstrap"
-    assert first.dimension == "full: nothing loaded" and first.daily.mode == "full"
+    assert first.dimension.mode == "full: nothing loaded" and first.daily.mode == "full"
     assert run.raw_facts(spark, at).count() == 2
 
     second = go(spark, at, [record(2, "C2", amount=99), record(6, "C3", "2024-06-02"),
                             record(7, "C1", "2024-01-01")], RUN + dt.timedelta(hours=1))
     assert second.facts.window.min_date == dt.date(2024, 5, 25)
-    assert second.dimension == "delta" and second.daily.mode == "incremental"
+    assert second.dimension.mode == "delta" and second.daily.mode == "incremental"
     assert second.daily.touched_keys == 2
     summary = {r["committee_id"]: r for r in dicts(run.summary_mart(spark, at, OPTIONS))}
     assert {c: float(r["total_raised"]) for c, r in summary.items()} == {
@@ -74,15 +74,41 @@ def test_two_runs(spark, root):
     assert ordered[0]["committee_id"] == "C2" and set(ordered[0]) >= {"party", "donor_states"}
 
     third = go(spark, at, [record(9, day="2023-01-01")], RUN + dt.timedelta(hours=2))
-    assert not third.facts.loaded and third.dimension == "up to date"
+    assert not third.facts.loaded and third.dimension.mode == "up to date"
 
 
 def test_cap_takes_the_newest(spark, root):
     at = Layers(root)
-    go(spark, at, [record(i, day=f"2024-06-{i:02d}") for i in range(1, 10)], max_records=3)
+    report = go(spark, at, [record(i, day=f"2024-06-{i:02d}") for i in range(1, 10)],
+                max_records=3)
+    assert report.facts.rows_cut == 6
     assert {r["sub_id"] for r in dicts(run.raw_facts(spark, at))} == {"7", "8", "9"}
 
 
+@pytest.mark.parametrize("cap", [None, 2_999, 3_000, 100_001])
+def test_record_counts_do_not_depend_on_the_cap(spark, root, cap):
+    lot = spark.range(3000).selectExpr(
+        """concat('{"sub_id":', id + 1, ',"committee_id":"C1","contribution_receipt_date":',
+           '"2024-06-01","contribution_receipt_amount":1,"two_year_transaction_period":2024}')
+           AS value""")
+    load = ingest.ingest_facts(spark, Layers(root), FactRequest(2024, max_records=cap),
+                               run_at=RUN, lines=lot, options=OPTIONS, dry_run=True)
+    assert load.records == {"n_records": 3000, "n_skipped": 0, "n_unreadable": 0}
+    kept = min(3000, cap or 3000)
+    assert load.summary["totals"]["n_records"] == kept and load.rows_cut == 3000 - kept
+
+
+def test_unreadable_committees_are_counted_and_kept(spark, root, tmp_path):
+    at = Layers(root)
+    ingest_lines(spark, at, [record(1), record(2, "C2")], FactRequest(2024))
+    load = ingest.ingest_committees(
+        spark, at, lines(spark, [CATALOGUE[1], {"committee_id": "C2", "first_file_date": "x"},
+                                 "{bad", {}]), now=RUN, quarantine_path=str(tmp_path / "bad"))
+    assert load.records == {"n_records": 4, "n_skipped": 1, "n_unreadable": 2}
+    assert {r["reject_reason"] for r in dicts(spark.read.json(str(tmp_path / "bad")))} == {
+        "bad date", "malformed json"}
+
+
 def ingest_lines(spark, at, records, request, **more):
     return ingest.ingest_facts(spark, at, request, run_at=RUN, lines=lines(spark, records),
                                options=OPTIONS, **more)
@@ -137,12 +163,17 @@ def test_committees_of_a_cycle_replace_the_dimension(spark, root, tmp_path):
     at = Layers(root)
     records = [{"committee_id": f"C{i}", "cycles": [2022, 2024] if i % 2 else [2022],
                 "name": f"N{i}"} for i in range(6)] + [{"committee_id": "C9", "cycle": 2024}, {}]
-    for cap, want in ((500, {"C1", "C3", "C5", "C9"}), (2, {"C1", "C3"})):
-        ingest.ingest_committees_of_cycle(at, lines(spark, records), 2024, max_records=cap)
+    for cap, want in ((None, {"C1", "C3", "C5", "C9"}), (2, {"C1", "C3"})):
+        load = ingest.ingest_committees_of_cycle(at, lines(spark, records), 2024,
+                                                 max_records=cap)
+        assert load.records == {"n_records": 8, "n_skipped": 1, "n_unreadable": 0}
         assert {r["committee_id"] for r in dicts(run.raw_committees(spark, at))} == want
     path = tmp_path / "committees.ndjson"
     path.write_text(json.dumps({"committee_id": "C7"}) + "\n")
-    ingest.ingest_committee_file(spark, at, str(path), dry_run=True)
+    load = ingest.ingest_committee_file(spark, at, str(path), dry_run=True,
+                                        sample_path=str(tmp_path / "sample"))
+    assert not load.loaded and load.summary == {"committees": 1, "parties": {"Unknown": 1}}
+    assert spark.read.json(str(tmp_path / "sample")).count() == 1
     assert run.raw_committees(spark, at).count() == 2
     ingest.ingest_committee_file(spark, at, str(path))
     assert [r["committee_id"] for r in dicts(run.raw_committees(spark, at))] == ["C7"]
@@ -197,7 +228,7 @@ def test_orphans_stop_the_run(spark, root):
 
 def test_dimension_needs_facts(spark, root):
     with pytest.raises(EmptyLoadError):
-        ingest.ingest_committees(spark, Layers(root), committees(spark, []))
+        ingest.ingest_committees(spark, Layers(root), lines(spark, []), now=RUN)
 
 
 def test_stream_feeds_the_mart(spark, root, tmp_path):
@@ -207,15 +238,20 @@ def test_stream_feeds_the_mart(spark, root, tmp_path):
     options = Options(amount_type="decimal(18,2)")
     tables.write_dimension(committees(spark, [committee("C1")]), at.committees, append=False)
 
+    counts = []
+
     def drop(name, records):
         path = incoming / name
         path.parent.mkdir(exist_ok=True)
         path.write_text("\n".join(json.dumps(r) for r in records) + "\n\n")
-        query = start_refresh(spark, at, str(incoming), str(tmp_path / "ckpt"), options, 1)
+        query = start_refresh(spark, at, str(incoming), str(tmp_path / "ckpt"), options, 1,
+                              quarantine_path=str(tmp_path / "bad"), on_batch=counts.append)
         query.awaitTermination(300)
         assert query.exception() is None
 
-    drop("one/a.ndjson", [record(1), record(2, "C2"), record(None)])
+    drop("one/a.ndjson", [record(1), record(2, "C2"), record(None), record(8, amount="much")])
+    assert counts == [{"n_records": 4, "n_skipped": 1, "n_unreadable": 1}]
+    assert spark.read.json(str(tmp_path / "bad")).count() == 1
     drop("two/b.ndjson", [record(1, amount=25), record(3, day="2024-06-02")])
     drop("two/c.ndjson", [record(3, day="2024-06-02", amount=7)])
     got = {(str(r["contribution_receipt_date"]), r["committee_id"]): float(r["total_amount"])
