@@ -106,6 +106,7 @@ def judged(docs: DataFrame, *, host_col: str = "source", id_col: str = "doc_id",
     ``remove_lines`` also takes the lines above the limit out of the text; what is left keeps its
     order and its line ends.
     """
+    docs = docs.drop("n_common_words")
     lines = line_rows(docs, host_col, id_col, text_col)
     common = (lines.join(frequent_lines(lines, max_share, min_docs), ["__host", "__h1", "__h2"])
               .dropDuplicates(["__host", "__id", "__text", "__at"]))  # repeated rows count once

@@ -33,6 +33,7 @@ from tributary.session import scratch_path
 
 BLOCK = 256
 SEGMENT_IDS = 1 << 18
+SEGMENTS = "shard int, segment int, n_ids long, payload binary"
 HEAD = struct.Struct("<4sIIQ")
 BLOCK_HEAD = struct.Struct("<IBH")
 
@@ -246,7 +247,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, *, end_id: int = 1,
                           F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn(
         "__text", F.xxhash64("text")).sort(F.col("__id").asc_nulls_first(), "__text")
     (ordered.select(F.coalesce("__id", F.lit(0)).alias("doc_id"), F.col("__id").isNull().alias("no_id"), "text")
-     .mapInPandas(write, "shard int, segment int, n_ids long, payload binary")
+     .mapInPandas(write, SEGMENTS)
      .write.option("compression", "none").parquet(path))
 
 
@@ -270,7 +271,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 def _placed(spark: SparkSession, path: str) -> DataFrame:
     """Segments with the position of their first id, from the counts of shards and segments."""
-    segments = spark.read.parquet(path)
+    segments = spark.read.schema(SEGMENTS).parquet(path)
     shards = segments.groupBy("shard").agg(F.sum("n_ids").alias("__n")).withColumn(
         "__before", F.coalesce(F.sum("__n").over(
             Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
