@@ -40,7 +40,8 @@ def test_words_give_the_ids_of_whole_texts():
     from tokenizers import Tokenizer
     texts = [r[1] or "" for r in rows()] + [
         "Don't 'S <|endoftext|>x ab<|startoftext|> 12,a1!", "A b c\x1cd\x85e", "é ́x İI ΑΣ Σ",
-        "we'll THEY'VE it''s ***a*** \x00\x07."]
+        "we'll THEY'VE it''s ***a*** \x00\x07.", "J\u030c I\u0307x ﬁ K, É! Ab.,c AB's A1. (B) x<|endoftext|>, Q.",
+        "<|ENDOFTEXT|> Abc, abc' abc'd. \x1f!\x1c? ab\x85cd \u00a0x"]
     for path, by_word in ((WORDS, True), (BYTES, False)):
         own = token_blocks.WordEncoder(path, kept=50)
         assert own.by_word is by_word

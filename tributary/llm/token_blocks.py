@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -139,7 +140,11 @@ def unpack_segment(payload: bytes) -> tuple[list[int | None], np.ndarray, np.nda
 
 # ---- encoding ----
 
-_WORD = re.compile(rb"([A-Za-z]+)([^A-Za-z0-9\x80-\xff]*)")
+#: ASCII letters that only punctuation follows, that punctuation, or any other word.
+_PARTS = re.compile(rb"[a-z]+(?=[!-/:-@\[-`{-~]*(?:[\x20\x09-\x0d]|\Z))"
+                    rb"|(?<=[a-z])[!-/:-@\[-`{-~]+(?=[\x20\x09-\x0d]|\Z)|[^\x20\x09-\x0d]+")
+#: Characters beyond U+017F could combine with a letter whose case was changed.
+_FAR = re.compile(rb"[\xc6-\xff]|<\|")
 _PROBES = ["Ab cd\tEF", "don't, Été! 12a", "x.\n\ny", "word*** a|b"]
 
 
@@ -147,57 +152,45 @@ class WordEncoder:
     """Ids of whole texts as little-endian u32 bytes, by a file of the tokenizers library.
 
     If the tokenizer drops white space and joins nothing across it, a text's ids are its words'
-    ids, so each word is encoded once and kept. A word of ASCII letters and then punctuation is kept
-    by its lower-case letters and its punctuation where the tokenizer parts them. Probe texts decide
-    whether either holds; otherwise whole texts are encoded. Kept words are bounded.
+    ids, so each word is encoded once and kept; if it also ignores case and parts letters from
+    punctuation, words are kept in lower case and without the punctuation behind them. Probe texts
+    decide whether each holds; otherwise whole texts are encoded. What is kept is bounded.
     """
 
-    def __init__(self, path: str, kept: int = 400_000) -> None:
+    def __init__(self, path: str, kept: int = 800_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kept, self.words, self.stems = kept, {}, {}
+        self.kept, self.known = kept, {}
         plain = [self._ids(x) for x in _PROBES]
-        parts = [b"".join(self._ids(w.decode()) for w in x.encode().split()) for x in _PROBES]
-        self.by_word = plain == parts
-        self.by_stem = self.by_word and self._ids("Thing,***") == self._ids("thing") + self._ids(",***")
+        words = [b"".join(self._ids(w.decode()) for w in x.encode().split()) for x in _PROBES]
+        self.by_word = plain == words
+        self.by_part = self.by_word and self._ids("Thing,***") == self._ids("thing") + self._ids(",***")
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _batch(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def _learn(self, missing: set[bytes]) -> None:
-        if len(self.words) + len(missing) > self.kept:
-            self.words.clear()
-        if len(self.stems) > self.kept:
-            self.stems.clear()
-        split, other = {}, []
-        for word in missing:
-            m = _WORD.fullmatch(word) if self.by_stem else None
-            if m:
-                split[word] = (m[1].lower(), m[2])
-            else:
-                other.append(word)
-        new = list({x for pair in split.values() for x in pair if x and x not in self.stems})
-        for words, kept in ((new, self.stems), (other, self.words)):
-            kept.update(zip(words, self._batch([x.decode("utf-8", "replace") for x in words])))
-        self.stems[b""] = b""
-        stems = self.stems
-        self.words.update((word, stems[a] + stems[b]) for word, (a, b) in split.items())
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", x.ids).tobytes() for x in found]
+
+    def _split(self, raw: bytes) -> list[bytes]:
+        return _PARTS.findall(raw.lower()) if self.by_part and not _FAR.search(raw) else raw.split()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self._batch(texts)
-        split = [x.encode("utf-8", "replace").split() for x in texts]
-        missing = set().union(*split).difference(self.words) if split else set()
+        if len(self.known) > self.kept:
+            self.known = {}
+        known = self.known
+        split = [self._split(x.encode("utf-8", "replace")) for x in texts]
+        found = [list(map(known.get, words)) for words in split]
+        missing = list({w for words, ids in zip(split, found) if None in ids
+                        for w, own in zip(words, ids) if own is None})
         if missing:
-            need = set().union(*split) if len(self.words) + len(missing) > self.kept else missing
-            self._learn(need)
-        get = self.words.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+            known.update(zip(missing, self._batch([x.decode("utf-8", "replace") for x in missing])))
+        return [b"".join(map(known.__getitem__, words) if None in ids else ids)
+                for words, ids in zip(split, found)]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -228,8 +221,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, *, end_id: int = 1,
         held: list[np.ndarray] = []
         size = 0
         for frame in frames:
-            for at in range(0, len(frame), 64):
-                part = frame.iloc[at:at + 64]
+            for at in range(0, len(frame), 256):
+                part = frame.iloc[at:at + 256]
                 ids = encode(part["text"].tolist())
                 for number, missing, own in zip(part["doc_id"].tolist(), part["no_id"].tolist(), ids):
                     numbers.append(None if missing else number)
