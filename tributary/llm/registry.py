@@ -9,6 +9,7 @@ from .minmax_dedup import op8_minmax_dedup
 from .mixing import op4_mixing
 from .mtree import op7_mtree
 from .passage_quality import op5_passage_quality
+from .oracles import ORACLES
 from .sampled_pieces import op9_sampled_pieces
 from .token_blocks import op1_token_blocks
 from .toxicity import op3_toxicity
@@ -26,4 +27,4 @@ QUERIES = {
     "op10_hash_tree": op10_hash_tree,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
