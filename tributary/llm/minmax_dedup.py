@@ -8,12 +8,13 @@ chance below 5e-7. Within a bucket (classes that agree on a band):
 
 1. every member is compared with one pivot, the member that shares most buckets overall;
 2. connected components are formed from the links found;
-3. buckets whose members are not all connected are finished. Only shingles that occur in another
-   component of such a bucket can support a link between components; a set in which too few do
-   has no such link and leaves. Of the others, members outside the bucket's largest component meet
-   every member of another component, unless set sizes, the numbers of such shingles, the triangle
-   inequality over the distances to the pivot, or the signatures (estimate below 0.6, more than 8
-   standard errors under the threshold) rule a link out.
+3. buckets whose members are not all connected are finished. Each member is compared with the hub
+   of the bucket's largest component. Only shingles that occur in another component can support a
+   link between components; a set in which too few do has no such link and leaves. Of the others,
+   members outside the largest component meet every member of another one, unless set sizes, the
+   most shingles two sets can share (at most the smaller part inside the hub and the smaller part
+   outside it), the triangle inequality over the distances to the hub, or the signatures (estimate
+   below 0.6, more than 8 standard errors under the threshold) rule a link out.
 
 Pairs inside a component need no comparison, so a large group of copies costs one comparison per
 class, and no link between components is left out. Every link is confirmed on whole sets of 64-bit
@@ -143,14 +144,19 @@ def _may_link(n: str, m: str, most: Column, percent: int) -> Column:
     return 100 * most >= percent * (F.col(n) + F.col(m) - most)
 
 
-def _supported(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, common): how many of a set's shingles occur in another component, where enough do."""
-    nodes = rest.select("node", "part", "n").distinct()
+def _supported(rest: DataFrame, hubs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, common, __shared): a set's shingles that occur in another component, where enough do.
+
+    Hubs count among the components' sets, whether or not their buckets are mixed.
+    """
+    nodes = rest.select("node", "part", "n").union(
+        hubs.select("hub", "part", F.lit(None).alias("n"))).groupBy("node", "part").agg(F.max("n").alias("n"))
     shingles = nodes.join(sets, "node").select("node", "part", "n", F.explode("__hashes").alias("h"))
     shared = shingles.groupBy("h").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter(
         "low <> high")
-    common = shingles.join(shared, "h", "left_semi").groupBy("node", "n").agg(F.count("*").alias("common"))
-    return common.filter(100 * F.col("common") >= percent * F.col("n")).select("node", "common")
+    common = shingles.join(shared, "h", "left_semi").groupBy("node", "n").agg(
+        F.count("*").alias("common"), F.collect_list("h").alias("__shared"))
+    return common.filter(100 * F.col("common") >= percent * F.col("n")).drop("n")
 
 
 def _alike(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -203,28 +209,42 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 2, percent: int = 80, id_
     counts = member_parts.groupBy("key", "part").agg(F.count("*").alias("c"))
     mixed = counts.groupBy("key").agg(F.count("*").alias("parts"), F.max_by(
         "part", F.struct("c", -F.col("part"))).alias("main")).filter("parts > 1").select("key", "main")
-    distance = tested.select(F.col("u").alias("node"), F.col("v").alias("pivot"),
-                             (1 - F.col("common") / F.col("whole")).alias("far"))
-    rest = (member_parts.join(mixed, "key").join(pivots.select("key", "pivot"), "key")
-            .join(distance, ["node", "pivot"], "left")
-            .withColumn("far", F.when(F.col("node") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("far"))))
-    rest = stored(rest.select("key", "node", "n", "part", "main", "far"), "rest")
-    rest = stored(rest.join(_supported(rest, sets, percent), "node"), "rest")
+    hubs = (member_parts.select("node", "part").distinct().join(central, "node").groupBy("part").agg(
+        F.max_by("node", F.struct("central", -F.col("node"))).alias("hub")))
+    rest = member_parts.join(mixed, "key").join(hubs.withColumnRenamed("part", "main"), "main")
+    rest = stored(rest.select("key", "node", "n", "part", "main", "hub"), "rest")
+    probes = rest.select(F.col("node").alias("u"), F.col("hub").alias("v")).filter("u <> v").distinct()
+    probed = stored(_compared(probes, sets, percent), "probed")
+    able = _supported(rest, hubs, sets, percent)
+    outside = (rest.select("node", "hub").distinct().join(able, "node")
+               .join(sets.select(F.col("node").alias("hub"), "__hashes"), "hub")
+               .select("node", "hub", "common", F.size(F.array_except("__shared", "__hashes")).alias("o")))
+    rest = (rest.join(outside, ["node", "hub"]).join(probed.select(
+        F.col("u").alias("node"), F.col("v").alias("hub"), "linked", F.col("common").alias("c"),
+        (1 - F.col("common") / F.col("whole")).alias("far")), ["node", "hub"], "left"))
+    is_hub = F.col("node") == F.col("hub")
+    rest = rest.withColumns({
+        "c": F.when(is_hub, F.col("n")).otherwise(F.col("c")),
+        "far": F.when(is_hub, F.lit(0.0)).otherwise(F.col("far")),
+        "part": F.when(F.coalesce("linked", F.lit(False)), F.col("main")).otherwise(F.col("part"))})
+    rest = stored(rest.drop("linked", "hub"), "rest")
     a, b = (rest.select(*[F.col(c).alias(f"{side}_{c}") for c in rest.columns]) for side in "ab")
     reach = 1 - percent / 100 + 1e-9
+    most = F.least(F.least("a_common", "b_common"), F.least("a_c", "b_c") + F.least("a_o", "b_o"))
     second = a.filter("a_part <> a_main").join(b, (
         (F.col("a_key") == F.col("b_key")) & (F.col("a_part") != F.col("b_part"))
         & ((F.col("b_part") == F.col("b_main")) | (F.col("a_node") < F.col("b_node")))
         & (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
-        & _may_link("a_n", "b_n", F.least("a_common", "b_common"), percent)
-        & (F.coalesce(F.abs(F.col("a_far") - F.col("b_far")), F.lit(0.0)) <= reach)))
+        & _may_link("a_n", "b_n", most, percent)
+        & (F.abs(F.col("a_far") - F.col("b_far")) <= reach)))
     second = second.select(F.least("a_node", "b_node").alias("u"), F.greatest("a_node", "b_node").alias("v")).distinct()
-    known = tested.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    known = tested.select("u", "v").union(probed.select("u", "v")).select(
+        F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     second = second.join(known, ["u", "v"], "left_anti")
     marks = classes.select("node", "__signature")
     second = (second.join(marks.toDF("u", "__x"), "u").join(marks.toDF("v", "__y"), "v")
               .filter(F.pandas_udf(_alike, "double")("__x", "__y") >= 0.6).select("u", "v"))
-    more = stored(_compared(second, sets, percent), "more").filter("linked")
+    more = stored(_compared(second, sets, percent).union(probed), "more").filter("linked")
     if more.isEmpty():
         whole = parts
     else:
