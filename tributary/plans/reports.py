@@ -40,10 +40,11 @@ def party_full_rollup(summary: DataFrame) -> DataFrame:
 
 
 def top_committees(summary: DataFrame, n: int = 12) -> DataFrame:
+    """Whole names, and labels that a chart has room for."""
     rows = ranked(summary, zero_if_null(F.col("total_raised")), n, ["committee_id"])
+    name = name_or_id(F.col("committee_name"), F.col("committee_id"))
     return rows.select(
-        "committee_id",
-        display.shortened(name_or_id(F.col("committee_name"), F.col("committee_id"))).alias("label"),
+        "committee_id", name.alias("name"), display.shortened(name).alias("label"),
         zero_if_null(F.col("total_raised")).alias("total_raised"),
         party_class(label()).alias("party_class"),
     )

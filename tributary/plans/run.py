@@ -131,6 +131,14 @@ def staged_for_marts(spark: SparkSession, layers: Layers,
     return staging.stg_contributions(raw_facts(spark, layers), options).select(*STAGED_FOR_MARTS)
 
 
+def publish_staging(spark: SparkSession, layers: Layers, options: Options = Options()) -> None:
+    """Both staging views under their names, for queries in the same session."""
+    tables.publish_view(staging.stg_contributions(raw_facts(spark, layers), options),
+                        "stg_contributions")
+    tables.publish_view(staging.stg_committees(raw_committees(spark, layers), options),
+                        "stg_committees")
+
+
 def build_and_check(spark: SparkSession, layers: Layers, options: Options = Options(),
                     thresholds: Thresholds = Thresholds(), full_refresh: bool = False,
                     repair_moved_keys: bool = False) -> MartRun:
@@ -140,6 +148,7 @@ def build_and_check(spark: SparkSession, layers: Layers, options: Options = Opti
     with stored(staged_for_marts(spark, layers, options), "staged") as staged:
         refresh_summary(spark, layers, options, staged)
         require_clean(check_marts(spark, layers, staged, options, thresholds))
+    publish_staging(spark, layers, options)
     return daily
 
 

@@ -414,7 +414,7 @@ ORACLES: dict[str, str] = {
                round(sum(total_amount), 2) AS total
         FROM daily GROUP BY 1 ORDER BY 3 DESC, 1 LIMIT 10""", "daily"),
     "top_committees": _sql("""
-        SELECT committee_id,
+        SELECT committee_id, who AS name,
                CASE WHEN length(who) > 42 THEN substring(who, 1, 41) || '…' ELSE who END AS label,
                total_raised, party_class
         FROM (SELECT *, coalesce(nullif(committee_name, ''), committee_id) AS who FROM classed) c
@@ -497,3 +497,9 @@ ORACLES: dict[str, str] = {
                CAST(sum(total_contributions) AS BIGINT) AS total_contributions
         FROM summary""", "daily", "summary"),
 }
+
+# What a run publishes equals what is exported.
+ORACLES["pipeline_run"] = ORACLES["export_daily"]
+ORACLES["published_summary"] = ORACLES["export_summary"]
+ORACLES["dimension_reload"] = _sql("""
+    SELECT committee_id, name, party, party_full, state, _loaded_at FROM com_raw""", "com_raw")

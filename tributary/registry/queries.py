@@ -14,12 +14,12 @@ from tributary.operators.incremental import (affected_keys, dimension_refresh_pl
                                              existing_dimension_state, high_water_mark,
                                              rows_after_mark, watermark_window)
 from tributary.options import Thresholds
-from tributary.plans import marts, normalise, reports, run, staging
+from tributary.plans import ingest, marts, normalise, reports, run, staging
 from tributary.plans.checks import dq_suite
-from tributary.plans.stored import append_facts
+from tributary.plans.stored import append_facts, raw_committees
 from tributary.registry import adapters, wire
 from tributary.registry.adapters import AS_OF, FIRST_LOAD_END, NOW, OPTIONS
-from tributary.schemas import RAW_FACTS
+from tributary.schemas import RAW_FACTS, ddl
 from tributary.session import scratch_path, store
 from tributary.sources import export, landing, layers as tables
 from tributary.sources.layers import Layers
@@ -295,6 +295,50 @@ def _feed_tables(spark: SparkSession, sf: str, grain: str) -> Layers:
     return at
 
 
+def _built_tables(spark: SparkSession, sf: str) -> Layers:
+    """Raw tables, both marts and published snapshots of a whole run."""
+    at = Layers(scratch_path(spark, "layers"), grain="month")
+    raw = adapters.contributions(spark, sf).select(
+        *[F.col(c).cast(kind).alias(c) for c, kind in RAW_FACTS.items()])
+    append_facts(raw, at)
+    tables.write_dimension(adapters.committees(spark, sf).withColumn(
+        "_loaded_at", F.col("_loaded_at").cast("timestamp")), at.committees, append=False)
+    run.refresh_daily(spark, at, OPTIONS)
+    run.refresh_summary(spark, at, OPTIONS)
+    run.export_marts(spark, at, OPTIONS, exported_at=NOW, publish_to=at.export_path("published"))
+    return at
+
+
+def _published(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    path = _built_tables(spark, sf).export_path(f"published/{name}")
+    return spark.read.schema(ddl(export.SNAPSHOTS[name][0])).json(path)
+
+
+@query("pipeline_run")
+def q_pipeline_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily snapshot that a whole run publishes, read back from its files."""
+    return _published(spark, sf, "daily_contributions")
+
+
+@query("published_summary")
+def q_published_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return _published(spark, sf, "committee_summary")
+
+
+@query("dimension_reload")
+def q_dimension_reload(spark: SparkSession, sf: str) -> DataFrame:
+    """The dimension landed as JSON, loaded over an older one, and read back."""
+    at = Layers(scratch_path(spark, "layers"))
+    rows = adapters.committees(spark, sf).withColumn("_loaded_at", F.col("_loaded_at").cast("timestamp"))
+    tables.write_dimension(rows.limit(1), at.committees, append=False)
+    path = landing.land(rows, f"{at.root}/landing/committees",
+                        dt.datetime(2001, 8, 5, 12, 0, tzinfo=dt.UTC))
+    ingest.ingest_committee_file(spark, at, path)
+    loaded = raw_committees(spark, at)
+    return loaded.select("committee_id", "name", "party", "party_full", "state",
+                         F.col("_loaded_at").cast("timestamp_ntz").alias("_loaded_at"))
+
+
 @query("incremental_run")
 def q_incremental_run(spark: SparkSession, sf: str) -> DataFrame:
     """The stored mart after a first run and an incremental run over partitioned tables."""

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tributary.functions.cleaning import zero_if_null
 from tributary.functions.labels import NO_NAME
-from tributary.schemas import EXPORT_DAILY, EXPORT_META, EXPORT_SUMMARY, ddl
-from tributary.sources.layers import read_or_none
+from tributary.schemas import EXPORT_DAILY, EXPORT_META, EXPORT_SUMMARY
 
 # Snapshot name -> (columns, sort order); fixed names.
 SNAPSHOTS = {
@@ -81,14 +81,25 @@ def write_snapshots(root: str, daily: DataFrame, summary: DataFrame, meta: DataF
 
 
 def publish(spark: SparkSession, root: str, target: str) -> list[str]:
-    """Copy the snapshots to any Hadoop file system; fails before copying if one is missing."""
-    found = {}
-    for name, (columns, order) in SNAPSHOTS.items():
-        path = f"{root.rstrip('/')}/{name}"
-        if read_or_none(spark, path, {"_": "string"}) is None:
-            raise FileNotFoundError(f"missing export: {path}")
-        found[name] = _ordered(spark.read.schema(ddl(columns)).json(path), order)
-    for name, df in found.items():
-        df.write.mode("overwrite").option("ignoreNullFields", "false") \
-            .json(f"{target.rstrip('/')}/{name}")
-    return [f"{target.rstrip('/')}/{name}" for name in found]
+    """Copy the snapshots' files to any Hadoop file system; fails before copying if one is missing.
+
+    All of them are copied beside the target first and then put in place one after another, so
+    readers never see a half-copied snapshot.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    top, next_to = target.rstrip("/"), f"{target.rstrip('/')}/.next-{uuid.uuid4().hex}"
+    paths = {name: hadoop.Path(f"{root.rstrip('/')}/{name}") for name in SNAPSHOTS}
+    for path in paths.values():
+        if not path.getFileSystem(conf).exists(path):
+            raise FileNotFoundError(f"missing export: {path.toString()}")
+    files = hadoop.Path(top).getFileSystem(conf)
+    files.mkdirs(hadoop.Path(next_to))
+    for name, path in paths.items():
+        hadoop.FileUtil.copy(path.getFileSystem(conf), path, files,
+                             hadoop.Path(f"{next_to}/{name}"), False, conf)
+    for name in paths:
+        files.delete(hadoop.Path(f"{top}/{name}"), True)
+        files.rename(hadoop.Path(f"{next_to}/{name}"), hadoop.Path(f"{top}/{name}"))
+    files.delete(hadoop.Path(next_to), True)
+    return [f"{top}/{name}" for name in paths]
