@@ -126,8 +126,10 @@ def repeated_runs(docs: DataFrame, *, min_words: int = 50, id_col: str = "doc_id
         found = own if found is None else found.union(own)
     found = stored(found, "runs")
     interval = ["lines", "head", "tail"]
-    first = found.groupBy(*interval).agg(
-        F.min(F.struct("__id", "__text", "start")).alias("first"), F.count("*").alias("__n")).filter("__n > 1")
+    # stored, so that the join below reads plain shuffles, whose hot intervals Spark can split
+    first = stored(found.groupBy(*interval).agg(
+        F.min(F.struct("__id", "__text", "start")).alias("first"), F.count("*").alias("__n"))
+        .filter("__n > 1").drop("__n"), "first")
     return (found.join(first, interval)
             .filter(F.struct("__id", "__text", "start") != F.col("first"))
             .select("__id", "__text", "start", "end"))

@@ -183,7 +183,8 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 2, percent: int = 80, id_
             F.any_value("__bands").alias("__bands"), F.any_value("__signature").alias("__signature"))
         .withColumn("node", F.monotonically_increasing_id()), "classes")
     banded = classes.select("node", F.col("n").cast("int").alias("n"), F.explode("__bands").alias("key"))
-    crowded = banded.groupBy("key").agg(F.count("*").alias("crowd")).filter("crowd > 1")
+    # stored, so that the join below reads plain shuffles, whose hot buckets Spark can split
+    crowded = stored(banded.groupBy("key").agg(F.count("*").alias("crowd")).filter("crowd > 1"), "crowded")
     members = stored(banded.join(crowded, "key"), "members")
     central = members.groupBy("node").agg(F.sum("crowd").alias("central"))
     pivots = stored(members.join(central, "node").groupBy("key").agg(F.max_by(
