@@ -157,7 +157,7 @@ class WordEncoder:
     decide whether each holds; otherwise whole texts are encoded. What is kept is bounded.
     """
 
-    def __init__(self, path: str, kept: int = 800_000) -> None:
+    def __init__(self, path: str, kept: int = 600_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -171,8 +171,9 @@ class WordEncoder:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _batch(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", x.ids).tobytes() for x in found]
+        """Ids of many texts; few at a time, as the library's results are large."""
+        return [array("I", x.ids).tobytes() for at in range(0, len(texts), 1000)
+                for x in self.tokenizer.encode_batch_fast(texts[at:at + 1000], add_special_tokens=False)]
 
     def _split(self, raw: bytes) -> list[bytes]:
         return _PARTS.findall(raw.lower()) if self.by_part and not _FAR.search(raw) else raw.split()
