@@ -18,7 +18,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(33))
 
 
-class _Powers:
+class Powers:
     """Powers of an odd multiplier and of its inverse modulo 2^64, as far as they were needed."""
 
     def __init__(self, base: int) -> None:
@@ -35,7 +35,7 @@ class _Powers:
         return self.up, self.down
 
 
-_POWERS = _Powers(0x9E3779B97F4A7C15)
+_POWERS = Powers(0x9E3779B97F4A7C15)
 
 
 def word_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

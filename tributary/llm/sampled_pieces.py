@@ -17,9 +17,7 @@ with the names of result columns are replaced.
 
 from __future__ import annotations
 
-import math
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,12 +25,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hashing import U64, mixed
+from .hashing import U64, Powers, mixed
 
 _SEGMENT = re.compile(r" *[^ ]+| +")
 _GOLDEN = U64(0x9E3779B97F4A7C15)
-#: Entries of kept lattices in one worker; about 13 bytes each, and their segments.
-KEPT = 5_000_000
+#: Entries of kept lattices in one worker; 13 bytes each, and their segments.
+KEPT = 8_000_000
+
+
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 class PieceSampler:
@@ -42,8 +44,8 @@ class PieceSampler:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         size = model.get_piece_size()
         self.byte_id = {b: model.piece_to_id(f"<0x{b:02X}>") for b in range(256)}
-        special = [i for i in range(size) if model.is_control(i) or model.is_unknown(i) or model.is_byte(i)]
-        plain = [i for i in range(size) if i not in set(special)]
+        special = {i for i in range(size) if model.is_control(i) or model.is_unknown(i) or model.is_byte(i)}
+        plain = [i for i in range(size) if i not in special]
         weights = [(rank + 2.0) ** -sharpness for rank in range(len(plain))]
         total = sum(weights)
         self.pieces = {model.id_to_piece(i).replace("▁", " "): (i, w / total) for i, w in zip(plain, weights)}
@@ -54,55 +56,80 @@ class PieceSampler:
             self.spelled[i] = piece.encode()
         for b, i in self.byte_id.items():
             self.spelled[i] = bytes([b])
+        self.powers = Powers(0x9E3779B97F4A7C15)
+        self.by_length = []
+        for n in range(1, self.longest + 1):
+            own = [p for p in self.pieces if len(p) == n]
+            found = self._hashes(_points("".join(own)), n)[::n] if own else np.empty(0, U64)
+            order = np.argsort(found)
+            self.by_length.append((found[order], np.array([self.pieces[p][0] for p in own], np.int32)[order],
+                                   np.array([self.pieces[p][1] for p in own], float)[order]))
+        self.bytes_of = np.array([self.byte_id[b] for b in range(128)], np.int32)
         self._forget()
 
     def _forget(self) -> None:
         self.segments: dict[str, int] = {}
-        self.nodes = 0
-        self._new_keys, self._new_ids, self._new_lengths = array("Q"), array("i"), array("i")
-        self.keys, self.ids = np.empty(0, U64), np.empty(0, np.int32)
-        self.lengths = np.empty(0, np.int32)
-
-    def _learn(self, segment: str) -> None:
-        """Filter one segment forward and keep each place's cumulative probabilities.
-
-        Sums are kept in proportion to the largest at each place (logarithms carry the rest), so
-        long segments do not underflow.
+        self.nodes = self.filled = 0
+        self.keys = np.empty(1 << 20, U64)
+        self.ids, self.lengths = np.empty(1 << 20, np.int32), np.empty(1 << 20, np.int8)
+
+    def _hashes(self, points: np.ndarray, n: int) -> np.ndarray:
+        """Hash of the n characters from each place."""
+        up, down = self.powers.reach(len(points) + 1)
+        with np.errstate(over="ignore"):
+            sums = np.concatenate((np.zeros(1, U64), np.cumsum((points.astype(U64) + U64(1)) * up[:len(points)])))
+            return (sums[n:] - sums[:-n]) * down[:len(points) + 1 - n]
+
+    def _learn(self, segments: list[str]) -> None:
+        """Filter segments forward and keep each place's cumulative probabilities.
+
+        All segments advance together, one character a step. Sums of the last places are kept in
+        proportion to the newest, so long segments do not underflow.
         """
-        get, longest, n = self.pieces.get, self.longest, len(segment)
-        logs, node = [0.0], self.nodes
-        keys, ids, lengths = self._new_keys, self._new_ids, self._new_lengths
-        for e in range(1, n + 1):
-            found = []
-            for b in range(max(0, e - longest), e):
-                piece = get(segment[b:e])
-                if piece:
-                    found.append((logs[b] + math.log(piece[1]), piece[0], e - b))
-            char = segment[e - 1]
-            if char not in self.pieces:
-                code = ord(char)
-                size = len(char.encode())
-                found.append((logs[e - 1] + size * math.log(self.byte_weight),
-                              self.byte_id[code] if code < 128 else -code, 1))
-            top = max(f[0] for f in found)
-            shares = [math.exp(f[0] - top) for f in found]
-            total = sum(shares)
-            logs.append(top + math.log(total))
-            first, run, last = (node + e) << 32, 0.0, len(found) - 1
-            for k, (share, f) in enumerate(zip(shares, found)):
-                run += share
-                keys.append(first + ((1 << 32) if k == last else min(int(run / total * 4294967296.0), 4294967295)))
-                ids.append(f[1])
-                lengths.append(f[2])
-        self.segments[segment] = node << 32 | n
-        self.nodes += n + 1
-
-    def _table(self) -> None:
-        if self._new_keys:
-            self.keys = np.concatenate((self.keys, np.frombuffer(self._new_keys, U64)))
-            self.ids = np.concatenate((self.ids, np.frombuffer(self._new_ids, np.int32)))
-            self.lengths = np.concatenate((self.lengths, np.frombuffer(self._new_lengths, np.int32)))
-            self._new_keys, self._new_ids, self._new_lengths = array("Q"), array("i"), array("i")
+        size = np.array([len(s) for s in segments], np.int64)
+        start = np.cumsum(size) - size
+        points = _points("".join(segments))
+        place = np.arange(len(points)) - np.repeat(start, size)
+        weight = np.zeros((len(points), self.longest))
+        ids = np.zeros((len(points), self.longest), np.int32)
+        for n, (known, own, w) in enumerate(self.by_length, 1):
+            if not len(known) or len(points) < n:
+                continue
+            found = self._hashes(points, n)
+            at = np.minimum(np.searchsorted(known, found), len(known) - 1)
+            ends = np.flatnonzero((known[at] == found) & (place[n - 1:] >= n - 1))
+            weight[ends + n - 1, n - 1], ids[ends + n - 1, n - 1] = w[at[ends]], own[at[ends]]
+        bare = np.flatnonzero(weight[:, 0] == 0)
+        if len(bare):
+            code = points[bare].astype(np.int64)
+            spelled = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
+            weight[bare, 0] = self.byte_weight ** spelled
+            ids[bare, 0] = np.where(code < 128, self.bytes_of[np.minimum(code, 127)], -code)
+        limit = np.empty(weight.shape, U64)
+        order = np.argsort(-size, kind="stable")
+        active = np.searchsorted(-size[order], -np.arange(size.max()), side="left")  # segments longer than the step
+        sums = np.zeros((len(segments), self.longest))
+        sums[:, 0] = 1.0
+        for step, n in enumerate(active.tolist()):
+            at, sums = start[order[:n]] + step, sums[:n]
+            run = np.cumsum(weight[at] * sums, axis=1)
+            total = run[:, -1:]
+            limit[at] = np.floor(run / total * 4294967296.0).astype(U64)
+            older = np.minimum(sums[:, :-1] / total, 1e300)
+            sums = np.concatenate((np.ones((n, 1)), older), axis=1)
+        kept = weight > 0
+        key = ((self.nodes + np.arange(len(points))).astype(U64)[:, None] << U64(32)) + limit
+        end = self.filled + int(kept.sum())
+        while end > len(self.keys):
+            self.keys, self.ids, self.lengths = (np.concatenate((x, np.empty_like(x)))
+                                                 for x in (self.keys, self.ids, self.lengths))
+        self.keys[self.filled:end] = key[kept]
+        self.ids[self.filled:end] = ids[kept]
+        self.lengths[self.filled:end] = np.nonzero(kept)[1] + 1
+        self.filled = end
+        # the place after e characters of a segment is its entry's node plus e
+        self.segments.update(zip(segments, ((self.nodes + start) << 32 | size).tolist()))
+        self.nodes += len(points)
 
     def encode(self, texts: list[str], seeds: np.ndarray) -> list[np.ndarray]:
         """Sampled piece ids of each text."""
@@ -110,11 +137,18 @@ class PieceSampler:
         segments = [s for parts in cut for s in parts]
         if not segments:
             return [np.empty(0, np.int32) for _ in texts]
-        if len(self.keys) > KEPT:
+        if self.filled > KEPT:
             self._forget()
+        new, chars = [], 0
         for s in set(segments).difference(self.segments):
-            self._learn(s)
-        self._table()
+            new.append(s)
+            chars += len(s)
+            if chars > 30_000:
+                self._learn(new)
+                new, chars = [], 0
+        if new:
+            self._learn(new)
+        keys = self.keys[:self.filled]
         entry = np.array([self.segments[s] for s in segments], np.int64)
         start, size = entry >> 32, entry & 0xFFFFFFFF
         counts = np.array([len(p) for p in cut])
@@ -130,7 +164,7 @@ class PieceSampler:
             at = left[active]
             with np.errstate(over="ignore"):
                 draw = mixed(seed[active] + (place[active] + at).astype(U64) * _GOLDEN) >> U64(32)
-            chosen = np.searchsorted(self.keys, ((start[active] + at).astype(U64) << U64(32)) + draw, side="right")
+            chosen = np.searchsorted(keys, ((start[active] + at - 1).astype(U64) << U64(32)) + draw, side="right")
             drawn.append((active, self.ids[chosen]))
             at = at - self.lengths[chosen]
             left[active] = at
