@@ -6,14 +6,16 @@ by gradient descent on the document likelihood; sentences need no labels. The sa
 probabilities then locate the offending sentences.
 
 Words are runs of letters and digits, A-Z lower-cased; sentences end at ``.``, ``!``, ``?`` or a line
-end. Only words whose document frequencies in the two classes differ by more than ``min_z``
-standard errors are weighted. The sample holds at most ``max_rows`` labelled rows; scoring reads
+end. A word's features are itself and its first 4 to 8 bytes, as insults are inflected and
+compounded. Only features whose document frequencies in the two classes differ by more than
+``min_z`` standard errors are weighted. The sample holds at most ``max_rows`` labelled rows; scoring reads
 whole texts of all rows. Null and empty texts have no sentence and score 0. Without any positive or
 any negative label every score is 0. Repeated rows get equal scores.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -37,31 +39,57 @@ for _c in range(128):
 _PLAIN = bytes(_PLAIN)
 
 
+PREFIXES = (4, 5, 6, 7, 8)
+
+
 class Model(NamedTuple):
+    """Weights of features and the bias of a sentence."""
+
     weights: dict[bytes, float]
     bias: float
 
 
+def _features(word: bytes) -> list[bytes]:
+    """The word, and its first bytes as stems that inflected or compounded words share."""
+    return [word, *[word[:n] + b"*" for n in PREFIXES if len(word) > n]]
+
+
+class _WordWeights(dict):
+    """Weight of a word: the sum of its features' weights, kept once computed, within a bound."""
+
+    def __init__(self, weights: dict[bytes, float], bound: int = 300_000) -> None:
+        super().__init__()
+        self.weights, self.bound = weights, bound
+
+    def __missing__(self, word: bytes) -> float:
+        if len(self) >= self.bound:
+            self.clear()
+        get = self.weights.get
+        self[word] = found = sum(get(f, 0.0) for f in _features(word))
+        return found
+
+
 def _sentences(text: str | None) -> list[list[bytes]]:
     plain = (text or "").encode("utf-8", "surrogatepass").translate(_PLAIN)
     return [words for words in map(bytes.split, plain.split(b"\n")) if words]
 
 
-def _telling(bags: list[set[bytes]], y: np.ndarray, min_z: float, min_docs: int) -> list[bytes]:
-    """Words whose document frequencies in the classes differ clearly."""
+def _telling(texts: list[str], y: np.ndarray, min_z: float, min_docs: int) -> list[bytes]:
+    """Features whose document frequencies in the classes differ clearly."""
     seen, toxic = Counter(), Counter()
-    for bag, label in zip(bags, y):
+    for text, label in zip(texts, y):
+        bag = {f for words in _sentences(text) for w in words for f in _features(w)}
         seen.update(bag)
         if label:
             toxic.update(bag)
     n1, n = int(y.sum()), len(y)
     out = []
-    for word, count in seen.items():
+    for feature, count in seen.items():
         if count >= min_docs:
-            share, a = count / n, toxic[word] / n1
-            b = (count - toxic[word]) / (n - n1)
+            share, a = count / n, toxic[feature] / n1
+            b = (count - toxic[feature]) / (n - n1)
             if abs(a - b) > min_z * (share * (1 - share) * (1 / n1 + 1 / (n - n1))) ** 0.5:
-                out.append(word)
+                out.append(feature)
     return sorted(out)
 
 
@@ -71,18 +99,17 @@ def fit(texts: list[str], y: np.ndarray, *, min_z: float = 4.0, min_docs: int =
     y = np.asarray(y, bool)
     if not y.any() or y.all():
         return Model({}, -60.0)
-    docs = [_sentences(t) for t in texts]
-    words = _telling([set().union(*d) if d else set() for d in docs], y, min_z, min_docs)
-    number = {w: i for i, w in enumerate(words)}
-    doc_of, sentence, feature = [], [], []
-    for d, sentences in enumerate(docs):
-        for s in sentences:
-            for f in {number[w] for w in s if w in number}:
+    names = _telling(texts, y, min_z, min_docs)
+    number = {f: i for i, f in enumerate(names)}
+    doc_of, sentence, feature = array("q"), array("q"), array("q")
+    for d, text in enumerate(texts):
+        for words in _sentences(text):
+            for f in [number[f] for w in set(words) for f in _features(w) if f in number]:
                 sentence.append(len(doc_of))
                 feature.append(f)
             doc_of.append(d)
     doc_of, sentence, feature = (np.array(x, np.int64) for x in (doc_of, sentence, feature))
-    theta = np.zeros(len(words) + 1)
+    theta = np.zeros(len(names) + 1)
     theta[-1] = -4.0
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
@@ -91,31 +118,21 @@ def fit(texts: list[str], y: np.ndarray, *, min_z: float = 4.0, min_docs: int =
         # d loss / d total: 1 for a clean document, -1 / (exp(total) - 1) for a toxic one
         slope = np.where(y, -1 / np.expm1(np.clip(total, 1e-6, 50)), 1.0) / len(y)
         g = slope[doc_of] / (1 + np.exp(-z))
-        grad = np.append(np.bincount(feature, g[sentence], minlength=len(words)) + decay * theta[:-1], g.sum())
+        grad = np.append(np.bincount(feature, g[sentence], minlength=len(names)) + decay * theta[:-1], g.sum())
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad * grad
         theta -= rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-9)
-    return Model({w: float(x) for w, x in zip(words, theta) if abs(x) > 1e-3}, float(theta[-1]))
+    return Model({f: float(x) for f, x in zip(names, theta) if abs(x) > 1e-3}, float(theta[-1]))
 
 
-def sentence_logits(text: str | None, model: Model) -> list[float]:
-    get = model.weights.get
-    return [model.bias + sum([get(w, 0.0) for w in set(words).intersection(model.weights)])
-            for words in _sentences(text)]
+def sentence_logits(text: str | None, bias: float, weights: _WordWeights) -> list[float]:
+    get = weights.__getitem__
+    return [bias + sum(map(get, set(words))) for words in _sentences(text)]
 
 
-def score(text: str | None, model: Model) -> float:
-    if not text or not model.weights:
-        return 0.0
-    weights, hit, total = model.weights, 0, 0.0
-    sentences = _sentences(text)
-    for words in sentences:
-        known = weights.keys() & words
-        if known:
-            hit += 1
-            total += float(np.logaddexp(0, model.bias + sum(map(weights.__getitem__, known))))
-    total += (len(sentences) - hit) * float(np.logaddexp(0, model.bias))
-    return float(-np.expm1(-total))
+def score(text: str | None, model: Model, weights: _WordWeights) -> float:
+    logits = sentence_logits(text, model.bias, weights) if text and model.weights else []
+    return float(-np.expm1(-np.logaddexp(0, logits).sum())) if logits else 0.0
 
 
 def trained(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", max_rows: int = MAX_ROWS,
@@ -128,8 +145,10 @@ def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: s
     """(doc_id, score) of whole texts."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        weights = _WordWeights(model.weights)
         for frame in frames:
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "score": [score(t, model) for t in frame["text"]]})
+            yield pd.DataFrame({"doc_id": frame["doc_id"],
+                                "score": [score(t, model, weights) for t in frame["text"]]})
 
     return docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(
         run, "doc_id string, score double").withColumn("doc_id", F.col("doc_id").cast("long"))
@@ -140,6 +159,7 @@ def offending_sentences(docs: DataFrame, model: Model, *, threshold: float = 0.5
     """(doc_id, sentence, probability, text) of the sentences at or above ``threshold``."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        weights = _WordWeights(model.weights)
         for frame in frames:
             rows = []
             for number, text in zip(frame["doc_id"], frame["text"]):
@@ -149,7 +169,7 @@ def offending_sentences(docs: DataFrame, model: Model, *, threshold: float = 0.5
                     if piece.split():
                         spans.append(raw[at:at + len(piece)])
                     at += len(piece) + 1
-                for i, (z, span) in enumerate(zip(sentence_logits(text, model), spans)):
+                for i, (z, span) in enumerate(zip(sentence_logits(text, model.bias, weights), spans)):
                     p = float(1 / (1 + np.exp(-z)))
                     if p >= threshold:
                         rows.append((number, i, p, span.decode("utf-8", "replace").strip()))
