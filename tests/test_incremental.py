@@ -190,12 +190,17 @@ def test_only_touched_records_are_shuffled(spark, root):
            + [fact("one", day=DAY + dt.timedelta(days=25))])
     raw = run.raw_facts(spark, at)
     touched = DAY + dt.timedelta(days=25)
-    rows = staging.stg_contributions_within(raw, lambda c: c.isin([touched]), OPTIONS)
-    assert [r["sub_id"] for r in rows.collect()] == ["one"]
-    text = rows._jdf.queryExecution().executedPlan().toString()
-    assert "might_contain" in text
-    moved = [int(x) for x in shuffled_rows(rows)]
-    assert moved and max(moved) < 600
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for threshold, cut in ((limit, "BroadcastHashJoin"), ("-1", "might_contain")):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            rows = staging.stg_contributions_within(raw, lambda c: c.isin([touched]), OPTIONS)
+            assert [r["sub_id"] for r in rows.collect()] == ["one"]
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        assert cut in rows._jdf.queryExecution().executedPlan().toString()
+        moved = shuffled_rows(rows)
+        assert moved and max(moved) < 600
 
 
 def shuffled_rows(df):
@@ -206,7 +211,7 @@ def shuffled_rows(df):
         name = node.nodeName()
         if name == "AdaptiveSparkPlan":
             return walk(node.executedPlan())
-        if name in ("ShuffleQueryStage", "BroadcastQueryStage"):
+        if name.endswith("QueryStage"):
             return walk(node.plan())
         if name == "Exchange":
             found.append(node.metrics().apply("shuffleRecordsWritten").value())
