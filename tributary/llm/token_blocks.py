@@ -157,7 +157,7 @@ class WordEncoder:
     decide whether each holds; otherwise whole texts are encoded. What is kept is bounded.
     """
 
-    def __init__(self, path: str, kept: int = 600_000) -> None:
+    def __init__(self, path: str, kept: int = 1_000_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
