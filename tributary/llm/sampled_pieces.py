@@ -30,7 +30,7 @@ from .hashing import U64, Powers, mixed
 _SEGMENT = re.compile(r" *[^ ]+| +")
 _GOLDEN = U64(0x9E3779B97F4A7C15)
 #: Entries of kept lattices in one worker; 13 bytes each, and their segments.
-KEPT = 8_000_000
+KEPT = 20_000_000
 
 
 def _points(text: str) -> np.ndarray:
@@ -70,8 +70,10 @@ class PieceSampler:
     def _forget(self) -> None:
         self.segments: dict[str, int] = {}
         self.nodes = self.filled = 0
-        self.keys = np.empty(1 << 20, U64)
-        self.ids, self.lengths = np.empty(1 << 20, np.int32), np.empty(1 << 20, np.int8)
+        # untouched room costs no memory; a batch that needs more doubles it
+        room = KEPT + KEPT // 4
+        self.keys, self.ids = np.empty(room, U64), np.empty(room, np.int32)
+        self.lengths = np.empty(room, np.int8)
 
     def _hashes(self, points: np.ndarray, n: int) -> np.ndarray:
         """Hash of the n characters from each place."""
