@@ -123,3 +123,21 @@ def test_top_k_of_few_rows(spark):
     assert [tuple(r) for r in mtree.top_k(few, few.filter("vec_id = 0")).collect()] == [(0, 1, 1, 131072)]
     none = few.filter("false")
     assert mtree.top_k(none, none).count() == 0
+
+
+def test_more_equal_vectors_than_one_level_splits(spark, monkeypatch):
+    rounds = []
+    store = mtree.stored
+
+    def counted(df, label):
+        rounds.append(label)
+        assert rounds.count("groups") < 25, "groups of equal vectors do not get smaller"
+        return store(df, label)
+
+    monkeypatch.setattr(mtree, "stored", counted)
+    copies = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(120)], "vec_id long, embedding array<float>")
+    rows = mtree.whole_vectors(copies, "vec_id", "embedding")
+    groups = mtree.grouped(rows, 2, 5.0 * 256 ** 2, 8, 2).groupBy("grp").count().collect()
+    assert sum(r["count"] for r in groups) == 120 and max(r["count"] for r in groups) <= 8
+    got = mtree.top_k(copies, copies.filter("vec_id % 50 = 0"), capacity=8, fanout=2).collect()
+    assert {tuple(r) for r in got} == brute([(i, [1.0, 2.0]) for i in range(120)])

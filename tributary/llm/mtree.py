@@ -6,8 +6,8 @@ d(q, x)^2 = |q|^2 + M^2 - 2 <q, x>, and the highest scores are the nearest neigh
 
 Build: rows go to the nearest of up to ``fanout`` routing vectors of their group, level by level,
 until no group holds more than ``capacity`` rows (routing vectors are the rows of smallest hash in
-each of ``fanout`` hash classes; rows at equal distance are dealt by hash, so equal vectors split
-too). Each group becomes one stored node of pages: routing vector, covering radius, the pages'
+each of ``fanout`` hash classes; rows at equal distance are dealt by a hash that differs from level
+to level, so equal vectors split too, however many there are). Each group becomes one stored node of pages: routing vector, covering radius, the pages'
 distances to the node's routing vector and every entry's distance to its page's.
 
 Search: each query is searched in its own group first, which gives a score to beat, then blocks of
@@ -69,12 +69,13 @@ def grouped(rows: DataFrame, dim: int, top: float, capacity: int, fanout: int) -
         if counts.isEmpty():
             return rows
         level += 1
+        draw = F.xxhash64("v", "vec_id", F.lit(level))
         slot, order = F.pmod(F.xxhash64("vec_id", F.lit(level)), F.lit(fanout)), F.xxhash64("v", F.lit(level))
         routing = (rows.join(counts.select("grp"), "grp", "left_semi")
                    .groupBy("grp", slot.alias("slot")).agg(F.min_by("v", F.struct(order, "vec_id")).alias("v"))
                    .groupBy("grp").agg(F.collect_list("v").alias("routing")))
 
-        def assign(frames: Iterator[pd.DataFrame], level: int = level) -> Iterator[pd.DataFrame]:
+        def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
                 names = np.array(frame["grp"], dtype=object)
                 for grp, part in frame.reset_index(drop=True).groupby("grp"):
@@ -83,13 +84,12 @@ def grouped(rows: DataFrame, dim: int, top: float, capacity: int, fanout: int) -
                         continue
                     far = _far(_lifted(_matrix(part["v"], dim), top), _lifted(_matrix(pd.Series(list(pivots)), dim), top))
                     near = far <= far.min(axis=1, keepdims=True) + 1e-6
-                    mixed = (part["vec_id"].to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-                    chosen = (mixed % near.sum(axis=1).astype(np.uint64)).astype(np.int64)
+                    chosen = part["draw"].to_numpy(np.int64) % near.sum(axis=1)
                     pick = (near.cumsum(axis=1) > chosen[:, None]).argmax(axis=1)
                     names[part.index.to_numpy()] = [f"{grp}/{p}" for p in pick]
                 yield pd.DataFrame({"vec_id": frame["vec_id"], "v": frame["v"], "grp": names})
 
-        rows = stored(rows.join(routing, "grp", "left").mapInPandas(
+        rows = stored(rows.withColumn("draw", draw).join(routing, "grp", "left").mapInPandas(
             assign, "vec_id long, v array<long>, grp string"), "groups")
 
 
