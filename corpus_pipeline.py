@@ -16,12 +16,11 @@ out a clean document.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tributary.llm.common import stored
 from tributary.llm.line_dedup import without_repeated_runs
 from tributary.llm.line_frequency import judged
-from tributary.llm.minmax_dedup import near_duplicates
+from tributary.llm.minmax_dedup import without_near_duplicates
 from tributary.llm.mixing import mixed_documents
 from tributary.llm.sampled_pieces import encoded
 
@@ -35,9 +34,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose id is not the first of its component go; equal ids with equal text stay once."""
-    lost = near_duplicates(docs, shingle=5).filter("not kept").select(F.col("doc_id").alias("__lost")).distinct()
-    return docs.join(lost, F.col("doc_id") == F.col("__lost"), "left_anti")
+    """Rows that are not the first of their component go; equal ids with equal text stay once."""
+    return without_near_duplicates(docs, shingle=5)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

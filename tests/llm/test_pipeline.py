@@ -33,6 +33,26 @@ def test_near_dedup_keeps_one_of_each_group(spark):
     assert Counter(r["doc_id"] for r in alike)[7] == 1 and len(alike) < 12
 
 
+def test_near_dedup_tells_rows_apart(spark):
+    def long(name, *changed):
+        return " ".join(changed + tuple(f"{name}{i}" for i in range(80)))
+
+    given = [(1, long("a")), (1, long("a")), (2, long("a")), (None, long("a")), (None, long("a", "x")),
+             (None, long("b")), (None, long("b")), (None, long("b", "y")),
+             (5, long("c")), (5, long("a", "z")), (6, long("c", "q")),
+             (7, long("d")), (8, None), (9, " "), (None, long("e")),
+             (-2 ** 63, long("f")), (None, long("f"))]
+    docs = spark.createDataFrame([(i, t, "en", f"s{k}", *[None] * 5) for k, (i, t) in enumerate(given)],
+                                 documents(spark).schema).repartition(3)
+    got = corpus_pipeline.near_dedup(spark, docs, "")
+    assert got.columns == docs.columns
+    kept = Counter((r["doc_id"], r["text"]) for r in got.collect())
+    assert max(kept.values()) == 1
+    copies = {(None, long("b")), (None, long("b", "y"))} & set(kept)
+    assert len(copies) == 1 and set(kept) - copies == {
+        (1, long("a")), (5, long("c")), (7, long("d")), (8, None), (9, " "), (None, long("e")), (-2 ** 63, long("f"))}
+
+
 def test_empty_corpus(spark):
     docs = empty(spark)
     for name, stage in corpus_pipeline.STAGES:

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import identity, stored
 from .components import components
 from .hashing import U64, mixed, word_hashes
 
@@ -76,7 +76,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n_shingles, __set: 128-bit fingerprint, __bands, __signature) of every document."""
+    """(doc_id, __id, __text, n_shingles, __set: 128-bit fingerprint, __bands, __signature) of every row."""
 
     def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
@@ -94,11 +94,13 @@ def signed(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFra
                         else:
                             rows.append((0, b"", None, None))
                     out = pd.DataFrame(rows, columns=["n_shingles", "__set", "__bands", "__signature"])
-                    out.insert(0, "doc_id", part["doc_id"].array)
+                    for k, name in enumerate(("doc_id", "__id", "__text")):
+                        out.insert(k, name, part[name].array)
                     yield out
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(
-        sign, "doc_id long, n_shingles long, __set binary, __bands array<long>, __signature binary")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), *identity(id_col, text_col),
+                       F.col(text_col).alias("text")).mapInPandas(
+        sign, "doc_id long, __id long, __text long, n_shingles long, __set binary, __bands array<long>, __signature binary")
 
 
 def class_sets(texts: DataFrame, shingle: int) -> DataFrame:
@@ -168,12 +170,8 @@ def _alike(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series((a == b).mean(axis=1))
 
 
-def near_duplicates(docs: DataFrame, *, shingle: int = 2, percent: int = 80, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row; ids are as in ``docs``.
-
-    Links hold where 100 * |intersection| >= percent * |union|, ``percent`` 80 or more.
-    """
+def _linked(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``signed`` rows, and (__set, first_id, component) of every class; components are nodes."""
     if percent < 80:
         raise ValueError("the bands are made for similarities of 0.8 and more")
     signatures = stored(signed(docs, shingle, id_col, text_col), "signatures")
@@ -251,8 +249,17 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 2, percent: int = 80, id_
     else:
         whole = components(tested.filter("linked").select("u", "v").union(more.select("u", "v")))
 
-    labelled = classes.select("__set", "node", "first_id").join(whole, "node", "left").withColumn(
-        "component", F.coalesce("component", "node"))
+    return signatures, classes.select("__set", "node", "first_id").join(whole, "node", "left").select(
+        "__set", "first_id", F.coalesce("component", "node").alias("component"))
+
+
+def near_duplicates(docs: DataFrame, *, shingle: int = 2, percent: int = 80, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row; ids are as in ``docs``.
+
+    Links hold where 100 * |intersection| >= percent * |union|, ``percent`` 80 or more.
+    """
+    signatures, labelled = _linked(docs, shingle, percent, id_col, text_col)
     smallest = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = labelled.join(smallest, "component").select("__set", "component_id")
     rows = signatures.select("doc_id", "n_shingles", "__set").join(named, "__set", "left")
@@ -261,6 +268,34 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 2, percent: int = 80, id_
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def without_near_duplicates(docs: DataFrame, *, shingle: int = 2, percent: int = 80, id_col: str = "doc_id",
+                            text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component, the one of smallest id; null ids come last.
+
+    Rows are told apart by id and text, so other texts of an id stay; of equal ids the smallest text
+    hash decides. Rows with equal id and equal text are one document and stay once, also without
+    words: of these the one with the smallest hash over all columns stays.
+    """
+    signatures, labelled = _linked(docs, shingle, percent, id_col, text_col)
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "__id", "__text")
+    firsts = signatures.filter("n_shingles > 0").groupBy("__set").agg(F.min(place).alias("first"))
+    firsts = labelled.join(firsts, "__set").select("__set", "component", "first")
+    smallest = firsts.groupBy("component").agg(F.min("first").alias("first"))
+    named = firsts.drop("first").join(smallest, "component").select(
+        "__set", F.col("first.__id").alias("__first_id"), F.col("first.__text").alias("__first_text"))
+    lost = (F.col("__id") != F.col("__first_id")) | (F.col("__text") != F.col("__first_text"))
+    verdicts = (signatures.select("__id", "__text", "__set").join(named, "__set", "left")
+                .groupBy("__id", "__text").agg(F.count("*").alias("__n"),
+                                               F.max(F.coalesce(lost, F.lit(False))).alias("__lost")))
+    odd = stored(verdicts.filter("__lost OR __n > 1"), "verdicts")
+    keys = ["__id", "__text"]
+    rows = docs.select("*", *identity(id_col, text_col))
+    once = rows.join(odd, keys, "left_anti").select(*docs.columns)
+    again = (rows.join(odd.filter("NOT __lost"), keys, "left_semi").groupBy(*keys).agg(
+        F.min_by(F.struct(*docs.columns), F.struct(F.col(id_col).isNull(), F.xxhash64(*docs.columns))).alias("__row")).select("__row.*"))
+    return once.union(again)
+
+
 def op8_minmax_dedup(spark, sf_dir: str) -> DataFrame:
     """Components of all documents on 2-word shingles at similarity 0.8."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
