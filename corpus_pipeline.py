@@ -16,17 +16,21 @@ out a clean document.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tributary.llm.common import stored
 from tributary.llm.line_dedup import without_repeated_runs
-from tributary.llm.line_frequency import judged
+from tributary.llm.line_frequency import MEASURES, judged
 from tributary.llm.minmax_dedup import without_near_duplicates
 from tributary.llm.mixing import mixed_documents
 from tributary.llm.sampled_pieces import encoded
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return judged(docs, remove_lines=True).filter("kept").select(*docs.columns)
+    """Kept documents without frequent lines; columns named like a measure keep their own values."""
+    own = {c: f"__own_{c}" for c in docs.columns if c.lower() in MEASURES}
+    rows = judged(docs.withColumnsRenamed(own), remove_lines=True).filter("kept")
+    return rows.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

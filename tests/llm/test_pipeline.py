@@ -2,6 +2,8 @@
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from cases import documents, empty, rows, words
 from tributary.llm import registry
@@ -26,6 +28,16 @@ def test_stages_on_awkward_documents(spark):
     assert len(seen["line_dedup"]) < len(seen["quality_rules"]) < len(rows())
 
 
+def test_quality_rules_leave_clashing_columns_alone(spark):
+    own = {"n_words": F.lit("own"), "N_Common_Words": F.lit(-5), "base_failed": F.col("doc_id")}
+    docs = documents(spark).withColumns(own)
+    got = corpus_pipeline.quality_rules(spark, docs, "")
+    assert got.dtypes == docs.dtypes
+    kept = got.collect()
+    assert kept and all((r["kept"], r["n_words"], r["N_Common_Words"], r["base_failed"])
+                        == ("k", "own", -5, r["doc_id"]) for r in kept)
+
+
 def test_near_dedup_keeps_one_of_each_group(spark):
     kept = corpus_pipeline.near_dedup(spark, documents(spark), "").collect()
     base = rows()[7][1].split()

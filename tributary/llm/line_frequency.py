@@ -21,6 +21,8 @@ from .common import NON_SPACE, SPACES, identity, words_of
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
+#: Columns that ``judged`` adds; columns of the input with these names are replaced.
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_common_words", "kept")
 
 
 def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -101,7 +103,7 @@ def frequent_lines(lines: DataFrame, max_share: float, min_docs: int) -> DataFra
 def judged(docs: DataFrame, *, host_col: str = "source", id_col: str = "doc_id", text_col: str = "text",
            max_share: float = 0.01, min_docs: int = 10, max_removed: float = 0.8,
            remove_lines: bool = False) -> DataFrame:
-    """``docs`` with the base features, n_common_words and kept.
+    """``docs`` with the base features, n_common_words and kept (``MEASURES``).
 
     ``remove_lines`` also takes the lines above the limit out of the text; what is left keeps its
     order and its line ends.
