@@ -91,3 +91,14 @@ def test_draws_follow_weights_and_changes_stay_in_their_subtree(spark):
     moved = {(old[k], new[k]) for k in old if old[k] != new[k]}
     # only into region a, and inside it only into rack a1; nothing moves between b's shards
     assert moved and all(b in (0, 1) and (a, b) != (0, 1) for a, b in moved)
+
+
+def test_slots_follow_ids_at_every_size(spark):
+    docs = spark.range(3000).selectExpr("IF(id < 2700, (id * 7919) % 2700 - 900, NULL) AS doc_id", "cast(id AS string) AS text")
+    placed = hash_tree.placed(docs.repartition(3), hash_tree.regular_topology(24))
+    for per in (10, 100_000):
+        slots = defaultdict(list)
+        for r in hash_tree.numbered(placed, 24, rows_per_bucket=per).collect():
+            slots[r["shard"]].append((r["doc_id"] is None, r["doc_id"] or 0, r["text_crc32"], r["slot"]))
+        assert sum(map(len, slots.values())) == 3000
+        assert all([x[-1] for x in sorted(s)] == list(range(len(s))) for s in slots.values())

@@ -19,6 +19,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
 
 class Leaf(NamedTuple):
     region: str
@@ -27,7 +29,7 @@ class Leaf(NamedTuple):
     weight: float = 1.0
 
 
-#: Rows numbered by one task at a time; hash buckets of a shard keep this size on average.
+#: Rows numbered by one task at a time; a shard's rows of a range keep to this number on average.
 ROWS_PER_BUCKET = 100_000
 
 
@@ -92,19 +94,19 @@ def numbered(rows: DataFrame, shards: int, *, id_col: str = "doc_id",
              rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """``placed`` rows with ``slot``, which counts each shard's rows from 0 without gaps.
 
-    A shard is numbered bucket by bucket: rows are counted per (shard, hash bucket), the small
-    table of counts gives each bucket its first slot, and a window numbers the rows within it.
+    Slots follow the id at every size (null ids last), then checksum and size. Rows are dealt to
+    ranges of that order and stored with their range's number; rows are counted per (shard, range),
+    the small table of counts gives each range its first slot, and a window numbers the rows within.
     """
-    buckets = rows.count() // (shards * rows_per_bucket) + 1
-    mixed = F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.col("text_crc32").cast("string")))
-    rows = rows.withColumn("__bucket", F.pmod(
-        F.conv(F.substring(mixed, 1, 8), 16, 10).cast("long"), F.lit(buckets)))
+    order = [F.col(id_col).asc_nulls_last(), F.col("text_crc32").asc(), F.col("size").asc()]
+    ranges = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                 rows.count() // (shards * rows_per_bucket) + 1)
+    rows = stored(rows.repartitionByRange(ranges, *order).withColumn("__bucket", F.spark_partition_id()), "ranges")
     before = Window.partitionBy("shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     first = (rows.groupBy("shard", "__bucket").agg(F.count("*").alias("__n"))
              .withColumn("__first", F.coalesce(F.sum("__n").over(before), F.lit(0)))
              .drop("__n"))
-    within = Window.partitionBy("shard", "__bucket").orderBy(
-        F.col(id_col).asc_nulls_first(), "text_crc32", "size")
+    within = Window.partitionBy("shard", "__bucket").orderBy(*order)
     return (rows.withColumn("__at", F.row_number().over(within))
             .join(first, ["shard", "__bucket"])
             .withColumn("slot", (F.col("__first") + F.col("__at") - 1).cast("long"))
