@@ -1,4 +1,4 @@
-"""Exact top-k inner products by best-first search in paged metric trees (operator 7).
+"""Exact top-k inner products by best-first search in paged metric-tree nodes (operator 7).
 
 Components are ``floor(256 * x)`` in double precision, scores integer inner products. With M the
 largest norm, a candidate x gets the extra coordinate sqrt(M^2 - |x|^2) and a query 0; then
@@ -7,13 +7,15 @@ d(q, x)^2 = |q|^2 + M^2 - 2 <q, x>, and the highest scores are the nearest neigh
 Build: rows go to the nearest of up to ``fanout`` routing vectors of their group, level by level,
 until no group holds more than ``capacity`` rows (routing vectors are the rows of smallest hash in
 each of ``fanout`` hash classes; rows at equal distance are dealt by a hash that differs from level
-to level, so equal vectors split too, however many there are). Each group becomes one stored node of pages: routing vector, covering radius, the pages'
-distances to the node's routing vector and every entry's distance to its page's.
+to level, so equal vectors split too, however many there are). Each group becomes one stored node
+of pages: routing vector, covering radius, the pages' distances to the node's routing vector and
+every entry's distance to its page's.
 
 Search: each query is searched in its own group first, which gives a score to beat, then blocks of
-queries meet every node. Pages are visited in the order of their least possible distance until it
-passes the k-th best; |d(q, parent) - d(parent, child)| skips pages and entries without computing
-their distances. Bounds have a margin for rounding; scores are exact, ties go to the smaller id.
+queries meet every node: routing levels only deal rows to groups and are not kept as inner nodes,
+so a covering radius rules a node out only once it was read. Within a node, pages are visited in
+the order of their least possible distance until it passes the k-th best; |d(q, parent) - d(parent,
+child)| skips pages and entries without computing their distances. Bounds have a margin for rounding; scores are exact, ties go to the smaller id.
 
 Rows with a null id, a null vector, or a null or non-finite component take no part; equal rows
 count once; shorter vectors are padded with 0. Empty tables give empty results.
