@@ -132,3 +132,12 @@ def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(7, 7), (1, 0)]
     got = dict(map(tuple, components.components(spark.createDataFrame(links, "u long, v long")).collect()))
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 130)}}
+
+
+def test_chance_to_miss_a_small_pair():
+    def miss(common, whole):  # both ends of a random order agree when they fall on shared shingles
+        return (1 - (common * (common - 1) / (whole * (whole - 1))) ** 3) ** 48
+
+    assert max((miss(4 * n, 5 * n), 5 * n) for n in range(1, 200)) == (miss(4, 5), 5)
+    text = " ".join(minmax_dedup.__doc__.split())
+    assert f"{miss(4, 5):.1e}".replace("e-0", "e-") in text and f"{miss(8, 10):.1e}".replace("e-0", "e-") in text
