@@ -130,6 +130,35 @@ def test_publish_needs_every_snapshot(spark, root):
     assert not Path(f"{root}-out").exists()
 
 
+def test_publish_lets_executors_move_the_bytes(spark, root):
+    def lines(folder):
+        return [x for part in sorted(Path(folder).glob("part-*.json")) for x in part.read_text().splitlines()]
+
+    def table(columns, n, **own):
+        texts = {c: F.when(F.col("id") % 3 > 0, F.concat(F.lit('"\u00e9\n\\\r'), "id")).cast(kind) if kind == "string"
+                 else (F.col("id") / 7).cast(kind) for c, kind in columns.items()}
+        return spark.range(n).select(*[(own.get(c, texts[c])).alias(c) for c in columns])
+
+    days = table(export.EXPORT_DAILY, 2000, contribution_receipt_date=F.date_add(
+        F.lit(DAY), (F.col("id") % 50).cast("int")).cast("string"), committee_id=F.concat(F.lit("C"), F.col("id")))
+    sums = table(export.EXPORT_SUMMARY, 500, committee_id=F.concat(F.lit("C"), F.col("id")),
+                 total_raised=(F.col("id") % 20 / 3 * 1e9))
+    export.write_snapshots(root, days.orderBy("contribution_receipt_date", "committee_id"),
+                           sums.orderBy(F.desc("total_raised"), "committee_id"), table(EXPORT_META, 1))
+    context = spark.sparkContext
+    context.setJobGroup("publish", "")
+    try:
+        export.publish(spark, root, f"{root}-out")
+        out = export.publish(spark, root, f"{root}-out")
+        jobs = context.statusTracker().getJobIdsForGroup("publish")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) >= 6
+    assert sorted(p.name for p in Path(f"{root}-out").iterdir() if p.is_dir()) == sorted(export.SNAPSHOTS)
+    for folder, name in zip(out, export.SNAPSHOTS):
+        assert lines(folder) == lines(f"{root}/{name}") and lines(folder)
+
+
 def test_scratch_helpers(spark):
     df = spark.range(10)
     assert settle(df).count() == 10

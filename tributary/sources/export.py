@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tributary.functions.cleaning import zero_if_null
 from tributary.functions.labels import NO_NAME
-from tributary.schemas import EXPORT_DAILY, EXPORT_META, EXPORT_SUMMARY
+from tributary.schemas import EXPORT_DAILY, EXPORT_META, EXPORT_SUMMARY, ddl
 
 # Snapshot name -> (columns, sort order); fixed names.
 SNAPSHOTS = {
@@ -72,19 +72,22 @@ def export_meta(daily: DataFrame, summary: DataFrame, *, project: str, dataset:
     )
 
 
+def _write(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
 def write_snapshots(root: str, daily: DataFrame, summary: DataFrame, meta: DataFrame) -> None:
     """One folder of JSON lines per snapshot."""
     for name, df in (("daily_contributions", daily), ("committee_summary", summary),
                      ("meta", meta)):
-        df.write.mode("overwrite").option("ignoreNullFields", "false") \
-            .json(f"{root.rstrip('/')}/{name}")
+        _write(df, f"{root.rstrip('/')}/{name}")
 
 
 def publish(spark: SparkSession, root: str, target: str) -> list[str]:
-    """Copy the snapshots' files to any Hadoop file system; fails before copying if one is missing.
+    """Write the snapshots again on any Hadoop file system; fails before writing if one is missing.
 
-    All of them are copied beside the target first and then put in place one after another, so
-    readers never see a half-copied snapshot.
+    All of them are written beside the target first, by executors and in their order, and then put in
+    place one after another, so readers never see a half-written snapshot. The driver only renames.
     """
     hadoop = spark._jvm.org.apache.hadoop.fs
     conf = spark._jsc.hadoopConfiguration()
@@ -96,8 +99,9 @@ def publish(spark: SparkSession, root: str, target: str) -> list[str]:
     files = hadoop.Path(top).getFileSystem(conf)
     files.mkdirs(hadoop.Path(next_to))
     for name, path in paths.items():
-        hadoop.FileUtil.copy(path.getFileSystem(conf), path, files,
-                             hadoop.Path(f"{next_to}/{name}"), False, conf)
+        columns, order = SNAPSHOTS[name]
+        rows = spark.read.schema(ddl(columns)).option("mode", "FAILFAST").json(path.toString())
+        _write(_ordered(rows, order), f"{next_to}/{name}")
     for name in paths:
         files.delete(hadoop.Path(f"{top}/{name}"), True)
         files.rename(hadoop.Path(f"{next_to}/{name}"), hadoop.Path(f"{top}/{name}"))
