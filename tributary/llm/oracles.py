@@ -106,9 +106,41 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard,
   row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, grown_shard FROM p
 """
 
+
+def _lloyd(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Every part against every entry, round by round."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (SELECT r, p, any_value(x) AS x, min({{'d': d, 'k': k}}) AS m FROM (
+    SELECT r, x.p, k, x, CAST(list_sum(list_transform(list_zip(x, e), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT)
+      AS d FROM x JOIN b{i} b ON x.p = b.p) y GROUP BY r, p)""")
+        if i < rounds:
+            steps.append(f"""
+s{i} AS (SELECT p, m.k AS k, j, CAST(sum(x[j]) AS BIGINT) AS s, count(*) AS n
+  FROM a{i}, unnest(range(1, len(x) + 1)) u(j) GROUP BY 1, 2, 3),
+m{i} AS (SELECT p, k, list((s - ((s % n) + n) % n) // n ORDER BY j) AS e FROM s{i} GROUP BY 1, 2),
+b{i + 1} AS MATERIALIZED (SELECT b.p, b.k, coalesce(m.e, b.e) AS e FROM b{i} b LEFT JOIN m{i} m ON m.p = b.p AND m.k = b.k)""")
+    return f"""
+WITH v AS MATERIALIZED (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r,
+    list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS MATERIALIZED (SELECT r, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS x
+  FROM v, unnest(range({parts})) u(p)),
+b0 AS MATERIALIZED (SELECT p, r - 1 AS k, x AS e FROM x WHERE r <= {entries}),{",".join(steps)},
+c AS (SELECT r, string_agg(printf('%02x', m.k), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY r),
+f AS (SELECT p, k, j, e[j] AS c FROM b{rounds}, unnest(range(1, len(e) + 1)) u(j)),
+h AS (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, k, j)) AS codebooks_sha256 FROM f)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM c JOIN v ON c.r = v.r, h
+"""
+
+
 ORACLES = {
     "op6_line_frequency": LINE_FREQUENCY,
     "op7_mtree": TOP_K,
     "op8_minmax_dedup": NEAR_DUPLICATES,
     "op10_hash_tree": HASH_TREE,
+    "op12_dual_tree_codes": _lloyd(),
 }

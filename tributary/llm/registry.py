@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .dual_tree_codes import op12_dual_tree_codes
 from .hash_tree import op10_hash_tree
 from .line_dedup import op2_line_dedup
 from .line_frequency import op6_line_frequency
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_minmax_dedup": op8_minmax_dedup,
     "op9_sampled_pieces": op9_sampled_pieces,
     "op10_hash_tree": op10_hash_tree,
+    "op12_dual_tree_codes": op12_dual_tree_codes,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
