@@ -60,11 +60,9 @@ def frame(spark, rows):
 
 @pytest.mark.parametrize("rows, entries", [(awkward(), 16), (awkward(), 5), (vectors(9, 16, 2), 16), (vectors(300, 8, 3), 3),
                                            (vectors(200, 11, 4, 0.001), 16), (vectors(1, 8, 5), 16)])
-def test_codes(spark, rows, entries, monkeypatch):
-    monkeypatch.setattr(codes, "LEAF", 4)
-    monkeypatch.setattr(codes, "CHUNK", 64)
+def test_codes(spark, rows, entries):
     want, books = brute(rows, entries=entries)
-    got, own = codes.product_codes(frame(spark, rows), entries=entries)
+    got, own = codes.product_codes(frame(spark, rows), entries=entries, chunk=64, leaf=4)
     assert own.tolist() == books
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(
         ((i, None if label is None else str(label), c, e) for i, label, c, e in want), key=repr)

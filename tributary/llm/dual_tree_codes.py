@@ -185,20 +185,20 @@ def whole_vectors(rows: DataFrame, scale: int, id_col: str, vector_col: str, lab
 TREES = "ids binary, no_ids binary, labels array<string>, orders binary, points binary, lo binary, hi binary, sums binary"
 
 
-def trees(rows: DataFrame, parts: int, width: int) -> DataFrame:
+def trees(rows: DataFrame, parts: int, width: int, chunk: int = CHUNK, leaf: int = LEAF) -> DataFrame:
     """One row per chunk: ids, labels, and for each part position the points in tree order and the boxes."""
 
     def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for part in (frame.iloc[at:at + CHUNK] for at in range(0, len(frame), CHUNK)):
+            for part in (frame.iloc[at:at + chunk] for at in range(0, len(frame), chunk)):
                 whole = np.zeros((len(part), parts * width), np.int64)
                 for row, v in zip(whole, part["v"]):
                     row[:len(v)] = v
                 out: dict[str, list[bytes]] = {k: [] for k in ("orders", "points", "lo", "hi", "sums")}
                 for p in range(parts):
                     x = whole[:, p * width:(p + 1) * width]
-                    order = tree_order(x, LEAF)
-                    own = boxes(x[order], LEAF)
+                    order = tree_order(x, leaf)
+                    own = boxes(x[order], leaf)
                     out["orders"].append(order.astype(np.int32).tobytes())
                     out["points"].append(x[order].tobytes())
                     for name in ("lo", "hi", "sums"):
@@ -211,19 +211,19 @@ def trees(rows: DataFrame, parts: int, width: int) -> DataFrame:
                        "label", "v").mapInPandas(build, TREES)
 
 
-def _read(row: dict, parts: int, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, Boxes]]:
+def _read(row: dict, parts: int, width: int, leaf: int) -> Iterator[tuple[np.ndarray, np.ndarray, Boxes]]:
     """Order, points and boxes of each part position of a chunk."""
     n = len(row["no_ids"])
     orders = np.frombuffer(row["orders"], np.int32).reshape(parts, n)
     points = np.frombuffer(row["points"], np.int64).reshape(parts, n, width)
-    bounds = [_bounds(n, level) for level in range(_depth(n, LEAF) + 1)]
+    bounds = [_bounds(n, level) for level in range(_depth(n, leaf) + 1)]
     ends = np.cumsum([len(b) - 1 for b in bounds])[:-1]
     lo, hi, sums = (np.frombuffer(row[k], np.int64).reshape(parts, -1, width) for k in ("lo", "hi", "sums"))
     for p in range(parts):
         yield orders[p], points[p], Boxes(*(np.split(x[p], ends) for x in (lo, hi, sums)), bounds)
 
 
-def moved(chunks: DataFrame, books: np.ndarray) -> np.ndarray:
+def moved(chunks: DataFrame, books: np.ndarray, leaf: int = LEAF) -> np.ndarray:
     """The codebooks after one round; each task sends its sums of (part, entry, position)."""
     parts, k, width = books.shape
 
@@ -232,7 +232,7 @@ def moved(chunks: DataFrame, books: np.ndarray) -> np.ndarray:
         known = [Entries.of(book) for book in books]
         for frame in frames:
             for row in frame.to_dict("records"):
-                for p, (_, x, tree) in enumerate(_read(row, parts, width)):
+                for p, (_, x, tree) in enumerate(_read(row, parts, width, leaf)):
                     _, own, n = assigned(x, tree, known[p])
                     totals[p] += own
                     counts[p] += n
@@ -248,7 +248,7 @@ def moved(chunks: DataFrame, books: np.ndarray) -> np.ndarray:
     return out
 
 
-def coded(chunks: DataFrame, books: np.ndarray) -> DataFrame:
+def coded(chunks: DataFrame, books: np.ndarray, leaf: int = LEAF) -> DataFrame:
     """(vec_id, label, code, error) of every row."""
     parts, _, width = books.shape
 
@@ -258,7 +258,7 @@ def coded(chunks: DataFrame, books: np.ndarray) -> DataFrame:
             for row in frame.to_dict("records"):
                 ids, missing = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["no_ids"], bool)
                 codes, error = np.zeros((len(ids), parts), np.uint8), np.zeros(len(ids), np.int64)
-                for p, (order, x, tree) in enumerate(_read(row, parts, width)):
+                for p, (order, x, tree) in enumerate(_read(row, parts, width, leaf)):
                     own = assigned(x, tree, known[p])[0]
                     apart = x - books[p][own]
                     codes[order, p] = own
@@ -271,8 +271,8 @@ def coded(chunks: DataFrame, books: np.ndarray) -> DataFrame:
 
 
 def product_codes(vectors: DataFrame, *, parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096,
-                  id_col: str = "vec_id", vector_col: str = "embedding",
-                  label_col: str = "label") -> tuple[DataFrame, np.ndarray]:
+                  id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
+                  chunk: int = CHUNK, leaf: int = LEAF) -> tuple[DataFrame, np.ndarray]:
     """(vec_id, label, code, error) of every kept row, and the codebooks (part, entry, position)."""
     if entries > 256:
         raise ValueError("an index has two hex digits")
@@ -288,10 +288,10 @@ def product_codes(vectors: DataFrame, *, parts: int = 8, entries: int = 16, roun
     if not books.size:  # no rows, or vectors without components
         codes = rows.select("vec_id", "label", F.lit("00" * parts).alias("code"), F.lit(0).cast("long").alias("error"))
         return codes, books
-    chunks = stored(trees(rows, parts, width), "trees")
+    chunks = stored(trees(rows, parts, width, chunk, leaf), "trees")
     for _ in range(rounds):
-        books = moved(chunks, books)
-    return coded(chunks, books), books
+        books = moved(chunks, books, leaf)
+    return coded(chunks, books, leaf), books
 
 
 def books_digest(books: np.ndarray) -> str:

@@ -137,10 +137,69 @@ FROM c JOIN v ON c.r = v.r, h
 """
 
 
+
+_CRC_TABLE = """bits AS (SELECT i, i AS c, 0 AS step FROM range(256) t(i) UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, step + 1 FROM bits WHERE step < 8),
+tab AS (SELECT list(c ORDER BY i) AS tab FROM bits WHERE step = 8)"""
+
+
+def _crc32(text: str) -> str:
+    """CRC of a text by ``_CRC_TABLE``."""
+    return f"""xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+      regexp_extract_all(hex(encode({text})), '..'), lambda b: ('0x' || b)::BIGINT)),
+      lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])))"""
+
+
+STRUCTURE_REPAIR = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS draw
+  FROM conversations, tab),
+e AS (SELECT conv_id, turn, CASE draw WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM d, unnest(CASE draw WHEN 3 THEN [0, 1] ELSE [0] END) u(copy) WHERE draw <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM e),
+f AS MATERIALIZED (SELECT *, left(role, 1) AS x, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS fault FROM o),
+n AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count_if(fault = 1) AS blank, count_if(fault = 2) AS duplicate, count_if(fault = 3) AS truncated,
+    count_if(i > 1 AND before || x NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY 1),
+follow(q, x, t) AS (VALUES ('0', 's', 'S'), ('0', 'u', 'U'), ('S', 'u', 'U'), ('U', 'a', 'A'), ('A', 'u', 'U')),
+state AS (SELECT unnest(['0', 'S', 'U', 'A']) AS q),
+insertion AS (SELECT q, q AS t, 0 AS c, '' AS a FROM state UNION ALL SELECT q, t, 5, 'I' FROM follow WHERE x <> 's'),
+edit AS (SELECT q, '' AS x, q AS t, 2 AS c, 'D' AS a FROM state UNION ALL SELECT q, x, t, 0, 'K' FROM follow
+  UNION ALL SELECT q, x, t, 1, 'R' FROM follow WHERE x <> 's'),
+-- an insertion twice in a row never pays, so one before each row and one at the end are enough
+walk AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, '0' AS q, {{'c': 0, 'a': ''}} AS w FROM n UNION ALL
+  SELECT walk.conv_id, f.i, edit.t, min({{'c': w.c + insertion.c + edit.c
+      + CASE WHEN edit.a <> 'D' AND fault = 3 THEN 5 ELSE 0 END, 'a': w.a || insertion.a || edit.a}})
+  FROM walk JOIN f ON f.conv_id IS NOT DISTINCT FROM walk.conv_id AND f.i = walk.i + 1
+  JOIN insertion ON insertion.q = walk.q JOIN edit ON edit.q = insertion.t AND (edit.a = 'D'
+    OR (fault NOT IN (1, 2) AND (edit.a = 'R' OR edit.x = f.x))) GROUP BY 1, 2, 3),
+b AS (SELECT walk.conv_id, min({{'c': w.c + insertion.c, 'a': w.a || insertion.a}}) AS w
+  FROM walk JOIN n ON n.conv_id IS NOT DISTINCT FROM walk.conv_id AND n.n = walk.i
+  JOIN insertion ON insertion.q = walk.q WHERE insertion.t IN ('0', 'A') GROUP BY 1),
+l AS (SELECT conv_id, p, w.a[p] AS letter, length(replace(w.a[:p], 'I', '')) AS i,
+    length(replace(w.a[:p], 'D', '')) AS out FROM b, unnest(range(1, length(w.a) + 1)) u(p)),
+k AS (SELECT l.*, f.role, f.text, max(CAST(letter = 'K' AND out = 1 AND x = 's' AS INTEGER))
+    OVER (PARTITION BY l.conv_id) AS led
+  FROM l LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.i = l.i AND letter <> 'I' WHERE letter <> 'D'),
+h AS (SELECT conv_id, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN (out - led) % 2 = 1 THEN 'user'
+    ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY p)) AS digest FROM k GROUP BY 1)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(w.c, 0) AS BIGINT) AS cost,
+  coalesce(w.a, '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN h ON h.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
 ORACLES = {
     "op6_line_frequency": LINE_FREQUENCY,
     "op7_mtree": TOP_K,
     "op8_minmax_dedup": NEAR_DUPLICATES,
     "op10_hash_tree": HASH_TREE,
     "op12_dual_tree_codes": _lloyd(),
+    "op13_structure_repair": STRUCTURE_REPAIR,
 }

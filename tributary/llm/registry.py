@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .conversation_repair import op13_structure_repair
 from .dual_tree_codes import op12_dual_tree_codes
 from .hash_tree import op10_hash_tree
 from .line_dedup import op2_line_dedup
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_sampled_pieces": op9_sampled_pieces,
     "op10_hash_tree": op10_hash_tree,
     "op12_dual_tree_codes": op12_dual_tree_codes,
+    "op13_structure_repair": op13_structure_repair,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
