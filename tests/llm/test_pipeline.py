@@ -74,4 +74,4 @@ def test_empty_corpus(spark):
 
 def test_names():
     numbers = sorted(int(k[2:].split("_")[0]) for k in registry.QUERIES)
-    assert numbers == list(range(1, 11)) and set(registry.ORACLES) <= set(registry.QUERIES)
+    assert numbers == list(range(1, 14)) and set(registry.ORACLES) <= set(registry.QUERIES)

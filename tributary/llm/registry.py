@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .bit_sliced_simhash import op11_bit_sliced_simhash
 from .conversation_repair import op13_structure_repair
 from .dual_tree_codes import op12_dual_tree_codes
 from .hash_tree import op10_hash_tree
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_minmax_dedup": op8_minmax_dedup,
     "op9_sampled_pieces": op9_sampled_pieces,
     "op10_hash_tree": op10_hash_tree,
+    "op11_bit_sliced_simhash": op11_bit_sliced_simhash,
     "op12_dual_tree_codes": op12_dual_tree_codes,
     "op13_structure_repair": op13_structure_repair,
 }
