@@ -1,11 +1,14 @@
 """Words, row identity and storage shared by the operators of this subpackage.
 
 White space is the six ASCII characters space and 0x09 to 0x0D; a word is a run of anything else.
-Columns that begin with two underscores are internal and never returned.
+Columns that begin with two underscores are internal; ``own_names`` keeps those of an input apart.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,3 +41,14 @@ def identity(id_col: str, text_col: str) -> list[Column]:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once under the shared folder and read back, which also cuts its lineage."""
     return store(df, scratch_path(df.sparkSession, label))
+
+
+def own_names(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``stage`` for inputs that may have columns named like internal ones; they come back as they were."""
+
+    @wraps(stage)
+    def run(docs: DataFrame, **options) -> DataFrame:
+        plain = {c: f"column {k} of the input" for k, c in enumerate(docs.columns) if c.startswith("__")}
+        return stage(docs.withColumnsRenamed(plain), **options).withColumnsRenamed({v: k for k, v in plain.items()})
+
+    return run

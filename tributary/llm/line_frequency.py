@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, SPACES, identity, words_of
+from .common import NON_SPACE, SPACES, identity, own_names, words_of
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
@@ -100,6 +100,7 @@ def frequent_lines(lines: DataFrame, max_share: float, min_docs: int) -> DataFra
             .select("__host", "__h1", "__h2"))
 
 
+@own_names
 def judged(docs: DataFrame, *, host_col: str = "source", id_col: str = "doc_id", text_col: str = "text",
            max_share: float = 0.01, min_docs: int = 10, max_removed: float = 0.8,
            remove_lines: bool = False) -> DataFrame:
