@@ -11,17 +11,19 @@ of 10 shingles shared and 8.5e-6, the most, with 4 of 5. Within a bucket (classe
 2. connected components are formed from the links found;
 3. buckets whose members are not all connected are finished. Each member is compared with the hub
    of the bucket's largest component. Only shingles that occur in another component can support a
-   link between components; a set in which too few do has no such link and leaves. Of the others,
-   members outside the largest component meet every member of another one, unless set sizes, the
-   most shingles two sets can share (at most the smaller part inside the hub and the smaller part
-   outside it), the triangle inequality over the distances to the hub, or the signatures (estimate
-   below 0.6, more than 8 standard errors under the threshold) rule a link out.
+   link between components; a set in which too few do has no such link and leaves. Of the others
+   a set outside the largest component can only be linked to a set that shares some of its
+   differences to the hub. Such pairs meet by their rarest differences (prefix filter) and are
+   compared on whole sets. So many copies that are all just under the threshold, whose differences
+   are their own, make few pairs.
 
 Pairs inside a component need no comparison, so a large group of copies costs one comparison per
-class, and no link between components that share a bucket is left out. Every link is confirmed on whole sets of 64-bit
-shingle hashes. Null and empty texts are linked with nothing. Null ids come last among ids. Rows
-with equal ids keep their own texts' links. Empty tables give empty results; columns of the input
-with the names of result columns are replaced.
+class, and no link between components that share a bucket is left out. Every link is confirmed on
+whole sets of 64-bit shingle hashes, which come from one row of each class, known by id and text.
+
+Very long texts are hashed whole. Null and empty texts are linked with nothing. Null ids come last
+among ids. Rows with equal ids keep their own texts' links; repeated rows share everything. Empty
+tables give empty results; columns beside id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -30,15 +32,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import identity, stored
+from .common import identity, own_names, stored
 from .components import components
 from .hashing import U64, mixed, word_hashes
 
 BANDS, ROWS = 48, 6
 PERMUTATIONS = BANDS * ROWS // 2
+
+
 def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles; bytes are hashed by prefix sums."""
     words = word_hashes(text)[2]
@@ -77,7 +81,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, __id, __text, n_shingles, __set: 128-bit fingerprint, __bands, __signature) of every row."""
+    """(doc_id, __id, __text, n_shingles, __set: 128-bit fingerprint, __bands) of every row."""
 
     def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
@@ -89,19 +93,19 @@ def signed(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFra
                     for text in part["text"]:
                         hashes = shingle_hashes(text, shingle)
                         if len(hashes):
-                            signature = min_max_signature(hashes)
                             rows.append((len(hashes), xxhash.xxh3_128_digest(hashes.tobytes()),
-                                         band_keys(signature), signature.tobytes()))
+                                         band_keys(min_max_signature(hashes))))
                         else:
-                            rows.append((0, b"", None, None))
-                    out = pd.DataFrame(rows, columns=["n_shingles", "__set", "__bands", "__signature"])
+                            rows.append((0, b"", None))
+                    out = pd.DataFrame(rows, columns=["n_shingles", "__set", "__bands"])
+                    out["__bands"] = out["__bands"].astype(object)
                     for k, name in enumerate(("doc_id", "__id", "__text")):
                         out.insert(k, name, part[name].array)
                     yield out
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), *identity(id_col, text_col),
                        F.col(text_col).alias("text")).mapInPandas(
-        sign, "doc_id long, __id long, __text long, n_shingles long, __set binary, __bands array<long>, __signature binary")
+        sign, "doc_id long, __id long, __text long, n_shingles long, __set binary, __bands array<long>")
 
 
 def class_sets(texts: DataFrame, shingle: int) -> DataFrame:
@@ -126,7 +130,8 @@ def class_sets(texts: DataFrame, shingle: int) -> DataFrame:
                             seen.add(node)
                             nodes.append(node)
                             sets.append(hashes.view(np.int64))
-                    yield pd.DataFrame({"node": nodes, "__hashes": sets})
+                    if nodes:
+                        yield pd.DataFrame({"node": nodes, "__hashes": sets})
 
     return texts.select("node", "__class", "text").mapInPandas(build, "node long, __hashes array<long>")
 
@@ -142,13 +147,8 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         "linked", 100 * F.col("common") >= percent * F.col("whole"))
 
 
-def _may_link(n: str, m: str, most: Column, percent: int) -> Column:
-    """Whether sets of sizes ``n`` and ``m`` reach the threshold with ``most`` common shingles."""
-    return 100 * most >= percent * (F.col(n) + F.col(m) - most)
-
-
 def _supported(rest: DataFrame, hubs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(node, common, __shared): a set's shingles that occur in another component, where enough do.
+    """(node): sets of whose shingles enough occur in another component.
 
     Hubs count among the components' sets, whether or not their buckets are mixed.
     """
@@ -157,18 +157,69 @@ def _supported(rest: DataFrame, hubs: DataFrame, sets: DataFrame, percent: int)
     shingles = nodes.join(sets, "node").select("node", "part", "n", F.explode("__hashes").alias("h"))
     shared = shingles.groupBy("h").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter(
         "low <> high")
-    common = shingles.join(shared, "h", "left_semi").groupBy("node", "n").agg(
-        F.count("*").alias("common"), F.collect_list("h").alias("__shared"))
-    return common.filter(100 * F.col("common") >= percent * F.col("n")).drop("n")
+    common = shingles.join(shared, "h", "left_semi").groupBy("node", "n").agg(F.count("*").alias("common"))
+    return common.filter(100 * F.col("common") >= percent * F.col("n")).select("node")
+
 
+def _beside_hubs(rest: DataFrame, sets: DataFrame, able: DataFrame, percent: int) -> DataFrame:
+    """(node, hub, part, main, n, linked, r, __apart) of each set and the hub of its bucket's largest component.
 
-def _alike(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Share of equal signature values."""
-    if not len(left):
-        return pd.Series([], dtype="float64")
-    a = np.frombuffer(b"".join(left), np.uint32).reshape(len(left), -1)
-    b = np.frombuffer(b"".join(right), np.uint32).reshape(len(left), -1)
-    return pd.Series((a == b).mean(axis=1))
+    ``__apart`` holds the shingles that only one of the two has. For two sets beside one hub these
+    differences tell their own: with d = |apart| and x common elements, they differ in d + d' - 2x
+    shingles and are linked if r + r' <= 2 (100 + percent) x, where
+    r = (100 + percent) d - (100 - percent) n.
+    """
+    near = rest.select("node", "hub", "part", "main", "n").distinct().join(able, "node")
+    near = near.join(sets.select("node", F.col("__hashes").alias("__a")), "node").join(
+        sets.select(F.col("node").alias("hub"), F.col("__hashes").alias("__h")), "hub")
+    apart = F.concat(F.array_except("__a", "__h"), F.array_except("__h", "__a"))
+    near = near.select("node", "hub", "part", "main", "n", F.size("__h").alias("n_hub"), apart.alias("__apart"))
+    d = F.size("__apart")
+    linked = (100 + percent) * d <= (100 - percent) * (F.col("n") + F.col("n_hub"))
+    return near.select("node", "hub", F.when(linked, F.col("main")).otherwise(F.col("part")).alias("part"), "main", "n",
+                       linked.alias("linked"), ((100 + percent) * d - (100 - percent) * F.col("n")).cast("long").alias("r"),
+                       "__apart")
+
+
+def _candidates(beside: DataFrame, percent: int) -> DataFrame:
+    """(u, v) of sets beside one hub, of which one is outside the hub's component, that may be linked.
+
+    Such a pair has r + r' > 0, as a set outside is not linked to the hub, so its differences have
+    at least (r + r') / (2 (100 + percent)) elements in common. With the least r' of the others
+    beside the hub this gives each set a number of elements it must share; all but that many and
+    one more of its rarest cannot be without one of them (prefix filter), and from their first common
+    one on enough must be left in both (positional filter). Elements that no other set has are left
+    out first.
+    """
+    double = 2 * (100 + percent)
+    low = beside.groupBy("hub").agg(F.min(F.when(F.col("part") != F.col("main"), F.col("r"))).alias("low_out"),
+                                    F.min(F.when(F.col("part") == F.col("main"), F.col("r"))).alias("low_in"))
+    low = stored(low.filter("low_out is not null"), "low")
+    elements = stored(beside.join(low, "hub").select("node", "hub", F.explode("__apart").alias("h")), "elements")
+    often = stored(elements.groupBy("hub", "h").agg(F.count("*").alias("df")).filter("df > 1"), "often")
+    ranked = elements.join(often, ["hub", "h"]).withColumns({
+        "place": F.row_number().over(Window.partitionBy("node", "hub").orderBy("df", "h")),
+        "whole": F.count("*").over(Window.partitionBy("node", "hub"))})
+    facts = beside.drop("__apart", "linked").join(low, "hub")
+
+    def needed(other: str) -> Column:
+        return F.greatest(F.lit(1), F.ceil((F.col("r") + F.col(other)) / double))
+
+    rows = ranked.join(facts, ["node", "hub"]).select(
+        "hub", "h", "node", "part", "n", "r", (F.col("whole") - F.col("place") + 1).alias("left"),
+        (F.col("part") != F.col("main")).alias("out"),
+        (F.col("place") <= F.col("whole") - needed("low_out") + 1).alias("for_out"),
+        (F.col("place") <= F.col("whole") - needed("low_in") + 1).alias("for_in"))
+    rows = stored(rows.filter("for_out OR (out AND for_in)"), "prefixes")
+    a, b = (rows.select("hub", "h", *[F.col(c).alias(f"{side}_{c}") for c in rows.columns[2:]])
+            for side in "ab")
+    # from their first common element on, neither set has more than ``left`` elements to share
+    meet = ((F.col("a_part") != F.col("b_part"))
+            & (F.col("a_r") + F.col("b_r") <= double * F.least("a_left", "b_left"))
+            & (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
+            & F.when(F.col("b_out"), F.col("a_for_out") & (F.col("a_node") < F.col("b_node"))).otherwise(F.col("a_for_in")))
+    return a.filter("a_out").join(b.filter("b_for_out"), ["hub", "h"]).filter(meet).select(
+        F.least("a_node", "b_node").alias("u"), F.greatest("a_node", "b_node").alias("v")).distinct()
 
 
 def _linked(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -178,8 +229,8 @@ def _linked(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
     signatures = stored(signed(docs, shingle, id_col, text_col), "signatures")
     classes = stored(
         signatures.filter("n_shingles > 0").groupBy("__set").agg(
-            F.min("doc_id").alias("first_id"), F.any_value("n_shingles").alias("n"),
-            F.any_value("__bands").alias("__bands"), F.any_value("__signature").alias("__signature"))
+            F.min("doc_id").alias("first_id"), F.any_value("n_shingles").alias("n"), F.any_value("__bands").alias("__bands"),
+            F.min(F.struct("__id", "__text")).alias("__holder"))
         .withColumn("node", F.monotonically_increasing_id()), "classes")
     banded = classes.select("node", F.col("n").cast("int").alias("n"), F.explode("__bands").alias("key"))
     # stored, so that the join below reads plain shuffles, whose hot buckets Spark can split
@@ -194,12 +245,13 @@ def _linked(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
         F.col("node").alias("u"), F.col("pivot").alias("v")).distinct(), "pairs")
 
     wanted = members.select("node").distinct()
-    # a class's set comes from the text of its first id
+    # a class's set comes from one of its texts, which rows of equal id and text share
     holders = classes.join(wanted, "node", "left_semi").select(
-        "node", F.struct(F.col("first_id").alias("doc_id")).alias("__holder"), F.col("__set").alias("__class"))
-    texts = docs.select(F.struct(F.col(id_col).cast("long").alias("doc_id")).alias("__holder"),
-                        F.col(text_col).alias("text")).join(holders, "__holder")
+        "node", "__holder.__id", "__holder.__text", F.col("__set").alias("__class"))
+    texts = docs.select(*identity(id_col, text_col), F.col(text_col).alias("text")).join(holders, ["__id", "__text"])
     sets = stored(class_sets(texts, shingle), "sets")
+    if sets.count() > sets.select("node").distinct().count():  # such rows met in several tasks
+        sets = stored(sets.groupBy("node").agg(F.any_value("__hashes").alias("__hashes")), "sets")
 
     tested = stored(_compared(first, sets, percent), "tested")
     parts = components(tested.filter("linked"))
@@ -209,46 +261,21 @@ def _linked(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
     counts = member_parts.groupBy("key", "part").agg(F.count("*").alias("c"))
     mixed = counts.groupBy("key").agg(F.count("*").alias("parts"), F.max_by(
         "part", F.struct("c", -F.col("part"))).alias("main")).filter("parts > 1").select("key", "main")
-    hubs = (member_parts.select("node", "part").distinct().join(central, "node").groupBy("part").agg(
-        F.max_by("node", F.struct("central", -F.col("node"))).alias("hub")))
+    # stored, so that the join by ``main`` reads plain shuffles, whose hot components Spark can split
+    hubs = stored(member_parts.select("node", "part").distinct().join(central, "node").groupBy("part").agg(
+        F.max_by("node", F.struct("central", -F.col("node"))).alias("hub")), "hubs")
+    mixed = stored(mixed, "mixed")
     rest = member_parts.join(mixed, "key").join(hubs.withColumnRenamed("part", "main"), "main")
-    rest = stored(rest.select("key", "node", "n", "part", "main", "hub"), "rest")
-    probes = rest.select(F.col("node").alias("u"), F.col("hub").alias("v")).filter("u <> v").distinct()
-    probed = stored(_compared(probes, sets, percent), "probed")
-    able = _supported(rest, hubs, sets, percent)
-    outside = (rest.select("node", "hub").distinct().join(able, "node")
-               .join(sets.select(F.col("node").alias("hub"), "__hashes"), "hub")
-               .select("node", "hub", "common", F.size(F.array_except("__shared", "__hashes")).alias("o")))
-    rest = (rest.join(outside, ["node", "hub"]).join(probed.select(
-        F.col("u").alias("node"), F.col("v").alias("hub"), "linked", F.col("common").alias("c"),
-        (1 - F.col("common") / F.col("whole")).alias("far")), ["node", "hub"], "left"))
-    is_hub = F.col("node") == F.col("hub")
-    rest = rest.withColumns({
-        "c": F.when(is_hub, F.col("n")).otherwise(F.col("c")),
-        "far": F.when(is_hub, F.lit(0.0)).otherwise(F.col("far")),
-        "part": F.when(F.coalesce("linked", F.lit(False)), F.col("main")).otherwise(F.col("part"))})
-    rest = stored(rest.drop("linked", "hub"), "rest")
-    a, b = (rest.select(*[F.col(c).alias(f"{side}_{c}") for c in rest.columns]) for side in "ab")
-    reach = 1 - percent / 100 + 1e-9
-    most = F.least(F.least("a_common", "b_common"), F.least("a_c", "b_c") + F.least("a_o", "b_o"))
-    second = a.filter("a_part <> a_main").join(b, (
-        (F.col("a_key") == F.col("b_key")) & (F.col("a_part") != F.col("b_part"))
-        & ((F.col("b_part") == F.col("b_main")) | (F.col("a_node") < F.col("b_node")))
-        & (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
-        & _may_link("a_n", "b_n", most, percent)
-        & (F.abs(F.col("a_far") - F.col("b_far")) <= reach)))
-    second = second.select(F.least("a_node", "b_node").alias("u"), F.greatest("a_node", "b_node").alias("v")).distinct()
-    known = tested.select("u", "v").union(probed.select("u", "v")).select(
-        F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    second = second.join(known, ["u", "v"], "left_anti")
-    marks = classes.select("node", "__signature")
-    second = (second.join(marks.toDF("u", "__x"), "u").join(marks.toDF("v", "__y"), "v")
-              .filter(F.pandas_udf(_alike, "double")("__x", "__y") >= 0.6).select("u", "v"))
-    more = stored(_compared(second, sets, percent).union(probed), "more").filter("linked")
+    rest = stored(rest.select("node", "n", "part", "main", "hub").distinct(), "rest")
+    beside = stored(_beside_hubs(rest, sets, _supported(rest, hubs, sets, percent), percent), "beside")
+    probed = beside.filter("linked").select(F.col("node").alias("u"), F.col("hub").alias("v")).filter("u <> v")
+    known = tested.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    second = _candidates(beside, percent).join(known, ["u", "v"], "left_anti")
+    more = stored(_compared(second, sets, percent).filter("linked").select("u", "v").union(probed), "more")
     if more.isEmpty():
         whole = parts
     else:
-        whole = components(tested.filter("linked").select("u", "v").union(more.select("u", "v")))
+        whole = components(tested.filter("linked").select("u", "v").union(more))
 
     return signatures, classes.select("__set", "node", "first_id").join(whole, "node", "left").select(
         "__set", "first_id", F.coalesce("component", "node").alias("component"))
@@ -269,6 +296,7 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 2, percent: int = 80, id_
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+@own_names
 def without_near_duplicates(docs: DataFrame, *, shingle: int = 2, percent: int = 80, id_col: str = "doc_id",
                             text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component, the one of smallest id; null ids come last.
