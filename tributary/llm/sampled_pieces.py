@@ -7,7 +7,8 @@ byte pieces. The forward pass sums the weights of all segmentations up to each p
 pass draws the last piece in proportion, then the one before it, and so on, so each segmentation
 comes with exactly its probability. A draw at a place depends only on the row key and the place:
 reruns, other batches and other executors give the same pieces. Filtered lattices of repeated
-segments are kept, within a bound, as one sorted table of cumulative 32-bit probabilities.
+segments are kept in two bounded tables of cumulative 32-bit probabilities: when one is full it
+becomes the older one, from which the segments that still occur are copied.
 
 Decoding is lossless for every text: a literal U+2581 is encoded as bytes, never as the space sign.
 The row key is the id, or the text's hash where the id is null. Null text gives null ids, empty
@@ -29,14 +30,60 @@ from .hashing import U64, Powers, mixed
 
 _SEGMENT = re.compile(r" *[^ ]+| +")
 _GOLDEN = U64(0x9E3779B97F4A7C15)
-#: Entries of kept lattices in one worker; 13 bytes each, and their segments.
-KEPT = 20_000_000
+#: Entries of one of the two tables of lattices that a worker keeps; 9 bytes each, and their segments.
+KEPT = 4_000_000
 
 
 def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+class Lattices:
+    """Filtered lattices of segments, bounded: entries of a place are ordered by piece length, longest first.
+
+    An entry is taken if a draw is at most its limit, the first such one of its place counts.
+    """
+
+    def __init__(self) -> None:
+        self.segments: dict[str, int] = {}
+        self.nodes = self.entries = 0
+        # untouched room costs no memory; a batch that needs more doubles it
+        self.first = np.zeros(KEPT // 2 + 1, np.int32)
+        self.limit, self.ids = np.empty(KEPT, np.uint32), np.empty(KEPT, np.int32)
+        self.lengths = np.empty(KEPT, np.int8)
+
+    def add(self, segments: list[str], size: np.ndarray, counts: np.ndarray, limit: np.ndarray, ids: np.ndarray,
+            lengths: np.ndarray) -> None:
+        """Segments of ``size`` places, ``counts`` entries per place, and the entries in order."""
+        while self.entries + len(ids) > len(self.ids):
+            self.limit, self.ids, self.lengths = (np.concatenate((x, np.empty_like(x)))
+                                                  for x in (self.limit, self.ids, self.lengths))
+        while self.nodes + len(counts) >= len(self.first):
+            self.first = np.concatenate((self.first, np.empty_like(self.first)))
+        own = slice(self.entries, self.entries + len(ids))
+        self.limit[own], self.ids[own], self.lengths[own] = limit, ids, lengths
+        self.first[self.nodes + 1:self.nodes + 1 + len(counts)] = self.entries + np.cumsum(counts)
+        start = self.nodes + np.cumsum(size) - size
+        # the place after e characters of a segment is its first node plus e - 1
+        self.segments.update(zip(segments, (start << 32 | size).tolist()))
+        self.nodes += len(counts)
+        self.entries += len(ids)
+
+    def taken_from(self, older: Lattices, segments: list[str]) -> None:
+        """Copy segments that another table has."""
+        entry = np.array([older.segments[s] for s in segments], np.int64)
+        start, size = entry >> 32, entry & 0xFFFFFFFF
+        nodes = _ranges(start, size)
+        counts = older.first[nodes + 1] - older.first[nodes]
+        own = _ranges(older.first[start].astype(np.int64), (older.first[start + size] - older.first[start]).astype(np.int64))
+        self.add(segments, size, counts, older.limit[own], older.ids[own], older.lengths[own])
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each range, one after the other."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
 class PieceSampler:
     def __init__(self, path: str, sharpness: float = 1.0) -> None:
         import sentencepiece
@@ -62,18 +109,12 @@ class PieceSampler:
             own = [p for p in self.pieces if len(p) == n]
             found = self._hashes(_points("".join(own)), n)[::n] if own else np.empty(0, U64)
             order = np.argsort(found)
+            sieve = np.zeros(1 << 16, bool)  # most substrings are no piece, which their top bits tell
+            sieve[(found >> U64(48)).astype(np.int64)] = True
             self.by_length.append((found[order], np.array([self.pieces[p][0] for p in own], np.int32)[order],
-                                   np.array([self.pieces[p][1] for p in own], float)[order]))
+                                   np.array([self.pieces[p][1] for p in own], float)[order], sieve))
         self.bytes_of = np.array([self.byte_id[b] for b in range(128)], np.int32)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.segments: dict[str, int] = {}
-        self.nodes = self.filled = 0
-        # untouched room costs no memory; a batch that needs more doubles it
-        room = KEPT + KEPT // 4
-        self.keys, self.ids = np.empty(room, U64), np.empty(room, np.int32)
-        self.lengths = np.empty(room, np.int8)
+        self.known, self.older = Lattices(), Lattices()
 
     def _hashes(self, points: np.ndarray, n: int) -> np.ndarray:
         """Hash of the n characters from each place."""
@@ -92,57 +133,55 @@ class PieceSampler:
         start = np.cumsum(size) - size
         points = _points("".join(segments))
         place = np.arange(len(points)) - np.repeat(start, size)
+        # column k is the piece of longest - k characters that ends at a place
         weight = np.zeros((len(points), self.longest))
         ids = np.zeros((len(points), self.longest), np.int32)
-        for n, (known, own, w) in enumerate(self.by_length, 1):
-            if not len(known) or len(points) < n:
-                continue
-            found = self._hashes(points, n)
-            at = np.minimum(np.searchsorted(known, found), len(known) - 1)
-            ends = np.flatnonzero((known[at] == found) & (place[n - 1:] >= n - 1))
-            weight[ends + n - 1, n - 1], ids[ends + n - 1, n - 1] = w[at[ends]], own[at[ends]]
-        bare = np.flatnonzero(weight[:, 0] == 0)
+        up, down = self.powers.reach(len(points) + 1)
+        with np.errstate(over="ignore"):
+            sums = np.concatenate((np.zeros(1, U64), np.cumsum((points.astype(U64) + U64(1)) * up[:len(points)])))
+            for n, (known, own, w, sieve) in enumerate(self.by_length, 1):
+                if not len(known) or len(points) < n:
+                    continue
+                found = (sums[n:] - sums[:-n]) * down[:len(points) + 1 - n]
+                may = np.flatnonzero(sieve[(found >> U64(48)).astype(np.int64)] & (place[n - 1:] >= n - 1))
+                at = np.minimum(np.searchsorted(known, found[may]), len(known) - 1)
+                hit = known[at] == found[may]
+                ends, at = may[hit] + n - 1, at[hit]
+                weight[ends, self.longest - n], ids[ends, self.longest - n] = w[at], own[at]
+        bare = np.flatnonzero(weight[:, -1] == 0)
         if len(bare):
             code = points[bare].astype(np.int64)
             spelled = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
-            weight[bare, 0] = self.byte_weight ** spelled
-            ids[bare, 0] = np.where(code < 128, self.bytes_of[np.minimum(code, 127)], -code)
-        limit = np.empty(weight.shape, U64)
+            weight[bare, -1] = self.byte_weight ** spelled
+            ids[bare, -1] = np.where(code < 128, self.bytes_of[np.minimum(code, 127)], -code)
+        limit = np.empty(weight.shape, np.uint32)
         order = np.argsort(-size, kind="stable")
         active = np.searchsorted(-size[order], -np.arange(size.max()), side="left")  # segments longer than the step
         sums = np.zeros((len(segments), self.longest))
-        sums[:, 0] = 1.0
+        sums[:, -1] = 1.0
         for step, n in enumerate(active.tolist()):
             at, sums = start[order[:n]] + step, sums[:n]
             run = np.cumsum(weight[at] * sums, axis=1)
             total = run[:, -1:]
-            limit[at] = np.floor(run / total * 4294967296.0).astype(U64)
-            older = np.minimum(sums[:, :-1] / total, 1e300)
-            sums = np.concatenate((np.ones((n, 1)), older), axis=1)
+            limit[at] = np.maximum(np.ceil(run / total * 4294967296.0) - 1, 0)
+            older = np.minimum(sums[:, 1:] / total, 1e300)
+            sums = np.concatenate((older, np.ones((n, 1))), axis=1)
         kept = weight > 0
-        key = ((self.nodes + np.arange(len(points))).astype(U64)[:, None] << U64(32)) + limit
-        end = self.filled + int(kept.sum())
-        while end > len(self.keys):
-            self.keys, self.ids, self.lengths = (np.concatenate((x, np.empty_like(x)))
-                                                 for x in (self.keys, self.ids, self.lengths))
-        self.keys[self.filled:end] = key[kept]
-        self.ids[self.filled:end] = ids[kept]
-        self.lengths[self.filled:end] = np.nonzero(kept)[1] + 1
-        self.filled = end
-        # the place after e characters of a segment is its entry's node plus e
-        self.segments.update(zip(segments, ((self.nodes + start) << 32 | size).tolist()))
-        self.nodes += len(points)
-
-    def encode(self, texts: list[str], seeds: np.ndarray) -> list[np.ndarray]:
-        """Sampled piece ids of each text."""
-        cut = [_SEGMENT.findall(" " + t) if t else [] for t in texts]
-        segments = [s for parts in cut for s in parts]
-        if not segments:
-            return [np.empty(0, np.int32) for _ in texts]
-        if self.filled > KEPT:
-            self._forget()
+        counts = kept.sum(axis=1)
+        limit[:, -1] = 2 ** 32 - 1
+        self.known.add(segments, size, counts, limit[kept], ids[kept], self.longest - np.nonzero(kept)[1])
+
+    def _prepare(self, segments: set[str]) -> None:
+        """Have the lattices of all segments in the newer table; the one before it keeps what was used lately."""
+        if self.known.entries > KEPT:
+            self.older, self.known = self.known, Lattices()
+        missing = segments.difference(self.known.segments)
+        again = [s for s in missing if s in self.older.segments]
+        if again:
+            self.known.taken_from(self.older, again)
+            missing.difference_update(again)
         new, chars = [], 0
-        for s in set(segments).difference(self.segments):
+        for s in missing:
             new.append(s)
             chars += len(s)
             if chars > 30_000:
@@ -150,8 +189,16 @@ class PieceSampler:
                 new, chars = [], 0
         if new:
             self._learn(new)
-        keys = self.keys[:self.filled]
-        entry = np.array([self.segments[s] for s in segments], np.int64)
+
+    def encode(self, texts: list[str], seeds: np.ndarray) -> list[np.ndarray]:
+        """Sampled piece ids of each text."""
+        cut = [_SEGMENT.findall(" " + t) if t else [] for t in texts]
+        segments = [s for parts in cut for s in parts]
+        if not segments:
+            return [np.empty(0, np.int32) for _ in texts]
+        self._prepare(set(segments))
+        own = self.known
+        entry = np.array(list(map(own.segments.__getitem__, segments)), np.int64)
         start, size = entry >> 32, entry & 0xFFFFFFFF
         counts = np.array([len(p) for p in cut])
         doc = np.repeat(np.arange(len(texts)), counts)
@@ -159,25 +206,29 @@ class PieceSampler:
         first = np.zeros(len(texts), np.int64)
         has = counts > 0
         first[has] = before[(np.cumsum(counts) - counts)[has]]
-        place = before - first[doc]
-        seed = seeds.astype(U64)[doc]
+        with np.errstate(over="ignore"):
+            seed = seeds.astype(U64)[doc] + (before - first[doc]).astype(U64) * _GOLDEN
         left, active, drawn = size.copy(), np.arange(len(segments)), []
         while len(active):
             at = left[active]
             with np.errstate(over="ignore"):
-                draw = mixed(seed[active] + (place[active] + at).astype(U64) * _GOLDEN) >> U64(32)
-            chosen = np.searchsorted(keys, ((start[active] + at - 1).astype(U64) << U64(32)) + draw, side="right")
-            drawn.append((active, self.ids[chosen]))
-            at = at - self.lengths[chosen]
+                draw = (mixed(seed[active] + at.astype(U64) * _GOLDEN) >> U64(32)).astype(np.uint32)
+            chosen = own.first[start[active] + at - 1]
+            todo = np.flatnonzero(draw > own.limit[chosen])
+            while len(todo):
+                chosen[todo] += 1
+                todo = todo[draw[todo] > own.limit[chosen[todo]]]
+            drawn.append((active, own.ids[chosen]))
+            at = at - own.lengths[chosen]
             left[active] = at
             active = active[at > 0]
         pieces = np.zeros(len(segments), np.int64)
-        for own, _ in drawn:
-            pieces[own] += 1
+        for some, _ in drawn:
+            pieces[some] += 1
         ends = np.cumsum(pieces)
         out = np.empty(ends[-1], np.int32)
-        for step, (own, ids) in enumerate(drawn):
-            out[ends[own] - 1 - step] = ids
+        for step, (some, ids) in enumerate(drawn):
+            out[ends[some] - 1 - step] = ids
         stops = np.concatenate(([0], ends))[np.cumsum(counts)]
         split = np.split(out, stops[:-1])
         return [self._with_bytes(x) if len(x) and x.min() < 0 else x for x in split]
