@@ -145,6 +145,8 @@ _PARTS = re.compile(rb"[a-z]+(?=[!-/:-@\[-`{-~]*(?:[\x20\x09-\x0d]|\Z))"
                     rb"|(?<=[a-z])[!-/:-@\[-`{-~]+(?=[\x20\x09-\x0d]|\Z)|[^\x20\x09-\x0d]+")
 #: Characters beyond U+017F could combine with a letter whose case was changed.
 _FAR = re.compile(rb"[\xc6-\xff]|<\|")
+#: Parts words that are encoded together.
+_SIGN = "|"
 _PROBES = ["Ab cd\tEF", "don't, Été! 12a", "x.\n\ny", "word*** a|b"]
 
 
@@ -154,18 +156,23 @@ class WordEncoder:
     If the tokenizer drops white space and joins nothing across it, a text's ids are its words'
     ids, so each word is encoded once and kept; if it also ignores case and parts letters from
     punctuation, words are kept in lower case and without the punctuation behind them. Probe texts
-    decide whether each holds; otherwise whole texts are encoded. What is kept is bounded.
+    decide whether each holds; otherwise whole texts are encoded. Words are kept in two bounded
+    tables: when one is full it becomes the older one, from which words that still occur come back.
+    New words are encoded many at a time, parted by a sign whose id tells them apart.
     """
 
-    def __init__(self, path: str, kept: int = 1_000_000) -> None:
+    def __init__(self, path: str, kept: int = 300_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kept, self.known = kept, {}
+        self.kept, self.known, self.older = kept, {}, {}
         plain = [self._ids(x) for x in _PROBES]
         words = [b"".join(self._ids(w.decode()) for w in x.encode().split()) for x in _PROBES]
         self.by_word = plain == words
         self.by_part = self.by_word and self._ids("Thing,***") == self._ids("thing") + self._ids(",***")
+        sign = self._ids(_SIGN)
+        self.sign = int.from_bytes(sign, "little") if len(sign) == 4 and self._ids(f"ab {_SIGN} cd") == (
+            self._ids("ab") + sign + self._ids("cd")) else None
 
     def _ids(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -175,6 +182,20 @@ class WordEncoder:
         return [array("I", x.ids).tobytes() for at in range(0, len(texts), 1000)
                 for x in self.tokenizer.encode_batch_fast(texts[at:at + 1000], add_special_tokens=False)]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words; a line of words with a second sign of its own is encoded word by word."""
+        if not self.by_word or self.sign is None:
+            return self._batch(words)
+        lines = [words[at:at + 64] for at in range(0, len(words), 64)]
+        out: list[bytes] = []
+        for line, ids in zip(lines, self._batch([f" {_SIGN} ".join(line) for line in lines])):
+            cuts = (np.flatnonzero(np.frombuffer(ids, "<u4") == self.sign) * 4).tolist()
+            if len(cuts) == len(line) - 1:
+                out += [ids[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(ids)])]
+            else:
+                out += self._batch(line)
+        return out
+
     def _split(self, raw: bytes) -> list[bytes]:
         return _PARTS.findall(raw.lower()) if self.by_part and not _FAR.search(raw) else raw.split()
 
@@ -182,14 +203,16 @@ class WordEncoder:
         if not self.by_word:
             return self._batch(texts)
         if len(self.known) > self.kept:
-            self.known = {}
+            self.older, self.known = self.known, {}
         known = self.known
         split = [self._split(x.encode("utf-8", "replace")) for x in texts]
         found = [list(map(known.get, words)) for words in split]
-        missing = list({w for words, ids in zip(split, found) if None in ids
-                        for w, own in zip(words, ids) if own is None})
+        missing = {w for words, ids in zip(split, found) if None in ids for w, own in zip(words, ids) if own is None}
         if missing:
-            known.update(zip(missing, self._batch([x.decode("utf-8", "replace") for x in missing])))
+            again = missing.intersection(self.older)
+            known.update(zip(again, map(self.older.__getitem__, again)))
+            new = list(missing.difference(again))
+            known.update(zip(new, self._words([x.decode("utf-8", "replace") for x in new])))
         return [b"".join(map(known.__getitem__, words) if None in ids else ids)
                 for words, ids in zip(split, found)]
 
