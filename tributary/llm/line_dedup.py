@@ -19,7 +19,9 @@ Rule: a line goes if and only if it lies in a run of consecutive worded lines wi
 
 Other lines, blank ones too, keep their order. A document of which no word is left through this is
 dropped; texts that were null or empty before stay as they are. Rows with equal id and text are one
-document and share what happens to it. Empty tables give empty results.
+document and share what happens to it. Texts without a worded line, however many, have no runs; very
+long texts are read whole. Empty tables give empty results. Other columns stay as they are, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -28,10 +30,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import identity, stored
+from .common import identity, own_names, stored
 
 WHITE = b" \t\n\x0b\x0c\r"
 
@@ -76,6 +78,8 @@ def line_sequences(docs: DataFrame, min_words: int, id_col: str, text_col: str)
                     ats += range(len(bare))
                     hashes += [xxhash.xxh3_128_digest(x) for x in bare]
                     runs += own
+                if not ids:
+                    continue
                 halves = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
                 yield pd.DataFrame({"__id": ids, "__text": texts, "at": ats, "h1": halves[:, 0],
                                     "h2": halves[:, 1], "ends": runs})
@@ -151,17 +155,28 @@ def _without(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
     return pd.Series([t if s is None else one(t, s, e) for t, s, e in zip(text, starts, ends)], dtype=object)
 
 
+def _cut_texts(text: Column, starts: str, ends: str) -> Column:
+    """``_without`` on Spark columns; rows without cuts bring a null text, so their texts stay in the JVM."""
+    return F.pandas_udf(_without, "string")(text, starts, ends)
+
+
+def _with_cuts(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with ``__starts`` and ``__ends`` of the runs to delete, null where there are none."""
+    runs = repeated_runs(docs, min_words=min_words, id_col=id_col, text_col=text_col)
+    cuts = stored(runs.groupBy("__id", "__text").agg(
+        F.collect_list("start").alias("__starts"), F.collect_list("end").alias("__ends")), "cuts")
+    keyed = docs.withColumns(dict(zip(("__id", "__text"), identity(id_col, text_col))))
+    return keyed.join(cuts, ["__id", "__text"], "left")
+
+
+@own_names
 def without_repeated_runs(docs: DataFrame, *, min_words: int = 50, id_col: str = "doc_id",
                           text_col: str = "text") -> DataFrame:
     """``docs`` without the later copies of line runs; rows left without words are dropped."""
-    runs = repeated_runs(docs, min_words=min_words, id_col=id_col, text_col=text_col)
-    cuts = runs.groupBy("__id", "__text").agg(
-        F.collect_list("start").alias("__starts"), F.collect_list("end").alias("__ends"))
-    keyed = docs.withColumns(dict(zip(("__id", "__text"), identity(id_col, text_col))))
-    kept = F.pandas_udf(_without, "string")(text_col, "__starts", "__ends")
-    return (keyed.join(cuts, ["__id", "__text"], "left")
-            .withColumn("__left", F.when(F.col("__starts").isNull(), F.col(text_col)).otherwise(kept))
-            .filter(F.col("__starts").isNull() | F.col("__left").isNotNull())
+    rows, cut = _with_cuts(docs, min_words, id_col, text_col), F.col("__starts").isNotNull()
+    kept = _cut_texts(F.when(cut, F.col(text_col)), "__starts", "__ends")
+    return (rows.withColumn("__left", F.when(cut, kept).otherwise(F.col(text_col)))
+            .filter(~cut | F.col("__left").isNotNull())
             .select(*[F.col("__left").alias(c) if c == text_col else F.col(c) for c in docs.columns]))
 
 
@@ -171,11 +186,6 @@ def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
     The text of a document that lost all its words is empty here.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    runs = repeated_runs(docs)
-    cuts = runs.groupBy("__id", "__text").agg(
-        F.collect_list("start").alias("__starts"), F.collect_list("end").alias("__ends"))
-    keyed = docs.withColumns(dict(zip(("__id", "__text"), identity("doc_id", "text"))))
-    kept = F.coalesce(F.pandas_udf(_without, "string")("text", "__starts", "__ends"), F.lit(""))
-    return (keyed.join(cuts, ["__id", "__text"], "left")
-            .select("doc_id", F.when(F.col("__starts").isNull(), F.col("text")).otherwise(kept).alias("text"),
-                    F.col("__starts").isNotNull().alias("changed")))
+    rows, cut = _with_cuts(docs, 50, "doc_id", "text"), F.col("__starts").isNotNull()
+    kept = F.coalesce(_cut_texts(F.when(cut, F.col("text")), "__starts", "__ends"), F.lit(""))
+    return rows.select("doc_id", F.when(cut, kept).otherwise(F.col("text")).alias("text"), cut.alias("changed"))
