@@ -11,8 +11,9 @@ output shards by a multinomial draw, so that a shard's source counts are multino
 size while each source's total is exact. Slots and blocks meet in a join by (source, block).
 
 Null text has size 0, documents without words are never taken, null is a source of its own, and
-repeated rows are separate documents. Everything is seeded: reruns agree. Empty tables give empty
-results. Columns of the input with the names of result columns are replaced.
+repeated rows are separate documents, also where only their source differs. Very long texts span
+blocks. Everything is seeded: reruns agree. Empty tables give empty results. Columns of the input
+with the names of result columns are replaced in the query and kept in the mix of documents.
 """
 
 from __future__ import annotations
@@ -23,13 +24,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import identity, stored
+from .common import identity, own_names, stored
 
 #: Rows of a source that one task lays end to end, on average.
 ROWS_PER_BUCKET = 5000
+#: Equal rows that are laid out together.
+ROWS_PER_GROUP = 500
+#: Tasks that fill slots at most, and shards whose slots are drawn at once.
+FILLERS, SHARDS_AT_ONCE = 4096, 1 << 16
 NON_SPACES = r"[^\x20\x09-\x0D]+"
 
 
@@ -62,7 +67,7 @@ def laid_out(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
              max_repeats: int = 3) -> DataFrame:
     """One stored row per document: id, source, size, source_size, target, __s, __start.
 
-    ``__start`` is the document's first word within its source. Documents go by hash into buckets
+    ``__start`` is the document's first word within its source. Equal rows follow each other. Documents go by hash into buckets
     per source; the small table of bucket sizes gives each bucket its start, a window does the rest.
     """
     sized = stored(docs.select(
@@ -70,18 +75,27 @@ def laid_out(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(NON_SPACES)).cast("long").alias("size")),
         "sized")
     targets = stored(source_targets(sized, max_repeats), "targets")
-    rows = sized.join(targets.withColumnRenamed("source", "__source"),
-                      F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
-    rows = rows.withColumn("__hash", F.xxhash64("__id", "__text", F.lit("order"))).withColumn(
+    # equal rows are counted and dealt in groups, so that no bucket holds all copies of a row
+    many = sized.groupBy(*sized.columns).agg(F.count("*").alias("__n")).withColumn("__group", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / ROWS_PER_GROUP)))).withColumn(
+        "__copies", F.least(F.lit(ROWS_PER_GROUP), F.col("__n") - F.col("__group") * ROWS_PER_GROUP))
+    rows = many.join(targets.withColumnRenamed("source", "__source"),
+                     F.col("source").eqNullSafe(F.col("__source"))).drop("__source", "__n")
+    draw = F.when(F.col("__group") == 0, F.xxhash64("__id", "__text", F.lit("order"))).otherwise(
+        F.xxhash64("__id", "__text", F.lit("order"), "__group"))
+    rows = rows.withColumn("__hash", draw).withColumn(
         "__bucket", F.pmod("__hash", F.floor(F.col("n_docs") / ROWS_PER_BUCKET) + 1))
+    words = F.col("size") * F.col("__copies")
     before = Window.partitionBy("__s").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    first = (rows.groupBy("__s", "__bucket").agg(F.sum("size").alias("__n"))
+    first = (rows.groupBy("__s", "__bucket").agg(F.sum(words).alias("__n"))
              .withColumn("__first", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n"))
-    within = (Window.partitionBy("__s", "__bucket").orderBy("__hash", "__id", "__text")
+    within = (Window.partitionBy("__s", "__bucket").orderBy("__hash", "__id", "__text", "__group")
               .rowsBetween(Window.unboundedPreceding, 0))
-    return stored(rows.withColumn("__end", F.sum("size").over(within)).join(first, ["__s", "__bucket"])
-                  .withColumn("__start", F.col("__first") + F.col("__end") - F.col("size"))
-                  .drop("__first", "__end", "__bucket", "__hash", "n_docs"), "rows")
+    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("__copies") - 1))
+    return stored(rows.withColumn("__end", F.sum(words).over(within)).join(first, ["__s", "__bucket"])
+                  .withColumn("__copy", copy)
+                  .withColumn("__start", F.col("__first") + F.col("__end") - words + F.col("__copy") * F.col("size"))
+                  .drop("__first", "__end", "__bucket", "__hash", "__group", "__copies", "__copy", "n_docs"), "rows")
 
 
 def _scramble(x: np.ndarray, key: int) -> np.ndarray:
@@ -135,12 +149,17 @@ def dealt_slots(targets: DataFrame, *, block_words: int, slots_per_shard: int, s
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for s, size, target in zip(frame["__s"], frame["source_size"], frame["target"]):
+                draw, at = np.random.default_rng([seed, int(s)]), 0
                 slots = _plan(int(size), target, block_words)[3]
-                counts = np.random.default_rng([seed, int(s)]).multinomial(slots, np.full(shards, 1.0 / shards))
-                found = np.flatnonzero(counts)
-                ends = np.cumsum(counts)
-                yield pd.DataFrame({"__s": int(s), "shard": found, "source_size": size, "target": target,
-                                    "first": (ends - counts)[found], "n": counts[found]})
+                shares = [min(SHARDS_AT_ONCE, shards - k) for k in range(0, shards, SHARDS_AT_ONCE)]
+                own = draw.multinomial(slots, np.array(shares) / shards) if len(shares) > 1 else [slots]
+                for k, (share, n) in enumerate(zip(shares, own)):
+                    counts = draw.multinomial(n, np.full(share, 1.0 / share))
+                    found = np.flatnonzero(counts)
+                    ends = at + np.cumsum(counts)
+                    at += int(n)
+                    yield pd.DataFrame({"__s": int(s), "shard": k * SHARDS_AT_ONCE + found, "source_size": size,
+                                        "target": target, "first": (ends - counts)[found], "n": counts[found]})
 
     def fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -161,7 +180,7 @@ def dealt_slots(targets: DataFrame, *, block_words: int, slots_per_shard: int, s
                                         "block": block, "words": words, "draw": draw})
 
     dealt = targets.mapInPandas(deal, ranges)
-    return dealt.repartition(F.col("__s"), F.col("shard")).mapInPandas(
+    return dealt.repartition(min(shards, FILLERS), "__s", "shard").mapInPandas(
         fill, "__s int, shard int, epoch long, block long, words long, draw long")
 
 
@@ -190,7 +209,7 @@ def op4_mixing(spark, sf_dir: str) -> DataFrame:
     rows = laid_out(docs)
     taken = taken_pieces(rows).groupBy("__s", "__start", "size").agg(F.sum(F.col("to") - F.col("from")).alias("taken"))
     return rows.join(taken, ["__s", "__start", "size"], "left").select(
-        "doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source")
 
 
 def _cut(text: pd.Series, size: pd.Series, spans: pd.Series) -> pd.Series:
@@ -211,20 +230,30 @@ def _cut(text: pd.Series, size: pd.Series, spans: pd.Series) -> pd.Series:
     return pd.Series([one(*x) for x in zip(text, size, spans)])
 
 
+@own_names
 def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                     block_words: int = 1024, slots_per_shard: int = 4096, seed: int = 0) -> DataFrame:
     """The mix as documents: one row per document and epoch that takes words of it.
 
     Columns are those of ``docs``; the text holds the words taken, whole where all are. Of rows
-    with equal id and text the other columns come from one of them.
+    with equal id, text and source the other columns come from the one with the smallest hash.
     """
     rows = laid_out(docs, id_col=id_col, text_col=text_col, source_col=source_col)
+    keys = ["__id", "__text", "__source"]
     spans = (taken_pieces(rows, block_words=block_words, slots_per_shard=slots_per_shard, seed=seed)
              .groupBy("__s", "__start", "size", "epoch")
              .agg(F.collect_list(F.struct("from", "to")).alias("__spans")))
-    spans = spans.join(rows.select("__s", "__start", "size", "__id", "__text"), ["__s", "__start", "size"]).select(
-        "__id", "__text", F.col("size").alias("__size"), "__spans")
-    unique = docs.withColumns(dict(zip(("__id", "__text"), identity(id_col, text_col)))).dropDuplicates(
-        ["__id", "__text"])
-    return unique.join(spans, ["__id", "__text"]).withColumn(
+    spans = spans.join(rows.withColumn("__source", _source_key("source")), ["__s", "__start", "size"]).select(
+        *keys, F.col("size").alias("__size"), "__spans")
+    keyed = docs.withColumns(dict(zip(keys, (*identity(id_col, text_col), _source_key(source_col)))))
+    repeated = stored(rows.groupBy("__id", "__text", _source_key("source").alias("__source")).agg(
+        F.count("*").alias("__n")).filter("__n > 1").drop("__n"), "repeated")
+    again = keyed.join(repeated, keys, "left_semi").groupBy(*keys).agg(
+        F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("__row"))
+    unique = keyed.join(repeated, keys, "left_anti").unionByName(again.select("__row.*", *keys))
+    return unique.join(spans, keys).withColumn(
         text_col, F.pandas_udf(_cut, "string")(text_col, "__size", "__spans")).select(*docs.columns)
+
+
+def _source_key(source_col: str) -> Column:
+    return F.xxhash64(F.col(source_col), F.col(source_col).isNull())
