@@ -1,11 +1,12 @@
 import datetime as dt
 import hashlib
+import re
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import dicts, summary
+from helpers import dicts, plan, summary
 from tributary.functions import calendar, cleaning, display, labels
 from tributary.operators import concentration, rollup, selection
 from tributary.plans import reports
@@ -249,6 +250,49 @@ def test_cap_sizes_around_one_hundred_thousand_give_one_order(spark):
     assert taken[0] < taken[1] < taken[2]
 
 
+@pytest.mark.parametrize("cap", [1, 3, 400, 700, 1501, 1999, 2000, 2001])
+def test_caps_in_groups_of_one_identifier(spark, cap):
+    """Half of the rows are versions of one identifier on one day, some equal throughout, some null."""
+    day = dt.date(2024, 1, 1)
+    rows = [("hot", day, float(i % 97) if i % 5 else None) if i % 2 else
+            (f"k{i}", day + dt.timedelta(days=i % 3) if i % 7 else None, 1.0) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k string, d date, a double").repartition(3)
+    got = selection.newest_rows(df, "d", "k", cap, ["a"], small=20)
+    want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or day).toordinal(),
+                                       hashlib.md5(r[0].encode()).hexdigest(), r[2] is not None, r[2] or 0.0))[:cap]
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_no_task_ranks_a_hot_identifier(spark):
+    df = spark.range(60_000).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+                                    F.lit(dt.date(2024, 1, 1)).alias("d"), (F.col("id") % 1000).alias("a"))
+    place = hashlib.md5(b"hot").hexdigest()
+    before = df.filter(F.md5("k") < place).count()
+    got = selection.newest_rows(df, "d", "k", before + 17_000, ["a"], small=500)
+    hot = got.filter("k = 'hot'").groupBy("a").count().collect()
+    assert got.count() == before + 17_000 and sum(r["count"] for r in hot) == 17_000
+    assert max(r["a"] for r in hot) == 2 * (17_000 // 60 - (17_000 % 60 == 0))
+    text = plan(got)
+    assert not re.search(r"\) Window\b", text)  # what is left to rank is a sort of at most 500 rows
+    assert len(re.findall("TakeOrderedAndProject", text)) >= 1
+
+
+def test_ranking_of_the_whole_set(spark):
+    rows = [(f"C{i}", None if i % 11 == 0 else float(i * 37 % 50 - 5)) for i in range(300)] + [("hot%d" % i, 7.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "c string, a double").withColumn("a", F.col("a").cast("decimal(18,2)"))
+    got = concentration.ranked_shares(df.repartition(5), "a", "c").orderBy("place").collect()
+    want = sorted(rows, key=lambda r: (-(r[1] or 0.0), r[0]))
+    assert [r["c"] for r in got] == [r[0] for r in want] and [r["place"] for r in got] == list(range(1, 501))
+    total, running = sum(max(r[1] or 0, 0) for r in rows), 0.0
+    for r, (_, a) in zip(got, want):
+        running += max(a or 0, 0)
+        assert float(r["running"]) == running and r["running_share"] == pytest.approx(running / total)
+    assert concentration.ranked_shares(df.limit(0), "a", "c").count() == 0
+    assert {r["running_share"] for r in concentration.ranked_shares(
+        df.withColumn("a", -F.abs("a")), "a", "c").collect()} == {0.0}
+
+
 def test_cycle_fetch_on_numbers_and_arrays(spark):
     df = spark.createDataFrame([("a", 2024, [2022, 2024]), ("b", 2022, [2022])],
                                "k string, c int, cs array<int>")

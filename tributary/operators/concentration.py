@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tributary.functions.cleaning import zero_if_null
 from tributary.functions.labels import name_or_id
+from tributary.session import settle
 
 # Sizes of the leading groups, and the texts of the report (fixed values).
 STEPS = (1, 5, 12)
@@ -104,3 +105,34 @@ def concentration_ladder(df: DataFrame, amount: str, entity_id: str, name: str,
     if hide_empty:
         one = one.filter("n > 0 AND total > 0")
     return one.select(F.inline(steps))
+
+
+def ranked_shares(df: DataFrame, amount: str, entity_id: str) -> DataFrame:
+    """(entity, amount, place, running, running_share) of every row, largest amounts first.
+
+    Rows are range partitioned and written once. Each range's count and sum, one row per range, give
+    the ranges after it their start; within a range a window numbers and adds. No task holds more
+    than a range, and rows of equal amounts are parted by the identifier.
+    """
+    raw = zero_if_null(F.col(amount))
+    counted = F.greatest(raw, F.lit(0).cast(df.schema[amount].dataType))
+    order = [F.desc("_raw"), F.asc_nulls_first(entity_id)]
+    rows = settle(df.select(entity_id, raw.alias("_raw"), counted.alias("_amount"))
+                  .repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    sums = sorted(rows.groupBy("_range").agg(F.count("*"), F.sum("_amount")).collect())  # one row per range
+    kind = rows.agg(F.sum("_amount").alias("total")).schema["total"].dataType
+    starts, place, total = [], 0, 0
+    for at, n, own in sums:
+        starts.append((at, place, total))
+        place, total = place + n, total + own
+    before = df.sparkSession.createDataFrame(
+        [(at, n, str(own)) for at, n, own in starts], "_range int, _n long, _sum string").withColumn(
+        "_sum", F.col("_sum").cast(kind))
+    upto = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    whole = F.lit(str(total)).cast(kind)
+    running = (F.col("_sum") + F.sum("_amount").over(upto)).cast(kind)
+    ranked = rows.join(before, "_range").select(
+        entity_id, F.col("_raw").alias(amount), (F.col("_n") + F.count("*").over(upto)).alias("place"),
+        running.alias("running"))
+    share = F.when(whole > 0, F.col("running").cast("double") / whole.cast("double")).otherwise(0.0)
+    return ranked.withColumn("running_share", share)

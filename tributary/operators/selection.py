@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.sql import types as T
 
+from tributary.session import settle
+
 
 def is_valid_record(record_id: Column, event_date: Column, amount: Column) -> Column:
     """Identifier and date present, amount not null; never null itself.
@@ -27,43 +30,78 @@ def valid_and_skipped(df: DataFrame, record_id: str, event_date: str, amount: st
 
 
 
+#: Rows that one task ranks, digits of a digest that one round looks at, and pivots of a round.
+SMALL, DIGITS, PIVOTS = 50_000, 3, 255
+
 
 def newest_rows(df: DataFrame, event_date: str, record_id: str, n: int | None,
-                ties: Sequence[str] = ()) -> DataFrame:
+                ties: Sequence[str] = (), small: int = SMALL) -> DataFrame:
     """The ``n`` newest rows by calendar day, or all rows for ``n`` None.
 
     Within the day that the cap falls into, rows go by the digest of their identifier, then by
-    the tie columns. Rows are counted per day, and that day's per digest range, which gives the
-    edge: newer days and smaller ranges go whole, only the rows of one range are ranked. The
-    counts are scalar subqueries over one column each, so the plan is the same for every cap
-    and no task ever gets more than one range.
+    the tie columns. The edge is found by radix selection: rows are counted per day, then per
+    leading digits of the digest, and on into the group that the cap falls into until that holds
+    at most ``small`` rows. A group of one identifier is split by pivots among its tie values,
+    and equal rows by their place in the stored group, so a record with very many versions never
+    meets in one task. Each round counts narrow columns; newer days and smaller groups go whole.
     """
     if n is None:
         return df
-    day, place = F.col(event_date).cast("date"), F.md5(F.col(record_id).cast("string"))
-    part = F.conv(F.substring(place, 1, 3), 16, 10).cast("int")
-    days = df.groupBy(day.alias("at")).agg(F.count("*").alias("n"))
-    edge = _edge(days, F.col("at").desc_nulls_last(), n).scalar()
-    edge_day, kept = edge.getField("at"), edge.getField("before")
-    ranges = df.filter(day == edge_day).groupBy(part.alias("at")).agg(F.count("*").alias("n"))
-    inner = _edge(ranges, F.col("at"), n - F.coalesce(kept, F.lit(0))).scalar()
-    edge_part, also_kept = inner.getField("at"), inner.getField("before")
-    whole = df.filter(edge_day.isNull() | (day > edge_day)
-                      | ((day == edge_day) & (part < edge_part)))
-    order = Window.partitionBy(day, part).orderBy(place, *ties)
-    ranked = df.filter((day == edge_day) & (part == edge_part)).withColumn(
-        "_place", F.row_number().over(order))
-    return whole.unionByName(
-        ranked.filter(F.col("_place") <= n - kept - also_kept).drop("_place"))
-
-
-def _edge(counts: DataFrame, order: Column, n: Column | int) -> DataFrame:
-    """(at, before) of the first group at which the running count reaches ``n``; else no row."""
-    running = counts.withColumn("upto", F.sum("n").over(
-        Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
-    reached = running.filter(F.col("upto") >= n)
-    return reached.agg(F.min_by(F.struct("at", (F.col("upto") - F.col("n")).alias("before")),
-                                F.col("upto")).alias("edge"))
+    day = F.col(event_date).cast("date")
+    place = F.coalesce(F.md5(F.col(record_id).cast("string")), F.lit(""))
+    days = df.groupBy(day.alias("at")).agg(F.count("*").alias("n")).collect()
+    days.sort(key=lambda r: (r["at"] is not None, r["at"] or dt.date.min), reverse=True)
+    at, kept = _edge(days, n)
+    if at is None:
+        return df
+    edge, size, one_id = at["at"], at["n"], False
+    same_day = day.eqNullSafe(F.lit(edge).cast("date"))
+    newer = day.isNotNull() if edge is None else F.coalesce(day > F.lit(edge), F.lit(False))
+    prefix, length = "", 0
+    while size > small and not one_id:
+        length += DIGITS
+        groups = df.filter(same_day & (F.substring(place, 1, length - DIGITS) == prefix)).groupBy(
+            F.substring(place, 1, length).alias("at")).agg(
+            F.count("*").alias("n"), (F.min(place) == F.max(place)).alias("one_id")).collect()
+        at, before = _edge(sorted(groups, key=lambda r: r["at"]), n - kept)
+        prefix, size, one_id, kept = at["at"], at["n"], at["one_id"], kept + before
+    lead = F.substring(place, 1, length)
+    whole = df.filter(newer | (same_day & (lead < prefix)))
+    group = df.filter(same_day & (lead == prefix))
+    if size > small:
+        return whole.unionByName(_least(group, n - kept, size, ties, small))
+    return whole.unionByName(group.orderBy(place, *ties).limit(n - kept))
+
+
+def _edge(groups: Sequence[Row], n: int) -> tuple[Row | None, int]:
+    """The group at which the running count reaches ``n``, and the rows before it.
+
+    Groups are days, 4,096 leading digits or the rows between two pivots.
+    """
+    before = 0
+    for group in groups:
+        if before + group["n"] >= n:
+            return group, before
+        before += group["n"]
+    return None, before
+
+
+def _least(group: DataFrame, n: int, size: int, ties: Sequence[str], small: int) -> DataFrame:
+    """``n`` least rows by the tie columns of a group of one identifier."""
+    key = F.struct(*[F.col(c) for c in ties], F.xxhash64(*group.columns), "__row")
+    rest = settle(group.withColumn("__row", F.monotonically_increasing_id())).withColumn("__key", key)
+    taken: list[DataFrame] = []
+    while size > small and n:
+        pivots = rest.orderBy(F.xxhash64("__row", F.lit(size))).limit(PIVOTS).agg(
+            F.array_sort(F.collect_list("__key")).alias("pivots"))
+        below = F.size(F.filter("__pivots", lambda p: p < F.col("__key")))
+        counted = settle(rest.withColumn("__pivots", settle(pivots).scalar()).withColumn("__below", below).drop("__pivots"))
+        at, before = _edge(counted.groupBy("__below").agg(F.count("*").alias("n")).orderBy("__below").collect(), n)
+        taken.append(counted.filter(F.col("__below") < at["__below"]))
+        rest, n, size = counted.filter(F.col("__below") == at["__below"]).drop("__below"), n - before, at["n"]
+    taken.append(rest.orderBy("__key").limit(n))
+    rows = [part.select(*group.columns) for part in taken]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def windowed_fetch(df: DataFrame, *, record_id: str, event_date: str, amount: str,

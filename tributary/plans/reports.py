@@ -112,3 +112,8 @@ def ladder(summary: DataFrame, party: str = EVERY_PARTY) -> DataFrame:
 def concentration_total(summary: DataFrame, party: str = EVERY_PARTY) -> DataFrame:
     return concentration.concentration_summary(
         for_party(summary, party), "total_raised", "committee_id", "committee_name")
+
+
+def committee_ranking(summary: DataFrame) -> DataFrame:
+    """Place and running share of every committee."""
+    return concentration.ranked_shares(summary, "total_raised", "committee_id")
