@@ -1,17 +1,19 @@
 """Plan shape: what reaches the scan, what is shuffled, what is broadcast."""
 
+import datetime as dt
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
-from helpers import DAY, fact, facts, plan
+from helpers import DAY, T0, fact, facts, plan
 from tributary.operators.quality import coverage
 from tributary.operators.selection import windowed_fetch
 from tributary.plans import marts, run, staging
+from tributary.plans.stored import append_facts, record_versions
 from tributary.registry import adapters
-from tributary.sources import layers as tables
+from tributary.registry.queries import REGISTRY
+from tributary.sources import layers as tables, ledger
 from tributary.sources.layers import Layers
 
 SF = "/root/testdata/sf0.001"
@@ -21,9 +23,9 @@ def read_schemas(text):
     return re.findall(r"ReadSchema: struct<(.*)>", text)
 
 
-@pytest.mark.parametrize("key", sorted(set(queries()) - {"incremental_run", "scan_ndjson"}))
+@pytest.mark.parametrize("key", sorted(set(REGISTRY) - {"incremental_run", "scan_ndjson"}))
 def test_no_product_joins_and_no_python(spark, key):
-    text = plan(queries()[key](spark, SF))
+    text = plan(REGISTRY[key](spark, SF))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "PythonUDF" not in text and "EvalPython" not in text and "InPandas" not in text
 
@@ -49,7 +51,7 @@ def test_orphans_are_counted_per_key_before_the_join(spark):
 
 
 def test_month_total_reads_one_month_of_few_columns(spark):
-    text = plan(queries()["month_total_pruned"](spark, SF))
+    text = plan(REGISTRY["month_total_pruned"](spark, SF))
     assert "GreaterThanOrEqual(o_orderdate,1998-06-01T00:00)" in text
     assert "LessThan(o_orderdate,1998-07-01T00:00)" in text
     for schema in read_schemas(text):
@@ -64,11 +66,38 @@ def test_scoped_staging_reads_whole_rows_only_in_scope(spark, root):
     raw = run.raw_facts(spark, at)
     staged = staging.stg_contributions_within(raw, lambda c: c.isin(days[:2]))
     text = plan(marts.daily_stats(staged))
+    # the rows in scope were read once and kept; the plan reads others by three columns
     filters = re.findall(r"PartitionFilters: \[(.*?)\]\n", text)
-    assert len(filters) == 2
-    assert any("NOT" in f for f in filters) and any("NOT" not in f for f in filters)
-    narrow = [s for s in read_schemas(text) if "committee_id" not in s]
-    assert len(narrow) == 1 and "contributor_name" not in narrow[0]
+    assert len(filters) == 1 and "NOT" in filters[0] and "Scan ExistingRDD" in text
+    assert len(read_schemas(text)) == 1 and "committee_id" not in read_schemas(text)[0]
+
+
+def test_stored_history_is_looked_up_in_its_buckets(spark, root):
+    """No row of the history is exchanged, only buckets of the touched ids are read, in any session's settings."""
+    at = Layers(root, grain="month", buckets=8)
+    days = [DAY + dt.timedelta(days=d) for d in range(20)]
+    append_facts(facts(spark, [fact(f"s{i}", day=days[i % 19]) for i in range(400)]), at)
+    append_facts(facts(spark, [fact("s1", day=days[19], loaded=T0 + dt.timedelta(hours=1)), fact("new", day=days[19])]), at)
+    lookup = record_versions(spark, at)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.runtime.bloomFilter.enabled": "false"}
+    kept = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        ids = spark.createDataFrame([("s1",), ("new",)], "sub_id string")
+        found = lookup(ids)
+        text = plan(found)
+        assert "Bucketed: true" in text
+        history, touched = text.split("\n(1)")[0].split("Exchange")
+        assert "Scan parquet" in history and "Scan parquet" not in touched  # only the ids are exchanged
+        buckets = {r[0] for r in ids.select(ledger.bucket_of(F.col("sub_id"), 8)).collect()}
+        assert {int(re.search(r"bucket=(\d+)", x)[1]) for x in found.inputFiles()} <= buckets
+        staged = staging.stg_contributions_within(run.raw_facts(spark, at), lambda c: c.isin(days[1:2]), lookup=lookup)
+        assert sorted(r["sub_id"] for r in staged.collect()) == sorted(
+            f"s{i}" for i in range(400) if i % 19 == 1 and i != 1)
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
 
 
 def test_new_rows_push_the_mark_to_the_scan(spark, root):
@@ -87,6 +116,6 @@ def test_capped_fetch_counts_before_it_reads(spark, root):
     rows = windowed_fetch(run.raw_facts(spark, at), record_id="sub_id", event_date=staging.DATE,
                           amount="contribution_receipt_amount", max_records=2)
     text = plan(rows)
-    assert re.search(r"PartitionFilters: \[.*> Subquery", text) or "Subquery" in text
-    assert "WindowGroupLimit" in text or "Window" in text
+    assert re.search(r"PartitionFilters: \[.*2024-03-05", text)
+    assert "TakeOrderedAndProject" in text and "Window" not in text
     assert {r["sub_id"] for r in rows.collect()} == {f"s{d}" for d in days[-2:]}

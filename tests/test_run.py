@@ -14,7 +14,7 @@ from tributary import __main__ as cli
 from tributary.options import Options, Thresholds
 from tributary.plans import ingest, marts, run, staging
 from tributary.plans.ingest import FactRequest
-from tributary.sources import layers as tables
+from tributary.sources import export, layers as tables
 from tributary.sources.layers import Layers
 from tributary.streaming.landing_stream import start_refresh
 
@@ -44,6 +44,10 @@ def read_json(path):
             for line in part.read_text().splitlines()]
 
 
+def read_published(spark, target, name):
+    return read_json(export.published(spark, str(target))[name].removeprefix("file:"))
+
+
 def test_two_runs(spark, root):
     at = Layers(root)
     first = go(spark, at, [record(1), record(2, "C2"), record(3, day=None), record(None),
@@ -63,14 +67,14 @@ def test_two_runs(spark, root):
         "C1": 10, "C2": 99, "C3": 10}
     assert summary["C3"]["committee_name"] == "Committee 3"
 
-    meta = read_json(at.export_path("published/meta"))[0]
+    meta = read_published(spark, at.export_path("published"), "meta")[0]
     assert (meta["daily_contributions_rows"], meta["committee_summary_rows"]) == (3, 3)
     assert (meta["date_min"], meta["date_max"], meta["total_raised"]) == (
         "2024-06-01", "2024-06-02", 119.0)
-    daily = read_json(at.export_path("published/daily_contributions"))
+    daily = read_published(spark, at.export_path("published"), "daily_contributions")
     assert [(r["contribution_receipt_date"], r["committee_id"]) for r in daily] == [
         ("2024-06-01", "C1"), ("2024-06-01", "C2"), ("2024-06-02", "C3")]
-    ordered = read_json(at.export_path("published/committee_summary"))
+    ordered = read_published(spark, at.export_path("published"), "committee_summary")
     assert ordered[0]["committee_id"] == "C2" and set(ordered[0]) >= {"party", "donor_states"}
 
     third = go(spark, at, [record(9, day="2023-01-01")], RUN + dt.timedelta(hours=2))
@@ -203,7 +207,7 @@ def test_command_line(spark, root, tmp_path, capsys):
     assert call("committees", "--records", str(dims_file), "--from-contributions") == 0
     assert call("marts") == 0 and call("marts", "--full-refresh") == 0
     assert call("export", "--publish-to", str(tmp_path / "site")) == 0
-    assert read_json(tmp_path / "site" / "meta")[0]["total_contributions"] == 5
+    assert read_published(spark, tmp_path / "site", "meta")[0]["total_contributions"] == 5
     assert call("freshness", now=load_time + dt.timedelta(hours=24, minutes=59)) == 0
     assert call("freshness", "--hours", "1", now=load_time + dt.timedelta(hours=2)) == 1
     facts_file.write_text(json.dumps(record(9, day="2024-06-03")))
@@ -211,7 +215,7 @@ def test_command_line(spark, root, tmp_path, capsys):
                 "--cycle", "2024", "--since-watermark",
                 now=load_time + dt.timedelta(days=1)) == 0
     assert "incremental" in capsys.readouterr().out
-    assert read_json(Path(root) / "export/published/meta")[0]["date_max"] == "2024-06-03"
+    assert read_published(spark, Path(root) / "export/published", "meta")[0]["date_max"] == "2024-06-03"
 
 
 def test_failed_assertion_stops_the_run(spark, root):

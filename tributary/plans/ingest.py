@@ -124,9 +124,9 @@ def ingest_facts(spark: SparkSession, layers: Layers, request: FactRequest, *,
 
 
 def load_facts(spark: SparkSession, layers: Layers, rows: DataFrame, run_at: dt.datetime) -> str:
-    """Land one batch as NDJSON, then append the landed files to the raw table."""
+    """Land one batch as NDJSON, then load the landed files; a run's time loads once."""
     path = landing.land(rows.select(*RAW_FACTS), layers.landed_facts, run_at)
-    append_facts(landing.scan_ndjson(spark, path, RAW_FACTS), layers)
+    append_facts(landing.scan_ndjson(spark, path, RAW_FACTS), layers, f"run {run_at.isoformat()}")
     return path
 
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tributary.functions.labels import NO_NAME
+from tributary.operators.dedupe import latest_wins
 from tributary.operators.incremental import EPOCH, affected_keys, upsert
 from tributary.operators.rollup import average, grouped_stats
 from tributary.options import Options
@@ -32,14 +33,12 @@ def committee_stats(staged: DataFrame, options: Options = Options()) -> DataFram
     )
 
 
-def committee_summary(staged: DataFrame, committees: DataFrame,
-                      options: Options = Options()) -> DataFrame:
-    """One row per committee, kept when the dimension does not know it."""
+def with_committee_facts(stats: DataFrame, committees: DataFrame) -> DataFrame:
+    """Committee statistics with what the dimension knows about each."""
     known = committees.select("committee_id", "committee_name", "party", "party_full",
                               "committee_type_full", "designation_full",
                               F.col("state").alias("committee_state"))
-    joined = committee_stats(staged, options).join(known, "committee_id", "left")
-    return joined.select(
+    return stats.join(known, "committee_id", "left").select(
         "committee_id", F.coalesce("committee_name", F.lit(NO_NAME)).alias("committee_name"),
         "party", "party_full", "committee_type_full", "designation_full", "committee_state",
         "total_contributions", "total_raised", "avg_contribution", "min_contribution",
@@ -48,6 +47,12 @@ def committee_summary(staged: DataFrame, committees: DataFrame,
     )
 
 
+def committee_summary(staged: DataFrame, committees: DataFrame,
+                      options: Options = Options()) -> DataFrame:
+    """One row per committee, kept when the dimension does not know it."""
+    return with_committee_facts(committee_stats(staged, options), committees)
+
+
 def daily_stats(staged: DataFrame, options: Options = Options()) -> DataFrame:
     return grouped_stats(
         staged, DAILY_KEYS,
@@ -88,7 +93,7 @@ class Touched:
 
 
 def touched_since(raw: DataFrame, mark: Column, options: Options = Options(),
-                  moved_from: bool = False) -> Touched:
+                  moved_from: bool = False, lookup: staging.Lookup | None = None) -> Touched:
     """Keys of the rows loaded after a mark.
 
     The latest version of a record is newer than the mark exactly when any version is, so the
@@ -96,13 +101,15 @@ def touched_since(raw: DataFrame, mark: Column, options: Options = Options(),
     earlier version of those records had.
     """
     kind = options.loaded_at_type
-    fresh = staging.stg_contributions(
-        raw.filter(F.col("_loaded_at").cast(kind) > mark.cast(kind)), options)
+    new = raw.filter(F.col("_loaded_at").cast(kind) > mark.cast(kind))
+    fresh = latest_wins(staging.typed_versions(new, options), ["sub_id"], staging.NEWEST_FACT)
+    if moved_from:
+        fresh = settle(fresh)
     keys = affected_keys(fresh, DAILY_KEYS)
     if moved_from:
-        history = raw.filter(F.col(DAILY_KEYS[0]) <= options.today())
-        earlier = history.select("sub_id", *DAILY_KEYS).join(
-            fresh.select("sub_id"), "sub_id", "left_semi")
+        ids = fresh.select("sub_id")
+        history = raw.join(ids, "sub_id", "left_semi") if lookup is None else lookup(ids)
+        earlier = history.filter(F.col(DAILY_KEYS[0]) <= options.today())
         keys = keys.unionByName(earlier.select(*DAILY_KEYS)).distinct()
     keys = settle(keys)
     per_date = keys.groupBy(DAILY_KEYS[0]).agg(F.count("*").alias("n")).collect()
@@ -110,14 +117,15 @@ def touched_since(raw: DataFrame, mark: Column, options: Options = Options(),
 
 
 def daily_of_touched(raw: DataFrame, committees: DataFrame, touched: Touched,
-                     options: Options = Options(), partitions: Column | None = None) -> DataFrame:
+                     options: Options = Options(), partitions: Column | None = None,
+                     lookup: staging.Lookup | None = None) -> DataFrame:
     """Fresh mart rows of the touched keys.
 
     Rows of the touched dates are aggregated before they are matched with the key set: the join
     sees one row per key, so a key that holds a large part of the table never passes a row-level
     shuffle. NULL keys never match, as in an inner join.
     """
-    staged = staging.stg_contributions_within(raw, touched.covers, options, partitions)
+    staged = staging.stg_contributions_within(raw, touched.covers, options, partitions, lookup)
     stats = daily_stats(staged, options).join(touched.keys, DAILY_KEYS, "left_semi")
     return with_committee(stats, committees)
 
@@ -125,8 +133,9 @@ def daily_of_touched(raw: DataFrame, committees: DataFrame, touched: Touched,
 def daily_recomputed(raw: DataFrame, committees: DataFrame, mart: DataFrame,
                      options: Options = Options()) -> DataFrame:
     """Fresh mart rows for the keys that got raw rows since the mart was last built."""
-    newest = mart.agg(F.max("last_loaded_at")).first()[0] or EPOCH
-    return daily_of_touched(raw, committees, touched_since(raw, F.lit(newest), options), options)
+    kind = mart.schema["last_loaded_at"].dataType
+    newest = mart.agg(F.coalesce(F.max("last_loaded_at"), F.lit(EPOCH).cast(kind)).alias("mark")).scalar()
+    return daily_of_touched(raw, committees, touched_since(raw, newest, options), options)
 
 
 def daily_merged(raw: DataFrame, committees: DataFrame, mart: DataFrame,

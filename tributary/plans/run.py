@@ -7,18 +7,18 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tributary.operators.incremental import upsert
+from tributary.operators.incremental import EPOCH, upsert
 from tributary.operators.quality import require_clean
 from tributary.options import Options, Thresholds
-from tributary.plans import marts, staging
+from tributary.plans import marts, staging, summary_state
 from tributary.plans.checks import dq_suite
 from tributary.plans.ingest import (DimensionLoad, FactLoad, FactRequest, ingest_committees,
                                     ingest_facts)
-from tributary.plans.stored import (DATE, daily_mark, daily_mart, dates_loaded_after,
-                                    note_daily_mark, raw_committees, raw_facts, summary_mart)
-from tributary.schemas import RAW_COMMITTEES, ddl
-from tributary.session import settle, stored
-from tributary.sources import export, layers as tables
+from tributary.plans.stored import (DATE, daily_mart, dates_loaded_after, raw_committees, raw_facts,
+                                    record_versions, summary_mart)
+from tributary.schemas import RAW_COMMITTEES, ddl, mart_daily
+from tributary.session import stored
+from tributary.sources import export, layers as tables, versions
 from tributary.sources.layers import Layers
 
 # Staged columns that the summary and the assertions read.
@@ -34,77 +34,102 @@ class MartRun:
     touched_dates: int | None = None
 
 
-def _in_partitions(dates: list[dt.date], grain: str) -> Column:
-    """Predicate on the partition column that covers some dates."""
+def _starts(dates: list[dt.date], grain: str) -> list[dt.date]:
     starts = {"day": lambda d: d, "month": lambda d: d.replace(day=1),
               "year": lambda d: d.replace(month=1, day=1)}
-    values = sorted({starts[grain](d) for d in dates})
+    return [starts[grain](d) for d in dates]
+
+
+def _in_partitions(dates: list[dt.date], grain: str) -> Column:
+    """Predicate on the partition column that covers some dates."""
+    values = sorted(set(_starts(dates, grain)))
     return F.col(tables.grain_column(DATE, grain)).isin(values)
 
 
+def _committees(spark: SparkSession, layers: Layers, options: Options) -> DataFrame:
+    dimension = raw_committees(spark, layers)
+    if dimension is None:
+        dimension = spark.createDataFrame([], ddl(RAW_COMMITTEES))
+    return staging.stg_committees(dimension, options)
+
+
+def _commit_daily(rows: DataFrame, layers: Layers, base: versions.Commit | None,
+                  touched: list[str] | None, options: Options) -> None:
+    """Write mart rows beside the table, then put them in place together with the new mark."""
+    spark, part = rows.sparkSession, tables.grain_column(DATE, layers.grain)
+    arranged = tables.arranged(rows, DATE, layers.grain, ["committee_id"])
+    version, values = versions.write_version(arranged, layers.daily, part)
+    kind = options.loaded_at_type
+    written = spark.read.schema(f"last_loaded_at {kind}").parquet(f"{layers.daily}/data/version={version}")
+    newest = written.agg(F.max("last_loaded_at")).first()[0] if values else None
+    old = dt.datetime.fromisoformat(base.notes["mark"]) if base and touched is not None else EPOCH
+    mark = max(old, newest) if newest else old
+    gone = base.parts if base and touched is None else touched or []
+    versions.commit(spark, layers.daily, base, version, values, gone, {"mark": mark.isoformat()})
+
+
 def refresh_daily(spark: SparkSession, layers: Layers, options: Options = Options(),
                   full_refresh: bool = False, repair_moved_keys: bool = False) -> MartRun:
     """Build or update the daily mart.
 
     An incremental run looks for new raw rows in the dates of the batches behind the load-time
     mark, recomputes the keys they touch from the touched dates only, and replaces only those
-    partitions. The mark is noted after the commit: a run that breaks off in between leaves the
-    old mark, and the next one does its work again. A record that moved to another key leaves
+    partitions. Versions of these records elsewhere come from the bucketed index. Partitions and
+    mark change in one commit: a run that breaks off at any step leaves the old mart readable and
+    the old mark, and the next one does its work again. A record that moved to another key leaves
     its old mart row behind; ``repair_moved_keys`` also recomputes the keys its earlier versions
     had, and a full refresh repairs everything.
     """
     raw = raw_facts(spark, layers)
     if raw is None:
         raise RuntimeError("no raw facts to build from")
-    dimension = raw_committees(spark, layers)
-    if dimension is None:
-        dimension = spark.createDataFrame([], ddl(RAW_COMMITTEES))
-    committees = staging.stg_committees(dimension, options)
-    mart, mark = daily_mart(spark, layers, options), daily_mark(spark, layers, options)
+    committees = _committees(spark, layers, options)
+    base = versions.head(spark, layers.daily)
 
-    if full_refresh or mart is None or mark is None:
+    if full_refresh or base is None:
         rows = marts.daily_contributions(staging.stg_contributions(raw, options), committees,
                                          options)
-        tables.overwrite_by_date(rows, layers.daily, DATE, layers.grain, ["committee_id"])
-        note_daily_mark(spark, layers, options)
+        _commit_daily(rows, layers, base, None, options)
         return MartRun("full")
 
-    dates = dates_loaded_after(spark, layers, mark, options)
+    mark = dt.datetime.fromisoformat(base.notes["mark"])
+    dates = dates_loaded_after(spark, layers, mark)
     if dates is not None and not dates:
         return MartRun("incremental", 0, 0)
     new = raw if dates is None else raw.filter(
         _in_partitions(dates, layers.grain) & F.col(DATE).isin(dates))
-    fresh_marks = marts.touched_since(new, F.lit(mark), options)
-    touched = fresh_marks
-    if repair_moved_keys and fresh_marks.n_keys:
-        touched = marts.touched_since(raw, F.lit(mark), options, moved_from=True)
+    lookup = record_versions(spark, layers)
+    touched = marts.touched_since(new, F.lit(mark), options, repair_moved_keys, lookup)
     if touched.n_keys == 0:
         return MartRun("incremental", 0, 0)
 
     parts = _in_partitions(touched.dates, layers.grain)
-    rows = marts.daily_of_touched(raw, committees, touched, options, parts)
-    current = mart.filter(parts)
-    merged = settle(upsert(current.select(*rows.columns), rows, marts.DAILY_KEYS,
-                           replaced=touched.keys))
+    rows = marts.daily_of_touched(raw, committees, touched, options, parts, lookup)
     part = tables.grain_column(DATE, layers.grain)
-    left = merged.select(tables.grain_start(F.col(DATE), layers.grain).alias(part)).distinct()
-    emptied = [r[0] for r in current.select(part).distinct().join(left, part, "left_anti").collect()]
-    tables.replace_partitions(merged, layers.daily, DATE, layers.grain, ["committee_id"])
-    tables.drop_partitions(spark, layers.daily, part, emptied)
-    note_daily_mark(spark, layers, options)
+    values = sorted({versions.part_text(d) for d in _starts(touched.dates, layers.grain)})
+    columns = mart_daily(options.amount_type, options.average_type, options.loaded_at_type)
+    current = versions.read(spark, layers.daily, columns, part, state=base, only=values)
+    merged = upsert(current.select(*rows.columns), rows, marts.DAILY_KEYS, replaced=touched.keys)
+    _commit_daily(merged, layers, base, values, options)
     return MartRun("incremental", touched.n_keys, len(touched.dates))
 
 
 def refresh_summary(spark: SparkSession, layers: Layers, options: Options = Options(),
                     staged: DataFrame | None = None) -> None:
     """Full rebuild of the committee mart, from staged rows that are stored already if given."""
-    dimension = raw_committees(spark, layers)
-    if dimension is None:
-        dimension = spark.createDataFrame([], ddl(RAW_COMMITTEES))
     if staged is None:
         staged = staging.stg_contributions(raw_facts(spark, layers), options)
-    rows = marts.committee_summary(staged, staging.stg_committees(dimension, options), options)
-    tables.write_table(rows, layers.summary)
+    rows = marts.committee_summary(staged, _committees(spark, layers, options), options)
+    versions.replace(rows, layers.summary)
+
+
+def update_summary(spark: SparkSession, layers: Layers, options: Options = Options()) -> int:
+    """The committee mart from its counted state, brought up to the newest batch; committees touched."""
+    touched = summary_state.update(spark, layers, options)
+    rows = marts.with_committee_facts(summary_state.stats(spark, layers, options),
+                                      _committees(spark, layers, options))
+    versions.replace(rows, layers.summary)
+    return touched
 
 
 # ---- whole run -------------------------------------------------------------------------------
@@ -141,12 +166,18 @@ def publish_staging(spark: SparkSession, layers: Layers, options: Options = Opti
 
 def build_and_check(spark: SparkSession, layers: Layers, options: Options = Options(),
                     thresholds: Thresholds = Thresholds(), full_refresh: bool = False,
-                    repair_moved_keys: bool = False) -> MartRun:
-    """Both marts, then every assertion; fails on the first set of failing rows."""
+                    repair_moved_keys: bool = False, counted_summary: bool = False) -> MartRun:
+    """Both marts, then every assertion; fails on the first set of failing rows.
+
+    ``counted_summary`` updates the summary from its state, for the committees that new rows touch.
+    """
     daily = refresh_daily(spark, layers, options, full_refresh, repair_moved_keys)
     # The summary and four assertions read the staged rows: deduplicate once and store them.
     with stored(staged_for_marts(spark, layers, options), "staged") as staged:
-        refresh_summary(spark, layers, options, staged)
+        if counted_summary:
+            update_summary(spark, layers, options)
+        else:
+            refresh_summary(spark, layers, options, staged)
         require_clean(check_marts(spark, layers, staged, options, thresholds))
     publish_staging(spark, layers, options)
     return daily
@@ -155,7 +186,7 @@ def build_and_check(spark: SparkSession, layers: Layers, options: Options = Opti
 def export_marts(spark: SparkSession, layers: Layers, options: Options = Options(), *,
                  project: str = "", exported_at: dt.datetime | None = None,
                  publish_to: str | None = None) -> list[str]:
-    """Write the three snapshots; optionally copy them to a serving location."""
+    """Write the three snapshots; optionally publish them as one at a serving location."""
     daily = daily_mart(spark, layers, options)
     summary = summary_mart(spark, layers, options)
     root = layers.export_path("current")

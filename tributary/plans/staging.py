@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tributary.functions.cleaning import blank_if_null
 from tributary.operators.dedupe import latest_wins
 from tributary.options import Options
+from tributary.session import settle
 
 DATE = "contribution_receipt_date"
 
@@ -19,44 +20,63 @@ NEWEST_FACT = ["loaded_at", DATE, "amount", "committee_id", "contributor_state",
 NEWEST_COMMITTEE = ["loaded_at", "committee_name", "party_full", "party", "state"]
 
 
-def _typed_facts(raw: DataFrame, options: Options) -> DataFrame:
-    valid = raw.filter(
+def valid_facts(raw: DataFrame, options: Options) -> DataFrame:
+    return raw.filter(
         F.col("sub_id").isNotNull()
         & F.col(DATE).isNotNull()
         & F.col("contribution_receipt_amount").isNotNull()
         & (F.col(DATE) <= options.today())
     )
-    return valid.select(
+
+
+def _amount(options: Options) -> Column:
+    return F.col("contribution_receipt_amount").cast(options.amount_type).alias("amount")
+
+
+def _loaded_at(options: Options) -> Column:
+    return F.col("_loaded_at").cast(options.loaded_at_type).alias("loaded_at")
+
+
+def _typed_facts(raw: DataFrame, options: Options) -> DataFrame:
+    return valid_facts(raw, options).select(
         "sub_id", "committee_id", "contributor_name", "contributor_city", "contributor_state",
-        "contributor_zip", "contributor_employer", "contributor_occupation",
-        F.col("contribution_receipt_amount").cast(options.amount_type).alias("amount"),
+        "contributor_zip", "contributor_employer", "contributor_occupation", _amount(options),
         DATE, "receipt_type", "entity_type", "is_individual", "two_year_transaction_period",
-        F.col("_loaded_at").cast(options.loaded_at_type).alias("loaded_at"),
+        _loaded_at(options),
     )
 
 
+def typed_versions(raw: DataFrame, options: Options) -> DataFrame:
+    """Valid facts with only the columns that pick a version, which are all that the marts read."""
+    return valid_facts(raw, options).select(
+        "sub_id", _loaded_at(options), DATE, _amount(options), "committee_id", "contributor_state", "contributor_name")
+
+
 def stg_contributions(raw: DataFrame, options: Options = Options()) -> DataFrame:
     return latest_wins(_typed_facts(raw, options), ["sub_id"], NEWEST_FACT)
 
 
+Lookup = Callable[[DataFrame], DataFrame]
+
+
 def stg_contributions_within(raw: DataFrame, scope: Callable[[Column], Column],
-                             options: Options = Options(),
-                             partitions: Column | None = None) -> DataFrame:
-    """The staged rows whose date is in scope, without reading whole rows elsewhere.
-
-    A version outside the scope can only push an older version inside it aside, and for that its
-    identifier, load time and date are enough. Only versions of records that have one inside
-    count, so the others are cut by a semi-join with the inside identifiers, which a runtime
-    bloom filter brings to the scan (see ``session.build_session``): the shuffle gets the
-    touched records, not the history. Equal load times are decided by the date, which differs
-    between the two sides. ``partitions`` is the scope on a derived partition column, implied by
-    the dates.
+                             options: Options = Options(), partitions: Column | None = None,
+                             lookup: Lookup | None = None) -> DataFrame:
+    """The staged rows whose date is in scope, with the columns of ``typed_versions``.
+
+    The rows in scope are read once and kept. A version outside the scope can only push an older
+    version inside it aside, and for that its identifier, load time and date are enough; only
+    versions of records that have one inside count. ``lookup`` finds these in an index by
+    identifier; without one they are cut from ``raw`` by a semi-join. Equal load times are decided
+    by the date, which differs between the two sides. ``partitions`` is the scope on a derived
+    partition column, implied by the dates.
     """
     covered = raw if partitions is None else raw.filter(partitions)
-    inside = _typed_facts(covered, options).filter(scope(F.col(DATE)))
-    outside = _typed_facts(raw, options).filter(~scope(F.col(DATE))).select(
-        "sub_id", "loaded_at", DATE, F.lit(False).alias("_inside")
-    ).join(inside.select("sub_id"), "sub_id", "left_semi")
+    inside = settle(typed_versions(covered, options).filter(scope(F.col(DATE))))
+    ids = inside.select("sub_id").distinct()
+    history = raw.join(ids, "sub_id", "left_semi") if lookup is None else lookup(ids)
+    outside = valid_facts(history, options).filter(~scope(F.col(DATE))).select(
+        "sub_id", _loaded_at(options), DATE, F.lit(False).alias("_inside"))
     versions = inside.withColumn("_inside", F.lit(True)).unionByName(
         outside, allowMissingColumns=True)
     return latest_wins(versions, ["sub_id"], NEWEST_FACT).filter("_inside").drop("_inside")

@@ -3,19 +3,31 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tributary.options import Options
 from tributary.schemas import RAW_COMMITTEES, RAW_FACTS, mart_daily, mart_summary
-from tributary.sources import layers as tables
+from tributary.sources import layers as tables, ledger, versions
 from tributary.sources.layers import Layers
 
 DATE = "contribution_receipt_date"
 
 
 def raw_facts(spark: SparkSession, layers: Layers) -> DataFrame | None:
-    return tables.read_by_date(spark, layers.facts, RAW_FACTS, DATE, layers.grain)
+    """All committed batches; a folder that other means filled, without a ledger, is read as it is."""
+    rows = ledger.read(spark, layers)
+    if rows is None and "data" not in versions.listed(spark, layers.facts):
+        rows = tables.read_by_date(spark, layers.facts, RAW_FACTS, DATE, layers.grain)
+    return rows
+
+
+def record_versions(spark: SparkSession, layers: Layers) -> Callable[[DataFrame], DataFrame] | None:
+    """Finds the versions of a few record ids in the index; None where facts were not loaded as batches."""
+    if not ledger.entries(spark, layers):
+        return None
+    return lambda ids: ledger.versions_of(ids, ledger.index(spark, layers), layers.buckets)
 
 
 def raw_committees(spark: SparkSession, layers: Layers) -> DataFrame | None:
@@ -24,49 +36,27 @@ def raw_committees(spark: SparkSession, layers: Layers) -> DataFrame | None:
 
 def daily_mart(spark: SparkSession, layers: Layers, options: Options) -> DataFrame | None:
     columns = mart_daily(options.amount_type, options.average_type, options.loaded_at_type)
-    return tables.read_by_date(spark, layers.daily, columns, DATE, layers.grain)
+    return versions.read(spark, layers.daily, columns, tables.grain_column(DATE, layers.grain))
 
 
 def summary_mart(spark: SparkSession, layers: Layers, options: Options) -> DataFrame | None:
-    return tables.read_or_none(spark, layers.summary,
-                               mart_summary(options.amount_type, options.average_type))
-
+    return versions.read(spark, layers.summary, mart_summary(options.amount_type, options.average_type))
 
-def append_facts(rows: DataFrame, layers: Layers) -> None:
-    """Append a batch to the raw facts and note which dates it brings.
 
-    The note is written first: a run that fails in between leaves a note without rows, which
-    costs a later refresh one look at those dates, while rows without a note would be missed.
-    """
-    dates = rows.filter(F.col(DATE).isNotNull()).groupBy(DATE).agg(
-        F.max("_loaded_at").alias("_loaded_at"))
-    tables.write_dimension(dates.coalesce(1), layers.fact_batches, append=True)
-    tables.append_by_date(rows, layers.facts, DATE, layers.grain, ["committee_id"])
+def append_facts(rows: DataFrame, layers: Layers, batch: str | None = None) -> bool:
+    """Load a batch of raw facts; False if a batch of that id is loaded already."""
+    return ledger.append(rows, layers, batch)
 
 
-def dates_loaded_after(spark: SparkSession, layers: Layers, mark: dt.datetime,
-                       options: Options) -> list[dt.date] | None:
+def dates_loaded_after(spark: SparkSession, layers: Layers, mark: dt.datetime) -> list[dt.date] | None:
     """Dates of the batches behind a load time; None where no batch was ever noted."""
-    notes = tables.read_or_none(spark, layers.fact_batches,
-                                {DATE: "date", "_loaded_at": "timestamp"})
-    if notes is None:
+    batches = ledger.entries(spark, layers)
+    if not batches:
         return None
-    kind = options.loaded_at_type
-    late = notes.filter(F.col("_loaded_at").cast(kind) > F.lit(mark).cast(kind))
-    return sorted(r[DATE] for r in late.select(DATE).distinct().collect())
-
-
-def daily_mark(spark: SparkSession, layers: Layers, options: Options) -> dt.datetime | None:
-    """Load time up to which the daily mart is complete; None before its first finished build."""
-    marks = tables.read_or_none(spark, layers.daily_marks, {"mark": options.loaded_at_type})
-    return None if marks is None else marks.agg(F.max("mark")).first()[0]
-
+    return sorted({d for b in batches if b.loaded_at and b.loaded_at > mark for d in b.dates})
 
-def note_daily_mark(spark: SparkSession, layers: Layers, options: Options) -> None:
-    """Record the newest load time in the mart; only ever called after its commit."""
-    from tributary.operators.incremental import EPOCH
 
-    kind = options.loaded_at_type
-    newest = daily_mart(spark, layers, options).agg(
-        F.coalesce(F.max("last_loaded_at"), F.lit(EPOCH).cast(kind)).alias("mark"))
-    tables.write_dimension(newest, layers.daily_marks, append=True)
+def daily_mark(spark: SparkSession, layers: Layers) -> dt.datetime | None:
+    """Load time up to which the daily mart is complete; None before its first build."""
+    state = versions.head(spark, layers.daily)
+    return dt.datetime.fromisoformat(state.notes["mark"]) if state else None

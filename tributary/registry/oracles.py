@@ -503,3 +503,16 @@ ORACLES["pipeline_run"] = ORACLES["export_daily"]
 ORACLES["published_summary"] = ORACLES["export_summary"]
 ORACLES["dimension_reload"] = _sql("""
     SELECT committee_id, name, party, party_full, state, _loaded_at FROM com_raw""", "com_raw")
+ORACLES["counted_summary"] = ORACLES["committee_summary"]
+ORACLES["loaded_once"] = _sql("""
+    SELECT CAST(year(contribution_receipt_date) AS INTEGER) AS year, count(*) AS n_rows, count(DISTINCT sub_id) AS n_records
+    FROM raw GROUP BY 1""", "raw")
+ORACLES["committee_ranking"] = _sql("""
+    SELECT committee_id, total_raised, place, running, CAST(running AS DOUBLE) / CAST(whole AS DOUBLE) AS running_share
+    FROM (SELECT committee_id, total_raised, row_number() OVER w AS place,
+                 sum(greatest(total_raised, 0)) OVER w AS running, sum(greatest(total_raised, 0)) OVER () AS whole
+          FROM summary WINDOW w AS (ORDER BY total_raised DESC, committee_id NULLS FIRST
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) r""", "summary")
+ORACLES["newest_shipments"] = _sql("""
+    SELECT l_orderkey, l_linenumber, ship_date, price FROM ship
+    ORDER BY ship_date DESC, md5(CAST(l_orderkey AS VARCHAR)), l_linenumber, price LIMIT 20000""", "ship")

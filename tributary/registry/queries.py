@@ -310,7 +310,8 @@ def _built_tables(spark: SparkSession, sf: str) -> Layers:
 
 
 def _published(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    path = _built_tables(spark, sf).export_path(f"published/{name}")
+    target = _built_tables(spark, sf).export_path("published")
+    path = export.published(spark, target)[name]
     return spark.read.schema(ddl(export.SNAPSHOTS[name][0])).json(path)
 
 
@@ -347,6 +348,37 @@ def q_incremental_run(spark: SparkSession, sf: str) -> DataFrame:
     return mart
 
 
+def _summary_in_batches(spark: SparkSession, sf: str) -> Layers:
+    """Raw facts loaded as three batches, the summary updated after each."""
+    at = Layers(scratch_path(spark, "layers"), grain="year")
+    raw = adapters.contributions(spark, sf).select(
+        *[F.col(c).cast(kind).alias(c) for c, kind in RAW_FACTS.items()])
+    tables.write_dimension(adapters.committees(spark, sf).withColumn(
+        "_loaded_at", F.col("_loaded_at").cast("timestamp")), at.committees, append=False)
+    loaded = F.col("_loaded_at")
+    cuts = [F.lit(x).cast("timestamp") for x in (dt.datetime(1998, 1, 1), dt.datetime(2000, 6, 1))]
+    for k, batch in enumerate((raw.filter(loaded < cuts[0]), raw.filter((loaded >= cuts[0]) & (loaded < cuts[1])),
+                               raw.filter(loaded >= cuts[1]))):
+        append_facts(batch, at, f"batch {k}")
+        append_facts(batch, at, f"batch {k}")  # a batch that runs again adds nothing
+        run.update_summary(spark, at, OPTIONS)
+    return at
+
+
+@query("counted_summary")
+def q_counted_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """The committee mart after three batches, each merged into its counted state."""
+    return run.summary_mart(spark, _summary_in_batches(spark, sf), OPTIONS)
+
+
+@query("loaded_once")
+def q_loaded_once(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw rows per year after batches that ran twice."""
+    raw = run.raw_facts(spark, _summary_in_batches(spark, sf))
+    return raw.groupBy(F.year(DATE).alias("year")).agg(F.count("*").alias("n_rows"),
+                                                       F.count_distinct("sub_id").alias("n_records"))
+
+
 # ---- quality ---------------------------------------------------------------------------------
 
 @query("dq_unique")
@@ -527,6 +559,18 @@ def q_concentration_summary(spark: SparkSession, sf: str) -> DataFrame:
     return reports.concentration_total(_summary(spark, sf), "GREEN PARTY")
 
 
+@query("committee_ranking")
+def q_committee_ranking(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.committee_ranking(_summary(spark, sf))
+
+
+@query("newest_shipments")
+def q_newest_shipments(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest half of the shipped lines; those of an order share an identifier."""
+    lines = adapters.shipments(spark, sf).select("l_orderkey", "l_linenumber", "ship_date", "price")
+    return selection.newest_rows(lines, "ship_date", "l_orderkey", 20_000, ["l_linenumber", "price"], small=50)
+
+
 @query("supplier_concentration")
 def q_supplier_concentration(spark: SparkSession, sf: str) -> DataFrame:
     return concentration.concentration_bands(

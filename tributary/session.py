@@ -29,10 +29,6 @@ def build_session(app: str = "tributary", master: str | None = None,
         "spark.sql.parquet.filterPushdown": "true",
         # Of members with the same name the last one counts, as in other JSON readers.
         "spark.sql.variant.allowDuplicateKeys": "true",
-        # Semi-joins with a few touched records cut the history at its scan, whatever its size.
-        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
-        "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "512MB",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
     }

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tributary.functions.cleaning import zero_if_null
 from tributary.functions.labels import NO_NAME
 from tributary.schemas import EXPORT_DAILY, EXPORT_META, EXPORT_SUMMARY, ddl
+from tributary.sources import versions
 
 # Snapshot name -> (columns, sort order); fixed names.
 SNAPSHOTS = {
@@ -84,26 +85,27 @@ def write_snapshots(root: str, daily: DataFrame, summary: DataFrame, meta: DataF
 
 
 def publish(spark: SparkSession, root: str, target: str) -> list[str]:
-    """Write the snapshots again on any Hadoop file system; fails before writing if one is missing.
+    """Publish the three snapshots as one on any Hadoop file system; fails if one is missing.
 
-    All of them are written beside the target first, by executors and in their order, and then put in
-    place one after another, so readers never see a half-written snapshot. The driver only renames.
+    Executors write them again, in their order, into the folders of a new version. One commit then
+    makes all three current, so a reader who asks ``published`` never sees two versions mixed, and a
+    run that breaks off leaves the last ones. Their folders are returned.
     """
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    conf = spark._jsc.hadoopConfiguration()
-    top, next_to = target.rstrip("/"), f"{target.rstrip('/')}/.next-{uuid.uuid4().hex}"
-    paths = {name: hadoop.Path(f"{root.rstrip('/')}/{name}") for name in SNAPSHOTS}
-    for path in paths.values():
-        if not path.getFileSystem(conf).exists(path):
+    top = target.rstrip("/")
+    for name in SNAPSHOTS:
+        files, path = versions.files_of(spark, f"{root.rstrip('/')}/{name}")
+        if not files.exists(path):
             raise FileNotFoundError(f"missing export: {path.toString()}")
-    files = hadoop.Path(top).getFileSystem(conf)
-    files.mkdirs(hadoop.Path(next_to))
-    for name, path in paths.items():
-        columns, order = SNAPSHOTS[name]
-        rows = spark.read.schema(ddl(columns)).option("mode", "FAILFAST").json(path.toString())
-        _write(_ordered(rows, order), f"{next_to}/{name}")
-    for name in paths:
-        files.delete(hadoop.Path(f"{top}/{name}"), True)
-        files.rename(hadoop.Path(f"{next_to}/{name}"), hadoop.Path(f"{top}/{name}"))
-    files.delete(hadoop.Path(next_to), True)
-    return [f"{top}/{name}" for name in paths]
+    base, version = versions.head(spark, top), uuid.uuid4().hex
+    for name, (columns, order) in SNAPSHOTS.items():
+        rows = spark.read.schema(ddl(columns)).option("mode", "FAILFAST").json(f"{root.rstrip('/')}/{name}")
+        _write(_ordered(rows, order), f"{top}/data/version={version}/snapshot={name}")
+    versions.commit(spark, top, base, version, list(SNAPSHOTS), [], {})
+    return list(published(spark, top).values())
+
+
+def published(spark: SparkSession, target: str) -> dict[str, str]:
+    """Folder of each snapshot in the version that is current now; empty before the first."""
+    top = target.rstrip("/")
+    state = versions.head(spark, top)
+    return {name: f"{top}/data/version={state.parts[name]}/snapshot={name}" for name in SNAPSHOTS} if state else {}

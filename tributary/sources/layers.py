@@ -25,7 +25,10 @@ def grain_start(date_col: Column, grain: str) -> Column:
 
 @dataclass(frozen=True)
 class Layers:
-    """Where the tables of one deployment live, and their partition grain."""
+    """Where the tables of one deployment live, their partition grain, and the index's buckets.
+
+    The number of buckets is fixed with the first batch; history / buckets should fit an executor.
+    """
 
     root: str
     raw: str = "raw"
@@ -33,6 +36,7 @@ class Layers:
     landing: str = "landing"
     export: str = "export"
     grain: str = "day"
+    buckets: int = 16
 
     def _path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
@@ -42,9 +46,14 @@ class Layers:
         return self._path(self.raw, "contributions")
 
     @property
-    def fact_batches(self) -> str:
-        """Which dates each append to the raw facts brought."""
-        return self._path(self.raw, "contributions_batches")
+    def ledger(self) -> str:
+        """Which batches of raw facts are loaded, and the dates each of them brought."""
+        return self._path(self.raw, "contributions_ledger")
+
+    @property
+    def fact_index(self) -> str:
+        """Versions of all records, in buckets of the record id."""
+        return self._path(self.raw, "contributions_index")
 
     @property
     def committees(self) -> str:
@@ -54,15 +63,15 @@ class Layers:
     def daily(self) -> str:
         return self._path(self.mart, "daily_contributions")
 
-    @property
-    def daily_marks(self) -> str:
-        """Load time up to which the daily mart is complete, one row per finished run."""
-        return self._path(self.mart, "daily_contributions_marks")
-
     @property
     def summary(self) -> str:
         return self._path(self.mart, "committee_summary")
 
+    @property
+    def summary_state(self) -> str:
+        """Counted values of each committee, and the statistics that follow from them."""
+        return self._path(self.mart, "committee_summary_state")
+
     @property
     def landed_facts(self) -> str:
         return self._path(self.landing, "contributions")
@@ -93,7 +102,7 @@ def read_by_date(spark: SparkSession, path: str, schema: dict[str, str], date_co
     return read_or_none(spark, path, schema, {} if part == date_col else {part: "date"})
 
 
-def _by_date(df: DataFrame, date_col: str, grain: str, cluster_by: Sequence[str]):
+def arranged(df: DataFrame, date_col: str, grain: str = "day", cluster_by: Sequence[str] = ()) -> DataFrame:
     """Rows gathered per partition and sorted for tight min/max statistics.
 
     The rebalance hint lets adaptive execution split a hot date over many tasks and files and
@@ -102,8 +111,11 @@ def _by_date(df: DataFrame, date_col: str, grain: str, cluster_by: Sequence[str]
     part = grain_column(date_col, grain)
     if part != date_col:
         df = df.withColumn(part, grain_start(F.col(date_col), grain))
-    arranged = df.hint("rebalance", part).sortWithinPartitions(part, *cluster_by)
-    return arranged.write.partitionBy(part)
+    return df.hint("rebalance", part).sortWithinPartitions(part, *cluster_by)
+
+
+def _by_date(df: DataFrame, date_col: str, grain: str, cluster_by: Sequence[str]):
+    return arranged(df, date_col, grain, cluster_by).write.partitionBy(grain_column(date_col, grain))
 
 
 def append_by_date(df: DataFrame, path: str, date_col: str, grain: str = "day",
@@ -129,13 +141,6 @@ def replace_partitions(df: DataFrame, path: str, date_col: str, grain: str = "da
         .mode("overwrite").parquet(path)
 
 
-def drop_partitions(spark: SparkSession, path: str, part: str, values: Sequence[object]) -> None:
-    """Remove the folders of partitions that lost all their rows."""
-    for value in values:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{part}={value}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def write_dimension(df: DataFrame, path: str, append: bool) -> None:
     df.write.mode("append" if append else "overwrite").parquet(path)
 

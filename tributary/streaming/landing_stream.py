@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -32,9 +33,10 @@ def start_refresh(spark: SparkSession, layers: Layers, landing: str, checkpoint:
     Each micro-batch is parsed once into a stored table, counted (``on_batch`` gets the counts),
     its unreadable records go to ``quarantine_path``, the others to the raw table and the daily
     mart. With ``thresholds`` the summary is rebuilt and every assertion checked as well. A
-    micro-batch that runs twice after a failure appends rows with their old identifiers again.
-    Staging keeps one version per identifier, so the marts do not change.
+    micro-batch that runs again after a failure is a batch of the same id, which the ledger of the
+    raw table admits once.
     """
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         with stored(classify_facts(batch, F.current_timestamp()), "records") as rows:
@@ -42,7 +44,7 @@ def start_refresh(spark: SparkSession, layers: Layers, landing: str, checkpoint:
                 on_batch(record_counts(rows))
             if quarantine_path:
                 quarantined(rows).write.mode("append").json(quarantine_path)
-            append_facts(accepted(rows).select(*RAW_FACTS), layers)
+            append_facts(accepted(rows).select(*RAW_FACTS), layers, f"stream {stream} {batch_id}")
         if thresholds is None:
             refresh_daily(spark, layers, options)
         else:
