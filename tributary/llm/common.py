@@ -6,7 +6,7 @@ Columns that begin with two underscores are internal; ``own_names`` keeps those
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,3 +52,23 @@ def own_names(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         return stage(docs.withColumnsRenamed(plain), **options).withColumnsRenamed({v: k for k, v in plain.items()})
 
     return run
+
+
+def thrifty(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``task`` on batches that gives freed memory back at its end, as its worker lives on for other stages."""
+
+    @wraps(task)
+    def run(frames: Iterator) -> Iterator:
+        import ctypes
+
+        import pyarrow
+
+        try:
+            yield from task(frames)
+        finally:
+            pyarrow.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+            if trim:
+                trim(0)
+
+    return run

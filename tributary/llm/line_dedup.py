@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import identity, own_names, stored
+from .common import identity, own_names, stored, thrifty
 
 WHITE = b" \t\n\x0b\x0c\r"
 
@@ -60,6 +60,7 @@ def _shortest_runs(counts: np.ndarray, min_words: int) -> np.ndarray:
 def line_sequences(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
     """(__id, __text, at, h1, h2, ends): worded lines with 128-bit ids and the ends of their runs."""
 
+    @thrifty
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 

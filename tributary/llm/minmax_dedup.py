@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import identity, own_names, stored
+from .common import identity, own_names, stored, thrifty
 from .components import components
 from .hashing import U64, mixed, word_hashes
 
@@ -83,6 +83,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 def signed(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, __id, __text, n_shingles, __set: 128-bit fingerprint, __bands) of every row."""
 
+    @thrifty
     def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 
@@ -114,6 +115,7 @@ def class_sets(texts: DataFrame, shingle: int) -> DataFrame:
     Repeated rows meet in one task, which gives their set once.
     """
 
+    @thrifty
     def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
 

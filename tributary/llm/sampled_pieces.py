@@ -26,12 +26,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import thrifty
 from .hashing import U64, Powers, mixed
 
 _SEGMENT = re.compile(r" *[^ ]+| +")
 _GOLDEN = U64(0x9E3779B97F4A7C15)
 #: Entries of one of the two tables of lattices that a worker keeps; 9 bytes each, and their segments.
-KEPT = 4_000_000
+KEPT = 3_000_000
 
 
 def _points(text: str) -> np.ndarray:
@@ -123,53 +124,64 @@ class PieceSampler:
             sums = np.concatenate((np.zeros(1, U64), np.cumsum((points.astype(U64) + U64(1)) * up[:len(points)])))
             return (sums[n:] - sums[:-n]) * down[:len(points) + 1 - n]
 
-    def _learn(self, segments: list[str]) -> None:
-        """Filter segments forward and keep each place's cumulative probabilities.
-
-        All segments advance together, one character a step. Sums of the last places are kept in
-        proportion to the newest, so long segments do not underflow.
-        """
-        size = np.array([len(s) for s in segments], np.int64)
-        start = np.cumsum(size) - size
-        points = _points("".join(segments))
-        place = np.arange(len(points)) - np.repeat(start, size)
-        # column k is the piece of longest - k characters that ends at a place
-        weight = np.zeros((len(points), self.longest))
-        ids = np.zeros((len(points), self.longest), np.int32)
+    def _hits(self, points: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+        """End, length, weight and id of every piece in the segments, by end, longest first."""
         up, down = self.powers.reach(len(points) + 1)
+        found = []
         with np.errstate(over="ignore"):
             sums = np.concatenate((np.zeros(1, U64), np.cumsum((points.astype(U64) + U64(1)) * up[:len(points)])))
             for n, (known, own, w, sieve) in enumerate(self.by_length, 1):
                 if not len(known) or len(points) < n:
                     continue
-                found = (sums[n:] - sums[:-n]) * down[:len(points) + 1 - n]
-                may = np.flatnonzero(sieve[(found >> U64(48)).astype(np.int64)] & (place[n - 1:] >= n - 1))
-                at = np.minimum(np.searchsorted(known, found[may]), len(known) - 1)
-                hit = known[at] == found[may]
-                ends, at = may[hit] + n - 1, at[hit]
-                weight[ends, self.longest - n], ids[ends, self.longest - n] = w[at], own[at]
-        bare = np.flatnonzero(weight[:, -1] == 0)
-        if len(bare):
-            code = points[bare].astype(np.int64)
-            spelled = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
-            weight[bare, -1] = self.byte_weight ** spelled
-            ids[bare, -1] = np.where(code < 128, self.bytes_of[np.minimum(code, 127)], -code)
-        limit = np.empty(weight.shape, np.uint32)
-        order = np.argsort(-size, kind="stable")
-        active = np.searchsorted(-size[order], -np.arange(size.max()), side="left")  # segments longer than the step
-        sums = np.zeros((len(segments), self.longest))
-        sums[:, -1] = 1.0
-        for step, n in enumerate(active.tolist()):
-            at, sums = start[order[:n]] + step, sums[:n]
-            run = np.cumsum(weight[at] * sums, axis=1)
-            total = run[:, -1:]
-            limit[at] = np.maximum(np.ceil(run / total * 4294967296.0) - 1, 0)
-            older = np.minimum(sums[:, 1:] / total, 1e300)
-            sums = np.concatenate((older, np.ones((n, 1))), axis=1)
-        kept = weight > 0
-        counts = kept.sum(axis=1)
-        limit[:, -1] = 2 ** 32 - 1
-        self.known.add(segments, size, counts, limit[kept], ids[kept], self.longest - np.nonzero(kept)[1])
+                hashes = (sums[n:] - sums[:-n]) * down[:len(points) + 1 - n]
+                may = np.flatnonzero(sieve[(hashes >> U64(48)).astype(np.int64)])
+                may = may[place[may + n - 1] >= n - 1]
+                at = np.minimum(np.searchsorted(known, hashes[may]), len(known) - 1)
+                hit = known[at] == hashes[may]
+                at = at[hit]
+                found.append((may[hit] + n - 1, np.full(len(at), n), w[at], own[at]))
+        single = np.zeros(len(points), bool)
+        for end, n, _, _ in found:
+            if len(n) and n[0] == 1:
+                single[end] = True
+        bare = np.flatnonzero(~single)
+        code = points[bare].astype(np.int64)
+        spelled = 1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)
+        found.append((bare, np.ones(len(bare), np.int64), self.byte_weight ** spelled,
+                      np.where(code < 128, self.bytes_of[np.minimum(code, 127)], -code).astype(np.int32)))
+        end, n, w, ids = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((-n, end))
+        return end[order], n[order], w[order], ids[order]
+
+    def _learn(self, segments: list[str]) -> None:
+        """Filter segments forward and keep each place's cumulative probabilities.
+
+        All segments advance together, one character a step. The sum up to a place is kept as a
+        logarithm, and those of its pieces in proportion to the place before, so long segments do
+        not underflow.
+        """
+        size = np.array([len(s) for s in segments], np.int64)
+        points = _points("".join(segments))
+        place = np.arange(len(points)) - np.repeat(np.cumsum(size) - size, size)
+        end, n, w, ids = self._hits(points, place)
+        by_step = np.argsort(place[end], kind="stable")
+        stops = np.cumsum(np.bincount(place[end], minlength=int(size.max())))
+        log_sum, limit = np.zeros(len(points)), np.empty(len(end), np.uint32)
+        for step, (first, last) in enumerate(zip([0, *stops[:-1].tolist()], stops.tolist())):
+            own = by_step[first:last]
+            at, back = end[own], n[own]
+            head = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+            before = np.where(back > step, 0.0, log_sum[at - back])
+            latest = log_sum[at - 1] if step else np.zeros(len(at))
+            share = w[own] * np.exp(np.minimum(before - latest, 690.0))
+            total = np.add.reduceat(share, head)
+            pieces = np.diff(np.concatenate((head, [len(at)])))
+            run = np.cumsum(share / np.repeat(total, pieces))
+            run -= np.repeat(run[head] - (share[head] / total), pieces)
+            limit[own] = np.clip(np.ceil(run * 4294967296.0) - 1, 0, 4294967295).astype(np.uint32)
+            limit[own[np.concatenate((head[1:], [len(at)])) - 1]] = 4294967295
+            log_sum[at[head]] = latest[head] + np.log(total)
+        self.known.add(segments, size, np.bincount(end, minlength=len(points)), limit, ids, n)
 
     def _prepare(self, segments: set[str]) -> None:
         """Have the lattices of all segments in the newer table; the one before it keeps what was used lately."""
@@ -184,7 +196,7 @@ class PieceSampler:
         for s in missing:
             new.append(s)
             chars += len(s)
-            if chars > 30_000:
+            if chars > 100_000:
                 self._learn(new)
                 new, chars = [], 0
         if new:
@@ -260,6 +272,7 @@ def encoded(docs: DataFrame, model: str, *, seed: int = 0, sharpness: float = 1.
     ``model`` is a SentencePiece file that every executor can open. ``keep_text`` adds the decoded text.
     """
 
+    @thrifty
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = sampler(model, sharpness)
         for frame in frames:
