@@ -42,15 +42,20 @@ def word_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte starts, byte ends and hashes of the words; A-Z count as lower case.
 
     A word's hash comes from the difference of two prefix sums of byte * power, shifted back by the
-    inverse power, so all words of a text are hashed at once.
+    inverse power, so all words of a text are hashed at once (``span_hashes``).
     """
     data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
     edge = np.flatnonzero(np.diff(np.concatenate(([True], _SPACE[data], [True])).astype(np.int8)))
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
         return starts, ends, np.empty(0, U64)
+    return starts, ends, span_hashes(_LOWER[data], starts, ends)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of some bytes."""
     with np.errstate(over="ignore"):
         up, down = _POWERS.reach(len(data) + 1)
-        sums = np.concatenate((np.zeros(1, U64), np.cumsum((_LOWER[data].astype(U64) + U64(1)) * up[:len(data)])))
-        return starts, ends, mixed((sums[ends] - sums[starts]) * down[starts]
-                                   + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))
+        sums = np.concatenate((np.zeros(1, U64), np.cumsum((data.astype(U64) + U64(1)) * up[:len(data)])))
+        return mixed((sums[ends] - sums[starts]) * down[starts]
+                     + (ends - starts).astype(U64) * U64(0xD6E8FEB86659FD93))

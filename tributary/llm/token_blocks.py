@@ -1,7 +1,7 @@
 """Token ids in patched frame-of-reference blocks (operator 1).
 
-A table of segments is the file format: rows (shard, segment, n_ids, payload), shards in ascending
-document order, written by Spark's own writer, so that a lost executor leaves no half file. A
+A table of segments is the file format: rows (shard, segment, ids of the shard before it, n_ids,
+payload), shards in ascending document order, written by Spark's own writer, so that a lost executor leaves no half file. A
 payload is little-endian and self-contained:
 
     "PFR1"  u32 documents  u32 blocks  u64 ids
@@ -32,9 +32,14 @@ from pyspark.sql import functions as F
 
 from tributary.session import scratch_path
 
+from .common import thrifty
+from .hashing import span_hashes
+
 BLOCK = 256
 SEGMENT_IDS = 1 << 18
-SEGMENTS = "shard int, segment int, n_ids long, payload binary"
+#: Shards whose counts (16 bytes each) are broadcast; more of them are joined by shuffle.
+MAX_SHARDS = 200_000
+SEGMENTS = "shard int, segment int, before long, n_ids long, payload binary"
 HEAD = struct.Struct("<4sIIQ")
 BLOCK_HEAD = struct.Struct("<IBH")
 
@@ -140,9 +145,12 @@ def unpack_segment(payload: bytes) -> tuple[list[int | None], np.ndarray, np.nda
 
 # ---- encoding ----
 
-#: ASCII letters that only punctuation follows, that punctuation, or any other word.
-_PARTS = re.compile(rb"[a-z]+(?=[!-/:-@\[-`{-~]*(?:[\x20\x09-\x0d]|\Z))"
-                    rb"|(?<=[a-z])[!-/:-@\[-`{-~]+(?=[\x20\x09-\x0d]|\Z)|[^\x20\x09-\x0d]+")
+_LETTER, _MARK, _SPACE = (np.zeros(256, bool) for _ in range(3))
+_LETTER[97:123] = True
+_MARK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes that are cut into words at once; a longer text is cut alone.
+_BYTES = 4_000_000
 #: Characters beyond U+017F could combine with a letter whose case was changed.
 _FAR = re.compile(rb"[\xc6-\xff]|<\|")
 #: Parts words that are encoded together.
@@ -186,7 +194,7 @@ class WordEncoder:
         """Ids of words; a line of words with a second sign of its own is encoded word by word."""
         if not self.by_word or self.sign is None:
             return self._batch(words)
-        lines = [words[at:at + 64] for at in range(0, len(words), 64)]
+        lines = [words[at:at + 256] for at in range(0, len(words), 256)]
         out: list[bytes] = []
         for line, ids in zip(lines, self._batch([f" {_SIGN} ".join(line) for line in lines])):
             cuts = (np.flatnonzero(np.frombuffer(ids, "<u4") == self.sign) * 4).tolist()
@@ -196,25 +204,70 @@ class WordEncoder:
                 out += self._batch(line)
         return out
 
-    def _split(self, raw: bytes) -> list[bytes]:
-        return _PARTS.findall(raw.lower()) if self.by_part and not _FAR.search(raw) else raw.split()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _cut(self, raws: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+        """All texts joined, their words' starts and ends in it, and each word's text.
+
+        In texts that ignore case, letters and the punctuation behind them are two words.
+        """
+        plain = np.array([self.by_part and not _FAR.search(raw) for raw in raws], bool)
+        joined = b" ".join(raw.lower() if p else raw for raw, p in zip(raws, plain))
+        data = np.frombuffer(joined, np.uint8)
+        edge = np.flatnonzero(np.diff(np.concatenate(([True], _SPACE[data], [True])).astype(np.int8)))
+        starts, ends = edge[::2], edge[1::2]
+        text = np.searchsorted(np.cumsum([len(raw) + 1 for raw in raws]), starts, side="right")
+        letter, mark = _LETTER[data], _MARK[data]
+        back = np.concatenate(([0], np.cumsum(letter[1:] & mark[:-1]), [0]))  # letters behind punctuation
+        letters, marks = (np.concatenate(([0], np.cumsum(x))) for x in (letter, mark))
+        n = letters[ends] - letters[starts]
+        two = plain[text] & (n > 0) & (n < ends - starts) & (n + marks[ends] - marks[starts] == ends - starts)
+        two &= back[ends - 1] == back[starts]
+        parts = np.repeat(np.arange(len(starts)), 1 + two)
+        second = np.concatenate(([False], parts[1:] == parts[:-1])) if len(parts) else np.zeros(0, bool)
+        middle = (starts + n)[parts]
+        return (joined, np.where(second, middle, starts[parts]), np.where(two[parts] & ~second, middle, ends[parts]),
+                text[parts])
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; equal words of some 4 MB of text are looked up once, told apart by 64-bit hashes."""
         if not self.by_word:
-            return self._batch(texts)
+            return [np.frombuffer(x, "<u4") for x in self._batch(texts)]
+        out: list[np.ndarray] = []
+        group: list[bytes] = []
+        size = 0
+        for raw in (x.encode("utf-8", "replace") for x in texts):
+            if group and size + len(raw) > _BYTES:
+                out += self._encoded(group)
+                group, size = [], 0
+            group.append(raw)
+            size += len(raw)
+        return out + self._encoded(group) if group else out
+
+    def _encoded(self, raws: list[bytes]) -> list[np.ndarray]:
+        joined, starts, ends, text = self._cut(raws)
+        if not len(starts):
+            return [np.empty(0, "<u4") for _ in raws]
+        hashes = span_hashes(np.frombuffer(joined, np.uint8), starts, ends)
+        _, first, of = np.unique(hashes, return_index=True, return_inverse=True)
+        words = [joined[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
         if len(self.known) > self.kept:
             self.older, self.known = self.known, {}
         known = self.known
-        split = [self._split(x.encode("utf-8", "replace")) for x in texts]
-        found = [list(map(known.get, words)) for words in split]
-        missing = {w for words, ids in zip(split, found) if None in ids for w, own in zip(words, ids) if own is None}
+        ids = list(map(known.get, words))
+        missing = [w for w, own in zip(words, ids) if own is None]
         if missing:
-            again = missing.intersection(self.older)
-            known.update(zip(again, map(self.older.__getitem__, again)))
-            new = list(missing.difference(again))
+            again = self.older.keys() & set(missing)
+            known.update((w, self.older[w]) for w in again)
+            new = [w for w in missing if w not in again]
             known.update(zip(new, self._words([x.decode("utf-8", "replace") for x in new])))
-        return [b"".join(map(known.__getitem__, words) if None in ids else ids)
-                for words, ids in zip(split, found)]
+            ids = list(map(known.__getitem__, words))
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        length = np.array(list(map(len, ids)), np.int64) // 4
+        at = (np.cumsum(length) - length)[of]
+        length = length[of]
+        stops = np.cumsum(length)
+        whole = flat[np.repeat(at - (stops - length), length) + np.arange(stops[-1])]
+        cuts = np.concatenate(([0], stops))[np.searchsorted(text, np.arange(1, len(raws)))]
+        return np.split(whole, cuts)
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -233,6 +286,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, *, end_id: int = 1,
     ``tokenizer`` is a tokenizer file that every executor can open.
     """
 
+    @thrifty
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import os
 
@@ -240,24 +294,24 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, *, end_id: int = 1,
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encode = encoder(tokenizer).encode
-        shard, segment, end = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4").tobytes()
+        shard, segment, end = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4")
         numbers: list[int | None] = []
         held: list[np.ndarray] = []
-        size = 0
+        size = before = 0
         for frame in frames:
-            for at in range(0, len(frame), 256):
-                part = frame.iloc[at:at + 256]
+            for at in range(0, len(frame), 1024):
+                part = frame.iloc[at:at + 1024]
                 ids = encode(part["text"].tolist())
                 for number, missing, own in zip(part["doc_id"].tolist(), part["no_id"].tolist(), ids):
                     numbers.append(None if missing else number)
-                    held.append(np.frombuffer(own + end, "<u4"))
+                    held.append(np.append(own, end))
                     size += len(held[-1])
                     if size >= SEGMENT_IDS:
-                        yield pd.DataFrame({"shard": [shard], "segment": [segment], "n_ids": [size],
+                        yield pd.DataFrame({"shard": [shard], "segment": [segment], "before": [before], "n_ids": [size],
                                             "payload": [pack_segment(numbers, held, percentile)]})
-                        numbers, held, size, segment = [], [], 0, segment + 1
+                        numbers, held, size, segment, before = [], [], 0, segment + 1, before + size
         if numbers:
-            yield pd.DataFrame({"shard": [shard], "segment": [segment], "n_ids": [size],
+            yield pd.DataFrame({"shard": [shard], "segment": [segment], "before": [before], "n_ids": [size],
                                 "payload": [pack_segment(numbers, held, percentile)]})
 
     ordered = docs.select(F.col(id_col).cast("long").alias("__id"),
@@ -287,22 +341,24 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _placed(spark: SparkSession, path: str) -> DataFrame:
-    """Segments with the position of their first id, from the counts of shards and segments."""
+    """Segments with the position of their first id.
+
+    A segment knows the ids before it in its shard. The shards' counts, one row per task that wrote,
+    are added up and sent to every reader, so payloads stay where they are.
+    """
     segments = spark.read.schema(SEGMENTS).parquet(path)
     shards = segments.groupBy("shard").agg(F.sum("n_ids").alias("__n")).withColumn(
         "__before", F.coalesce(F.sum("__n").over(
             Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
-    inside = segments.select("shard", "segment", F.coalesce(F.sum("n_ids").over(
-        Window.partitionBy("shard").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("__inside"))
-    firsts = inside.join(shards, "shard").select(
-        "shard", "segment", (F.col("__before") + F.col("__inside")).alias("first"))
-    return segments.join(firsts, ["shard", "segment"]).select("first", "payload")
+    if shards.count() <= MAX_SHARDS:
+        shards = F.broadcast(shards)
+    return segments.join(shards, "shard").select((F.col("__before") + F.col("before")).alias("first"), "payload")
 
 
 def document_checks(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) from the written table, without shipping the ids."""
 
+    @thrifty
     def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for first, payload in zip(frame["first"], frame["payload"]):
