@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import DAY, T0, committee, committees, fact, facts
-from tributary.options import Options
-from tributary.plans import marts, run, staging, summary_state
+from tributary.operators.quality import QualityError
+from tributary.options import Options, Thresholds
+from tributary.plans import check_state, marts, run, staging, summary_state
 from tributary.plans.stored import append_facts
 from tributary.sources import export, layers as tables, ledger, versions
 from tributary.sources.layers import Layers
@@ -207,3 +208,65 @@ def test_an_update_replaces_only_touched_shards(spark, root, monkeypatch):
     assert {p for p in read[0] if p.startswith("cells-")} == {p for p in changed if p.startswith("cells-")}
     assert summary(spark, at, OPTIONS) == full_summary(spark, at, OPTIONS)
     assert summary_state.stats(spark, at, OPTIONS).filter("committee_id = 'C3'").count() == 0
+
+
+# ---- counted assertions ----------------------------------------------------------------------
+
+def verdicts(df):
+    rows = [tuple(r) for r in df.collect()]
+    assert len(rows) == len({r[0] for r in rows})
+    return dict(rows)
+
+
+def whole_suite(spark, at, options, thresholds):
+    return verdicts(run.check_marts(spark, at, run.staged_for_marts(spark, at, options), options, thresholds))
+
+
+def test_counted_assertions_equal_the_whole_suite(spark, root):
+    at = Layers(root, grain="month", buckets=4)
+    limits = Thresholds(min_volume=150, max_orphan_ratio=0.3)
+    tables.write_dimension(committees(spark, [committee("C1"), committee("C2"), committee("C9", name=None)]),
+                           at.committees, append=False)
+    for rows in moving_batches(5, n=3):
+        append_facts(facts(spark, rows), at)
+        run.refresh_daily(spark, at, OPTIONS)
+        run.update_summary(spark, at, OPTIONS)
+        check_state.update(spark, at, OPTIONS)
+        got = verdicts(check_state.results(spark, at, OPTIONS, limits))
+        assert got == whole_suite(spark, at, OPTIONS, limits)
+    assert got["not_null:stg_contributions.committee_id"] > 0 and got["not_null:stg_committees.committee_name"] == 1
+    number = versions.head(spark, at.check_state).number
+    assert check_state.update(spark, at, OPTIONS) == [] and versions.head(spark, at.check_state).number == number
+
+
+def test_assertions_read_touched_partitions_only(spark, root, monkeypatch):
+    at = Layers(root, buckets=4)
+    days = [DAY + dt.timedelta(days=i) for i in range(6)]
+    tables.write_dimension(committees(spark, [committee("C1")]), at.committees, append=False)
+    append_facts(facts(spark, [fact(f"s{i}", day=d) for i, d in enumerate(days)]), at)
+    run.build_and_check(spark, at, OPTIONS, Thresholds(min_volume=1), counted_summary=True)
+    append_facts(facts(spark, [fact("new", day=days[2], loaded=T0 + HOUR)]), at)
+    run.refresh_daily(spark, at, OPTIONS)
+    run.update_summary(spark, at, OPTIONS)
+    read, real = [], versions.read
+    monkeypatch.setattr(versions, "read", lambda *a, **k: (read.append((a[1], k.get("only"))), real(*a, **k))[1])
+    monkeypatch.setattr(check_state, "raw_facts", lambda *a: pytest.fail("raw facts are read"))
+    assert check_state.update(spark, at, OPTIONS) == [str(days[2])]
+    assert [only for path, only in read if path == at.daily] == [[str(days[2])]]
+    monkeypatch.undo()
+    assert verdicts(check_state.results(spark, at, OPTIONS)) == whole_suite(spark, at, OPTIONS, Thresholds())
+    with pytest.raises(QualityError, match="min_volume"):
+        run.build_and_check(spark, at, OPTIONS, counted_summary=True)
+
+
+def test_assertions_after_partitions_go_and_dates_come(spark, root):
+    at = Layers(root, buckets=4)
+    tables.write_dimension(committees(spark, [committee("C1")]), at.committees, append=False)
+    append_facts(facts(spark, [fact("a"), fact("b", day=DAY + dt.timedelta(days=9)), fact("a", day=DAY + dt.timedelta(days=3),
+                                                                                          loaded=T0 + HOUR)]), at)
+    for days in (1, 5, 9):
+        options = Options(amount_type="decimal(18,2)", as_of=DAY + dt.timedelta(days=days))
+        run.refresh_daily(spark, at, options, full_refresh=True)
+        run.update_summary(spark, at, options)
+        check_state.update(spark, at, options)
+        assert verdicts(check_state.results(spark, at, options)) == whole_suite(spark, at, options, Thresholds())

@@ -40,12 +40,16 @@ def coverage(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
 
     Facts are counted per key first, so the join sees one row per key and no hot key.
     """
-    per_key = facts.groupBy(key).agg(F.count("*").alias("_n"))
+    return coverage_of_counts(facts.groupBy(key).agg(F.count("*").alias("_n")), dimension, key, "_n")
+
+
+def coverage_of_counts(per_key: DataFrame, dimension: DataFrame, key: str, n: str) -> DataFrame:
+    """``coverage`` from one row per key, with its number of facts in the column ``n``."""
     known = dimension.select(key).distinct().withColumn("_known", F.lit(True))
     joined = per_key.join(known, key, "left")
     totals = joined.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_facts"),
-        F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), F.lit(0))
+        F.coalesce(F.sum(n), F.lit(0)).alias("n_facts"),
+        F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col(n))), F.lit(0))
         .alias("n_orphans"),
     )
     return totals.withColumn("orphan_ratio", F.try_divide("n_orphans", "n_facts"))
@@ -53,9 +57,11 @@ def coverage(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
 
 def coverage_breach(facts: DataFrame, dimension: DataFrame, key: str,
                     limit: float = 0.05) -> DataFrame:
-    return coverage(facts, dimension, key).filter(
-        (F.col("n_facts") > 0) & (F.col("orphan_ratio") > limit)
-    )
+    return over_limit(coverage(facts, dimension, key), limit)
+
+
+def over_limit(covered: DataFrame, limit: float) -> DataFrame:
+    return covered.filter((F.col("n_facts") > 0) & (F.col("orphan_ratio") > limit))
 
 
 def orphan_keys(facts: DataFrame, dimension: DataFrame, key: str, n: int = 10) -> DataFrame:

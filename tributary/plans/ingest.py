@@ -17,9 +17,10 @@ from tributary.options import Options, Thresholds
 from tributary.plans.normalise import (accepted, classify_committees, classify_facts,
                                        quarantined, record_counts)
 from tributary.plans.stored import DATE, append_facts, raw_committees, raw_facts
+from tributary.plans.summary_state import pinned
 from tributary.schemas import RAW_COMMITTEES, RAW_FACTS
 from tributary.session import stored
-from tributary.sources import landing, layers as tables
+from tributary.sources import landing, layers as tables, ledger
 from tributary.sources.layers import Layers
 
 AMOUNT = "contribution_receipt_amount"
@@ -56,11 +57,14 @@ class FactLoad:
 def request_window(spark: SparkSession, layers: Layers, request: FactRequest, *,
                    options: Options = Options(), today: dt.date | None = None,
                    from_file: bool = False, bootstrap_days: int | None = None) -> Window:
-    """Resolve the dates of a request; looks at the raw table only for a watermark load."""
+    """Resolve the dates of a request; looks at the ledger or the raw table only for a watermark load."""
     mark = None
     if request.since_watermark and request.min_date is None:
-        raw = raw_facts(spark, layers)
-        if raw is not None:
+        batches = ledger.entries(spark, layers)
+        if batches:  # the ledger tells the dates of every batch, so no row is read
+            today_is = pinned(spark, options).as_of
+            mark = max((d for b in batches for d in b.dates if d is not None and d <= today_is), default=None)
+        elif (raw := raw_facts(spark, layers)) is not None:
             mark = high_water_mark(raw, DATE, options.today()).first()["max_date"]
     return resolve_window(
         since_watermark=request.since_watermark, min_date=request.min_date,

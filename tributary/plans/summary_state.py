@@ -85,12 +85,18 @@ def _decimal_mean(total: Column, n: Column, options: Options) -> Column:
     return (total / n.cast("decimal(20,0)")).cast(kind).cast(options.average_type)
 
 
+def pinned(spark: SparkSession, options: Options) -> Options:
+    """The options with today's date as a value."""
+    today = options.as_of or spark.range(1).select(F.current_date()).first()[0]
+    return Options(options.amount_type, options.average_type, options.loaded_at_type, today)
+
+
 def update(spark: SparkSession, layers: Layers, options: Options = Options()) -> int:
     """Bring the state up to the newest batch; returns how many committees were touched."""
     base = versions.head(spark, layers.summary_state)
     batches = ledger.entries(spark, layers)
-    today = options.as_of or dt.date.fromisoformat(str(spark.range(1).select(F.current_date()).first()[0]))
-    at = Options(options.amount_type, options.average_type, options.loaded_at_type, today)
+    at = pinned(spark, options)
+    today = at.as_of
     applied = int(base.notes["batch"]) if base else 0
     then = dt.date.fromisoformat(base.notes["as_of"]) if base else today
     if today < then:
@@ -102,7 +108,8 @@ def update(spark: SparkSession, layers: Layers, options: Options = Options()) ->
         delta = _counted(latest_wins(staging.typed_versions(raw_facts(spark, layers), at), ["sub_id"],
                                      staging.NEWEST_FACT), 1)
     else:
-        delta = _changes(spark, layers, batches, applied, then, at)
+        former, present = changed_records(spark, layers, batches, applied, then, at)
+        delta = _counted(former, -1).unionByName(_counted(present, 1))
     delta = settle(_merged(delta, options))
     committees = settle(delta.select("committee_id").distinct().withColumn("shard", _shard()))
     shards = [r[0] for r in committees.select("shard").distinct().collect()]
@@ -122,11 +129,11 @@ def update(spark: SparkSession, layers: Layers, options: Options = Options()) ->
     return committees.count()
 
 
-def _changes(spark: SparkSession, layers: Layers, batches: list[ledger.Batch], applied: int, then: dt.date,
-             at: Options) -> DataFrame:
-    """Former versions to retract and present ones to merge, of the records that may have changed.
+def changed_records(spark: SparkSession, layers: Layers, batches: list[ledger.Batch], applied: int, then: dt.date,
+                    at: Options) -> tuple[DataFrame, DataFrame]:
+    """Former and present staged versions of the records that may have changed.
 
-    These are the records of new batches, and those with a date that has come since.
+    These are the records of the batches after ``applied``, and those with a date that has come since ``then``.
     """
     old, new = ([b for b in batches if (b.number <= applied) == o] for o in (True, False))
     ids = ledger.index(spark, layers, new).select("sub_id")
@@ -140,7 +147,7 @@ def _changes(spark: SparkSession, layers: Layers, batches: list[ledger.Batch], a
         found = ledger.versions_of(ids, ledger.index(spark, layers, known), layers.buckets)
         return latest_wins(staging.typed_versions(found, options), ["sub_id"], staging.NEWEST_FACT)
 
-    return _counted(current(old, former), -1).unionByName(_counted(current(batches, at), 1))
+    return current(old, former), current(batches, at)
 
 
 def stats(spark: SparkSession, layers: Layers, options: Options = Options()) -> DataFrame:

@@ -504,6 +504,18 @@ ORACLES["published_summary"] = ORACLES["export_summary"]
 ORACLES["dimension_reload"] = _sql("""
     SELECT committee_id, name, party, party_full, state, _loaded_at FROM com_raw""", "com_raw")
 ORACLES["counted_summary"] = ORACLES["committee_summary"]
+ORACLES["dq_incremental"] = ORACLES["dq_suite"]
+ORACLES["footer_counts"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS layer, count(*) AS n_rows, min({key}) AS least, max({key}) AS greatest FROM {t}"
+    for t, key in (("customer", "c_custkey"), ("events", "event_id"), ("lineitem", "l_orderkey"), ("orders", "o_orderkey")))
+ORACLES["latest_in_sessions"] = """
+    WITH marked AS (
+      SELECT *, CASE WHEN ts < lag(ts) OVER w + INTERVAL 1 HOUR THEN 0 ELSE 1 END AS opens
+      FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM marked),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id, session ORDER BY ts DESC, event_id DESC) AS place,
+                      count(*) OVER (PARTITION BY user_id, session) AS n_versions FROM numbered)
+    SELECT event_id, ts, user_id, value, n_versions FROM ranked WHERE place = 1"""
 ORACLES["loaded_once"] = _sql("""
     SELECT CAST(year(contribution_receipt_date) AS INTEGER) AS year, count(*) AS n_rows, count(DISTINCT sub_id) AS n_records
     FROM raw GROUP BY 1""", "raw")

@@ -14,15 +14,16 @@ from tributary.operators.incremental import (affected_keys, dimension_refresh_pl
                                              existing_dimension_state, high_water_mark,
                                              rows_after_mark, watermark_window)
 from tributary.options import Thresholds
-from tributary.plans import ingest, marts, normalise, reports, run, staging
+from tributary.plans import check_state, ingest, marts, normalise, reports, run, staging
 from tributary.plans.checks import dq_suite
 from tributary.plans.stored import append_facts, raw_committees
 from tributary.registry import adapters, wire
 from tributary.registry.adapters import AS_OF, FIRST_LOAD_END, NOW, OPTIONS
 from tributary.schemas import RAW_FACTS, ddl
 from tributary.session import scratch_path, store
-from tributary.sources import export, landing, layers as tables
+from tributary.sources import export, footers, landing, layers as tables
 from tributary.sources.layers import Layers
+from tributary.streaming.latest import latest_versions
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -348,8 +349,8 @@ def q_incremental_run(spark: SparkSession, sf: str) -> DataFrame:
     return mart
 
 
-def _summary_in_batches(spark: SparkSession, sf: str) -> Layers:
-    """Raw facts loaded as three batches, the summary updated after each."""
+def _summary_in_batches(spark: SparkSession, sf: str, after: Callable[[Layers], None] | None = None) -> Layers:
+    """Raw facts loaded as three batches, the summary updated after each, and whatever comes ``after``."""
     at = Layers(scratch_path(spark, "layers"), grain="year")
     raw = adapters.contributions(spark, sf).select(
         *[F.col(c).cast(kind).alias(c) for c, kind in RAW_FACTS.items()])
@@ -362,6 +363,8 @@ def _summary_in_batches(spark: SparkSession, sf: str) -> Layers:
         append_facts(batch, at, f"batch {k}")
         append_facts(batch, at, f"batch {k}")  # a batch that runs again adds nothing
         run.update_summary(spark, at, OPTIONS)
+        if after:
+            after(at)
     return at
 
 
@@ -442,6 +445,16 @@ def q_dq_suite(spark: SparkSession, sf: str) -> DataFrame:
                     Thresholds())
 
 
+@query("dq_incremental")
+def q_dq_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Every assertion from counts that were merged after each of three batches."""
+    def check(at: Layers) -> None:
+        run.refresh_daily(spark, at, OPTIONS)
+        check_state.update(spark, at, OPTIONS)
+
+    return check_state.results(spark, _summary_in_batches(spark, sf, check), OPTIONS)
+
+
 @query("duplicate_key_count")
 def q_duplicate_key_count(spark: SparkSession, sf: str) -> DataFrame:
     raw = duplicate_key_count(adapters.contributions(spark, sf), ["sub_id"])
@@ -462,6 +475,20 @@ def q_layer_counts(spark: SparkSession, sf: str) -> DataFrame:
     })
 
 
+@query("footer_counts")
+def q_footer_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and extreme keys of the stored tables, from their footers."""
+    keys = {"customer": "c_custkey", "events": "event_id", "lineitem": "l_orderkey", "orders": "o_orderkey"}
+    return footers.table_extremes(spark, {t: (f"{sf}/{t}.parquet", key) for t, key in keys.items()})
+
+
+@query("latest_in_sessions")
+def q_latest_in_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """Newest event of each user's sessions of one hour, as the stream keeps it."""
+    events = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "ts", "user_id", "value")
+    return latest_versions(events, ["user_id"], ["ts", "event_id"], "ts", "1 hour")
+
+
 @query("load_summary")
 def q_load_summary(spark: SparkSession, sf: str) -> DataFrame:
     raw = adapters.contributions(spark, sf).withColumn(AMOUNT, F.col(AMOUNT).cast("decimal(18,2)"))

@@ -72,6 +72,11 @@ class Layers:
         """Counted values of each committee, and the statistics that follow from them."""
         return self._path(self.mart, "committee_summary_state")
 
+    @property
+    def check_state(self) -> str:
+        """Counted results of the assertions, by date, committee and mart partition."""
+        return self._path(self.mart, "check_state")
+
     @property
     def landed_facts(self) -> str:
         return self._path(self.landing, "contributions")
