@@ -141,3 +141,35 @@ def test_more_equal_vectors_than_one_level_splits(spark, monkeypatch):
     assert sum(r["count"] for r in groups) == 120 and max(r["count"] for r in groups) <= 8
     got = mtree.top_k(copies, copies.filter("vec_id % 50 = 0"), capacity=8, fanout=2).collect()
     assert {tuple(r) for r in got} == brute([(i, [1.0, 2.0]) for i in range(120)])
+
+
+def test_descent_leaves_out_most_pairs(spark, monkeypatch):
+    """Clustered vectors: blocks meet few of the groups, and no neighbour is lost."""
+    rng = np.random.default_rng(8)
+    hubs = rng.normal(0, 1, (12, 6))
+    hubs /= np.linalg.norm(hubs, axis=1)[:, None]
+    rows = [(i, [float(v) for v in hubs[i % 12] * 4 + rng.normal(0, 0.02, 6)]) for i in range(1800)]
+    monkeypatch.setattr(mtree, "PAGE", 8)
+    seen, real = [], mtree.descended
+
+    def counted(blocked, upper, dim, top):
+        pairs = real(blocked, upper, dim, top)
+        seen.extend((blocked.count(), r["grp"], len(r["alive"])) for r in pairs.collect())
+        groups = {x for r in upper.collect() for x, leaf in zip(r["names"], r["leaf"]) if leaf}
+        seen.append(len(groups))
+        return pairs
+
+    monkeypatch.setattr(mtree, "descended", counted)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = mtree.top_k(frame, frame.filter("vec_id % 50 = 0"), capacity=40, fanout=4).collect()
+    assert {tuple(r) for r in got} == brute(rows)
+    groups = seen.pop()
+    blocks = seen[0][0]
+    assert groups > 40 and len(seen) < 0.5 * blocks * groups
+    assert sum(n for *_, n in seen) < 0.25 * 36 * groups
+
+
+def test_huge_components_are_refused(spark):
+    frame = spark.createDataFrame([(0, [1e9]), (1, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError):
+        mtree.top_k(frame, frame)

@@ -11,14 +11,19 @@ to level, so equal vectors split too, however many there are). Each group become
 of pages: routing vector, covering radius, the pages' distances to the node's routing vector and
 every entry's distance to its page's.
 
-Search: each query is searched in its own group first, which gives a score to beat, then blocks of
-queries meet every node: routing levels only deal rows to groups and are not kept as inner nodes,
-so a covering radius rules a node out only once it was read. Within a node, pages are visited in
-the order of their least possible distance until it passes the k-th best; |d(q, parent) - d(parent,
-child)| skips pages and entries without computing their distances. Bounds have a margin for rounding; scores are exact, ties go to the smaller id.
+Upper nodes are stored as well: a node's entries are its children's routing vectors, covering radii and
+distances to the node's own routing vector, at most ``fanout`` of them.
+
+Search: each query is searched in its own group first, which gives a score to beat. Blocks of queries from
+one subtree then descend level by level. |d(q, parent) - d(parent, child)| and the covering radius rule
+children out for each query, on upper nodes alone; a child that no query of the block can use goes no
+further, and only the groups that are left ship their vectors. Within a group, pages are visited in
+the order of their least possible distance until it passes the k-th best, with the same two bounds on
+pages and entries. Bounds have a margin for rounding; scores are exact, ties go to the smaller id.
 
 Rows with a null id, a null vector, or a null or non-finite component take no part; equal rows
-count once; shorter vectors are padded with 0. Empty tables give empty results.
+count once; shorter vectors are padded with 0. Empty tables give empty results. Scores are computed in
+double precision, exact up to 2^53; a squared norm above that raises a ValueError.
 """
 
 from __future__ import annotations
@@ -28,12 +33,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
 
-CAPACITY, FANOUT, PAGE, BLOCK = 8192, 64, 128, 512
+CAPACITY, FANOUT, PAGE, BLOCK, CHUNK = 8192, 64, 128, 512, 16384
 
 
 def whole_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -77,25 +82,26 @@ def grouped(rows: DataFrame, dim: int, top: float, capacity: int, fanout: int) -
                    .groupBy("grp", slot.alias("slot")).agg(F.min_by("v", F.struct(order, "vec_id")).alias("v"))
                    .groupBy("grp").agg(F.collect_list("v").alias("routing")))
 
-        def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                names = np.array(frame["grp"], dtype=object)
-                for grp, part in frame.reset_index(drop=True).groupby("grp"):
-                    pivots = part["routing"].iloc[0]
-                    if pivots is None or not len(pivots):
-                        continue
-                    far = _far(_lifted(_matrix(part["v"], dim), top), _lifted(_matrix(pd.Series(list(pivots)), dim), top))
-                    near = far <= far.min(axis=1, keepdims=True) + 1e-6
-                    chosen = part["draw"].to_numpy(np.int64) % near.sum(axis=1)
-                    pick = (near.cumsum(axis=1) > chosen[:, None]).argmax(axis=1)
-                    names[part.index.to_numpy()] = [f"{grp}/{p}" for p in pick]
-                yield pd.DataFrame({"vec_id": frame["vec_id"], "v": frame["v"], "grp": names})
+        def assign(part: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+            routes = pd.Series(list(pivots["routing"].iloc[0]))
+            far = _far(_lifted(_matrix(part["v"], dim), top), _lifted(_matrix(routes, dim), top))
+            near = far <= far.min(axis=1, keepdims=True) + 1e-6
+            chosen = part["draw"].to_numpy(np.int64) % near.sum(axis=1)
+            pick = (near.cumsum(axis=1) > chosen[:, None]).argmax(axis=1)
+            return pd.DataFrame({"vec_id": part["vec_id"], "v": part["v"],
+                                 "grp": [f"{grp}/{p}" for grp, p in zip(part["grp"], pick)]})
 
-        rows = stored(rows.withColumn("draw", draw).join(routing, "grp", "left").mapInPandas(
-            assign, "vec_id long, v array<long>, grp string"), "groups")
+        # routing vectors go to chunks of a group, once each
+        chunks = counts.select("grp", F.floor(F.col("n") / CHUNK + 1).alias("chunks"))
+        dealt = rows.join(chunks, "grp").withColumn("chunk", F.pmod(F.xxhash64("vec_id", "v"), "chunks")).withColumn("draw", draw)
+        sent = routing.join(chunks, "grp").select(
+            F.col("grp").alias("to"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("part"), "routing")
+        split = dealt.groupBy("grp", "chunk").cogroup(sent.groupBy("to", "part")).applyInPandas(
+            assign, "vec_id long, v array<long>, grp string")
+        rows = stored(rows.join(chunks, "grp", "left_anti").select("vec_id", "v", "grp").unionByName(split), "groups")
 
 
-NODE = "grp string, ids binary, vectors binary, page binary, parent binary, center binary, radius binary, above binary, root binary, cover double"
+NODE = "grp string, ids binary, vectors binary, page binary, parent binary, center binary, radius binary, above binary, root binary, cover double, n long"
 
 
 def nodes(rows: DataFrame, dim: int, top: float) -> DataFrame:
@@ -121,11 +127,97 @@ def nodes(rows: DataFrame, dim: int, top: float) -> DataFrame:
         return pd.DataFrame({"grp": [frame["grp"].iloc[0]], "ids": [frame["vec_id"].to_numpy(np.int64)[order].tobytes()],
                              "vectors": [plain[order].tobytes()], "page": [np.asarray(cuts, np.int64).tobytes()],
                              "parent": [parent.tobytes()], "center": [center.tobytes()], "radius": [radius.tobytes()],
-                             "above": [above.tobytes()], "root": [root.tobytes()], "cover": [cover]})
+                             "above": [above.tobytes()], "root": [root.tobytes()], "cover": [cover], "n": [len(x)]})
 
     return rows.groupBy("grp").applyInPandas(build, NODE)
 
 
+UPPER = ("node string, names array<string>, leaf array<boolean>, centers binary, covers binary, above binary, "
+         "center binary, cover double, n long")
+
+
+def upper_nodes(leaves: DataFrame) -> DataFrame | None:
+    """The nodes above the groups, made level by level; None for a tree of one group."""
+    below = leaves.select(F.col("grp").alias("node"), F.col("root").alias("center"), "cover", "n",
+                          F.lit(True).alias("is_leaf"), (F.size(F.split("grp", "/")) - 1).alias("depth"))
+    deepest = below.agg(F.max("depth")).first()[0] or 0
+
+    def over(children: pd.DataFrame) -> pd.DataFrame:
+        children = children.sort_values("node", kind="stable")
+        centers = np.stack([np.frombuffer(c) for c in children["center"]])
+        covers, n = children["cover"].to_numpy(float), children["n"].to_numpy(np.int64)
+        center = (centers * (n / n.sum())[:, None]).sum(axis=0)
+        above = np.sqrt(((centers - center) ** 2).sum(axis=1))
+        return pd.DataFrame({"node": [children["parent"].iloc[0]], "names": [children["node"].tolist()],
+                             "leaf": [children["is_leaf"].tolist()], "centers": [centers.tobytes()], "covers": [covers.tobytes()],
+                             "above": [above.tobytes()], "center": [center.tobytes()],
+                             "cover": [float((above + covers).max())], "n": [int(n.sum())]})
+
+    out = made = None
+    for depth in range(deepest, 0, -1):
+        level = below.filter(F.col("depth") == depth).drop("depth")
+        if made is not None:
+            level = level.unionByName(made.select("node", "center", "cover", "n", F.lit(False).alias("is_leaf")))
+        made = stored(level.withColumn("parent", F.regexp_replace("node", "/[^/]*$", ""))
+                      .groupBy("parent").applyInPandas(over, UPPER), "upper")
+        out = made if out is None else out.unionByName(made)
+    return out
+
+
+def _reach(square: np.ndarray, top: float, floor: np.ndarray, margin: float) -> np.ndarray:
+    """Distances at which scores lie, for queries of squared norm ``square``."""
+    with np.errstate(invalid="ignore"):
+        return np.where(np.isneginf(floor), np.inf, np.sqrt(np.maximum(square + top - 2 * floor, 0)) + margin)
+
+
+def _margin(square: np.ndarray, top: float) -> float:
+    return 1e-6 * (1 + np.sqrt(top) + np.sqrt(square.max(initial=0)))
+
+
+def descended(blocked: DataFrame, upper: DataFrame | None, dim: int, top: float) -> DataFrame:
+    """(block, grp, alive): the groups that each block must search, with the places of the queries that must."""
+    start = blocked.select("block", F.lit("").alias("node"), F.sequence(F.lit(0), F.size("queries") - 1).alias("alive"),
+                           F.array().cast("array<double>").alias("far"))
+    if upper is None:
+        return start.select("block", F.col("node").alias("grp"), "alive")
+
+    def step(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for row in frame.to_dict("records"):
+                alive = np.array(row["alive"], np.int64)
+                x = _matrix(pd.Series([row["vs"][i] for i in alive]), dim)
+                square = (x * x).sum(axis=1)
+                x = np.concatenate((x, np.zeros((len(x), 1))), axis=1)
+                margin = _margin(square, top)
+                limit = _reach(square, top, np.array(row["floors"], float)[alive], margin)
+                far = np.array(row["far"], float)
+                if not len(far):
+                    far = np.sqrt(((x - np.frombuffer(row["center"])) ** 2).sum(axis=1))
+                centers = np.frombuffer(row["centers"]).reshape(-1, dim + 1)
+                covers, above = np.frombuffer(row["covers"]), np.frombuffer(row["above"])
+                out = []
+                for i, name in enumerate(row["names"]):
+                    maybe = np.flatnonzero(np.abs(far - above[i]) - covers[i] <= limit + margin)
+                    to_child = np.sqrt(((x[maybe] - centers[i]) ** 2).sum(axis=1))
+                    hit = to_child - covers[i] <= limit[maybe] + margin
+                    if hit.any():
+                        out.append((row["block"], name, alive[maybe[hit]].tolist(), to_child[hit].tolist(), bool(row["leaf"][i])))
+                yield pd.DataFrame(out, columns=["block", "node", "alive", "far", "leaf"])
+
+    found = None
+    front = start
+    while True:
+        pairs = front.join(blocked.select("block", "vs", "floors"), "block").join(
+            upper.select("node", "names", "leaf", "centers", "covers", "above", "center"), "node")
+        reached = stored(pairs.mapInPandas(
+            step, "block string, node string, alive array<int>, far array<double>, leaf boolean"), "front")
+        leaves = reached.filter("leaf").select("block", F.col("node").alias("grp"), "alive")
+        found = leaves if found is None else found.unionByName(leaves)
+        front = reached.filter("not leaf").drop("leaf")
+        if front.isEmpty():
+            return found
+
+
 def _search(node: dict, queries: np.ndarray, own: np.ndarray, floor: np.ndarray, k: int, dim: int,
             top: float) -> Iterator[tuple[int, int, int]]:
     """(query index, vec_id, score) of each query's best k of one node that reach ``floor``."""
@@ -135,7 +227,7 @@ def _search(node: dict, queries: np.ndarray, own: np.ndarray, floor: np.ndarray,
     center, root = np.frombuffer(node["center"]).reshape(-1, dim + 1), np.frombuffer(node["root"])
     lifted = np.concatenate((queries, np.zeros((len(queries), 1))), axis=1)
     square = (queries * queries).sum(axis=1)
-    margin = 1e-6 * (1 + np.sqrt(top) + np.sqrt(square.max(initial=0)))
+    margin = _margin(square, top)
     to_root = np.sqrt(np.maximum(((lifted - root) ** 2).sum(axis=1), 0))
 
     def reach(q: int, score: float) -> float:
@@ -172,13 +264,15 @@ def _search(node: dict, queries: np.ndarray, own: np.ndarray, floor: np.ndarray,
 
 
 def _searched(pairs: DataFrame, k: int, dim: int, top: float) -> DataFrame:
-    """(query, query_id, vec_id, score) of rows that hold a block of queries and a node."""
+    """(query, query_id, vec_id, score) of rows that hold a block of queries, those ``alive`` in it, and a node."""
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.to_dict("records"):
-                names, own = np.array(row["queries"]), np.array(row["query_ids"])
-                hits = list(_search(row, _matrix(row["vs"], dim), own, np.array(row["floors"], float), k, dim, top))
+                at = np.array(row["alive"], np.int64)
+                names, own = np.array(row["queries"])[at], np.array(row["query_ids"])[at]
+                asked = _matrix(pd.Series([row["vs"][i] for i in at]), dim)
+                hits = list(_search(row, asked, own, np.array(row["floors"], float)[at], k, dim, top))
                 at = [h[0] for h in hits]
                 yield pd.DataFrame({"query": names[at] if at else [], "query_id": own[at] if at else [],
                                     "vec_id": [h[1] for h in hits], "score": [h[2] for h in hits]})
@@ -196,27 +290,34 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, *, id_col: str
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
     dim, top = rows.agg(F.max(F.size("v")), F.max(norm)).first()
     dim, top = dim or 0, top or 0.0
+    if top > 2 ** 53:
+        raise ValueError("squared norms above 2^53 have no exact scores in double precision")
     rows = grouped(rows, dim, top, capacity, fanout)
     tree = stored(nodes(rows, dim, top), "nodes")
     asked = whole_vectors(queries, id_col, vector_col).join(rows, ["vec_id", "v"]).withColumn(
         "query", F.xxhash64("vec_id", "v"))
 
-    def blocks(asked: DataFrame, *keys: str) -> DataFrame:
-        parts = asked.count() // BLOCK + 1
-        return asked.groupBy(*keys, F.pmod("query", F.lit(parts)).alias("block")).agg(*[
-            F.collect_list(x).alias(name) for x, name in (("query", "queries"), ("vec_id", "query_ids"),
-                                                          ("v", "vs"), ("floor", "floors"))])
+    def blocks(asked: DataFrame, key: Column) -> DataFrame:
+        """Queries in blocks of about ``BLOCK`` that share a key; an array each of what the search needs."""
+        named = asked.withColumn("key", key)
+        sizes = named.groupBy("key").agg(F.floor(F.count("*") / BLOCK + 1).alias("parts"))
+        name = F.concat_ws(" ", "key", F.pmod("query", "parts").cast("string"))
+        return named.join(sizes, "key").groupBy(name.alias("block")).agg(
+            F.min("grp").alias("grp"), F.collect_list(F.struct("query", "vec_id", "v", "floor")).alias("q")).select(
+            "block", "grp", *[F.col(f"q.{c}").alias(n) for c, n in (("query", "queries"), ("vec_id", "query_ids"),
+                                                                    ("v", "vs"), ("floor", "floors"))])
 
     asked = stored(asked.withColumn("floor", F.lit(float("-inf"))), "asked")
-    at_home = _searched(blocks(asked, "grp").join(tree, "grp"), k, dim, top)
+    everyone = F.sequence(F.lit(0), F.size("queries") - 1)
+    at_home = _searched(blocks(asked, F.col("grp")).withColumn("alive", everyone).join(tree, "grp"), k, dim, top)
     floors = (at_home.withColumn("rank", F.row_number().over(
         Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")))
         .filter(F.col("rank") == k).select("query", F.col("score").cast("double").alias("floor")))
-    asked = stored(asked.drop("floor").join(floors, "query", "left").withColumn(
-        "floor", F.coalesce("floor", F.lit(float("-inf")))), "asked")
-    blocked = blocks(asked)
-    numbers = tree.select("grp").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(asked.count() // BLOCK))))
-    found = _searched(numbers.join(blocked, "block").join(tree, "grp"), k, dim, top)
+    asked = asked.drop("floor").join(floors, "query", "left").withColumn(
+        "floor", F.coalesce("floor", F.lit(float("-inf"))))
+    blocked = stored(blocks(asked, F.regexp_replace("grp", "/[^/]*$", "")).drop("grp"), "asked")
+    pairs = descended(blocked, upper_nodes(tree), dim, top)
+    found = _searched(pairs.join(blocked, "block").join(tree, "grp"), k, dim, top)
     ranked = found.withColumn("rank", F.row_number().over(
         Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
