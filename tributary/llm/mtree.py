@@ -176,7 +176,7 @@ def _margin(square: np.ndarray, top: float) -> float:
 
 def descended(blocked: DataFrame, upper: DataFrame | None, dim: int, top: float) -> DataFrame:
     """(block, grp, alive): the groups that each block must search, with the places of the queries that must."""
-    start = blocked.select("block", F.lit("").alias("node"), F.sequence(F.lit(0), F.size("queries") - 1).alias("alive"),
+    start = blocked.select("block", "node", F.sequence(F.lit(0), F.size("queries") - 1).alias("alive"),
                            F.array().cast("array<double>").alias("far"))
     if upper is None:
         return start.select("block", F.col("node").alias("grp"), "alive")
@@ -315,9 +315,10 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, *, id_col: str
         .filter(F.col("rank") == k).select("query", F.col("score").cast("double").alias("floor")))
     asked = asked.drop("floor").join(floors, "query", "left").withColumn(
         "floor", F.coalesce("floor", F.lit(float("-inf"))))
-    blocked = stored(blocks(asked, F.regexp_replace("grp", "/[^/]*$", "")).drop("grp"), "asked")
+    # the root's name is stored, as a join on a literal would be planned as a product
+    blocked = stored(blocks(asked, F.regexp_replace("grp", "/[^/]*$", "")).drop("grp").withColumn("node", F.lit("")), "asked")
     pairs = descended(blocked, upper_nodes(tree), dim, top)
-    found = _searched(pairs.join(blocked, "block").join(tree, "grp"), k, dim, top)
+    found = _searched(pairs.join(blocked.drop("node"), "block").join(tree, "grp"), k, dim, top)
     ranked = found.withColumn("rank", F.row_number().over(
         Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
