@@ -1,6 +1,8 @@
 """Operators 3, 5 and 7: held-out accuracy, spans, and exact neighbours."""
 
+import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -173,3 +175,32 @@ def test_huge_components_are_refused(spark):
     frame = spark.createDataFrame([(0, [1e9]), (1, [1.0])], "vec_id long, embedding array<double>")
     with pytest.raises(ValueError):
         mtree.top_k(frame, frame)
+
+
+def test_noisy_or_of_a_small_table(spark):
+    """Scores and worst sentences against a plain product over sentences."""
+    docs, labels = corpus(spark, 80)
+    model = toxicity.trained(docs, labels)
+    assert model.weights
+
+    def plain(text):
+        sentences = [re.findall(rb"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", s) for s in
+                     re.split(rb"[.!?\n]", (text or "").lower().encode())]
+        chances = []
+        for words in filter(None, sentences):
+            z = model.bias
+            for w in set(words):
+                z += model.weights.get(w, 0) + sum(model.weights.get(w[:n] + b"*", 0) for n in range(4, 9) if len(w) > n)
+            chances.append(1 / (1 + math.exp(-z)))
+        clean = math.prod(1 - p for p in chances)
+        return (1 - clean, chances.index(max(chances)), max(chances)) if chances else (0.0, None, None)
+
+    rows = docs.unionByName(spark.createDataFrame([(None, "Idiot! fine."), (900, None), (901, ""), (902, " .!\n? ")], docs.schema))
+    texts = {r["doc_id"]: r["text"] for r in rows.collect()}
+    got = toxicity.scored(rows, model).collect()
+    assert len(got) == len(texts) == 84
+    for r in got:
+        score, place, chance = plain(texts[r["doc_id"]])
+        assert abs(r["score"] - score) < 1e-9 and (r["worst_sentence"] is None) == (place is None)
+        if place is not None:
+            assert abs(r["worst_probability"] - chance) < 1e-9 and r["worst_sentence"] == place

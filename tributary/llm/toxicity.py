@@ -10,7 +10,7 @@ end. A word's features are itself and its first 4 to 8 bytes, as insults are inf
 compounded. Only features whose document frequencies in the two classes differ by more than
 ``min_z`` standard errors are weighted. The sample holds at most ``max_rows`` labelled rows; scoring reads
 whole texts of all rows. Null and empty texts have no sentence and score 0. Without any positive or
-any negative label every score is 0. Repeated rows get equal scores.
+any negative label every score is 0. Repeated rows get equal scores; rows with a null id are scored as they come.
 """
 
 from __future__ import annotations
@@ -130,9 +130,13 @@ def sentence_logits(text: str | None, bias: float, weights: _WordWeights) -> lis
     return [bias + sum(map(get, set(words))) for words in _sentences(text)]
 
 
-def score(text: str | None, model: Model, weights: _WordWeights) -> float:
+def judged(text: str | None, model: Model, weights: _WordWeights) -> tuple[float, int | None, float | None]:
+    """Score of a document, and place and probability of its worst sentence (the first of equal ones)."""
     logits = sentence_logits(text, model.bias, weights) if text and model.weights else []
-    return float(-np.expm1(-np.logaddexp(0, logits).sum())) if logits else 0.0
+    if not logits:
+        return 0.0, None, None
+    worst = int(np.argmax(logits))
+    return float(-np.expm1(-np.logaddexp(0, logits).sum())), worst, float(1 / (1 + np.exp(-logits[worst])))
 
 
 def trained(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", max_rows: int = MAX_ROWS,
@@ -142,16 +146,18 @@ def trained(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", max_row
 
 
 def scored(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score) of whole texts."""
+    """(doc_id, score, worst_sentence, worst_probability) of whole texts; the last two are null without a sentence."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weights = _WordWeights(model.weights)
         for frame in frames:
-            yield pd.DataFrame({"doc_id": frame["doc_id"],
-                                "score": [score(t, model, weights) for t in frame["text"]]})
+            found = [judged(t, model, weights) for t in frame["text"]]
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "score": [f[0] for f in found],
+                                "worst_sentence": pd.array([f[1] for f in found], dtype="Int32"),
+                                "worst_probability": pd.array([f[2] for f in found], dtype="Float64")})
 
     return docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(
-        run, "doc_id string, score double").withColumn("doc_id", F.col("doc_id").cast("long"))
+        run, "doc_id string, score double, worst_sentence int, worst_probability double").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def offending_sentences(docs: DataFrame, model: Model, *, threshold: float = 0.5, id_col: str = "doc_id",
@@ -181,8 +187,9 @@ def offending_sentences(docs: DataFrame, model: Model, *, threshold: float = 0.5
 
 
 def op3_toxicity(spark, sf_dir: str) -> DataFrame:
-    """Noisy-or toxicity of every document, learnt from the labels that are not held out."""
+    """Noisy-or toxicity of every document and its worst sentence, learnt from the labels that are not held out."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     model = trained(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return scored(docs, model).select("doc_id", held_out().alias("held_out"), "score",
-                                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+                                      (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                                      "worst_sentence", "worst_probability")
