@@ -69,7 +69,8 @@ def _lifted(x: np.ndarray, top: float) -> np.ndarray:
 
 def grouped(rows: DataFrame, dim: int, top: float, capacity: int, fanout: int) -> DataFrame:
     """``rows`` with ``grp``, split by nearest routing vectors until groups fit ``capacity``."""
-    rows = rows.withColumn("grp", F.lit(""))
+    if "grp" not in rows.columns:
+        rows = rows.withColumn("grp", F.lit(""))
     level = 0
     while True:
         counts = rows.groupBy("grp").agg(F.count("*").alias("n")).filter(F.col("n") > capacity)
@@ -286,7 +287,7 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, *, id_col: str
 
     ``queries`` are rows of ``candidates``; a row with the query's own id is no candidate.
     """
-    rows = stored(whole_vectors(candidates, id_col, vector_col), "vectors")
+    rows = stored(whole_vectors(candidates, id_col, vector_col).withColumn("grp", F.lit("")), "vectors")
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
     dim, top = rows.agg(F.max(F.size("v")), F.max(norm)).first()
     dim, top = dim or 0, top or 0.0
