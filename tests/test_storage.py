@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import DAY, T0, committee, committees, fact, facts
+from helpers import DAY, T0, committee, committees, fact, facts, plan
 from tributary.operators.quality import QualityError
 from tributary.options import Options, Thresholds
 from tributary.plans import check_state, marts, run, staging, summary_state
@@ -270,3 +270,15 @@ def test_assertions_after_partitions_go_and_dates_come(spark, root):
         run.update_summary(spark, at, options)
         check_state.update(spark, at, options)
         assert verdicts(check_state.results(spark, at, options)) == whole_suite(spark, at, options, Thresholds())
+
+
+# ---- marts from the index --------------------------------------------------------------------
+
+def test_newest_versions_come_from_the_index_in_place(spark, root):
+    at = Layers(root, grain="month", buckets=4)
+    for rows in moving_batches(3, n=2):
+        append_facts(facts(spark, rows), at)
+    found = run.staged_for_marts(spark, at, OPTIONS)
+    assert "Exchange" not in plan(found)
+    whole = staging.stg_contributions(run.raw_facts(spark, at), OPTIONS).select(*run.STAGED_FOR_MARTS)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)

@@ -15,7 +15,7 @@ from tributary.plans.checks import dq_suite
 from tributary.plans.ingest import (DimensionLoad, FactLoad, FactRequest, ingest_committees,
                                     ingest_facts)
 from tributary.plans.stored import (DATE, daily_mart, dates_loaded_after, raw_committees, raw_facts,
-                                    record_versions, summary_mart)
+                                    record_versions, staged_versions, summary_mart)
 from tributary.schemas import RAW_COMMITTEES, ddl, mart_daily
 from tributary.session import stored
 from tributary.sources import export, layers as tables, versions
@@ -87,8 +87,7 @@ def refresh_daily(spark: SparkSession, layers: Layers, options: Options = Option
     base = versions.head(spark, layers.daily)
 
     if full_refresh or base is None:
-        rows = marts.daily_contributions(staging.stg_contributions(raw, options), committees,
-                                         options)
+        rows = marts.daily_contributions(staged_versions(spark, layers, options), committees, options)
         _commit_daily(rows, layers, base, None, options)
         return MartRun("full")
 
@@ -118,7 +117,7 @@ def refresh_summary(spark: SparkSession, layers: Layers, options: Options = Opti
                     staged: DataFrame | None = None) -> None:
     """Full rebuild of the committee mart, from staged rows that are stored already if given."""
     if staged is None:
-        staged = staging.stg_contributions(raw_facts(spark, layers), options)
+        staged = staged_versions(spark, layers, options)
     rows = marts.committee_summary(staged, _committees(spark, layers, options), options)
     versions.replace(rows, layers.summary)
 
@@ -153,7 +152,7 @@ def check_marts(spark: SparkSession, layers: Layers, staged: DataFrame,
 def staged_for_marts(spark: SparkSession, layers: Layers,
                      options: Options = Options()) -> DataFrame:
     """The staged columns that the summary and the assertions read."""
-    return staging.stg_contributions(raw_facts(spark, layers), options).select(*STAGED_FOR_MARTS)
+    return staged_versions(spark, layers, options).select(*STAGED_FOR_MARTS)
 
 
 def publish_staging(spark: SparkSession, layers: Layers, options: Options = Options()) -> None:

@@ -7,7 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tributary.operators.dedupe import latest_wins
 from tributary.options import Options
+from tributary.plans import staging
 from tributary.schemas import RAW_COMMITTEES, RAW_FACTS, mart_daily, mart_summary
 from tributary.sources import layers as tables, ledger, versions
 from tributary.sources.layers import Layers
@@ -30,6 +32,17 @@ def record_versions(spark: SparkSession, layers: Layers) -> Callable[[DataFrame]
     return lambda ids: ledger.versions_of(ids, ledger.index(spark, layers), layers.buckets)
 
 
+def staged_versions(spark: SparkSession, layers: Layers, options: Options) -> DataFrame:
+    """One row per record with the columns that the marts read, as ``stg_contributions`` picks it.
+
+    The index holds these columns in buckets of the record id, so the newest versions are found there
+    without moving a row; facts that were not loaded as batches are moved.
+    """
+    known = ledger.entries(spark, layers)
+    rows = ledger.index(spark, layers, known) if known else raw_facts(spark, layers)
+    return latest_wins(staging.typed_versions(rows, options), ["sub_id"], staging.NEWEST_FACT)
+
+
 def raw_committees(spark: SparkSession, layers: Layers) -> DataFrame | None:
     return tables.read_or_none(spark, layers.committees, RAW_COMMITTEES)
 
