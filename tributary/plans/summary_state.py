@@ -1,12 +1,13 @@
-"""The committee mart kept up to date from counted values, without reading untouched committees.
+"""The committee mart kept up to date from counted records, without reading untouched committees.
 
-State rows (committee, kind, value, n) count how many current records of a committee have an amount,
-a date, a state or a donor name; rows with n = 0 go. A batch touches some records: each one's former
+State rows (committee, donor, state, day, amount, n, total) count how many current records of a committee
+are alike in all that the mart reads; rows with n = 0 go. A batch touches some records: each one's former
 version is retracted and its present one merged, so moved and repeated records are exact, and so are
 minimum, maximum and distinct counts, which no running total could take back. Both versions come from
 the bucketed index. State and the statistics that follow from it are pieces of one versioned table, by
 shard of the committee id: an update reads and replaces the shards it touches, in one commit that also
-notes the last batch and the day it was made for.
+notes the last batch and the day it was made for. The statistics are computed from the counted rows as
+they were written, so these are neither kept nor computed a second time.
 """
 
 from __future__ import annotations
@@ -18,22 +19,28 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tributary.operators.dedupe import latest_wins
 from tributary.options import Options
 from tributary.plans import staging
-from tributary.plans.stored import DATE, raw_facts
+from tributary.plans.stored import DATE, staged_versions
 from tributary.schemas import ddl, mart_summary, sum_type
 from tributary.session import settle
 from tributary.sources import ledger, versions
 from tributary.sources.layers import Layers
 
 SHARDS = 32
-KINDS = ("amount", "day", "state", "donor")
+#: What state rows are; a state that holds other ones is built anew (fixed value).
+ROWS = "records"
+ALIKE = ["committee_id", "contributor_name", "contributor_state", DATE, "amount"]
 STATS = ["total_contributions", "total_raised", "avg_contribution", "min_contribution", "max_contribution",
          "donor_states", "unique_donors", "first_contribution_date", "last_contribution_date"]
 
 
+def _cell_columns(options: Options) -> dict[str, str]:
+    return {"committee_id": "string", "contributor_name": "string", "contributor_state": "string", DATE: "date",
+            "amount": options.amount_type, "n": "bigint", "total": sum_type(options.amount_type)}
+
+
 def _columns(options: Options) -> dict[str, str]:
     mart = mart_summary(options.amount_type, options.average_type)
-    return {"committee_id": "string", "kind": "string", "text": "string", "amount": options.amount_type, "day": "date",
-            "n": "bigint", "total": sum_type(options.amount_type), **{c: mart[c] for c in STATS}}
+    return {**_cell_columns(options), **{c: mart[c] for c in STATS}}
 
 
 def _shard() -> Column:
@@ -45,37 +52,30 @@ def _piece(kind: str, shard: Column) -> Column:
 
 
 def _counted(records: DataFrame, sign: int) -> DataFrame:
-    """One row per record and kind, to be counted ``sign`` times."""
-    amount, total = F.col("amount"), F.col("amount") if sign > 0 else -F.col("amount")
-    nothing = {"text": F.lit(None).cast("string"), "amount": F.lit(None).cast(records.schema["amount"].dataType),
-               "day": F.lit(None).cast("date"), "total": F.lit(None).cast(records.schema["amount"].dataType)}
-    own = {"amount": {"amount": amount, "total": total}, "day": {"day": F.col(DATE)},
-           "state": {"text": F.col("contributor_state")}, "donor": {"text": F.col("contributor_name")}}
-    cells = F.array(*[F.struct(F.lit(k).alias("kind"), *[v.alias(c) for c, v in (nothing | own[k]).items()]) for k in KINDS])
-    return records.select("committee_id", F.explode(cells).alias("cell")).select(
-        "committee_id", "cell.*", F.lit(sign).alias("n"))
+    """One row per record, to be counted ``sign`` times."""
+    amount = F.col("amount")
+    return records.select(*ALIKE, F.lit(sign).cast("bigint").alias("n"), (amount if sign > 0 else -amount).alias("total"))
 
 
 def _merged(cells: DataFrame, options: Options) -> DataFrame:
     kind = sum_type(options.amount_type)
-    return cells.groupBy("committee_id", "kind", "text", "amount", "day").agg(
-        F.sum("n").alias("n"), F.sum("total").cast(kind).alias("total")).filter("n <> 0")
+    return cells.groupBy(*ALIKE).agg(F.sum("n").alias("n"), F.sum("total").cast(kind).alias("total")).filter("n <> 0")
 
 
 def _stats(cells: DataFrame, options: Options) -> DataFrame:
-    """Statistics of each committee from its counted values."""
-    def of(kind: str, value: Column) -> Column:
-        return F.when(F.col("kind") == kind, value)
-
-    records = F.sum(of("amount", F.col("n")))
-    raised = F.sum(of("amount", F.col("total"))).cast(sum_type(options.amount_type))
-    mean = (raised.cast("double") / records if options.average_type == "double"
-            else _decimal_mean(raised, records, options))
-    return cells.groupBy("committee_id").agg(
+    """Statistics of each committee from its counted rows: by state and by donor first, so no row is copied."""
+    day, amount, kind = F.col(DATE), F.col("amount"), sum_type(options.amount_type)
+    by_state = cells.groupBy("committee_id", "contributor_state").agg(
+        F.sum("n").alias("n"), F.sum("total").cast(kind).alias("total"), F.min(amount).alias("least"),
+        F.max(amount).alias("most"), F.min(day).alias("first"), F.max(day).alias("last"))
+    by_donor = cells.select("committee_id", "contributor_name").distinct()
+    records, raised = F.sum("n"), F.sum("total").cast(kind)
+    mean = raised.cast("double") / records if options.average_type == "double" else _decimal_mean(raised, records, options)
+    return by_state.unionByName(by_donor, allowMissingColumns=True).groupBy("committee_id").agg(
         records.alias("total_contributions"), raised.alias("total_raised"), mean.alias("avg_contribution"),
-        F.min("amount").alias("min_contribution"), F.max("amount").alias("max_contribution"),
-        F.count(of("state", F.col("text"))).alias("donor_states"), F.count(of("donor", F.col("text"))).alias("unique_donors"),
-        F.min("day").alias("first_contribution_date"), F.max("day").alias("last_contribution_date"))
+        F.min("least").alias("min_contribution"), F.max("most").alias("max_contribution"),
+        F.count("contributor_state").alias("donor_states"), F.count("contributor_name").alias("unique_donors"),
+        F.min("first").alias("first_contribution_date"), F.max("last").alias("last_contribution_date"))
 
 
 def _decimal_mean(total: Column, n: Column, options: Options) -> Column:
@@ -97,36 +97,41 @@ def update(spark: SparkSession, layers: Layers, options: Options = Options()) ->
     batches = ledger.entries(spark, layers)
     at = pinned(spark, options)
     today = at.as_of
-    applied = int(base.notes["batch"]) if base else 0
+    last = base if base and base.notes.get("rows") == ROWS else None
+    applied = int(last.notes["batch"]) if last else 0
     then = dt.date.fromisoformat(base.notes["as_of"]) if base else today
     if today < then:
         raise ValueError("the state was made for a later day")
     newest = max((b.number for b in batches), default=0)
-    if base and newest == applied and today == then:
+    if last and newest == applied and today == then:
         return 0
-    if base is None:
-        delta = _counted(latest_wins(staging.typed_versions(raw_facts(spark, layers), at), ["sub_id"],
-                                     staging.NEWEST_FACT), 1)
+    shards, committees = range(SHARDS), None
+    if last is None:
+        cells = _merged(_counted(staged_versions(spark, layers, at), 1), options)
     else:
         former, present = changed_records(spark, layers, batches, applied, then, at)
-        delta = _counted(former, -1).unionByName(_counted(present, 1))
-    delta = settle(_merged(delta, options))
-    committees = settle(delta.select("committee_id").distinct().withColumn("shard", _shard()))
-    shards = [r[0] for r in committees.select("shard").distinct().collect()]
-    cells = delta
-    if base:
-        kept = versions.read(spark, layers.summary_state, _columns(options), "piece", "string", base,
+        delta = settle(_merged(_counted(former, -1).unionByName(_counted(present, 1)), options))
+        per_shard = delta.select("committee_id").distinct().groupBy(_shard().alias("shard")).count().collect()
+        shards, committees = [r["shard"] for r in per_shard], sum(r["count"] for r in per_shard)
+        kept = versions.read(spark, layers.summary_state, _columns(options), "piece", "string", last,
                              [f"cells-{s}" for s in shards])
-        cells = kept.select(*delta.columns).unionByName(delta)
-    cells = settle(_merged(cells, options))
-    rows = cells.withColumn("piece", _piece("cells", _shard())).unionByName(
-        _stats(cells, options).withColumns({"piece": _piece("stats", _shard()), "kind": F.lit("stats")}),
-        allowMissingColumns=True).select(*_columns(options), "piece")
-    rows = rows.hint("rebalance", "piece").sortWithinPartitions("piece", "committee_id", "kind")
+        cells = _merged(kept.select(*delta.columns).unionByName(delta), options)
+
+    def write(rows: DataFrame, kind: str) -> tuple[str, list[str]]:
+        rows = rows.withColumn("piece", _piece(kind, _shard())).hint("rebalance", "piece")
+        return versions.write_version(rows.sortWithinPartitions("piece", "committee_id"), layers.summary_state, "piece")
+
+    version, values = write(cells, "cells")
+    folder = f"{layers.summary_state}/data/version={version}"
+    written = spark.read.schema(ddl(_cell_columns(options))).parquet(folder)
+    own, own_values = write(_stats(written, options), "stats")
     touched = [f"{kind}-{s}" for s in shards for kind in ("cells", "stats")]
-    versions.replace(rows, layers.summary_state, "piece", base, touched,
-                     {"batch": str(newest), "as_of": today.isoformat()})
-    return committees.count()
+    gone = touched if last else [*touched, *(base.parts if base else [])]
+    versions.commit(spark, layers.summary_state, base, version, values, gone,
+                    {"batch": str(newest), "as_of": today.isoformat(), "rows": ROWS}, {own: own_values})
+    if committees is None:
+        committees = stats(spark, layers, options).count()
+    return committees
 
 
 def changed_records(spark: SparkSession, layers: Layers, batches: list[ledger.Batch], applied: int, then: dt.date,

@@ -91,12 +91,15 @@ def head(spark: SparkSession, path: str) -> Commit | None:
 
 
 def commit(spark: SparkSession, path: str, base: Commit | None, version: str | None, values: Sequence[str],
-           gone: Iterable[str], notes: dict[str, str]) -> Commit:
-    """Put ``values`` of a written version in place of what ``base`` has for them, and drop ``gone``."""
+           gone: Iterable[str], notes: dict[str, str], more: dict[str, Sequence[str]] | None = None) -> Commit:
+    """Put ``values`` of a written version in place of what ``base`` has for them, and drop ``gone``.
+
+    ``more`` names further versions with their own values, put in place in the same step.
+    """
     base = base or Commit()
-    dropped = set(gone) | set(values)
-    parts = {k: v for k, v in base.parts.items() if k not in dropped} | {k: version for k in values}
-    written = {**base.written, **({version: sorted(values)} if values else {})}
+    fresh = {k: v for v, held in {version: values, **(more or {})}.items() for k in held}
+    parts = {k: v for k, v in base.parts.items() if k not in set(gone) | set(fresh)} | fresh
+    written = {**base.written, **{v: sorted(held) for v, held in {version: values, **(more or {})}.items() if held}}
     state = Commit(base.number + 1, parts, {v: written[v] for v in sorted(set(parts.values()))},
                    {**base.notes, **notes})
     put_once(spark, f"{path}/_commits/{state.number:08d}.json", json.dumps(state.__dict__))
