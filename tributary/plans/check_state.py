@@ -16,11 +16,10 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tributary.operators import quality
-from tributary.operators.dedupe import latest_wins
 from tributary.options import Options, Thresholds
 from tributary.plans import staging
 from tributary.plans.checks import NOT_NULL, UNIQUE
-from tributary.plans.stored import DATE, raw_committees, raw_facts, summary_mart
+from tributary.plans.stored import DATE, raw_committees, raw_facts, staged_versions, summary_mart
 from tributary.plans.summary_state import changed_records, pinned
 from tributary.schemas import mart_daily
 from tributary.session import settle
@@ -82,8 +81,7 @@ def update(spark: SparkSession, layers: Layers, options: Options = Options()) ->
         raise ValueError("the state was made for a later day")
     newest = max((b.number for b in batches), default=0)
     if base is None:
-        staged = latest_wins(staging.typed_versions(raw_facts(spark, layers), at), ["sub_id"], staging.NEWEST_FACT)
-        delta = _of_staged(settle(staged), 1)
+        delta = _of_staged(settle(staged_versions(spark, layers, at)), 1)
     elif newest == applied and at.as_of == then:
         delta = spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in COLUMNS.items()))
     else:
