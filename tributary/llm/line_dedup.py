@@ -140,7 +140,8 @@ def repeated_runs(docs: DataFrame, *, min_words: int = 50, id_col: str = "doc_id
             .select("__id", "__text", "start", "end"))
 
 
-def _without(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+@thrifty
+def _without(frames: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """Each text without its runs of worded lines; None if no word is left."""
 
     def one(text: str, starts: list[int], ends: list[int]) -> str | None:
@@ -153,12 +154,16 @@ def _without(text: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
             return None
         return b"\n".join(x for i, x in enumerate(lines) if i not in cut).decode("utf-8", "surrogatepass")
 
-    return pd.Series([t if s is None else one(t, s, e) for t, s, e in zip(text, starts, ends)], dtype=object)
+    for text, starts, ends in frames:
+        yield pd.Series([t if s is None else one(t, s, e) for t, s, e in zip(text, starts, ends)], dtype=object)
 
 
 def _cut_texts(text: Column, starts: str, ends: str) -> Column:
-    """``_without`` on Spark columns; rows without cuts bring a null text, so their texts stay in the JVM."""
-    return F.pandas_udf(_without, "string")(text, starts, ends)
+    """``_without`` on Spark columns; rows without cuts bring a null text, so their texts stay in the JVM.
+
+    Marked so that a filter on the result is not pushed below it, which would cut all texts twice.
+    """
+    return F.pandas_udf(_without, "string").asNondeterministic()(text, starts, ends)
 
 
 def _with_cuts(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import identity, own_names, stored
+from .common import identity, own_names, stored, thrifty
 
 #: Rows of a source that one task lays end to end, on average.
 ROWS_PER_BUCKET = 5000
@@ -212,7 +212,8 @@ def op4_mixing(spark, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source")
 
 
-def _cut(text: pd.Series, size: pd.Series, spans: pd.Series) -> pd.Series:
+@thrifty
+def _cut(frames: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """The spans of words of each text, with the white space between neighbouring words kept."""
     def one(text: str, size: int, spans: list) -> str:
         spans = sorted((s["from"], s["to"]) for s in spans)
@@ -227,7 +228,8 @@ def _cut(text: pd.Series, size: pd.Series, spans: pd.Series) -> pd.Series:
         words = [m.span() for m in re.finditer(NON_SPACES, text)]
         return "\n".join(text[words[a][0]:words[b - 1][1]] for a, b in merged)
 
-    return pd.Series([one(*x) for x in zip(text, size, spans)])
+    for batch in frames:
+        yield pd.Series([one(*x) for x in zip(*batch)], dtype=object)
 
 
 @own_names

@@ -8,7 +8,8 @@ pass draws the last piece in proportion, then the one before it, and so on, so e
 comes with exactly its probability. A draw at a place depends only on the row key and the place:
 reruns, other batches and other executors give the same pieces. Filtered lattices of repeated
 segments are kept in two bounded tables of cumulative 32-bit probabilities: when one is full it
-becomes the older one, from which the segments that still occur are copied.
+becomes the older one, from which the segments that still occur are copied. A task drops them at
+its end, as its worker lives on beside other stages.
 
 Decoding is lossless for every text: a literal U+2581 is encoded as bytes, never as the space sign.
 The row key is the id, or the text's hash where the id is null. Null text gives null ids, empty
@@ -115,6 +116,10 @@ class PieceSampler:
             self.by_length.append((found[order], np.array([self.pieces[p][0] for p in own], np.int32)[order],
                                    np.array([self.pieces[p][1] for p in own], float)[order], sieve))
         self.bytes_of = np.array([self.byte_id[b] for b in range(128)], np.int32)
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty tables; lattices are filtered again when they are needed."""
         self.known, self.older = Lattices(), Lattices()
 
     def _hashes(self, points: np.ndarray, n: int) -> np.ndarray:
@@ -275,20 +280,23 @@ def encoded(docs: DataFrame, model: str, *, seed: int = 0, sharpness: float = 1.
     @thrifty
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = sampler(model, sharpness)
-        for frame in frames:
-            for part in (frame.iloc[at:at + 64] for at in range(0, len(frame), 64)):
-                texts = part["text"].tolist()
-                with np.errstate(over="ignore"):
-                    seeds = mixed(part["key"].to_numpy(np.int64).view(U64) + U64(seed) * _GOLDEN)
-                ids = own.encode([t or "" for t in texts], seeds)
-                back = [None if t is None else own.decode(x) for t, x in zip(texts, ids)]
-                out = pd.DataFrame({
-                    "doc_id": part["doc_id"].array, "n_pieces": [len(x) for x in ids],
-                    "ids": [None if t is None else x for t, x in zip(texts, ids)],
-                    "lossless": [t == b for t, b in zip(texts, back)]})
-                if keep_text:
-                    out["text"] = back
-                yield out
+        try:
+            for frame in frames:
+                for part in (frame.iloc[at:at + 64] for at in range(0, len(frame), 64)):
+                    texts = part["text"].tolist()
+                    with np.errstate(over="ignore"):
+                        seeds = mixed(part["key"].to_numpy(np.int64).view(U64) + U64(seed) * _GOLDEN)
+                    ids = own.encode([t or "" for t in texts], seeds)
+                    back = [None if t is None else own.decode(x) for t, x in zip(texts, ids)]
+                    out = pd.DataFrame({
+                        "doc_id": part["doc_id"].array, "n_pieces": [len(x) for x in ids],
+                        "ids": [None if t is None else x for t, x in zip(texts, ids)],
+                        "lossless": [t == b for t, b in zip(texts, back)]})
+                    if keep_text:
+                        out["text"] = back
+                    yield out
+        finally:
+            own.forget()
 
     key = F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.col(text_col)))
     rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), key.alias("key"), F.col(text_col).alias("text"))
