@@ -62,6 +62,14 @@ def test_line_runs_without_ids_and_rows(spark):
     assert any(r["doc_id"] == 1 and r["text"] == "" for r in got)
 
 
+def test_texts_are_cut_once(spark):
+    """A filter on the cut text must not make Spark cut the texts a second time."""
+    docs = spark.createDataFrame([(1, "a b\nc"), (2, "a b\nc"), (3, "d")], "doc_id long, text string")
+    got = line_dedup.without_repeated_runs(docs, min_words=2)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert {(r["doc_id"], r["text"]) for r in got.collect()} == {(1, "a b\nc"), (3, "d")}
+
+
 def test_suffix_ranks_are_in_order(spark):
     docs = spark.createDataFrame([(1, "a\nb\na\nb\na"), (2, "b\na\nb")], "doc_id long, text string")
     lines = line_dedup.line_sequences(docs, 1, "doc_id", "text")

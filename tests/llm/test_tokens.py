@@ -196,6 +196,37 @@ def test_kept_lattices_do_not_change_the_draws(monkeypatch):
     assert all((small.encode([t], seeds[i:i + 1])[0] == whole[i]).all() for i, t in enumerate(texts))
 
 
+def test_a_task_leaves_no_lattices_in_its_worker(spark):
+    def tables(frames):
+        import pandas as pd
+
+        own = sampled_pieces.sampler(PIECES)
+        for frame in frames:
+            yield pd.DataFrame({"n": [len(own.known.segments) + len(own.older.segments)] * len(frame)})
+
+    assert sampled_pieces.encoded(documents(spark).coalesce(1), PIECES).filter("n_pieces > 0").collect()
+    assert {r["n"] for r in spark.range(64).repartition(8).mapInPandas(tables, "n long").collect()} == {0}
+
+
+def test_cut_texts_give_memory_back_at_the_end_of_a_task(monkeypatch):
+    import ctypes
+    from types import SimpleNamespace
+
+    import pandas as pd
+
+    from tributary.llm import line_dedup
+
+    trimmed = []
+    monkeypatch.setattr(ctypes, "CDLL", lambda name: SimpleNamespace(malloc_trim=trimmed.append))
+    spans = [[{"from": 0, "to": 1}], [{"from": 1, "to": 2}, {"from": 0, "to": 1}]]
+    batch = (pd.Series(["a b", "c  d"]), pd.Series([2, 3]), pd.Series(spans))
+    assert [list(x) for x in mixing._cut(iter([batch, batch]))] == [["a", "c  d"]] * 2
+    assert trimmed == [0]
+    lines = (pd.Series(["a\n\nb", "c", None]), pd.Series([[1], [0], None]), pd.Series([[2], [1], None]))
+    assert [list(x) for x in line_dedup._without(iter([lines]))] == [["a\n", None, None]]
+    assert trimmed == [0, 0]
+
+
 def test_draws_follow_the_lattice():
     """Each segmentation of a short word comes as often as its weight says."""
     own = sampled_pieces.PieceSampler(PIECES)
